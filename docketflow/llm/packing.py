@@ -41,7 +41,7 @@ _PLAIN = re.compile(f"[{_L}]+|[^{_L} \n\t\r]+").findall
 _QUOTED = re.compile(f"[^ \n\t\r']*'[^ \n\t\r]*|[{_L}]+|[^{_L} \n\t\r]+").findall
 _WHOLE = re.compile("[ɐ-\U0010ffff]|<\\|").search
 _CACHE: dict[str, dict[str, bytes]] = {}
-_TOKENIZERS: dict[str, object] = {}
+_TOKENIZERS: dict[str, tuple] = {}
 
 
 def default_tokenizer() -> str:
@@ -51,7 +51,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[bytes]:
+def encode(texts: list[str | None], path: str, most: int = 900_000) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit bytes.
 
     This vocabulary lower-cases, drops white space and splits at every border between letters and
@@ -61,9 +61,13 @@ def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[byte
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a forked worker must not start threads
     from tokenizers import Tokenizer
 
-    tok = _TOKENIZERS.get(path)
-    if tok is None:
-        tok = _TOKENIZERS[path] = Tokenizer.from_file(path)
+    if path not in _TOKENIZERS:
+        made = Tokenizer.from_file(path)
+        vocab = made.get_vocab()
+        word_end = np.zeros(max(vocab.values()) + 1, bool)
+        word_end[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        _TOKENIZERS[path] = made, word_end
+    tok, ends = _TOKENIZERS[path]
     cache = _CACHE.setdefault(path, {})
     if len(cache) > most:
         cache.clear()
@@ -76,7 +80,16 @@ def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[byte
         else:
             parts.append(_QUOTED(x.lower()) if "'" in x else _PLAIN(x.lower()))
     new = list(set(chain.from_iterable(p for p in parts if p)) - cache.keys())
-    for word, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
+    letters = [w for w in new if w.isalpha()]
+    for lo in range(0, len(letters), 2000):
+        some = letters[lo : lo + 2000]
+        ids = np.array(tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        cuts = (np.flatnonzero(ends[ids]) + 1) * 4  # a word of letters alone ends at its one word-end token
+        if len(cuts) == len(some):
+            data = ids.tobytes()
+            cache.update(zip(some, (data[x:y] for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)), strict=True))
+    rest = [w for w in new if w not in cache]
+    for word, e in zip(rest, tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
         cache[word] = np.array(e.ids, "<u4").tobytes()
     get = cache.__getitem__
     return [
@@ -95,7 +108,7 @@ def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID,
         wholes = crumbs = 0
         tail = np.array([end_id], "<u4").tobytes()
         for big in batches:
-            for b in sub_batches(big, text_col, 1 << 20):
+            for b in sub_batches(big, text_col, 4 << 20):
                 ids = [x + tail for x in encode(b.column(1).to_pylist(), path)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 cls = n % limit // grid
