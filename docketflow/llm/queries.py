@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.llm import fingerprints, media, mixing, packing
+from docketflow.llm import fingerprints, language, media, mixing, packing, toxicity
 
-MODULES = (fingerprints, packing, mixing, media)
+MODULES = (fingerprints, packing, mixing, language, media, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
