@@ -53,10 +53,7 @@ def _features(text: str) -> set[str]:
     words = set(normal(text).split())
     out = {f" {w} " for w in words}
     for w in words:
-        if len(w) > 3:
-            out.add(" " + w[:4])
-            if len(w) > 4:
-                out.add(" " + w[:5])
+        out.update(" " + w[:k] for k in range(4, min(len(w), 7) + 1))
     return out
 
 
@@ -117,10 +114,11 @@ def _design(counts: np.ndarray, voice: np.ndarray) -> np.ndarray:
     x = np.log1p(counts)
     n = counts.shape[1] - len(PATTERNS)
     fired = (counts[:, :n] > 0) * voice[:n]
-    return np.column_stack([np.ones(len(x)), x, fired.sum(1), np.minimum(fired.sum(1), 2)])
+    total = fired.sum(1)
+    return np.column_stack([np.ones(len(x)), x, total, np.minimum(total, 1), np.minimum(total, 2)])
 
 
-def linear(x: np.ndarray, y: np.ndarray, steps: int = 400, l2: float = 1e-3) -> np.ndarray:
+def linear(x: np.ndarray, y: np.ndarray, steps: int = 1000, l2: float = 1e-4) -> np.ndarray:
     """Logistic regression by Adam over soft labels."""
     w, m, s = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     for t in range(1, steps + 1):
@@ -154,9 +152,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
                 yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(np.full(len(f), y, np.int32))], ["f", "y"])
 
     found = rows.select("text", F.col("y").cast("int").alias("y")).repartition(8).mapInArrow(features, "f string, y int").groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
-    least = max(3, pos // 100)
-    odds = F.log(((F.col("p") + 0.5) / (pos + 1)) / ((F.col("n") - F.col("p") + 0.5) / (n - pos + 1)))
-    mined = found.filter((F.col("p") >= least) & (odds > math.log(8))).orderBy(F.desc(F.col("p") * odds), "f").limit(MINED).collect()
+    least = max(4, pos // 80)
+    # a cautious log odds ratio: the positive count less 1.3 of its deviations, the negative one more than seen
+    odds = F.log(((F.col("p") - 1.3 * F.sqrt("p")) / pos) / ((F.col("n") - F.col("p") + 1.5) / (n - pos)))
+    mined = found.filter((F.col("p") >= least) & (odds > math.log(4))).orderBy(F.desc(F.col("p") * odds), "f").limit(MINED).collect()
     marks = list(dict.fromkeys([f" {w} " for words in LEXICON.values() for w in words] + [r.f for r in mined]))
     voters = Voters(marks)
     known = rows.select("text", "y").collect()  # at most `sample` rows
