@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.llm import fingerprints, language, media, mixing, packing, quality, toxicity
+from docketflow.llm import fingerprints, html, language, media, mixing, packing, quality, toxicity
 
-MODULES = (fingerprints, packing, quality, mixing, language, media, toxicity)
+MODULES = (fingerprints, packing, quality, mixing, language, media, toxicity, html)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
