@@ -165,11 +165,23 @@ def summary(p: np.ndarray, row: np.ndarray, weight: np.ndarray, n: int) -> np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 3, held: int = 1, sample: int = SAMPLE, train_chars: int = TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Field and curve, a few dozen numbers. `label` 1 is good."""
-    rows = learning_rows(docs, labels, label, parts, held, sample, id_col, text_col).filter(F.coalesce(F.length("text"), F.lit(0)) <= train_chars).collect()  # at most `sample`
-    good = np.array([int(r.y) for r in rows])
+    rows = learning_rows(docs, labels, label, parts, held, sample, id_col, text_col).filter(F.coalesce(F.length("text"), F.lit(0)) <= train_chars)
+
+    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Line features in the tasks: the driver gets numbers, never texts."""
+        for big in batches:
+            for b in sub_batches(big, "text", 2 << 20):
+                xs, row, weight = lines(*buffers(b.column(0)))
+                cuts = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column(1), pa.ListArray.from_arrays(pa.array(cuts * OWN), pa.array(xs.ravel().astype(np.float32))), pa.ListArray.from_arrays(pa.array(cuts), pa.array(weight.astype(np.float32)))], ["y", "x", "w"])
+
+    got = rows.select("text", F.col("y").cast("int").alias("y")).mapInArrow(shapes, "y int, x array<float>, w array<float>").toArrow()  # at most `sample` rows
+    good = got["y"].to_numpy()
     if not len(good) or good.min() == good.max():
         return {"w": None, "share": float(good.mean()) if len(good) else 0.5}
-    xs, row, weight = lines(*buffers(pa.array([r.text or "" for r in rows], pa.large_string())))
+    xs = got["x"].combine_chunks().flatten().to_numpy().astype(float).reshape(-1, OWN)
+    row = np.repeat(np.arange(len(good)), got["w"].combine_chunks().value_lengths().to_numpy())
+    weight = got["w"].combine_chunks().flatten().to_numpy().astype(float)
     mean, sd = xs.mean(0), xs.std(0) + 1e-6
     x = neighbours((xs - mean) / sd, row)
     y = 1 - good[row]
