@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.llm import fingerprints, html, language, licences, media, mixing, packing, quality, toxicity
+from docketflow.llm import fingerprints, html, jaccard, language, licences, media, mixing, packing, quality, toxicity
 
-MODULES = (fingerprints, licences, packing, quality, mixing, language, media, toxicity, html)
+MODULES = (fingerprints, licences, packing, jaccard, quality, mixing, language, media, toxicity, html)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
