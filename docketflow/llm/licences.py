@@ -2,9 +2,11 @@
 
 Templates are grouped by length; a group's windows are a quarter longer than its longest template
 and start every quarter, so some window holds any copy whole and its Jaccard similarity to the
-template is at least `LEAST`. With `BANDS` bands of `ROWS` MinHash values such a window collides
-with probability at least 1 - (1 - LEAST^ROWS)^BANDS, above 1 - 1e-7. Every retrieved pair is then
-verified by exact shingle containment (five words, 0.8 or more), and adjoining hits are one region.
+template is at least `LEAST`. With `BANDS` bands of one MinHash value such a window collides with
+probability at least 1 - (1 - LEAST)^BANDS, above 1 - 1e-10. Minima are kept by quarter window; a
+window's minimum is put together only around a quarter that has a template's value, as no other
+window can collide. Every retrieved pair is verified by exact shingle containment (five words, 0.8
+or more), and adjoining hits are one region.
 
 Words are runs of letters and digits (ASCII punctuation separates), lower-cased. Texts are scanned
 whole, in tasks of their own; nothing is shuffled, as the templates are a fixed short list.
@@ -26,7 +28,7 @@ from docketflow.llm.common import SEED, buffers, mix64, shingle_hashes, sub_batc
 
 WIDTH = 5
 CONTAINED = 0.8
-ROWS, BANDS = 2, 48
+BANDS = 32  # of one MinHash value each
 LEAST = 0.55
 GROUP = 1.3  # the longest template of a group against its shortest
 #: Public licence notices as their publishers word them.
@@ -55,7 +57,7 @@ def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _salts() -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix64(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(SEED)) | np.uint64(1)
+        return mix64(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(SEED)) | np.uint64(1)
 
 
 def _minhash(h: np.ndarray, salt: np.uint64) -> np.ndarray:
@@ -76,66 +78,49 @@ class Index:
             raise ValueError("a template needs five words at least")
         sh, off = shingle_hashes(words, woff, WIDTH)
         self.sets = [np.unique(sh[off[i] : off[i + 1]]) for i in range(len(size))]
-        self.groups: list[tuple[int, int, list[int], list[tuple[np.ndarray, np.ndarray]]]] = []  # shingles a block, blocks a window, members, band keys
+        self.groups: list[tuple[int, int, list[list[tuple[np.uint64, list[int]]]]]] = []  # shingles a block, blocks a window, by band the templates' values
         left = sorted(range(len(size)), key=lambda i: size[i])
         while left:
             members = [i for i in left if size[i] <= GROUP * size[left[0]]]
             left = left[len(members) :]
             most = int(size[members[-1]]) - WIDTH + 1
             block = max(1, most // 4)
-            keys = []
-            sig = np.array([[_minhash(self.sets[i], s).min() for s in _salts()] for i in members])
-            for b in range(BANDS):
-                k = self.band(sig[:, ROWS * b], sig[:, ROWS * b + 1])
-                order = np.argsort(k)
-                keys.append((k[order], np.array(members)[order]))
-            self.groups.append((block, -(-most // block) + 1, members, keys))
-
-    @staticmethod
-    def band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return a * np.uint64(0xD6E8FEB86659FD93) + b
+            bands = []
+            for s in _salts():
+                by: dict[np.uint64, list[int]] = {}
+                for i in members:
+                    by.setdefault(_minhash(self.sets[i], s).min(), []).append(i)
+                bands.append(list(by.items()))
+            self.groups.append((block, -(-most // block) + 1, bands))
 
     def hits(self, sh: np.ndarray, off: np.ndarray) -> list[tuple[int, int, float, int, int]]:
         """(row, template, containment, first and last matched shingle) of every region in rows of shingles."""
-        found = []
-        salts = _salts()
+        if not len(sh):
+            return []
         count = np.diff(off)
-        for block, many, _, keys in self.groups:
+        cut = []
+        for block, _, _ in self.groups:
             blocks = -(-count // block)
             boff = np.concatenate([[0], np.cumsum(blocks)])
             owner = np.repeat(np.arange(len(count)), blocks)
-            starts = off[:-1][owner] + (np.arange(boff[-1]) - boff[:-1][owner]) * block
-            if not len(starts):
-                continue
-            last = np.minimum(np.arange(len(starts)) + many, boff[1:][owner])  # blocks after the window
-            pairs: list[np.ndarray] = []
-            half = None
-            for k, salt in enumerate(salts):
-                low = np.minimum.reduceat(_minhash(sh, salt), starts)
-                win = low.copy()
-                for j in range(1, many):
-                    ok = np.arange(len(low) - j)
-                    here = last[ok] > ok + j
-                    win[ok] = np.where(here, np.minimum(win[ok], low[ok + j]), win[ok])
-                if k % ROWS == 0:
-                    half = win
-                    continue
-                key = self.band(half, win)
-                table, who = keys[k // ROWS]
-                at = np.minimum(np.searchsorted(table, key), len(table) - 1)
-                w = np.flatnonzero(table[at] == key)
-                for shift in range(len(table)):  # templates with the same key
-                    same = w[(at[w] + shift < len(table)) & (table[np.minimum(at[w] + shift, len(table) - 1)] == key[w])]
-                    if not len(same):
-                        break
-                    pairs.append(same * len(self.names) + who[at[same] + shift])
-            if not pairs:
-                continue
-            for code in np.unique(np.concatenate(pairs)):
-                w, t = divmod(int(code), len(self.names))
+            cut.append((boff, owner, off[:-1][owner] + (np.arange(boff[-1]) - boff[:-1][owner]) * block))
+        pairs: list[set[tuple[int, int]]] = [set() for _ in self.groups]
+        for k, salt in enumerate(_salts()):
+            value = _minhash(sh, salt)
+            for (block, many, bands), (boff, owner, starts), found_here in zip(self.groups, cut, pairs, strict=True):
+                low = value if block == 1 else np.minimum.reduceat(value, starts)
+                for v, members in bands[k]:
+                    for j in np.flatnonzero(low == v).tolist():
+                        first, end = int(boff[owner[j]]), int(boff[owner[j] + 1])
+                        for w in range(max(first, j - many + 1), j + 1):
+                            if (w, members[-1]) not in found_here and low[w : min(w + many, end)].min() == v:
+                                found_here.update((w, t) for t in members)
+        found = []
+        for (_, many, _), (boff, owner, starts), here in zip(self.groups, cut, pairs, strict=True):
+            for w, t in here:
                 row = int(owner[w])
-                lo, hi = int(starts[w]), int(min(off[row + 1], off[row] + (int(last[w]) - boff[row]) * block))
+                lo, stop = int(starts[w]), min(w + many, int(boff[row + 1]))
+                hi = int(starts[stop]) if stop < int(boff[row + 1]) else int(off[row + 1])
                 in_template = np.flatnonzero(np.isin(sh[lo:hi], self.sets[t]))
                 share = len(np.unique(sh[lo:hi][in_template])) / len(self.sets[t])
                 if share >= CONTAINED:
