@@ -1 +1 @@
-
+"""Column functions: text, URLs, dates, hashes."""

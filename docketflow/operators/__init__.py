@@ -1 +1 @@
-
+"""DataFrame operators of the publication pipeline."""
