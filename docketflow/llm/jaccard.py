@@ -13,7 +13,8 @@ What remains is looked up and verified exactly on whole sets.
 Equal sets are one node from the start, so groups of copies cost one. Near copies are first checked
 against one hub for each segment they share; components of those links then leave only pairs between
 different components to look at, so a group of n near copies costs about n checks, not n^2, and no
-link between components is lost.
+link between components is lost. Segments where many components meet are compared in blocks, whose
+tasks count overlaps by an index of their tokens and return only links that merge components.
 
 Sets are compared by 64-bit shingle hashes and named by a 64-bit hash of the set. Only segment
 hashes are shuffled for all documents; whole sets only for documents with candidates.
@@ -40,6 +41,8 @@ WIDTH = 5
 SMALL = 5
 CLASSES = 40
 ROUNDS = 2
+CROWD = 24  # components at a segment above which they are compared in blocks
+BLOCK = 1 << 19  # tokens
 
 
 def _segments(c: int) -> int:
@@ -195,7 +198,74 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
-def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _merging(nodes_: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray, off: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
+    """Similar pairs of a node in `left` and one in `right` that join two components so far apart.
+
+    An index from tokens to the nodes of `right` counts the overlap of each node of `left` with all of them at once.
+    """
+    size = np.diff(off)
+    _, token = np.unique(tokens, return_inverse=True)
+    owner = np.repeat(np.arange(len(size)), size)
+    place = np.full(len(size), -1)
+    place[right] = np.arange(len(right))
+    mine = np.flatnonzero(place[owner] >= 0)
+    mine = mine[np.argsort(token[mine], kind="stable")]
+    posting = place[owner[mine]]
+    start = np.searchsorted(token[mine], np.arange(int(token.max()) + 2 if len(token) else 1))
+    up: dict[int, int] = {}
+
+    def find(r: int) -> int:
+        while up.get(r, r) != r:
+            up[r] = up.get(up[r], up[r])
+            r = up[r]
+        return r
+
+    out = []
+    for i in left.tolist():
+        t = token[off[i] : off[i + 1]]
+        n = start[t + 1] - start[t]
+        at = np.repeat(start[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        o = np.bincount(posting[at], minlength=len(right))
+        for k in np.flatnonzero((180 * o >= 80 * (size[i] + size[right])) & (roots[right] != roots[i])).tolist():
+            a, b = find(int(roots[i])), find(int(roots[right[k]]))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                out.append((int(nodes_[i]), int(nodes_[right[k]])))
+    return out
+
+
+def _crowds(hot: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Merging links (a, b) among nodes that meet at crowded segments.
+
+    Nodes connected over crowded segments form a crowd; a crowd is cut into blocks of about `block`
+    tokens, and every two blocks are compared in a task of their own, in place: only links that merge
+    components leave it, never the pairs.
+    """
+    hubs = hot.groupBy("key").agg(F.min("node").alias("a"))
+    edges = written(hot.select("key", F.col("node").alias("b")).join(hubs, "key").filter("a <> b").select("a", "b").distinct(), "jaccard-edges")
+    crowd = components(edges, "jaccard-crowd").withColumnRenamed("root", "crowd")
+    who = hot.groupBy("node").agg(F.min("root").alias("root"), F.max("n").alias("n")).join(crowd, "node")
+    who = written(who, "jaccard-who")
+    blocks = who.groupBy("crowd").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
+    dealt = who.join(blocks, "crowd").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("crowd", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root").join(sets, "node")
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        mine, i, j = (t[x].to_numpy() for x in ("mine", "i", "j"))
+        lists = t["s"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        size = np.asarray(lists.value_lengths())
+        off = np.concatenate([[0], np.cumsum(size)])
+        left, right = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
+        found = _merging(t["node"].to_numpy(), t["root"].to_numpy(), left, right, off, lists.flatten().to_numpy())
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return dealt.groupBy("crowd", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     meta = written(_set_table(docs, width), "jaccard-sets")
@@ -232,15 +302,16 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     # All that is left: pairs between different components at a segment where one of them looks.
     here = written(members.join(part, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-here")
     groups = here.groupBy("key", "root").agg(F.max("e").alias("e"))
-    several = groups.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("e").alias("look")).filter("lo <> hi and look >= 0").select("key")
+    several = groups.groupBy("key").agg(F.count("*").alias("roots"), F.max("e").alias("look")).filter("roots > 1 and look >= 0").select("key", "roots")
     open_ = written(here.join(several, "key"), "jaccard-open")
-    other = written(open_.groupBy("key", F.col("root").alias("with")).agg(F.max("e").alias("best")), "jaccard-other")
-    x = open_.join(other, "key").filter("root <> with and (e >= 0 or best >= 0)")
-    y = open_.select("key", F.col("root").alias("with"), F.col("node").alias("b"), F.col("role").alias("role_b"), F.col("n").alias("n_b"), F.col("e").alias("e_b"))
+    cold, hot = open_.filter(F.col("roots") <= crowd), open_.filter(F.col("roots") > crowd)
+    other = written(cold.groupBy("key", F.col("root").alias("with")).agg(F.max("e").alias("best")), "jaccard-other")
+    x = cold.join(other, "key").filter("root <> with and (e >= 0 or best >= 0)")
+    y = cold.select("key", F.col("root").alias("with"), F.col("node").alias("b"), F.col("role").alias("role_b"), F.col("n").alias("n_b"), F.col("e").alias("e_b"))
     pairs = x.join(y, ["key", "with"]).filter("node < b and 100 * least(n, n_b) >= 80 * greatest(n, n_b)")
     pairs = pairs.filter("(role = 0 and role_b = 0 and greatest(e, e_b) >= 0) or (role <> role_b and greatest(e, e_b) = 1)")
     rest = written(pairs.select(F.col("node").alias("a"), "b").distinct(), "jaccard-rest")
-    more = written(_verified(rest, sets), "jaccard-links")
+    more = written(_verified(rest, sets).union(_crowds(hot, sets, block)), "jaccard-links")
     part = components(links.union(more))
 
     # From nodes to documents.

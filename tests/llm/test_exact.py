@@ -226,7 +226,9 @@ def test_jaccard_of_many_near_copies(spark, seed):
             if rng.random() < 0.5:
                 base = edit
     rows = [(int(i), t) for i, t in zip(rng.permutation(len(rows)), rows, strict=True)]
-    assert got_components(jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"))) == components(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got_components(jaccard.join(docs)) == components(rows)
+    assert got_components(jaccard.join(docs, crowd=2, block=300)) == components(rows)  # compared in blocks
 
 
 # --- 6 ---
