@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.plans import relational
+from docketflow.plans import domain, relational
 
-MODULES = (relational,)
+MODULES = (relational, domain)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
