@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.plans import domain, relational
+from docketflow.plans import domain, relational, streams
 
-MODULES = (relational, domain)
+MODULES = (relational, domain, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
