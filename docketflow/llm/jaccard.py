@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import SEED, buffers, mix64, shingle_hashes, small_enough, sub_batches, word_hashes, written
+from docketflow.llm.common import SEED, buffers, forget, mix64, shingle_hashes, small_enough, sub_batches, word_hashes, written
 
 WIDTH = 5
 SMALL = 5
@@ -192,10 +192,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low = labels.join(near, "node").select("node", F.least("root", "r").alias("mid"), F.col("root").alias("was"))
         up = labels.select(F.col("node").alias("mid"), F.col("root").alias("top"))
         new = written(low.join(up, "mid", "left").select("node", F.least("mid", "top").alias("root"), "was"), name)
-        changed = new.filter("root <> was").limit(1).count()
+        if not new.filter("root <> was").limit(1).count():
+            return new.select("node", "root")
         labels = new.select("node", "root")
-        if not changed:
-            return labels
 
 
 def _merging(nodes_: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray, off: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
@@ -272,11 +271,13 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     rows = written(_shared(_index_rows(docs, width)).dropDuplicates(["key", "node", "tag"]), "jaccard-shared")
     for _ in range(ROUNDS):
         look = written(_allocated(rows), "jaccard-look")
-        kept = look.select("node", "c").distinct()
+        kept, old = look.select("node", "c").distinct(), rows
         rows = written(_shared(rows.drop("n0", "n1").withColumn("c", _field("c")).join(kept, ["node", "c"]).drop("c").select("key", "node", "tag")), "jaccard-shared")
+        forget(old, look)
     look = written(_allocated(rows), "jaccard-look")
     members = rows.withColumns({"role": _field("role"), "c": _field("c"), "seg": _field("seg"), "n": _field("n")}).join(look, ["node", "c", "seg"], "left").select("key", "node", "role", "n", F.coalesce("e", F.lit(-1)).alias("e"))
     members = written(members, "jaccard-members")
+    forget(rows, look)
 
     # Whole sets, of one document for each node with candidates.
     first = meta.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -297,6 +298,7 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     met = met.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.desc("k"), "hub"))).filter("r <= 2")
     star = written(met.select(F.col("hub").alias("a"), F.col("node").alias("b")), "jaccard-star")
     links = written(_verified(star, sets), "jaccard-links")
+    forget(hubs, star)
     part = components(links)
 
     # All that is left: pairs between different components at a segment where one of them looks.
@@ -304,6 +306,7 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     groups = here.groupBy("key", "root").agg(F.max("e").alias("e"))
     several = groups.groupBy("key").agg(F.count("*").alias("roots"), F.max("e").alias("look")).filter("roots > 1 and look >= 0").select("key", "roots")
     open_ = written(here.join(several, "key"), "jaccard-open")
+    forget(members, here)
     cold, hot = open_.filter(F.col("roots") <= crowd), open_.filter(F.col("roots") > crowd)
     other = written(cold.groupBy("key", F.col("root").alias("with")).agg(F.max("e").alias("best")), "jaccard-other")
     x = cold.join(other, "key").filter("root <> with and (e >= 0 or best >= 0)")
@@ -312,6 +315,7 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     pairs = pairs.filter("(role = 0 and role_b = 0 and greatest(e, e_b) >= 0) or (role <> role_b and greatest(e, e_b) = 1)")
     rest = written(pairs.select(F.col("node").alias("a"), "b").distinct(), "jaccard-rest")
     more = written(_verified(rest, sets).union(_crowds(hot, sets, block)), "jaccard-links")
+    forget(rest, other, open_, sets)
     part = components(links.union(more))
 
     # From nodes to documents.
