@@ -41,9 +41,9 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    keep = jaccard.join(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("keep")).distinct()
-    keep = common.written(keep, "pipeline-keep")
-    kept = docs.join(keep, docs.doc_id.eqNullSafe(keep.keep), "left_semi").select(*docs.columns)
+    gone = jaccard.join(docs).filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    gone = common.written(gone, "pipeline-gone")
+    kept = docs.join(ids(gone), docs.doc_id.eqNullSafe(gone.gone), "left_anti").select(*docs.columns)
     # rows that share a doc_id are one document
     order = W.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), "source", "lang")
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
@@ -53,11 +53,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once)
 
 
+def ids(rows: DataFrame) -> DataFrame:
+    """A table of ids, broadcast while it is counted small enough, so that text is not shuffled; joined by id otherwise."""
+    return F.broadcast(rows) if common.small_enough(rows, 24) else rows
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     taken = mixing.schedule(docs).filter("size > 0 and taken > 0").select("doc_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("copies"))
     taken = common.written(taken.filter("copies > 0"), "pipeline-mix")
-    return docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return docs.join(ids(taken), "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
