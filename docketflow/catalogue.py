@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.plans import domain, relational, streams
+from docketflow.plans import domain, readers, relational, streams
 
-MODULES = (relational, domain, streams)
+MODULES = (relational, domain, readers, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

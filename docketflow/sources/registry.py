@@ -26,9 +26,10 @@ def problems(rows: DataFrame) -> DataFrame:
         F.when((F.col("method") == "email") & (F.coalesce(F.size("sender"), F.lit(0)) <= 0), "email sources need a sender"),
         F.when(F.col("method").isin("rss", "atom") & F.col("urls")["feed"].isNull(), "feed sources need a feed url"),
         F.when((F.col("status") == "active") & (F.col("method") != "email") & (F.coalesce(F.size("urls"), F.lit(0)) <= 0), "active sources need a url"),
-        F.when(F.count("*").over(W.partitionBy("id")) > 1, "id is not unique"),
+        F.when(F.col("_same") > 1, "id is not unique"),
     ]
-    found = rows.withColumn("problem", F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull()))).select("id", "problem")
+    numbered = rows.withColumn("_same", F.count("*").over(W.partitionBy("id")))
+    found = numbered.withColumn("problem", F.explode(F.filter(F.array(*bad), lambda x: x.isNotNull()))).select("id", "problem")
     senders = rows.select("id", F.explode("sender").alias("s")).withColumn("n", F.count("*").over(W.partitionBy(F.lower("s")))).filter("n > 1")
     return found.union(senders.select("id", F.concat(F.lit("sender is not unique: "), F.lower("s"))))
 
