@@ -41,7 +41,7 @@ WIDTH = 5
 SMALL = 5
 CLASSES = 40
 ROUNDS = 2
-CROWD = 24  # components at a segment above which they are compared in blocks
+CROWD = 12  # components at a segment above which they are compared in blocks
 BLOCK = 1 << 19  # tokens
 
 
