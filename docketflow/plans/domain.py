@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docketflow.functions import hashing, text, times, urls
-from docketflow.operators import change, corroborate, health, journal, lexicon, rules, upsert
+from docketflow.operators import change, corroborate, health, journal, lexicon, presentation, rules, upsert
 from docketflow.plans import bind
 from docketflow.session import table
 
@@ -418,3 +418,86 @@ def failure_ladder(spark, d):
     """One more failure for half of the packages, with a ceiling."""
     f = table(spark, d, "events").groupBy(F.col("user_id").alias("package_id")).agg((F.count_if(F.col("event_type") == "error") % 50).alias("attempts")).withColumn("fetch_status", F.lit("pending"))
     return upsert.failed(f, f.filter("package_id % 2 = 0"), "package_id", 20).select("package_id", "attempts", "fetch_status")
+
+
+# --- presentation ---
+
+
+@query(
+    "mechanical_tags",
+    f"""WITH {T}, x AS (SELECT doc_id, list_distinct([CASE WHEN collection IN ('src1', 'src2') THEN 'executive' WHEN collection = 'src3' THEN 'judicial' ELSE 'cross-branch' END, doc_type, collection]) AS t FROM texts)
+    SELECT tag, count(*) AS n FROM (SELECT unnest(t) AS tag FROM x) GROUP BY 1""",
+)
+def mechanical_tags(spark, d):
+    """Branch, type and source tags, counted."""
+    section = F.when(F.col("collection") == "src1", "rules").when(F.col("collection") == "src2", "agency").when(F.col("collection") == "src3", "judicial").otherwise("none")
+    t = bind.texts(spark, d).select(presentation.mechanical_tags(section, F.col("doc_type"), F.lit(None).cast("string"), F.col("collection")).alias("tags"))
+    return presentation.facets(t, "tags")
+
+
+@query(
+    "title_chain",
+    f"""WITH {T}, x AS (SELECT doc_id, coalesce(CASE WHEN doc_id % 3 = 0 THEN 'Granule ' || doc_id::VARCHAR END, trim(regexp_replace(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')[1], '[[:space:]]+', ' ', 'g')), doc_id::VARCHAR) AS t FROM texts WHERE doc_type = 'es' AND text NOT SIMILAR TO '(.|\n)*[A-ZÑÓÍ]{{2}}(.|\n)*')
+    SELECT doc_id, CASE WHEN length(t) > 60 THEN rtrim(left(t, 59), ' ') || '…' ELSE t END AS title FROM x""",
+)
+def title_chain(spark, d):
+    """Granule title, else first line, else id (texts without runs of capitals, which SQL can't re-case)."""
+    t = bind.texts(spark, d).filter((F.col("doc_type") == "es") & ~F.col("text").rlike("[A-ZÑÓÍ]{2}"))
+    own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Granule "), F.col("doc_id").cast("string")))
+    return t.select("doc_id", presentation.title(own, F.col("text"), F.col("doc_id").cast("string"), 60).alias("title"))
+
+
+@query(
+    "floored_series",
+    f"""WITH {L}, f AS (SELECT CAST(ts AS DATE) AS day, count(*) AS requests, round_even(avg(CASE WHEN status IS NOT NULL THEN floor(elapsed_ms) END), 0)::BIGINT AS mean_ms FROM log WHERE host = 'h19' GROUP BY 1)
+    SELECT strftime(d.day, '%Y-%m-%d') AS day, coalesce(requests, 0) AS requests, mean_ms FROM (SELECT unnest(generate_series(DATE '2024-01-10', DATE '2024-02-03', INTERVAL 1 DAY))::DATE AS day) d LEFT JOIN f ON f.day = d.day""",
+)
+def floored_series(spark, d):
+    """A dense series that starts at a floor date; a silent host has counts but no mean."""
+    log = bind.request_log(spark, d).filter("host = 'h19'").select(F.col("ts").cast("date").alias("day"), F.when(F.col("status").isNotNull(), F.floor("elapsed_ms")).alias("elapsed_ms"))
+    day = lambda x: F.lit(x).cast("date")
+    return presentation.floored_series(log, "day", day("2024-01-05"), day("2024-02-03"), day("2024-01-10")).withColumn("day", F.col("day").cast("string"))
+
+
+@query(
+    "live_arrivals",
+    """WITH i AS (SELECT o_orderkey, o_orderdate, NULLIF(CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'Order ' || o_orderkey::VARCHAR END, '') AS t FROM orders WHERE o_orderstatus = 'P'), g AS (SELECT l_orderkey, 'Line ' || l_partkey::VARCHAR AS gt FROM lineitem WHERE l_linenumber = 1)
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, coalesce(t, gt, o_orderkey::VARCHAR) AS title, s.quality::VARCHAR AS summary FROM i LEFT JOIN g ON l_orderkey = o_orderkey LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels WHERE toxic = 0) s ON doc_id = o_orderkey""",
+)
+def live_arrivals(spark, d):
+    """Arrivals with titles coalesced and summaries of the current version attached."""
+    o = table(spark, d, "orders").filter("o_orderstatus = 'P'")
+    items = o.select("o_orderkey", F.col("o_orderdate").alias("observed_at"), F.when(F.col("o_orderkey") % 4 == 0, "").otherwise(F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"))).alias("title"))
+    g = table(spark, d, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("Line "), F.col("l_partkey").cast("string")).alias("title"))
+    s = table(spark, d, "labels").select(F.col("doc_id").alias("o_orderkey"), F.col("toxic").alias("version"), F.col("quality").cast("string").alias("summary")).distinct()
+    out = presentation.arrivals(items.withColumn("title", F.col("title")), g, s, ["o_orderkey"], 0)
+    return out.select("o_orderkey", F.date_format("observed_at", "yyyy-MM-dd").alias("day"), F.col("title"), "summary")
+
+
+@query(
+    "known_gaps",
+    """WITH p AS (SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'fetched' WHEN 'P' THEN 'failed' ELSE 'skipped' END AS st FROM orders WHERE o_orderpriority = '2-HIGH')
+    SELECT 'unfetched' AS gap, count(*) AS n FROM p WHERE st NOT IN ('fetched', 'skipped') UNION ALL SELECT 'unextracted', count(*) FROM p WHERE st = 'fetched' AND id NOT IN (SELECT l_orderkey FROM lineitem)
+    UNION ALL SELECT 'failed graphics', count(*) FROM lineitem JOIN p ON id = l_orderkey WHERE l_returnflag = 'R'""",
+)
+def known_gaps(spark, d):
+    """What is unfetched, unextracted or failed."""
+    st = F.when(F.col("o_orderstatus") == "F", "fetched").when(F.col("o_orderstatus") == "P", "failed").otherwise("skipped")
+    p = table(spark, d, "orders").select(F.col("o_orderkey").alias("package_id"), st.alias("fetch_status"), F.col("o_orderpriority").alias("digest_day"))
+    line = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("package_id"), F.when(F.col("l_returnflag") == "R", "failed").otherwise("ok").alias("status"))
+    return presentation.known_gaps(p, line, line, F.lit("2-HIGH"))
+
+
+@query(
+    "digest_document",
+    f"""WITH {SELECTED}, i AS (SELECT CASE WHEN rule = 'SEL-LONG' THEN 'house' WHEN rule = 'SEL-DE' THEN 'rules' ELSE 'agency' END AS section, doc_id, rule FROM sel WHERE rule IS NOT NULL),
+    n AS (SELECT *, 'Document ' || doc_id::VARCHAR AS title, 'https://example.gov/' || doc_id::VARCHAR AS link FROM i)
+    SELECT section, row_number() OVER (PARTITION BY section ORDER BY title, link)::INT AS place, '### ' || title || chr(10) || 'Included: ' || rule || chr(10) || 'Source: ' || link AS line FROM n UNION ALL SELECT DISTINCT section, 0, '## ' || upper(section[1]) || section[2:] FROM n""",
+)
+def digest_document(spark, d):
+    """The ordered lines of a digest, a reason with every item."""
+    chosen = rules.select_items(bind.texts(spark, d), stand_in_rules()).filter(F.col("rule").isNotNull())
+    section = F.when(F.col("rule") == "SEL-LONG", "house").when(F.col("rule") == "SEL-DE", "rules").otherwise("agency")
+    none = F.lit(None).cast("string")
+    items = chosen.select(section.alias("section"), F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"), none.alias("summary"), none.alias("plain"), "rule", F.concat(F.lit("https://example.gov/"), F.col("doc_id").cast("string")).alias("link"))
+    return presentation.digest_lines(items, ["house", "rules", "agency"]).select("section", "place", "line")
