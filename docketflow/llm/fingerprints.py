@@ -28,8 +28,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from docketflow.llm.common import SEED, buffers, codepoints, mix64, sub_batches
+from docketflow.llm.common import SEED, buffers, codepoints, mix64, sub_batches, written
+from docketflow.llm.jaccard import components
 
 CLASSES = 64
 PER_OCTAVE = 64
@@ -224,6 +226,63 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
     return rows.select("doc_id", text_col, "block", "ghost").mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+BANDS, ROWS = 24, 4
+#: Sampled places of each band inside two neighbouring octaves.
+_PLACES = [[int(x) for x in (mix64(np.arange(ROWS, dtype=np.uint64) + np.uint64(SEED + 31 * b)) % np.uint64(2 * PER_OCTAVE))] for b in range(BANDS)]
+
+
+def bands(prints: DataFrame) -> DataFrame:
+    """Rows of prints (a column fingerprint) with `band`: keys of sampled places in the last two whole octaves and,
+    as a like text may end an octave earlier, in the two before. A fingerprint within one octave is its own key."""
+    length = F.length("fingerprint")
+    whole = F.floor(length / PER_OCTAVE).cast("int")
+    keys = []
+    for back in (0, 1):
+        top = whole - back
+        for b, places in enumerate(_PLACES):
+            symbols = [F.substring("fingerprint", F.greatest(top - 2, F.lit(0)) * PER_OCTAVE + p % F.when(top > 1, 2 * PER_OCTAVE).otherwise(PER_OCTAVE) + 1, F.lit(1)) for p in places]
+            keys.append(F.when(top > 0, F.xxhash64(top, F.lit(b), *symbols)))
+    own = F.when(whole < 1, F.xxhash64(F.lit(-1), "fingerprint"))
+    return prints.withColumn("band", F.explode(F.array_distinct(F.filter(F.array(*keys, own), lambda k: k.isNotNull()))))
+
+
+def alike(a: str, b: str) -> float:
+    """Likeness of two fingerprints as text."""
+    n = max(len(a), len(b))
+    n += -n % PER_OCTAVE
+    x, y = (np.frombuffer(t.ljust(n, ".").encode(), np.uint8)[:, None] for t in (a, b))
+    at = np.full(128, CLASSES, np.uint8)
+    at[ALPHABET] = np.arange(len(ALPHABET))
+    return float(likeness(at[x], at[y])[0])
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id of every row: the smallest doc_id among fingerprints linked by a likeness of `least`.
+
+    Equal fingerprints are one node. At every band key the nodes are checked against its smallest node, so a bucket
+    of n costs n checks; a pair of that likeness shares a key with probability 1 - (1 - least^ROWS)^BANDS or more,
+    and is linked over the bucket's hub or another band's.
+    """
+    prints = written(fingerprints(docs, id_col, text_col), "prints")
+    one = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low")).withColumn("node", F.xxhash64("fingerprint")), "prints-once")
+    keyed = written(bands(one.select("node", "fingerprint")).select("band", "node"), "prints-bands")
+    hubs = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
+    pairs = written(keyed.join(hubs, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "prints-pairs")
+
+    @F.pandas_udf(DoubleType())
+    def likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([alike(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    text = one.select("node", "fingerprint")
+    both = pairs.join(text.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a")
+    links = written(both.filter(likeness_of("fa", "fb") >= least).select("a", "b"), "prints-links")
+    part = components(links, "prints-classes")
+    named = one.join(part, "node", "left").select("fingerprint", "low", F.coalesce("root", "node").alias("root"))
+    lowest = written(named.groupBy("root").agg(F.min("low").alias("class_id")), "prints-low")
+    named = written(named.join(lowest, "root").select("fingerprint", "class_id"), "prints-named")
+    return prints.join(named, "fingerprint").select("doc_id", "class_id")
+
+
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text."""
     return edited(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -127,8 +127,9 @@ def infer(raw: np.ndarray, off: np.ndarray, model: dict) -> tuple[np.ndarray, np
     return best, np.clip(share, 0, 1)
 
 
-def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score added."""
+def predict(docs: DataFrame, model: dict, text_col: str = "text", pred: str = "lang_pred", share_col: str = "score") -> DataFrame:
+    """docs with the predicted language and its share added; columns of those names are replaced."""
+    docs = docs.drop(pred, share_col)
     names, at = docs.columns, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,9 +137,9 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
         for big in batches:
             for b in sub_batches(big, text_col, 2 << 20):
                 best, share = infer(*buffers(b.column(at)), model)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs[best].tolist(), pa.string()), pa.array(share)], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs[best].tolist(), pa.string()), pa.array(share)], names=[*names, pred, share_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(share_col, DoubleType())]))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ whose labels are held out are never looked at.
 
 Null and empty texts get the score of a text without any vote. Repeated rows score alike. Without
 any positive or negative labelled row the score is the share of positive labels (0 without labels).
-An empty table gives an empty result. Labels rows with a null id or a null label are ignored. Other
+An empty table gives an empty result. Label rows with a null id or a null label are ignored. Other
 columns are ignored.
 """
 
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from docketflow.llm.common import fold, sub_batches
 
@@ -168,8 +169,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     return {"marks": marks, "voice": voice, "rates": rates, "w": linear(x, posterior), "share": pos / n}
 
 
-def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with a column `score` in front of nothing else changed."""
+def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "score") -> DataFrame:
+    """docs with the score added as column `out`; a column of that name is replaced."""
+    docs = docs.drop(out)
     at = docs.columns.index(text_col)
     marks, voice, w, share = model["marks"], model["voice"], model["w"], model["share"]
 
@@ -182,12 +184,10 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 else:
                     x = _design(voters.counts(b.column(at).to_pylist()), voice)
                     s = 1 / (1 + np.exp(-np.clip((x * w).sum(1), -30, 30)))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=[*names, "score"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=[*names, out])
 
     names = docs.columns
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 
 
 THRESHOLD = 0.3

@@ -95,6 +95,27 @@ def test_small_edits_keep_fingerprints_alike():
     assert near[0] > 0.8 and near[1] < 0.2
 
 
+def test_near_duplicates_by_bands(spark, odd, none):
+    rng = np.random.default_rng(5)
+    rows, group = [], {}
+    for g in range(12):
+        base = "".join(rng.choice(list("abcdefghij klmnop"), int(rng.integers(150, 6000))))
+        for _ in range(4):
+            t = list(base)
+            for _ in range(len(t) // 400):
+                t[int(rng.integers(len(t)))] = "Z"
+            group[len(rows)] = g
+            rows.append((len(rows), "".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(docs).collect()}
+    prints = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
+    near = [(i, j) for i in group for j in group if i < j and fingerprints.alike(prints[i], prints[j]) >= 0.8]
+    assert len(near) > 20 and np.mean([got[i] == got[j] for i, j in near]) > 0.95  # against all pairs
+    assert all(group[got[i]] == g for i, g in group.items())
+    assert fingerprints.near_duplicates(odd).count() == odd.count()
+    assert fingerprints.near_duplicates(none).count() == 0
+
+
 # --- 2 ---
 
 

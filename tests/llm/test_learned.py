@@ -5,6 +5,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from docketflow.llm import common, language, quality, toxicity
 
@@ -98,7 +99,7 @@ def test_language_mixtures(spark):
 def test_awkward_rows(spark, request, kind):
     docs = request.getfixturevalue(kind)
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 0, 1), (7, 0, 1), (10, 1, 0), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
-    base = docs.drop("score")
+    base = docs  # has a column called score
     n = docs.count()
     for model in (toxicity.fit(base, labels), toxicity.fit(base, labels.limit(0))):
         got = toxicity.score(base, model).collect()
@@ -111,6 +112,20 @@ def test_awkward_rows(spark, request, kind):
     assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) for r in got)
 
 
+def test_pipeline_of_odd_rows(spark, odd, none, small):
+    import corpus_pipeline
+
+    extra = ["_copies_", "gone", "lang_pred"]
+    for docs in (odd, none):
+        docs = docs.select("*", *[F.lit(1).alias(c) for c in extra])
+        for name, stage in corpus_pipeline.STAGES:
+            columns = docs.columns
+            docs = common.written(stage(spark, docs, small), name)
+            assert name == "packing" or docs.columns == columns
+    kept = corpus_pipeline.near_copies(spark, odd, small).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, i) for i in (1, 4, 5, 6, 7, 9, 10, 12, 13)] + [(True, 0)]
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
     from test_exact import components, packing_ok
