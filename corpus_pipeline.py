@@ -30,26 +30,26 @@ from docketflow.llm import common, jaccard, language, mixing, packing, toxicity
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier, fitted on their learning fold, does not reject."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.score(docs, model, out="_toxicity").filter(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that holds the majority of the text."""
-    found = language.predict(docs, language.fit(docs))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).select(*docs.columns)
+    found = language.predict(docs, language.fit(docs), pred="_language", share_col="_share")
+    return found.filter((F.col("_language") != "und") & (F.col("_share") >= 0.5)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    gone = jaccard.join(docs).filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    gone = jaccard.join(docs).filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     gone = common.written(gone, "pipeline-gone")
-    kept = docs.join(ids(gone), docs.doc_id.eqNullSafe(gone.gone), "left_anti").select(*docs.columns)
+    kept = docs.join(ids(gone), docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)
     # rows that share a doc_id are one document
     order = W.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), "source", "lang")
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").withColumn("r", F.row_number().over(order)).filter("r = 1").select(*docs.columns)
+    once = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order)).filter("_row = 1").select(*docs.columns)
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once)
 
 
@@ -60,9 +60,9 @@ def ids(rows: DataFrame) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    taken = mixing.schedule(docs).filter("size > 0 and taken > 0").select("doc_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("copies"))
-    taken = common.written(taken.filter("copies > 0"), "pipeline-mix")
-    return docs.join(ids(taken), "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    taken = mixing.schedule(docs).filter("size > 0 and taken > 0").select("doc_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
+    taken = common.written(taken.filter("_copies > 0"), "pipeline-mix")
+    return docs.join(ids(taken), "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
