@@ -25,6 +25,29 @@ def without_targets(s: Column) -> Column:
     return F.regexp_replace(s, r"\]\([^)\s]*\)", "]")
 
 
+ANCHOR = 3
+FEW = 8 << 20  # characters of official strings that every task may hold
+
+
+def contained(docs: DataFrame, officials: DataFrame, text: str = "text", official: str = "official") -> DataFrame:
+    """Docs joined with the official strings that they contain.
+
+    A list counted short is broadcast and searched in place. A long one is joined on each string's first ANCHOR
+    words, so only documents that have them are searched; strings with fewer words always belong to the short way.
+    """
+    words = F.split(F.trim(F.col(official)), r"\s+")
+    o = officials.withColumn("_n", F.size(words))
+    total = o.agg(F.sum(F.length(official)).alias("n"), F.count_if(F.col("_n") < ANCHOR + 2).alias("short")).first()
+    if (total.n or 0) <= FEW:
+        return docs.join(F.broadcast(officials), F.contains(F.col(text), F.col(official)))
+    grams = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(s) - ANCHOR + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(s, i, ANCHOR))))
+    # the first and last word of a string may be parts of a document's words, so anchors start at the second
+    long = o.filter(F.col("_n") >= ANCHOR + 2).withColumn("_a", F.xxhash64(F.slice(words, 2, ANCHOR))).drop("_n")
+    hit = docs.withColumn("_a", F.explode(grams(F.split(F.trim(F.col(text)), r"\s+")))).join(long, "_a").drop("_a").filter(F.contains(F.col(text), F.col(official)))
+    few = o.filter(F.col("_n") < ANCHOR + 2).drop("_n")
+    return hit.unionByName(docs.join(F.broadcast(few), F.contains(F.col(text), F.col(official)))) if total.short else hit
+
+
 def violations(items: DataFrame, officials: DataFrame, key: str, text: str = "text", official: str = "official", terms: Sequence[str] = BANNED_TERMS) -> DataFrame:
     """Key, at, term of every banned term that stands outside the item's official strings.
 

@@ -110,7 +110,7 @@ def citation_gate(spark, d):
 def lexicon_gate_positional(spark, d):
     """Banned terms outside the official strings that each document quotes."""
     docs = table(spark, d, "documents").select("doc_id", "text")
-    official = docs.join(table(spark, d, "benchmark").select(F.col("text").alias("official")), F.contains("text", F.col("official"))).select("doc_id", "official")
+    official = lexicon.contained(docs, table(spark, d, "benchmark").select(F.col("text").alias("official"))).select("doc_id", "official")
     return lexicon.violations(docs, official, "doc_id", terms=("that", "with")).groupBy("doc_id").agg(F.count("*").alias("hits"))
 
 

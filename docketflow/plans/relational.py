@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docketflow.functions import hashing, text
-from docketflow.operators import health, rules
+from docketflow.operators import health, lexicon, model, rules
 from docketflow.plans import bind
 from docketflow.session import table
 
@@ -193,11 +193,10 @@ def registry_health_join(spark, d):
 
 @query("official_span_containment", "SELECT item_id, doc_id, strpos(d.text, b.text)::INT AS at FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def official_span_containment(spark, d):
-    """Which official string stands in which document. The strings are a short list of the registry's,
-    so every document tests them in its own task; nothing but matches is made."""
-    official = table(spark, d, "benchmark").select("item_id", F.col("text").alias("needle"))
+    """Which official string stands in which document, and where."""
+    official = table(spark, d, "benchmark").select("item_id", F.col("text").alias("official"))
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return docs.join(official, F.contains("text", F.col("needle"))).select("item_id", "doc_id", F.expr("instr(text, needle)").alias("at"))
+    return lexicon.contained(docs, official).select("item_id", "doc_id", F.expr("instr(text, official)").alias("at"))
 
 
 @query(
@@ -414,3 +413,26 @@ def allowlist_semi(spark, d):
     nations = table(spark, d, "nation").filter(F.col("n_regionkey").isin(1, 3))
     c = table(spark, d, "customer").withColumn("seg", F.lower("c_mktsegment"))
     return c.join(F.broadcast(allowed), "seg", "left_semi").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("c_custkey", F.lower("c_name").alias("sender"))
+
+
+@query(
+    "two_key_lookup",
+    """WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_linenumber <= 3), t AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 25 THEN 'substantive' ELSE 'decorative' END AS class FROM lineitem)
+    SELECT class, l_returnflag AS flag, count(*) AS n, count(p_partkey) AS found, array_to_string(list_sort(list_distinct(list(p_brand) FILTER (WHERE p_size > 48))), ',') AS brands FROM s JOIN t USING (l_orderkey, l_linenumber) LEFT JOIN part ON p_partkey = l_partkey AND p_size > 10 GROUP BY ALL""",
+)
+def two_key_lookup(spark, d):
+    """A join on two keys, a lookup, counts by class, and a sorted set."""
+    line = table(spark, d, "lineitem")
+    s = line.filter("l_linenumber <= 3").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("flag"))
+    t = line.select("l_orderkey", "l_linenumber", F.when(F.col("l_quantity") > 25, "substantive").otherwise("decorative").alias("class"))
+    p = table(spark, d, "part").filter("p_size > 10").select("p_partkey", F.lit(1).alias("found"), "p_brand", "p_size")
+    g = s.join(t, ["l_orderkey", "l_linenumber"]).join(p, "p_partkey", "left").groupBy("class", "flag")
+    out = g.agg(F.count("*").alias("n"), F.count("found").alias("found"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("p_size") > 48, F.col("p_brand")))), ",").alias("brands"))
+    return out.orderBy(F.when(F.col("class") == "substantive", 0).otherwise(1), "flag")
+
+
+@query("model_batches", f"WITH {T} SELECT doc_id::VARCHAR AS key, array_to_string(list_filter(string_split(trim(regexp_replace(text, '[[:space:]]+', ' ', 'g')), ' '), lambda w: w <> '')[1:10], ' ') AS answer FROM texts WHERE char_count < 400 AND collection = 'src0'")
+def model_batches(spark, d):
+    """Model work in batches within a filing day, by a stand-in backend that gives ten words back."""
+    t = bind.texts(spark, d).filter("char_count < 400 AND collection = 'src0'").select(F.col("doc_id").alias("key"), "text", "digest_day")
+    return model.answered(t, model.echo, model.FIRST, "digest_day")

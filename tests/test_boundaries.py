@@ -298,3 +298,44 @@ def test_stream_across_batches(spark, tmp_path):
 def test_poll_intervals(spark):
     rows = spark.createDataFrame([(10, 0, 0, 100), (10, 5, 0, 100), (10, 1, 70, 100)], "m long, e long, u long, b long")
     assert [r.x for r in rows.select(streaming.poll_interval(*[F.col(c) for c in "meub"]).alias("x")).collect()] == [10, 80, 40]
+
+
+# --- schemas and model work ---
+
+
+def test_schemas(spark, tmp_path):
+    from docketflow import schema
+
+    old = spark.createDataFrame([("u", 200), ("v", None)], "url string, status int")
+    log = schema.conformed(old, "fetch_log")
+    assert log.filter("client IS NULL").count() == 2 and log.schema == schema.empty(spark, "fetch_log").schema
+    path = str(tmp_path / "log")
+    schema.append(old, path, "fetch_log")
+    schema.append(old, path, "fetch_log")
+    assert spark.read.parquet(path).count() == 4
+    j = spark.createDataFrame([("p", "", "ingested"), ("p", "", "ingested"), ("p", "g", "lost")], "package_id string, granule_id string, event string")
+    assert {(r.column, r.value, r.n) for r in schema.violations(j, "item_journal").collect()} == {("event", "lost", 1), ("key", "p//ingested", 2)}
+
+
+def test_model_rounds(spark):
+    import json
+
+    from docketflow.operators import model
+
+    def moody(prompts):
+        return ["```json\n" + json.dumps({k: "ok" for k in json.loads(p) if k != "3"} | {"99": "unasked"}) + "\n```" if "2" not in json.loads(p) else "sorry" for p in prompts]
+
+    items = spark.createDataFrame([(k, f"text {k}") for k in range(8)], "key long, text string")
+    got = model.answered(items, moody, 4)
+    assert sorted(r.key for r in got.collect()) == ["4", "5", "6", "7"]
+    left = model.unanswered(items, got)
+    assert sorted(r.key for r in left.collect()) == [0, 1, 2, 3]
+    assert sorted(r.key for r in model.answered(left, moody, 1).collect()) == ["0", "1"]
+
+
+def test_long_official_lists_give_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "xthe Clean Water Act of 1972 stands"), (2, "nothing here"), (3, "a Clean Air Act"), (4, None)], "id long, text string")
+    official = spark.createDataFrame([("Clean Water Act of 1972",), ("the Clean Water Act of",), ("Air Act",), ("Never Said Words In Here",)], "official string")
+    want = sorted((r.id, r.official) for r in lexicon.contained(docs, official).collect())
+    monkeypatch.setattr(lexicon, "FEW", 0)
+    assert sorted((r.id, r.official) for r in lexicon.contained(docs, official).collect()) == want == [(1, "Clean Water Act of 1972"), (1, "the Clean Water Act of"), (3, "Air Act")]
