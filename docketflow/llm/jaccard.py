@@ -42,7 +42,7 @@ SMALL = 5
 CLASSES = 40
 ROUNDS = 2
 CROWD = 12  # components at a segment above which they are compared in blocks
-BLOCK = 1 << 19  # tokens
+BLOCK = 1 << 18  # tokens
 
 
 def _segments(c: int) -> int:
@@ -110,20 +110,20 @@ def _set_table(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in sub_batches(big, "text", 2 << 20):
+            for b in sub_batches(big, "text", 1 << 20):
                 sh, soff = token_sets(*buffers(b.column(1)), width)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(soff)), pa.array(nodes(sh, soff))], ["doc_id", "n_shingles", "node"])
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long")
 
 
-def _index_rows(docs: DataFrame, width: int, remember: int = 200_000) -> DataFrame:
+def _index_rows(docs: DataFrame, width: int, remember: int = 50_000) -> DataFrame:
     """key, node, tag: the index of every set, equal sets once a task as far as it remembers them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for big in batches:
-            for b in sub_batches(big, "text", 2 << 20):
+            for b in sub_batches(big, "text", 1 << 20):
                 sh, soff = token_sets(*buffers(b.column(0)), width)
                 node, n = nodes(sh, soff), np.diff(soff).astype(np.int64)
                 _, first = np.unique(node, return_index=True)
@@ -209,7 +209,7 @@ def _merging(nodes_: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.
     place[right] = np.arange(len(right))
     mine = np.flatnonzero(place[owner] >= 0)
     mine = mine[np.argsort(token[mine], kind="stable")]
-    posting = place[owner[mine]]
+    posting = place[owner[mine]].astype(np.int32)
     start = np.searchsorted(token[mine], np.arange(int(token.max()) + 2 if len(token) else 1))
     up: dict[int, int] = {}
 
@@ -223,8 +223,14 @@ def _merging(nodes_: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.
     for i in left.tolist():
         t = token[off[i] : off[i + 1]]
         n = start[t + 1] - start[t]
-        at = np.repeat(start[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        o = np.bincount(posting[at], minlength=len(right))
+        o = np.zeros(len(right), np.int64)
+        before = np.concatenate([[0], np.cumsum(n)])
+        lo = 0
+        while lo < len(t):  # some half a million postings at a time
+            hi = max(lo + 1, int(np.searchsorted(before, before[lo] + (1 << 19), side="right")) - 1)
+            at = np.repeat(start[t[lo:hi]] - (before[lo:hi] - before[lo]), n[lo:hi]) + np.arange(before[hi] - before[lo])
+            o += np.bincount(posting[at], minlength=len(right))
+            lo = hi
         for k in np.flatnonzero((180 * o >= 80 * (size[i] + size[right])) & (roots[right] != roots[i])).tolist():
             a, b = find(int(roots[i])), find(int(roots[right[k]]))
             if a != b:
@@ -286,7 +292,7 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in sub_batches(big, "text", 2 << 20):
+            for b in sub_batches(big, "text", 1 << 20):
                 sh, soff = token_sets(*buffers(b.column(0)), width)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes(sh, soff)), pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(sh.view(np.int64)))], ["node", "s"])
 
