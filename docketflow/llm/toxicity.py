@@ -158,12 +158,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     odds = F.log(((F.col("p") - 1.3 * F.sqrt("p")) / pos) / ((F.col("n") - F.col("p") + 1.5) / (n - pos)))
     mined = found.filter((F.col("p") >= least) & (odds > math.log(4))).orderBy(F.desc(F.col("p") * odds), "f").limit(MINED).collect()
     marks = list(dict.fromkeys([f" {w} " for words in LEXICON.values() for w in words] + [r.f for r in mined]))
-    voters = Voters(marks)
-    known = rows.select("text", "y").collect()  # at most `sample` rows
+    other = docs.select(F.col(text_col).alias("text"), F.lit(-1).alias("y"), F.xxhash64(id_col).alias("h")).orderBy("h", "text").limit(min(sample, 2000)).select("text", "y")
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Vote counts in the tasks: the driver gets numbers, never texts."""
+        mine = Voters(marks)
+        for big in batches:
+            for b in sub_batches(big, "text", 1 << 20):
+                c = mine.counts(b.column(0).to_pylist())
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1, dtype=np.int32) * c.shape[1]), pa.array(c.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column(1), flat], ["y", "c"])
+
+    got = rows.select("text", F.col("y").cast("int").alias("y")).unionByName(other).mapInArrow(vote, "y int, c array<int>").toArrow()  # at most `sample` + 2,000 rows
     rows.unpersist()
-    other = docs.select(F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).orderBy("h", "text").limit(min(sample, 2000)).collect()
-    counts = voters.counts([r.text for r in known] + [r.text for r in other])
-    y = np.array([int(r.y) for r in known] + [-1] * len(other))
+    y = got["y"].to_numpy()
+    counts = got["c"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     posterior, rates, voice = label_model(counts > 0, y)
     x = _design(counts, voice)
     return {"marks": marks, "voice": voice, "rates": rates, "w": linear(x, posterior), "share": pos / n}
