@@ -1,7 +1,7 @@
 """Operator 10, HTML extraction: consensus host paths.
 
 Every page's containers are scored by the text of their blocks (link text counts against it, an
-outer container gets half of what the inner one does). The best container's generalised tag-class
+outer container gets less than the inner one, `article` and `main` count double). The best container's generalised tag-class
 path is the page's vote; Spark counts votes by host, and every page is then re-extracted from the
 elements at its host's winning path. A page without such an element uses its own best container.
 Inside the container, menus, headers and footers of the site, sidebars, notices, adverts, forms,
@@ -46,6 +46,9 @@ WORDS = set(
 )
 SITE = {"header", "masthead", "topbar"}
 HOLDS = {"article", "main"}
+CONTAINERS = {"div", "article", "main", "section", "td", "body"}
+DECAY = 0.7  # of a block's worth for each container further out
+SLIGHT = 1.2
 
 
 class Block:
@@ -148,20 +151,33 @@ def clean(block: Block) -> str:
 def best(blocks: list[Block], paths: list[str]) -> tuple[str, float]:
     """Path and score of the container that holds most of the page's own text."""
     scores: dict[int, float] = {}
+    total: dict[int, float] = {}
+    up: dict[int, int] = {}
     for b in blocks:
         if b.out or not b.text:
             continue
         n = sum(map(len, b.text))
         worth = n - 2.0 * b.link
+        up.update(zip(b.chain[1:], b.chain, strict=False))
+        for element in b.chain:
+            total[element] = total.get(element, 0) + n
         if worth <= 0:
             continue
         # the block's own element lends its worth to what holds it
-        for up, element in enumerate(reversed(b.chain[:-1] if len(b.chain) > 1 and not paths[b.chain[-1]].rpartition(">")[2].startswith(("div", "article", "main", "section", "td", "body")) else b.chain)):
-            scores[element] = scores.get(element, 0) + worth / (1 << up)
+        last = paths[b.chain[-1]].rpartition(">")[2].partition(".")[0]
+        holders = b.chain if len(b.chain) == 1 or last in CONTAINERS else b.chain[:-1]
+        for level, element in enumerate(reversed(holders)):
+            scores[element] = scores.get(element, 0) + worth * DECAY**level
     if not scores:
         return "", 0.0
+    name = lambda k: paths[k].rpartition(">")[2].partition(".")[0]
+    for k in scores:
+        scores[k] *= 2 if name(k) in HOLDS else 1
     element = max(scores, key=lambda k: (scores[k], -k))
-    return paths[element], scores[element]
+    # a parent that adds little, such as a heading, is taken with it; the page's body is not
+    while name(element) not in HOLDS and up.get(element, 0) and name(up[element]) not in ("body", "html") and total[up[element]] <= SLIGHT * total[element]:
+        element = up[element]
+    return paths[element], scores.get(element, total[element])
 
 
 def extract(page: str | None, path: str | None) -> str:

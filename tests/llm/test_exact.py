@@ -317,6 +317,20 @@ def test_main_text(spark, small):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+@pytest.mark.parametrize(
+    ("body", "want"),
+    [
+        ("<div class=wrap><h1>Head</h1><div class=inner><p>One long paragraph of the main text here.</p><p>Two long paragraphs of the main text here.</p></div></div><div class=sidebar><p>Side words that are many and long enough to matter here.</p></div>", "Head\nOne long paragraph of the main text here.\nTwo long paragraphs of the main text here."),
+        ("<article><header><h1>Head</h1></header><section><p>A much longer first section, with a lot of words in it to win.</p></section><section><p>Short.</p></section></article><p>Loose notice</p>", "Head\nA much longer first section, with a lot of words in it to win.\nShort."),
+        ("<main><p>Main words.</p><ul class=related-links><li>Other story</ul><blockquote>Quoted &lt;b&gt;.</blockquote><table><tr><td>a<td>b</table></main>", "Main words.\nQuoted <b>.\na\nb"),
+        ("<p>Only   one&nbsp;paragraph<br>with a break.", "Only one paragraph with a break."),
+        ("<div class=top><a href=x>Link one</a> <a href=y>Link two</a> <a href=z>Link three</a></div><div class=text><p>Real words, some of them.</p></div>", "Real words, some of them."),
+    ],
+)
+def test_containers(body, want):
+    assert html.extract(f"<html><body><nav>Menu</nav>{body}<footer>F</footer></body></html>", None) == want
+
+
 def test_pages_of_other_kinds(spark):
     page = """<html><body><header>Site</header><div id="main-content"><div class="sidebar">Links</div><h2>Title &amp; more</h2>
     <p>First   para<b>graph</b> with enough words to be the main text.<p>Second one.<div class="comments"><p>Nice post!</div>
