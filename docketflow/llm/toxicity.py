@@ -158,7 +158,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     odds = F.log(((F.col("p") - 1.3 * F.sqrt("p")) / pos) / ((F.col("n") - F.col("p") + 1.5) / (n - pos)))
     mined = found.filter((F.col("p") >= least) & (odds > math.log(4))).orderBy(F.desc(F.col("p") * odds), "f").limit(MINED).collect()
     marks = list(dict.fromkeys([f" {w} " for words in LEXICON.values() for w in words] + [r.f for r in mined]))
-    other = docs.select(F.col(text_col).alias("text"), F.lit(-1).alias("y"), F.xxhash64(id_col).alias("h")).orderBy("h", "text").limit(min(sample, 2000)).select("text", "y")
+    few = min(sample, 2000)
+    ids = docs.select(F.col(id_col).alias("doc_id")).dropDuplicates().orderBy(F.xxhash64("doc_id"), "doc_id").limit(few)  # ids alone are sorted, never texts
+    other = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "doc_id").select("text", F.lit(-1).alias("y")).limit(few)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Vote counts in the tasks: the driver gets numbers, never texts."""
