@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -226,46 +227,104 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
     return rows.select("doc_id", text_col, "block", "ghost").mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
-BANDS, ROWS = 24, 4
-#: Sampled places of each band inside two neighbouring octaves.
-_PLACES = [[int(x) for x in (mix64(np.arange(ROWS, dtype=np.uint64) + np.uint64(SEED + 31 * b)) % np.uint64(2 * PER_OCTAVE))] for b in range(BANDS)]
+BANDS, ROWS = 32, 6
+#: Sampled places of each band inside two neighbouring octaves, all different.
+_PLACES = [[int(x) for x in np.argsort(mix64(np.arange(2 * PER_OCTAVE, dtype=np.uint64) + np.uint64(SEED + 1009 * b)))[:ROWS]] for b in range(BANDS)]
+STEP = 1.1  # between the length classes of short fingerprints
+FEW = 24  # nodes of a bucket above which it is compared in blocks
+BLOCK_NODES = 2048
 
 
-def bands(prints: DataFrame) -> DataFrame:
-    """Rows of prints (a column fingerprint) with `band`: keys of sampled places in the last two whole octaves and,
-    as a like text may end an octave earlier, in the two before. A fingerprint within one octave is its own key."""
-    length = F.length("fingerprint")
-    whole = F.floor(length / PER_OCTAVE).cast("int")
-    keys = []
-    for back in (0, 1):
-        top = whole - back
-        for b, places in enumerate(_PLACES):
-            symbols = [F.substring("fingerprint", F.greatest(top - 2, F.lit(0)) * PER_OCTAVE + p % F.when(top > 1, 2 * PER_OCTAVE).otherwise(PER_OCTAVE) + 1, F.lit(1)) for p in places]
-            keys.append(F.when(top > 0, F.xxhash64(top, F.lit(b), *symbols)))
-    own = F.when(whole < 1, F.xxhash64(F.lit(-1), "fingerprint"))
-    return prints.withColumn("band", F.explode(F.array_distinct(F.filter(F.array(*keys, own), lambda k: k.isNotNull()))))
+def _key(*parts: object) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def alike(a: str, b: str) -> float:
-    """Likeness of two fingerprints as text."""
-    n = max(len(a), len(b))
+def keys(fingerprint: str, least: float) -> set[int]:
+    """Band keys of a fingerprint.
+
+    Long ones: sampled places in the last two whole octaves and, as a like text may end an octave earlier, in the two
+    before. Short ones (a partner may have under one octave): if the longer of two has n samples, they differ in
+    (1 - least) * n places at most, so of one more groups of places one is equal: no pair of that likeness is missed.
+    """
+    n, out = len(fingerprint), set()
+    whole = n // PER_OCTAVE
+    for top in (whole, whole - 1):
+        if top < 1:
+            continue
+        lo, span = max(top - 2, 0) * PER_OCTAVE, min(top, 2) * PER_OCTAVE
+        out.update(_key(top, b, "".join(fingerprint[lo + p % span] for p in places)) for b, places in enumerate(_PLACES))
+    if n and n * least < PER_OCTAVE:
+        first, last = (math.floor(math.log(x) / math.log(STEP) + 1e-9) for x in (n, n / least))
+        for c in range(first, last + 1):  # of the longer one's length, which is n to n / least
+            lo, hi = math.ceil(STEP**c - 1e-6), math.ceil(STEP ** (c + 1) + 1e-6)
+            groups = min(math.floor((1 - least) * hi + 1e-9) + 1, lo)
+            out.update(_key("short", c, g, fingerprint[g:lo:groups]) for g in range(groups))
+    return out or {_key("equal", fingerprint)}
+
+
+def bands(prints: DataFrame, least: float = 0.8) -> DataFrame:
+    """band, node of every key of prints (node, fingerprint)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [(k, n) for n, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for k in keys(f, least)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())], ["band", "node"])
+
+    return prints.select("node", "fingerprint").mapInArrow(run, "band long, node long")
+
+
+def matrix(prints: list[str]) -> np.ndarray:
+    """Samples by (sample, fingerprint) of fingerprints as text, up to whole octaves."""
+    n = max(map(len, prints), default=0)
     n += -n % PER_OCTAVE
-    x, y = (np.frombuffer(t.ljust(n, ".").encode(), np.uint8)[:, None] for t in (a, b))
     at = np.full(128, CLASSES, np.uint8)
     at[ALPHABET] = np.arange(len(ALPHABET))
-    return float(likeness(at[x], at[y])[0])
+    return at[np.frombuffer("".join(t.ljust(n, ".") for t in prints).encode(), np.uint8)].reshape(len(prints), n).T
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def alike(a: str, b: str) -> float:
+    """Likeness of two fingerprints as text."""
+    m = matrix([a, b])
+    return float(likeness(m[:, :1], m[:, 1:])[0])
+
+
+def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int) -> DataFrame:
+    """Links (a, b) between components (band, node, root, n) of the same bucket: a bucket is cut into blocks of about
+    `block` nodes, every two of which are compared in a task; only links that merge components leave it."""
+    dealt = crowded.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root").join(text, "node")
+
+    def compare(t: pa.Table) -> pa.Table:
+        mine, i, j, node, root = (t[x].to_numpy().copy() for x in ("mine", "i", "j", "node", "root"))
+        m = matrix(t["fingerprint"].to_pylist())
+        left, right = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
+        found = []
+        for x in left:
+            far = right[root[right] != root[x]]
+            if not len(far):
+                continue
+            for y in far[likeness(m[:, [x]], m[:, far]) >= least]:
+                if root[x] != root[y]:
+                    root[root == max(root[x], root[y])] = min(root[x], root[y])
+                    found.append((int(node[x]), int(node[y])))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, block: int = BLOCK_NODES) -> DataFrame:
     """doc_id, class_id of every row: the smallest doc_id among fingerprints linked by a likeness of `least`.
 
-    Equal fingerprints are one node. At every band key the nodes are checked against its smallest node, so a bucket
-    of n costs n checks; a pair of that likeness shares a key with probability 1 - (1 - least^ROWS)^BANDS or more,
-    and is linked over the bucket's hub or another band's.
+    Equal fingerprints are one node. At every band key the nodes are first checked against its smallest node; then
+    nodes of different components that still meet at a key are all compared, in pairs or, in buckets of more than
+    `few` nodes, in blocks. So every pair that shares a key is linked if alike. A pair whose likeness over the sampled
+    octaves is p shares one with probability 1 - (1 - p^ROWS)^BANDS or more; under one octave it always does.
     """
     prints = written(fingerprints(docs, id_col, text_col), "prints")
     one = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low")).withColumn("node", F.xxhash64("fingerprint")), "prints-once")
-    keyed = written(bands(one.select("node", "fingerprint")).select("band", "node"), "prints-bands")
+    text = one.select("node", "fingerprint")
+    keyed = written(bands(text, least), "prints-bands")
     hubs = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
     pairs = written(keyed.join(hubs, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "prints-pairs")
 
@@ -273,9 +332,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     def likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([alike(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
-    text = one.select("node", "fingerprint")
-    both = pairs.join(text.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a")
-    links = written(both.filter(likeness_of("fa", "fb") >= least).select("a", "b"), "prints-links")
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(text.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a")
+        return both.filter(likeness_of("fa", "fb") >= least).select("a", "b")
+
+    links = written(verified(pairs), "prints-links")
+    here = written(keyed.join(components(links, "prints-classes"), "node", "left").withColumn("root", F.coalesce("root", "node")), "prints-here")
+    several = here.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "n")
+    left = written(here.join(several, "band"), "prints-left")
+    cold = left.filter(F.col("n") <= few)
+    x, y = cold.select("band", F.col("node").alias("a"), F.col("root").alias("ra")), cold.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
+    rest = written(x.join(y, "band").filter("a < b and ra <> rb").select("a", "b").distinct(), "prints-rest")
+    links = written(links.union(verified(rest)).union(_in_blocks(left.filter(F.col("n") > few), text, least, block)), "prints-links")
     part = components(links, "prints-classes")
     named = one.join(part, "node", "left").select("fingerprint", "low", F.coalesce("root", "node").alias("root"))
     lowest = written(named.groupBy("root").agg(F.min("low").alias("class_id")), "prints-low")

@@ -116,6 +116,26 @@ def test_near_duplicates_by_bands(spark, odd, none):
     assert fingerprints.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_in_crowded_buckets(spark):
+    """Thousands of unrelated texts of two letters share every bucket; pairs of near copies among them, long and short, are found as by all pairs."""
+    rng = np.random.default_rng(11)
+    rows = ["".join(rng.choice(list("ab"), int(rng.integers(150, 250)))) for _ in range(1500)]
+    rows += ["".join(rng.choice(list("abcdefgh"), int(rng.integers(8, 30)))) for _ in range(1500)]
+    for k in range(0, 3000, 15):
+        t = list(rows[k])
+        t[len(t) * 3 // 4] = "z"
+        rows.append("".join(t))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(docs).collect()}
+    prints = [r.fingerprint for r in fingerprints.fingerprints(docs).orderBy("doc_id").collect()]
+    m = fingerprints.matrix(prints)
+    near = [(i, int(j) + i + 1) for i in range(len(rows) - 1) for j in np.flatnonzero(fingerprints.likeness(m[:, [i]], m[:, i + 1 :]) >= 0.8)]
+    long = [(i, j) for i, j in near if min(len(prints[i]), len(prints[j])) >= 64]
+    short = [(i, j) for i, j in near if min(len(prints[i]), len(prints[j])) < 64]
+    assert len(long) > 50 and np.mean([got[i] == got[j] for i, j in long]) > 0.98
+    assert len(short) > 50 and all(got[i] == got[j] for i, j in short)
+
+
 # --- 2 ---
 
 
