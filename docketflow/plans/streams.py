@@ -68,8 +68,8 @@ def stream_dedupe_keys(spark, d):
 
 @query("stream_session_windows")
 def stream_session_windows(spark, d):
-    """Sessions by a gap of six hours; sessions still open at the end aren't given in append mode, so rows only."""
-    return finished(ops.sessions(file_stream(spark, d), "ts", "6 hours", "user_id"), "append").select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n")
+    """Sessions by a gap of six hours; complete mode, so sessions still open at the end and late rows are there."""
+    return finished(ops.sessions(file_stream(spark, d), "ts", "6 hours", "user_id", None), "complete").select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n")
 
 
 @query(

@@ -38,9 +38,10 @@ def sliding(events: DataFrame, ts: str, width: str, slide: str, *keys: str, wate
     return g.select(F.col("w.end").alias("window_end"), *keys, "n")
 
 
-def sessions(events: DataFrame, ts: str, gap: str, key: str, watermark: str = "1 hour") -> DataFrame:
-    """Sessions of a key by a gap in event time."""
-    g = events.withWatermark(ts, watermark).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count("*").alias("n"))
+def sessions(events: DataFrame, ts: str, gap: str, key: str, watermark: str | None = "1 hour") -> DataFrame:
+    """Sessions of a key by a gap in event time. Without a watermark (complete mode) none is left out, late rows neither."""
+    e = events.withWatermark(ts, watermark) if watermark else events
+    g = e.groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count("*").alias("n"))
     return g.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), key, "n")
 
 
@@ -52,22 +53,36 @@ def journal_once(events: DataFrame, keys: list[str], ts: str | None = None, wate
 
 
 class Streaks(StatefulProcessor):
-    """Consecutive failures of a worker and since when its state has held, over all batches."""
+    """Consecutive failures of a worker and since when its state has held, over all batches.
+
+    Rows may come in any order: the rows of the last run are kept, and the place of the last row before it. A row
+    before that place changes no result but the count; any other is put where it belongs.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("worker", StructType([StructField("streak", LongType()), StructField("bad", BooleanType()), StructField("since", TimestampType()), StructField("rows", LongType())]))
+        self.state = handle.getValueState("worker", StructType([StructField("bad", BooleanType()), StructField("ts", TimestampType()), StructField("event_id", LongType()), StructField("rows", LongType())]))
+        self.run = handle.getListState("run", StructType([StructField("ts", TimestampType()), StructField("event_id", LongType())]))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        streak, bad, since, seen = self.state.get() if self.state.exists() else (0, None, None, 0)
-        batch = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        for ts, b in zip(batch["ts"], batch["bad"], strict=True):
-            if bad is None or bool(b) != bad:
-                since = ts
-            bad = bool(b)
-            streak = streak + 1 if bad else 0
-            seen += 1
-        self.state.update((streak, bad, since, seen))
-        yield pd.DataFrame({"worker": [key[0]], "streak": [streak], "bad": [bad], "since": [since], "rows": [seen]})
+        bad, edge_ts, edge_id, seen = self.state.get() if self.state.exists() else (None, None, None, 0)
+        run = [(pd.Timestamp(ts), i, bad) for ts, i in self.run.get()] if self.run.exists() else []
+        batch = pd.concat(list(rows))
+        seen += len(batch)
+        new = [(ts, i, bool(b)) for ts, i, b in zip(batch["ts"], batch["event_id"], batch["bad"], strict=True)]
+        if edge_ts is not None:
+            new = [r for r in new if r[:2] > (pd.Timestamp(edge_ts), edge_id)]
+        run = sorted(run + new, key=lambda r: r[:2])
+        bad = run[-1][2]
+        start = len(run)
+        while start and run[start - 1][2] == bad:
+            start -= 1
+        if start:
+            edge_ts, edge_id = run[start - 1][:2]
+        run = run[start:]
+        self.state.update((bad, edge_ts, edge_id, seen))
+        if new:
+            self.run.put([r[:2] for r in run])
+        yield pd.DataFrame({"worker": [key[0]], "streak": [len(run) if bad else 0], "bad": [bad], "since": [run[0][0]], "rows": [seen]})
 
     def close(self) -> None:
         pass
