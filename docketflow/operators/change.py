@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,10 +42,28 @@ def mismatched(stored: DataFrame, body: str, sha: str = "sha") -> DataFrame:
 
 def day_digests(attempts: DataFrame, day: str, order: list[str], fields: list[str]) -> DataFrame:
     """One line count and hash a day. Lines are JSON with fields in order, hashed each, and the day's
-    hash covers the ordered line hashes, so only 64 characters a row are gathered for a day."""
+    hash covers the ordered line hashes. A hash is sequential, so a task reads its days' line hashes in order
+    as a stream and holds one hash state; nothing is gathered."""
     line = F.sha2(F.to_json(F.struct(*[F.col(f) for f in sorted(fields)]), {"ignoreNullFields": "false"}), 256)
     rows = attempts.select(F.col(day).alias("day"), F.struct(*order).alias("o"), line.alias("sha"))
-    return rows.groupBy("day").agg(F.count("*").alias("rows"), F.sha2(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("o", "sha"))), lambda x: x["sha"])), 256).alias("body_sha"))
+    rows = rows.repartition("day").sortWithinPartitions("day", "o", "sha").select("day", "sha")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n, state = None, 0, None
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([now], kind), pa.array([n]), pa.array([state.hexdigest()])], ["day", "rows", "body_sha"])
+        for b in batches:
+            kind = b.schema.field(0).type
+            for d, sha in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if state is None or d != now:
+                    if state is not None:
+                        yield out()
+                    now, n, state = d, 0, hashlib.sha256()
+                state.update(f"\n{sha}".encode() if n else sha.encode())
+                n += 1
+        if state is not None:
+            yield out()
+
+    return rows.mapInArrow(run, f"day {rows.schema['day'].dataType.simpleString()}, rows long, body_sha string")
 
 
 def chain(days: Iterable[tuple[str, int, str]]) -> list[tuple[str, int, str, str | None, str]]:

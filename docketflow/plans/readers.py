@@ -37,6 +37,14 @@ def listing_items_udtf(spark, d):
     return listing.listing_items(table(spark, d, "pages").select("page_id", "html"), "html", ["page_id"]).select("page_id", "pos", "title", "link", "date_text", "error")
 
 
+#: Keys that a built body covers at most: bodies grow in number with the rows, not in size.
+PAGE_KEYS, ZIP_KEYS, ISSUE_KEYS = 500, 1_000, 10_000
+
+
+def _part(key: str, size: int) -> F.Column:
+    return F.floor(F.col(key) / size)
+
+
 def _orders(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
@@ -65,23 +73,23 @@ def feed_round_trip(spark, d):
     "SELECT o_orderkey::VARCHAR || '-7' AS granule_id, CASE o_orderstatus WHEN 'F' THEN 'RULE' WHEN 'O' THEN 'PRORULE' ELSE 'NOTICE' END AS doc_type, 'Subject of ' || o_orderkey::VARCHAR AS title, o_orderpriority AS agency, 'Body ' || o_custkey::VARCHAR || ' ends' AS words FROM orders WHERE o_orderkey % 11 <> 0",
 )
 def issue_round_trip(spark, d):
-    """One XML issue a day with nested documents; documents without a citable number are left out."""
+    """XML issues of a day, of a bounded range of orders each, with nested documents; documents without a citable number are left out."""
     o = _orders(spark, d)
     tag = F.when(F.col("o_orderstatus") == "F", "RULE").when(F.col("o_orderstatus") == "O", "PRORULE").otherwise("NOTICE")
     k = F.col("o_orderkey").cast("string")
     number = F.when(F.col("o_orderkey") % 11 == 0, "none").otherwise(F.concat(F.lit("FR Doc. "), k, F.lit("-7 Filed")))
     doc = F.concat(F.lit("<X><"), tag, F.lit("><PREAMB><AGENCY>"), "o_orderpriority", F.lit("</AGENCY><SUBJECT>Subject <E>of</E> "), k, F.lit("</SUBJECT></PREAMB><P>Body <PRTPAGE P=\"9\"/>"), F.col("o_custkey").cast("string"), F.lit(" ends</P><FRDOC>["), number, F.lit("]</FRDOC></"), tag, F.lit("></X>"))
-    body = o.groupBy("day").agg(F.concat(F.lit("<FEDREG><RULES>"), F.concat_ws("", F.collect_list(doc)), F.lit("</RULES></FEDREG>")).alias("body"))
+    body = o.groupBy("day", _part("o_orderkey", ISSUE_KEYS)).agg(F.concat(F.lit("<FEDREG><RULES>"), F.concat_ws("", F.collect_list(doc)), F.lit("</RULES></FEDREG>")).alias("body"))
     got = packages.issue(body, "body", ["day"])
     return got.select("granule_id", "doc_type", "title", "agency", F.regexp_extract("text", r"(Body .* ends)", 1).alias("words"))
 
 
 @query("zip_round_trip", "SELECT p_brand AS brand, CASE p_partkey % 4 WHEN 0 THEN 'SENATE' WHEN 1 THEN 'HOUSE' WHEN 2 THEN 'EXTENSIONS' ELSE 'DAILYDIGEST' END AS doc_type, p_name AS title, p_type AS text FROM part")
 def zip_round_trip(spark, d):
-    """One ZIP of pages a brand, packed in tasks and read back in page order."""
+    """ZIPs of a brand's pages, of a bounded range of parts each, packed in tasks and read back in page order."""
     letter = F.element_at(F.array(*map(F.lit, "SHED")), (F.col("p_partkey") % 4 + 1).cast("int"))
-    rows = table(spark, d, "part").select(F.col("p_brand").alias("brand"), F.concat(F.lit("CREC-2024-01-02-pt1-Pg"), letter, F.col("p_partkey").cast("string"), F.lit(".htm")).alias("name"), F.concat(F.lit("<html><head><title>"), "p_name", F.lit("</title></head><body><pre>"), "p_type", F.lit("</pre><script>x</script></body></html>")).alias("page"))
-    grouped = rows.groupBy("brand").agg(F.collect_list(F.struct("name", "page")).alias("members"))  # one day's package
+    rows = table(spark, d, "part").select(F.col("p_brand").alias("brand"), _part("p_partkey", ZIP_KEYS).alias("part"), F.concat(F.lit("CREC-2024-01-02-pt1-Pg"), letter, F.col("p_partkey").cast("string"), F.lit(".htm")).alias("name"), F.concat(F.lit("<html><head><title>"), "p_name", F.lit("</title></head><body><pre>"), "p_type", F.lit("</pre><script>x</script></body></html>")).alias("page"))
+    grouped = rows.groupBy("brand", "part").agg(F.collect_list(F.struct("name", "page")).alias("members")).drop("part")  # one package
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -116,7 +124,7 @@ def bill_action_pages(spark, d):
     """JSON pages of bill actions, bounded by a window, each action once although pages overlap."""
     o = _orders(spark, d)
     bill = F.struct(F.lit(119).alias("congress"), F.lit("HR").alias("type"), F.col("o_orderkey").cast("string").alias("number"), F.lit("t").alias("title"), F.struct(F.col("day").alias("actionDate"), F.lit("Referred").alias("text")).alias("latestAction"))
-    pages = o.withColumn("page", F.explode(F.array(F.col("o_orderkey") % 50, (F.col("o_orderkey") + 1) % 50))).groupBy("page").agg(F.to_json(F.struct(F.collect_list(bill).alias("bills"))).alias("body"))
+    pages = o.withColumn("page", F.explode(F.array(_part("o_orderkey", PAGE_KEYS // 2), _part("o_orderkey", PAGE_KEYS // 2) + 1))).groupBy("page").agg(F.to_json(F.struct(F.collect_list(bill).alias("bills"))).alias("body"))
     last = F.date_add(F.lit("1998-01-01").cast("date"), 7)
     return feeds.bill_actions(pages, "body", last).select("guid", F.col("day").cast("string").alias("day"))
 

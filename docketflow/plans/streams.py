@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,14 +37,30 @@ def file_stream(spark: SparkSession, d: str) -> DataFrame:
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or ""
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="docketflow-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def finished(stream: DataFrame, mode: str) -> DataFrame:
-    """All rows of a stream run over what is there now, in a memory table."""
-    spark, name = stream.sparkSession, f"stream_{uuid.uuid4().hex}"
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """All rows of a stream run over what is there now, as a Parquet table: a folder a batch, of which complete mode reads the last."""
+    spark, path, done = stream.sparkSession, f"{_shared(stream.sparkSession)}/docketflow/stream-{uuid.uuid4().hex}", []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch-{number}")
+        done.append(number)
+
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/progress").outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.table(name)
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*[f"{path}/batch-{n}" for n in (done[-1:] if mode == "complete" else sorted(set(done)))])
 
 
 @query("stream_tumbling_counts", "SELECT CAST(time_bucket(INTERVAL 1 HOUR, ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
