@@ -41,9 +41,10 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    gone = jaccard.join(docs).filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = jaccard.rows(docs).filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone"), F.col("row").alias("_gone_row")).distinct()
     gone = common.written(gone, "pipeline-gone")
-    kept = docs.join(ids(gone), docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)
+    here = docs.doc_id.eqNullSafe(gone["_gone"]) & (F.xxhash64(docs.text) == gone["_gone_row"])  # an id alone doesn't name a row
+    kept = docs.join(ids(gone), here, "left_anti").select(*docs.columns)
     # rows that share a doc_id are one document
     order = W.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), "source", "lang")
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
@@ -55,14 +56,23 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ids(rows: DataFrame) -> DataFrame:
     """A table of ids, broadcast while it is counted small enough, so that text is not shuffled; joined by id otherwise."""
-    return F.broadcast(rows) if common.small_enough(rows, 24) else rows
+    return F.broadcast(rows) if common.small_enough(rows, 40) else rows
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    taken = mixing.schedule(docs).filter("size > 0 and taken > 0").select("doc_id", F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-    taken = common.written(taken.filter("_copies > 0"), "pipeline-mix")
-    return docs.join(ids(taken), "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    row = F.xxhash64(F.col("source").isNull(), "source", "text")
+    taken = mixing.schedule(docs, row=row).filter("size > 0")
+    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(F.round(F.col("taken") / F.col("size")).cast("int")), False).alias("_copies"))
+    taken = common.written(taken.filter("_copies[0] > 0"), "pipeline-mix")
+    met = docs.join(ids(taken), docs.doc_id.eqNullSafe(taken["_id"]) & (F.xxhash64(docs.source.isNull(), docs.source, docs.text) == taken["_row"]))
+    once = met.filter("size(_copies) = 1").withColumn("_n", F.element_at("_copies", 1))
+    # rows alike in id, source and text each get a share of their own
+    alike = met.filter("size(_copies) > 1") if not taken.filter("size(_copies) > 1").isEmpty() else None
+    if alike is not None:
+        number = F.row_number().over(W.partitionBy("_id", "_row").orderBy("_row"))
+        once = once.unionByName(alike.withColumn("_n", number).withColumn("_n", F.element_at("_copies", F.col("_n"))).filter("_n > 0"))
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

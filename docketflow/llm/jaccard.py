@@ -106,15 +106,15 @@ def segment_rows(sh: np.ndarray, soff: np.ndarray, which: np.ndarray, c: np.ndar
 
 
 def _set_table(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, node of every row."""
+    """doc_id, row, n_shingles, node of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in sub_batches(big, "text", 1 << 20):
                 sh, soff = token_sets(*buffers(b.column(1)), width)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(soff)), pa.array(nodes(sh, soff))], ["doc_id", "n_shingles", "node"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.diff(soff)), pa.array(nodes(sh, soff))], ["doc_id", "row", "n_shingles", "node"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, n_shingles long, node long")
 
 
 def _index_rows(docs: DataFrame, width: int, remember: int = 50_000) -> DataFrame:
@@ -272,8 +272,13 @@ def _crowds(hot: DataFrame, sets: DataFrame, block: int) -> DataFrame:
 
 def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
+    return rows(docs, width, id_col, text_col, crowd, block).drop("row")
+
+
+def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
+    """doc_id, row, n_shingles, component_id of every row; `row` is the text's xxhash64, which tells rows without an id apart."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    meta = written(_set_table(docs, width), "jaccard-sets")
+    meta = written(_set_table(docs.withColumn("row", F.xxhash64("text")), width), "jaccard-sets")
     rows = written(_shared(_index_rows(docs, width)).dropDuplicates(["key", "node", "tag"]), "jaccard-shared")
     for _ in range(ROUNDS):
         look = written(_allocated(rows), "jaccard-look")
@@ -286,9 +291,14 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     forget(rows, look)
 
     # Whole sets, of one document for each node with candidates.
-    first = meta.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = written(first.join(members.select("node").distinct(), "node").select("doc_id"), "jaccard-wanted")
-    wanted = F.broadcast(wanted) if small_enough(wanted, 16) else wanted
+    first = meta.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
+    wanted = written(first.join(members.select("node").distinct(), "node").select("doc_id", "row"), "jaccard-wanted")
+    bare = wanted.filter("doc_id IS NULL").select("row")  # no row of these sets has an id, so they are met by their text's hash
+    picked = wanted.filter("doc_id IS NOT NULL").select("doc_id")
+    picked = docs.join(F.broadcast(picked) if small_enough(wanted, 16) else picked, "doc_id", "left_semi").select("text")
+    if not bare.isEmpty():
+        bare = F.broadcast(bare) if small_enough(bare, 16) else bare
+        picked = picked.union(docs.filter("doc_id IS NULL").withColumn("row", F.xxhash64("text")).join(bare, "row", "left_semi").select("text"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
@@ -296,7 +306,7 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
                 sh, soff = token_sets(*buffers(b.column(0)), width)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes(sh, soff)), pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(sh.view(np.int64)))], ["node", "s"])
 
-    sets = written(docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(sets_of, "node long, s array<long>").dropDuplicates(["node"]), "jaccard-whole")
+    sets = written(picked.mapInArrow(sets_of, "node long, s array<long>").dropDuplicates(["node"]), "jaccard-whole")
 
     # One hub for each shared segment; each node is checked against the hubs it meets most.
     hubs = written(members.filter("role = 0").groupBy("key").agg(F.min("node").alias("hub")), "jaccard-hubs")
@@ -329,8 +339,8 @@ def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     named = written(named.select("node", "doc_id", F.coalesce("root", "node").alias("root")), "jaccard-named")
     lowest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     lowest = written(named.join(written(lowest, "jaccard-lowest"), "root").select("node", "component_id"), "jaccard-component")
-    some = meta.filter("n_shingles > 0").join(lowest, "node").select("doc_id", "n_shingles", "component_id")
-    return some.union(meta.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    some = meta.filter("n_shingles > 0").join(lowest, "node").select("doc_id", "row", "n_shingles", "component_id")
+    return some.union(meta.filter("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

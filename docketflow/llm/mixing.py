@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,11 +34,11 @@ MOST = 2
 BUCKET_ROWS = 2000
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """doc_id, source, size and the shuffle position of every row."""
+def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """doc_id, source, size and the shuffle position of every row, and a key `row` if given."""
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("at"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), key.alias("at"), *([] if row is None else [row.alias("row")]))
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -57,10 +57,10 @@ def targets(rows: DataFrame) -> DataFrame:
     return src.select("src", "none", "source_size", F.coalesce(F.least(F.col("cap"), level * F.col("w")), F.col("cap")).alias("target"))
 
 
-def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """doc_id, source, size, source_size, target, served (words of its source before it in a pass),
+def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """doc_id, (row,) source, size, source_size, target, served (words of its source before it in a pass),
     taken (words the mix takes) and virtual_finish (of its first copy), range-sorted by it."""
-    rows = written(sized(docs, id_col, source_col, text_col), "mix")
+    rows = written(sized(docs, id_col, source_col, text_col, row), "mix")
     buckets = max(16, rows.count() // BUCKET_ROWS)
     rows = rows.withColumns({"src": F.coalesce("source", F.lit("")), "none": F.col("source").isNull(), "bucket": F.floor(F.conv(F.substring("at", 1, 8), 16, 10).cast("double") * buckets / 2**32)})
     sums = rows.groupBy("src", "none", "bucket").agg(F.sum("size").alias("s"))
@@ -71,7 +71,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     words = F.floor("target")
     part = lambda k: F.greatest(F.lit(0), F.least(F.col("size"), words - k * F.col("source_size") - F.col("served")))
     out = out.withColumn("taken", part(0) + part(1)).withColumn("virtual_finish", F.when(F.col("target") > 0, (F.col("served") + F.col("size")) / F.col("target")))
-    return out.select("doc_id", "source", "size", "source_size", "target", "served", "taken", "virtual_finish").orderBy("virtual_finish", "doc_id")
+    return out.select("doc_id", *([] if row is None else ["row"]), "source", "size", "source_size", "target", "served", "taken", "virtual_finish").orderBy("virtual_finish", "doc_id")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
