@@ -38,7 +38,7 @@ RAW = set("script style noscript template textarea title iframe svg select optio
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: Elements and class words of what surrounds an article.
-OUTSIDE = set("nav footer aside form button dialog menu head".split())
+OUTSIDE = set("nav footer aside button dialog menu head".split())
 WORDS = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs footer foot comment comments "
     "disqus reply replies respond notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended "
@@ -47,6 +47,7 @@ WORDS = set(
 SITE = {"header", "masthead", "topbar"}
 HOLDS = {"article", "main"}
 CONTAINERS = {"div", "article", "main", "section", "td", "body"}
+MOST, HALF = 0.8, 0.5  # of a page's own text, from which an element is no mere surrounding
 DECAY = 0.7  # of a block's worth for each container further out
 SLIGHT = 1.2
 
@@ -62,6 +63,8 @@ def parse(page: str | None) -> tuple[list[Block], list[str]]:
     """Blocks in page order, each with the elements around it, and the generalised path of every element."""
     blocks: list[Block] = []
     paths = [""]
+    soft: dict[int, bool] = {}  # elements left out by a word or as a form; whether a whole class is the word
+    holds: set[int] = set()
     # open elements: name, element number or -1 for inline, left out, inside an article, link depth
     stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
     chain: tuple[int, ...] = (0,)
@@ -131,19 +134,51 @@ def parse(page: str | None) -> tuple[list[Block], list[str]]:
                 if stack[k][0] in stop:
                     break
         links = 0 if name == "p" else links
+        number = len(paths)
         marks = [v.strip("\"'").lower() for _, v in _CLASS.findall(m[3])] if m[3] else []
         words = {w for v in marks for w in _PARTS.split(v) if w}
         inside = stack[-1][3] or name in HOLDS
-        out = stack[-1][2] or name in OUTSIDE or (bool(words & WORDS) and name not in ("body", "html", "main", "article")) or (not inside and (name == "header" or bool(words & SITE)))
+        out = stack[-1][2] or name in OUTSIDE or (not inside and name == "header")
+        known = WORDS if inside else WORDS | SITE
+        if name == "form" or (words & known and name not in ("body", "html", "main", "article")) or (not inside and words & SITE):
+            soft[number] = any(v in known for m_ in marks for v in m_.split())
+        if name in HOLDS:
+            holds.add(number)
         label = name + "".join("." + w for w in sorted(words)[:4])
-        number = len(paths)
         parent = next(x[1] for x in reversed(stack) if x[1] >= 0)
         paths.append(f"{paths[parent]}>{label}")
         stack.append((name, number, out, inside))
         fresh()
+    if soft:
+        settle(blocks, soft, holds)
     return blocks, paths
 
 
+def settle(blocks: list[Block], soft: dict[int, bool], holds: set[int]) -> None:
+    """Leave out the blocks in surroundings known by a word, except in elements that wrap the article.
+
+    Such an element holds all text of article and main elements, and that is half of the page's; or, if no whole class
+    is the word (`has-sidebar`, a form), it holds most of the page's text. If nothing is left, words don't count.
+    """
+    live = [(b, max(0, sum(len(x.strip()) for x in b.text) - b.link)) for b in blocks if not b.out and b.text]
+    page = held = 0
+    within, held_in = dict.fromkeys(soft, 0), dict.fromkeys(soft, 0)
+    for b, n in live:
+        mine = bool(holds.intersection(b.chain))
+        page += n
+        held += n * mine
+        for e in b.chain:
+            if e in soft:
+                within[e] += n
+                held_in[e] += n * mine
+    kept = {e for e in soft if page and ((held >= HALF * page and held_in[e] == held) or (not soft[e] and within[e] >= MOST * page))}
+    gone = soft.keys() - kept
+    if all(not n or gone.intersection(b.chain) for b, n in live):
+        return
+    for b, _ in live:
+        b.out = bool(gone.intersection(b.chain))
+
+
 def clean(block: Block) -> str:
     return " ".join(entities.unescape("".join(block.text)).split())
 

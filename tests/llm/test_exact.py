@@ -351,6 +351,20 @@ def test_containers(body, want):
     assert html.extract(f"<html><body><nav>Menu</nav>{body}<footer>F</footer></body></html>", None) == want
 
 
+@pytest.mark.parametrize("wrapper", ["<div class='layout has-sidebar'>", "<div class=no-sidebar>", "<div id=top class='comments-open'>", "<div class=ad-free>", "<form action=/>", "<div class='page has-header'>"])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_with_a_boilerplate_word(wrapper, inner):
+    text = "Long words of the article that go on and on, " * 6
+    page = f"<html><body>{wrapper}<{inner}><h1>Head</h1><p>{text}</p></{inner}><div class=sidebar><p>Side words.</p></div></div></form><p>Loose notice</p></body></html>"
+    assert html.extract(page, None) == f"Head\n{text.strip()}"
+
+
+def test_comments_longer_than_the_article_stay_out():
+    page = "<body><article><p>A short article.</p></article><div class=comments><p>" + "Nice post, I have read it. " * 30 + "</p></div></body>"
+    assert html.extract(page, None) == "A short article."
+    assert html.extract("<body><div class='ad-free comments'><p>All there is.</p></div></body>", None) == "All there is."
+
+
 def test_pages_of_other_kinds(spark):
     page = """<html><body><header>Site</header><div id="main-content"><div class="sidebar">Links</div><h2>Title &amp; more</h2>
     <p>First   para<b>graph</b> with enough words to be the main text.<p>Second one.<div class="comments"><p>Nice post!</div>
