@@ -20,12 +20,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is set.
+    Only where that is unset and driver and executors are one process (local mode, as in tests) a temporary folder is
+    set; on a cluster that is an error, as executors would write where nobody else can read.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not folder:
         folder = spark.sparkContext.getCheckpointDir() or ""
         if not folder:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             folder = "file://" + tempfile.mkdtemp(prefix="docketflow-")
             spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -41,13 +44,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def forget(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more, and let Spark drop shuffle files nothing refers to."""
+def forget(*tables: DataFrame, shuffles: bool = True) -> None:
+    """Delete written tables that nothing reads any more and, after large ones, let Spark drop shuffle files nothing refers to."""
     for df in tables:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    if tables:
+    if tables and shuffles:
         gc.collect()
         tables[0].sparkSession._jvm.System.gc()
 

@@ -10,11 +10,18 @@ looked at. Each set therefore spends its steps where the fewest other sets are:
 else has cost nothing, and a set that can spend all its steps there has no partner and is left.
 What remains is looked up and verified exactly on whole sets.
 
-Equal sets are one node from the start, so groups of copies cost one. Near copies are first checked
-against one hub for each segment they share; components of those links then leave only pairs between
-different components to look at, so a group of n near copies costs about n checks, not n^2, and no
-link between components is lost. Segments where many components meet are compared in blocks, whose
-tasks count overlaps by an index of their tokens and return only links that merge components.
+Equal sets are one node from the start, so groups of copies cost one. Near copies are checked in
+rounds, as long as these find links, in each against a few hubs only: every shared segment names one hub, another one each
+round, and a node takes those it meets at most segments. The components of the links found leave
+only segments where several components meet, and no link between components is lost there: where
+few nodes meet, pairs of different components are verified; where many do, the nodes connected by
+such segments form a crowd, which is cut by size and hash into blocks, and each pair of blocks whose
+sizes can be similar is compared in a task of its own, by an index of tokens. Only links that merge
+components leave those tasks. The work of a crowd is quadratic in the texts that the hubs left
+unlinked, in the number of comparisons, never in rows.
+
+A segment that one task sees often is dealt over many tasks by a salt; a marker row tells the
+others, and such segments are counted in a second step.
 
 Sets are compared by 64-bit shingle hashes and named by a 64-bit hash of the set. Only segment
 hashes are shuffled for all documents; whole sets only for documents with candidates.
@@ -41,8 +48,13 @@ WIDTH = 5
 SMALL = 5
 CLASSES = 40
 ROUNDS = 2
-CROWD = 12  # components at a segment above which they are compared in blocks
+HUBS = 4  # rounds against hubs, at most
+USEFUL = 0.05  # of a round's checks that must be links for another round
+MET = 3  # hubs that a node is checked against in a round
+CROWD = 16  # nodes at a segment above which they are compared in blocks
 BLOCK = 1 << 18  # tokens
+OFTEN = 64  # rows of a segment from one task above which its rows are salted
+SALTS = 1 << 12
 
 
 def _segments(c: int) -> int:
@@ -118,10 +130,14 @@ def _set_table(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _index_rows(docs: DataFrame, width: int, remember: int = 50_000) -> DataFrame:
-    """key, node, tag: the index of every set, equal sets once a task as far as it remembers them."""
+    """key, node, tag, salt: the index of every set, equal sets once a task as far as it remembers them.
+
+    A row whose segment this task has seen often gets a salt other than 0, and the segment a marker (tag -1, salt 0).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        counted = np.zeros(1 << 20, np.int32)  # rows by a hash of the segment
         for big in batches:
             for b in sub_batches(big, "text", 1 << 20):
                 sh, soff = token_sets(*buffers(b.column(0)), width)
@@ -138,17 +154,35 @@ def _index_rows(docs: DataFrame, width: int, remember: int = 50_000) -> DataFram
                 if not len(which):
                     continue
                 key, slot, tag = segment_rows(sh, soff, which, cls)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[which][slot]), pa.array(tag)], ["key", "node", "tag"])
+                cell = key & (len(counted) - 1)
+                np.add.at(counted, cell, 1)
+                often = counted[cell] > OFTEN
+                who = node[which][slot]
+                salt = np.where(often, 1 + (who & (SALTS - 1)), 0)
+                marks = np.unique(key[often])
+                key, who = np.concatenate([key, marks]), np.concatenate([who, np.zeros(len(marks), np.int64)])
+                tag, salt = np.concatenate([tag, np.full(len(marks), -1)]), np.concatenate([salt, np.zeros(len(marks), np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(who), pa.array(tag), pa.array(salt.astype(np.int32))], ["key", "node", "tag", "salt"])
 
-    return docs.select("text").mapInArrow(run, "key long, node long, tag long")
+    return docs.select("text").mapInArrow(run, "key long, node long, tag long, salt int")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows whose key another node has too, with the number of whole segments (n0) and neighbourhoods (n1) at the key."""
-    w = W.partitionBy("key")
+    w = W.partitionBy("key", "salt")
+    real, role = F.col("tag") >= 0, F.col("tag").bitwiseAND(1)
+    out = rows.withColumns({"lo": F.min(F.when(real, F.col("node"))).over(w), "hi": F.max(F.when(real, F.col("node"))).over(w), "n0": F.sum(F.when(real, 1 - role)).over(w), "n1": F.sum(F.when(real, role)).over(w), "part": (F.col("salt") > 0) | (F.min("tag").over(w) < 0)})
+    out = out.filter(real & (F.col("part") | ((F.col("lo") != F.col("hi")) & (F.col("n0") > 0)))).select("key", "node", "tag", "n0", "n1", "part")
+    out = written(out, "jaccard-dealt")
+    dealt = out.filter("part").select("key", "node", "tag")
+    return out.filter("NOT part").select("key", "node", "tag", "n0", "n1").union(_counted(dealt))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Of rows key, node, tag those whose key another node has too, with n0 and n1; keys are counted in tasks before they are shuffled."""
     role = F.col("tag").bitwiseAND(1)
-    out = rows.withColumns({"lo": F.min("node").over(w), "hi": F.max("node").over(w), "n0": F.sum(1 - role).over(w), "n1": F.sum(role).over(w)})
-    return out.filter((F.col("lo") != F.col("hi")) & (F.col("n0") > 0)).drop("lo", "hi")
+    keys = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.sum(1 - role).alias("n0"), F.sum(role).alias("n1"))
+    return rows.join(keys.filter("lo <> hi AND n0 > 0").select("key", "n0", "n1"), "key")
 
 
 def _field(name: str) -> Column:
@@ -183,18 +217,26 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """node, root: the smallest node reachable over links (a, b), for every node of a link. Min-label
-    hooking with pointer jumping; every round is written, so a lost executor costs one round."""
-    sym = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), name)
-    labels = written(sym.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), name)
-    while True:
-        near = written(sym.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("r")), name)
-        low = labels.join(near, "node").select("node", F.least("root", "r").alias("mid"), F.col("root").alias("was"))
-        up = labels.select(F.col("node").alias("mid"), F.col("root").alias("top"))
-        new = written(low.join(up, "mid", "left").select("node", F.least("mid", "top").alias("root"), "was"), name)
-        if not new.filter("root <> was").limit(1).count():
-            return new.select("node", "root")
-        labels = new.select("node", "root")
+    """node, root: the smallest node reachable over links (a, b), for every node of a link.
+
+    Each round every node takes its smallest neighbour's neighbour, links are drawn between what was taken, and
+    loops and repeated links go, so that fewer are left for the next round. A lost executor costs one round.
+    """
+    edges = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), name)
+    part, used = None, []
+    while part is None or not edges.isEmpty():
+        ends = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hook = ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
+        step = written(hook.join(hook.select(F.col("node").alias("root"), F.col("root").alias("top")), "root").select("node", "top"), name)
+        moved = step.select(F.col("node").alias("root"), "top")
+        part = moved.toDF("node", "root") if part is None else part.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        ends = edges.join(step.toDF("a", "x"), "a").join(step.toDF("b", "y"), "b").filter("x <> y")
+        fewer = written(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), name)
+        used += [edges, step]
+        edges = fewer
+    out = written(part, name) if len(used) > 2 else part
+    forget(edges, *(used if len(used) > 2 else used[:1]), shuffles=False)
+    return out
 
 
 def _merging(nodes_: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray, off: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
@@ -242,32 +284,38 @@ def _merging(nodes_: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.
 def _crowds(hot: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """Merging links (a, b) among nodes that meet at crowded segments.
 
-    Nodes connected over crowded segments form a crowd; a crowd is cut into blocks of about `block`
-    tokens, and every two blocks are compared in a task of their own, in place: only links that merge
-    components leave it, never the pairs.
+    Components connected over crowded segments form a crowd. Its nodes are banded by size, so that similar ones are at
+    most one band apart, and a band is dealt into blocks of about `block` tokens. Every two blocks of a band or of
+    neighbouring bands are compared in a task of their own, in place: only links that merge components leave it.
     """
-    hubs = hot.groupBy("key").agg(F.min("node").alias("a"))
-    edges = written(hot.select("key", F.col("node").alias("b")).join(hubs, "key").filter("a <> b").select("a", "b").distinct(), "jaccard-edges")
-    crowd = components(edges, "jaccard-crowd").withColumnRenamed("root", "crowd")
-    who = hot.groupBy("node").agg(F.min("root").alias("root"), F.max("n").alias("n")).join(crowd, "node")
-    who = written(who, "jaccard-who")
-    blocks = who.groupBy("crowd").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks"))
-    dealt = who.join(blocks, "crowd").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("crowd", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root").join(sets, "node")
+    low = hot.groupBy("key").agg(F.min("root").alias("a"))
+    crowd = components(hot.select("key", F.col("root").alias("b")).distinct().join(low, "key").select("a", "b"), "jaccard-crowd").select(F.col("node").alias("root"), F.col("root").alias("crowd"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) - 1e-9).cast("int")
+    who = written(hot.select("node", "root", "n").distinct().join(crowd, "root").withColumn("band", band), "jaccard-who")
+    blocks = written(who.groupBy("crowd", "band").agg(F.ceil(F.sum("n") / block).cast("int").alias("blocks")), "jaccard-blocks")
+    shifted = lambda by, name: blocks.select("crowd", (F.col("band") + by).alias("band"), F.col("blocks").alias(name))
+    dealt = who.join(blocks, ["crowd", "band"]).join(shifted(-1, "above"), ["crowd", "band"], "left").join(shifted(1, "below"), ["crowd", "band"], "left")
+    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    upto = lambda k: F.when(F.col(k) > 0, F.sequence(F.lit(0), F.col(k) - 1)).otherwise(F.array().cast("array<int>"))
+    mine = F.col("mine")
+    # a task is (crowd, band, i, j): blocks i <= j of a band, or block i of a band and block -2 - j of the next
+    same = F.transform(upto("blocks"), lambda o: F.struct(F.col("band").alias("band"), F.least(mine, o).alias("i"), F.greatest(mine, o).alias("j"), F.when(o == mine, 2).when(mine < o, 0).otherwise(1).alias("side")))
+    over = F.transform(upto("above"), lambda o: F.struct(F.col("band").alias("band"), mine.alias("i"), (-2 - o).alias("j"), F.lit(0).alias("side")))
+    under = F.transform(upto("below"), lambda o: F.struct((F.col("band") - 1).alias("band"), o.alias("i"), (-2 - mine).alias("j"), F.lit(1).alias("side")))
+    dealt = dealt.withColumn("t", F.explode(F.concat(same, over, under))).select("crowd", "t.*", "node", "root").join(sets, "node")
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        mine, i, j = (t[x].to_numpy() for x in ("mine", "i", "j"))
+        side = t["side"].to_numpy()
         lists = t["s"].combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         size = np.asarray(lists.value_lengths())
         off = np.concatenate([[0], np.cumsum(size)])
-        left, right = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
-        found = _merging(t["node"].to_numpy(), t["root"].to_numpy(), left, right, off, lists.flatten().to_numpy())
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        found = _merging(t["node"].to_numpy(), t["root"].to_numpy(), left, right, off, lists.flatten().to_numpy()) if len(left) and len(right) else []
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return dealt.groupBy("crowd", "i", "j").applyInArrow(compare, "a long, b long")
+    return dealt.groupBy("crowd", "band", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
@@ -283,7 +331,7 @@ def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     for _ in range(ROUNDS):
         look = written(_allocated(rows), "jaccard-look")
         kept, old = look.select("node", "c").distinct(), rows
-        rows = written(_shared(rows.drop("n0", "n1").withColumn("c", _field("c")).join(kept, ["node", "c"]).drop("c").select("key", "node", "tag")), "jaccard-shared")
+        rows = written(_counted(rows.drop("n0", "n1").withColumn("c", _field("c")).join(kept, ["node", "c"]).select("key", "node", "tag")), "jaccard-shared")
         forget(old, look)
     look = written(_allocated(rows), "jaccard-look")
     members = rows.withColumns({"role": _field("role"), "c": _field("c"), "seg": _field("seg"), "n": _field("n")}).join(look, ["node", "c", "seg"], "left").select("key", "node", "role", "n", F.coalesce("e", F.lit(-1)).alias("e"))
@@ -308,31 +356,38 @@ def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
 
     sets = written(picked.mapInArrow(sets_of, "node long, s array<long>").dropDuplicates(["node"]), "jaccard-whole")
 
-    # One hub for each shared segment; each node is checked against the hubs it meets most.
-    hubs = written(members.filter("role = 0").groupBy("key").agg(F.min("node").alias("hub")), "jaccard-hubs")
-    met = members.join(hubs, "key").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("k"))
-    met = met.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.desc("k"), "hub"))).filter("r <= 2")
-    star = written(met.select(F.col("hub").alias("a"), F.col("node").alias("b")), "jaccard-star")
-    links = written(_verified(star, sets), "jaccard-links")
-    forget(hubs, star)
-    part = components(links)
-
-    # All that is left: pairs between different components at a segment where one of them looks.
-    here = written(members.join(part, "node", "left").withColumn("root", F.coalesce("root", "node")), "jaccard-here")
-    groups = here.groupBy("key", "root").agg(F.max("e").alias("e"))
-    several = groups.groupBy("key").agg(F.count("*").alias("roots"), F.max("e").alias("look")).filter("roots > 1 and look >= 0").select("key", "roots")
-    open_ = written(here.join(several, "key"), "jaccard-open")
-    forget(members, here)
-    cold, hot = open_.filter(F.col("roots") <= crowd), open_.filter(F.col("roots") > crowd)
-    other = written(cold.groupBy("key", F.col("root").alias("with")).agg(F.max("e").alias("best")), "jaccard-other")
-    x = cold.join(other, "key").filter("root <> with and (e >= 0 or best >= 0)")
-    y = cold.select("key", F.col("root").alias("with"), F.col("node").alias("b"), F.col("role").alias("role_b"), F.col("n").alias("n_b"), F.col("e").alias("e_b"))
-    pairs = x.join(y, ["key", "with"]).filter("node < b and 100 * least(n, n_b) >= 80 * greatest(n, n_b)")
+    # Rounds against hubs; after each, what is left are segments where components meet and one of them looks.
+    here = members.withColumn("root", F.col("node"))
+    links = part = None
+    useful = True
+    for r in range(HUBS + 1):
+        keys = here.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("e").alias("look"), F.count("*").alias("nodes"), F.min_by(F.struct(F.col("node").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("node", F.lit(r))).alias("h"))
+        keys = keys.filter("lo <> hi AND look >= 0").select("key", "nodes", "h.*")
+        open_ = written(here.join(keys, "key"), "jaccard-open")
+        forget(members)
+        members = open_
+        if r == HUBS or not useful or open_.isEmpty():
+            break
+        met = open_.filter("root <> hub_root").groupBy("node", "hub").agg(F.count("*").alias("k"))
+        met = met.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.desc("k"), "hub"))).filter(F.col("r") <= MET)
+        star = written(met.select(F.col("hub").alias("a"), F.col("node").alias("b")), "jaccard-star")
+        found = written(_verified(star, sets), "jaccard-links")
+        n = found.count()
+        useful = n > 0 and n >= USEFUL * star.count()
+        forget(star, shuffles=False)
+        links = found if links is None else links.union(found)
+        part = components(links) if n or part is None else part
+        here = open_.drop("root", "nodes", "hub", "hub_root").join(part, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    cold, hot = open_.filter(F.col("nodes") <= crowd), open_.filter(F.col("nodes") > crowd)
+    y = cold.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("role").alias("role_b"), F.col("n").alias("n_b"), F.col("e").alias("e_b"))
+    pairs = cold.join(y, "key").filter("node < b and root <> root_b and 100 * least(n, n_b) >= 80 * greatest(n, n_b)")
     pairs = pairs.filter("(role = 0 and role_b = 0 and greatest(e, e_b) >= 0) or (role <> role_b and greatest(e, e_b) = 1)")
     rest = written(pairs.select(F.col("node").alias("a"), "b").distinct(), "jaccard-rest")
-    more = written(_verified(rest, sets).union(_crowds(hot, sets, block)), "jaccard-links")
-    forget(rest, other, open_, sets)
-    part = components(links.union(more))
+    more = _verified(rest, sets)
+    more = written(more if hot.isEmpty() else more.union(_crowds(hot, sets, block)), "jaccard-links")
+    forget(rest, open_, sets, shuffles=False)
+    part = components(more if links is None else links.union(more))
 
     # From nodes to documents.
     named = written(first, "jaccard-first").join(part, "node", "left")
