@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +91,16 @@ def codepoints(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), lead[off]
 
 
+def beyond(points: np.ndarray, table: np.ndarray, rule: Callable[[str], int]) -> np.ndarray:
+    """table[points], with the rule itself for code points beyond the table."""
+    out = table[np.minimum(points, len(table) - 1)]
+    far = points >= len(table)
+    if far.any():
+        rare, where = np.unique(points[far], return_inverse=True)
+        out[far] = np.array([rule(chr(c)) for c in rare.tolist()], table.dtype)[where]
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser over uint64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -167,3 +177,19 @@ def small_enough(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> bool:
     return df.count() * row_bytes <= limit
 
 
+def measured_small(df: DataFrame, limit: int = 32 << 20) -> bool:
+    """Whether the rows of df, strings by their bytes and other columns at 16, stay below what may be broadcast."""
+    size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) + 32 if f.dataType.simpleString() == "string" else F.lit(16) for f in df.schema.fields), F.lit(0))
+    return (df.agg(F.sum(size)).first()[0] or 0) <= limit
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names that df lacks, one for each of `names`, for helper columns beside those of the caller."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out

@@ -7,19 +7,26 @@ elements at its host's winning path. A page without such an element uses its own
 Inside the container, menus, headers and footers of the site, sidebars, notices, adverts, forms,
 scripts, styles and reader comments are left out.
 
+A path is named by a 64-bit hash of its element's label (tag and all class, id and role words, in
+order, without digits) and its parent's path, so that a vote has one size at any depth. Elements are
+kept as a tree of parent numbers and all sums run once over it: time and memory of a page are in
+proportion to its length, whatever its markup. A `<` that no `>` follows is text.
+
 Blocks keep page order and are joined by one line feed; character references are decoded, white
 space in a block becomes one space, and a line break inside a block counts as white space.
 
 Null pages and pages without text give the empty string. A null url has the empty host. Repeated
 rows are extracted alike and vote each. Pages are read whole. An empty table gives an empty result.
-Other columns are ignored. Winning paths are one small row a host: broadcast only while counted
-small, joined by host otherwise.
+Other columns are ignored. Winning paths are one small row a host: broadcast while measured small,
+else joined by host and a salt, so that a host with a third of all pages is no single task.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,14 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import small_enough, sub_batches
+from docketflow.llm.common import measured_small, sub_batches, written
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"[A-Za-z][A-Za-z0-9:-]*")
+_STOP = re.compile(r"[>\"']")
 _CLASS = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PARTS = re.compile(r"[^a-z]+")
 # Fixed values of HTML: elements without content, elements of raw text, elements that stay inside a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg select option xmp noframes".split())
+RAW = set("script style noscript template textarea title iframe svg select option noframes".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 #: Elements and class words of what surrounds an article.
@@ -47,182 +55,251 @@ WORDS = set(
 SITE = {"header", "masthead", "topbar"}
 HOLDS = {"article", "main"}
 CONTAINERS = {"div", "article", "main", "section", "td", "body"}
+#: Which open elements a start tag ends, if nearer than those that hold it.
+ENDS = {x: frozenset(["p"]) for x in CLOSES_P} | {"li": frozenset(["p", "li"])} | {x: frozenset(["p", "dt", "dd"]) for x in ("dt", "dd")} | {x: frozenset(["p", "td", "th"]) for x in ("td", "th")} | {"tr": frozenset(["p", "td", "th", "tr"])}
+SCOPE = frozenset("ul ol dl table div article section blockquote".split())
 MOST, HALF = 0.8, 0.5  # of a page's own text, from which an element is no mere surrounding
 DECAY = 0.7  # of a block's worth for each container further out
 SLIGHT = 1.2
+SALTS = 64  # tasks that a host's pages may take where they are shuffled
 
 
 class Block:
-    __slots__ = ("chain", "link", "out", "text")
+    """Text of one element up to the next border of a block."""
+
+    __slots__ = ("element", "link", "out", "text")
+
+    def __init__(self, element: int, out: bool):
+        self.element, self.out, self.text, self.link = element, out, [], 0
+
+
+class Tree:
+    """Elements by number, each after its parent: parent, path hash, and what kind of holder it is."""
+
+    def __init__(self):
+        self.parent, self.path, self.kind = array("i", [-1]), array("q", [0]), array("b", [1])  # 2 article or main, 1 container, 0 other, -1 body, html
 
-    def __init__(self, chain: tuple[int, ...], out: bool):
-        self.chain, self.out, self.text, self.link = chain, out, [], 0
+    def add(self, parent: int, name: str, words: list[str]) -> int:
+        label = f"{self.path[parent]}>{name}.{'.'.join(words)}".encode()
+        self.parent.append(parent)
+        self.path.append(int.from_bytes(hashlib.blake2b(label, digest_size=8).digest(), "little", signed=True))
+        self.kind.append(2 if name in HOLDS else -1 if name in ("body", "html") else 1 if name in CONTAINERS else 0)
+        return len(self.parent) - 1
 
+    def below(self, marked: set[int]) -> bytearray:
+        """For every element whether it or one around it is marked."""
+        out = bytearray(len(self.parent))
+        for k, up in enumerate(self.parent):
+            out[k] = k in marked or (up >= 0 and out[up])
+        return out
 
-def parse(page: str | None) -> tuple[list[Block], list[str]]:
-    """Blocks in page order, each with the elements around it, and the generalised path of every element."""
+    def summed(self, own: list[float]) -> list[float]:
+        """Sums of `own` over each element and all within it."""
+        for k in range(len(own) - 1, 0, -1):
+            own[self.parent[k]] += own[k]
+        return own
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Start, end, lower-cased name, whether it is an end tag, and attributes of every tag; comments and the like have no
+    name. The caller may send the place to go on from. A quote counts after `=` only; where quotes don't close before
+    the page ends, tags end at the next `>` from there on."""
+    at, last, quotes = 0, page.rfind(">"), True
+    while True:
+        i = page.find("<", at)
+        if i < 0 or i > last:
+            return
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            at = len(page) if end < 0 else end + 3
+            yield i, at, "", False, ""
+            continue
+        closing = page.startswith("/", i + 1)
+        m = _NAME.match(page, i + 1 + closing)
+        if not m:
+            if closing or page.startswith(("!", "?"), i + 1):
+                at = page.find(">", i) + 1
+                yield i, at, "", False, ""
+            else:
+                at = i + 1
+            continue
+        k = m.end()
+        while quotes:
+            stop = _STOP.search(page, k)
+            if not stop:
+                quotes = False
+            elif stop[0] == ">":
+                k = stop.end()
+                break
+            elif page[k : stop.start()].rstrip().endswith("="):
+                k = page.find(stop[0], stop.end()) + 1
+                if not k:
+                    quotes = False
+            else:
+                k = stop.end()
+        if not quotes:
+            k = page.find(">", m.end()) + 1
+        at = (yield i, k, m[0].lower(), closing, page[m.end() : k - 1]) or k
+
+
+def parse(page: str | None) -> tuple[list[Block], Tree]:
+    """Blocks in page order and the tree of elements."""
+    page = page or ""
     blocks: list[Block] = []
-    paths = [""]
+    tree = Tree()
     soft: dict[int, bool] = {}  # elements left out by a word or as a form; whether a whole class is the word
     holds: set[int] = set()
-    # open elements: name, element number or -1 for inline, left out, inside an article, link depth
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
-    chain: tuple[int, ...] = (0,)
-    links = 0
-    block = Block(chain, False)
-    blocks.append(block)
-    page = page or ""
-    at = 0
-    find = _TOKEN.search
+    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # open elements: name, left out, inside an article
+    where: dict[str, list[int]] = {}  # places in the stack by name
+    elements, places = [0], [0]  # open elements that are no inline ones, and their places in the stack
+    block: Block | None = None
+    links = at = 0
 
-    def fresh() -> None:
+    def text(piece: str) -> None:
         nonlocal block
-        chain_now = tuple(x[1] for x in stack if x[1] >= 0)
-        if block.text or block.chain != chain_now:
-            block = Block(chain_now, stack[-1][2])
+        if block is None:
+            block = Block(elements[-1], stack[-1][1])
             blocks.append(block)
-
-    while True:
-        m = find(page, at)
-        end = m.start() if m else len(page)
-        if end > at:
-            piece = page[at:end]
-            block.text.append(piece)
-            if links:
-                block.link += len(piece)
-        if not m:
-            break
-        at = m.end()
-        name = m[2]
+        block.text.append(piece)
+        if links:
+            block.link += len(piece)
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            where[stack.pop()[0]].pop()
+            if places[-1] >= len(stack):
+                places.pop()
+                elements.pop()
+
+    def nearest(names: frozenset[str]) -> int:
+        return max((where[x][-1] for x in names if where.get(x)), default=0)
+
+    found = tags(page)
+    tag = next(found, None)
+    while tag:
+        start, end, name, closing, attributes = tag
+        if start > at:
+            text(page[at:start])
+        at, onward = end, None
         if not name:
-            continue
-        name = name.lower()
-        if m[1]:
+            pass
+        elif closing:
             if name == "a":
                 links = max(0, links - 1)
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-            if depth:
-                if name in INLINE and any(x[1] >= 0 for x in stack[depth + 1 :]):
-                    continue  # an inline end tag doesn't close blocks
-                del stack[depth:]
-            if name not in INLINE:
-                fresh()
-            continue
-        if name in RAW:
-            if not m[3].endswith("/"):
-                close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = close.end() if close else len(page)
-            continue
-        if name == "br":
-            block.text.append(" ")
-        if name in VOID:
+            depth = nearest(frozenset((name,)))
+            if depth and not (name in INLINE and places[-1] > depth):  # an inline end tag doesn't close blocks
+                close(depth)
+                if name not in INLINE:
+                    block = None
+            elif not depth and name not in INLINE:
+                block = None
+        elif name in RAW or name == "xmp":
+            if not attributes.endswith("/"):
+                over = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+                if name == "xmp":
+                    block = None
+                    text(page[at : over.start() if over else len(page)].replace("&", "&amp;"))
+                    block = None
+                at = onward = over.end() if over else len(page)
+        elif name in VOID:
+            if name == "br":
+                text(" ")
             if name == "hr":
-                fresh()
-            continue
-        if name == "a":
-            links += 1
-        if name in INLINE:
-            stack.append((name, -1, stack[-1][2], stack[-1][3]))
-            continue
-        if name in CLOSES_P or name in ("li", "dt", "dd", "tr", "td", "th"):
-            mine = {"p"} if name in CLOSES_P else {"p", name} if name == "li" else {"p", "dt", "dd"} if name in ("dt", "dd") else {"p", "td", "th"} | ({"tr"} if name == "tr" else set())
-            stop = {"ul", "ol", "dl", "table", "div", "article", "section", "blockquote"}
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in mine:
-                    del stack[k:]
-                    break
-                if stack[k][0] in stop:
-                    break
-        links = 0 if name == "p" else links
-        number = len(paths)
-        marks = [v.strip("\"'").lower() for _, v in _CLASS.findall(m[3])] if m[3] else []
-        words = {w for v in marks for w in _PARTS.split(v) if w}
-        inside = stack[-1][3] or name in HOLDS
-        out = stack[-1][2] or name in OUTSIDE or (not inside and name == "header")
-        known = WORDS if inside else WORDS | SITE
-        if name == "form" or (words & known and name not in ("body", "html", "main", "article")) or (not inside and words & SITE):
-            soft[number] = any(v in known for m_ in marks for v in m_.split())
-        if name in HOLDS:
-            holds.add(number)
-        label = name + "".join("." + w for w in sorted(words)[:4])
-        parent = next(x[1] for x in reversed(stack) if x[1] >= 0)
-        paths.append(f"{paths[parent]}>{label}")
-        stack.append((name, number, out, inside))
-        fresh()
+                block = None
+        elif name in INLINE:
+            links += name == "a"
+            where.setdefault(name, []).append(len(stack))
+            stack.append((name, *stack[-1][1:]))
+        else:
+            if name in ENDS:
+                depth = nearest(ENDS[name])
+                if depth and depth > nearest(SCOPE):
+                    close(depth)
+            links = 0 if name == "p" else links
+            marks = [v.strip("\"'").lower() for _, v in _CLASS.findall(attributes)] if attributes else []
+            words = {w for v in marks for w in _PARTS.split(v) if w}
+            inside = stack[-1][2] or name in HOLDS
+            out = stack[-1][1] or name in OUTSIDE or (not inside and name == "header")
+            known = WORDS if inside else WORDS | SITE
+            number = tree.add(elements[-1], name, sorted(words))
+            if name == "form" or (words & known and name not in ("body", "html", "main", "article")) or (not inside and words & SITE):
+                soft[number] = any(v in known for m_ in marks for v in m_.split())
+            if name in HOLDS:
+                holds.add(number)
+            where.setdefault(name, []).append(len(stack))
+            places.append(len(stack))
+            elements.append(number)
+            stack.append((name, out, inside))
+            block = None
+        try:
+            tag = found.send(onward)
+        except StopIteration:
+            tag = None
+    if at < len(page):
+        text(page[at:])
     if soft:
-        settle(blocks, soft, holds)
-    return blocks, paths
+        settle(blocks, tree, soft, holds)
+    return blocks, tree
 
 
-def settle(blocks: list[Block], soft: dict[int, bool], holds: set[int]) -> None:
+def settle(blocks: list[Block], tree: Tree, soft: dict[int, bool], holds: set[int]) -> None:
     """Leave out the blocks in surroundings known by a word, except in elements that wrap the article.
 
     Such an element holds all text of article and main elements, and that is half of the page's; or, if no whole class
     is the word (`has-sidebar`, a form), it holds most of the page's text. If nothing is left, words don't count.
     """
-    live = [(b, max(0, sum(len(x.strip()) for x in b.text) - b.link)) for b in blocks if not b.out and b.text]
-    page = held = 0
-    within, held_in = dict.fromkeys(soft, 0), dict.fromkeys(soft, 0)
+    live = [(b, max(0, sum(len(x.strip()) for x in b.text) - b.link)) for b in blocks if not b.out]
+    mine = tree.below(holds)
+    within, held_in = [0] * len(mine), [0] * len(mine)
     for b, n in live:
-        mine = bool(holds.intersection(b.chain))
-        page += n
-        held += n * mine
-        for e in b.chain:
-            if e in soft:
-                within[e] += n
-                held_in[e] += n * mine
-    kept = {e for e in soft if page and ((held >= HALF * page and held_in[e] == held) or (not soft[e] and within[e] >= MOST * page))}
-    gone = soft.keys() - kept
-    if all(not n or gone.intersection(b.chain) for b, n in live):
+        within[b.element] += n
+        held_in[b.element] += n * mine[b.element]
+    within, held_in = tree.summed(within), tree.summed(held_in)
+    page, held = within[0], held_in[0]
+    gone = tree.below({e for e in soft if not (page and ((held >= HALF * page and held_in[e] == held) or (not soft[e] and within[e] >= MOST * page)))})
+    if all(not n or gone[b.element] for b, n in live):
         return
     for b, _ in live:
-        b.out = bool(gone.intersection(b.chain))
+        b.out = bool(gone[b.element])
 
 
 def clean(block: Block) -> str:
     return " ".join(entities.unescape("".join(block.text)).split())
 
 
-def best(blocks: list[Block], paths: list[str]) -> tuple[str, float]:
-    """Path and score of the container that holds most of the page's own text."""
-    scores: dict[int, float] = {}
-    total: dict[int, float] = {}
-    up: dict[int, int] = {}
+def best(blocks: list[Block], tree: Tree) -> tuple[int, float]:
+    """Number and score of the container that holds most of the page's own text; -1 if there is none."""
+    scores, total = [0.0] * len(tree.parent), [0.0] * len(tree.parent)
     for b in blocks:
-        if b.out or not b.text:
+        if b.out:
             continue
         n = sum(map(len, b.text))
-        worth = n - 2.0 * b.link
-        up.update(zip(b.chain[1:], b.chain, strict=False))
-        for element in b.chain:
-            total[element] = total.get(element, 0) + n
-        if worth <= 0:
-            continue
+        total[b.element] += n
         # the block's own element lends its worth to what holds it
-        last = paths[b.chain[-1]].rpartition(">")[2].partition(".")[0]
-        holders = b.chain if len(b.chain) == 1 or last in CONTAINERS else b.chain[:-1]
-        for level, element in enumerate(reversed(holders)):
-            scores[element] = scores.get(element, 0) + worth * DECAY**level
-    if not scores:
-        return "", 0.0
-    name = lambda k: paths[k].rpartition(">")[2].partition(".")[0]
-    for k in scores:
-        scores[k] *= 2 if name(k) in HOLDS else 1
-    element = max(scores, key=lambda k: (scores[k], -k))
+        holder = b.element if b.element == 0 or abs(tree.kind[b.element]) else tree.parent[b.element]
+        scores[holder] += max(0.0, n - 2.0 * b.link)
+    for k in range(len(scores) - 1, 0, -1):
+        scores[tree.parent[k]] += DECAY * scores[k]
+        scores[k] *= 2 if tree.kind[k] == 2 else 1
+    total = tree.summed(total)
+    element = max(range(len(scores)), key=lambda k: (scores[k], -k))
+    if not scores[element]:
+        return -1, 0.0
     # a parent that adds little, such as a heading, is taken with it; the page's body is not
-    while name(element) not in HOLDS and up.get(element, 0) and name(up[element]) not in ("body", "html") and total[up[element]] <= SLIGHT * total[element]:
-        element = up[element]
-    return paths[element], scores.get(element, total[element])
+    while tree.kind[element] != 2 and (up := tree.parent[element]) > 0 and tree.kind[up] != -1 and total[up] <= SLIGHT * total[element]:
+        element = up
+    return element, scores[element] or total[element]
 
 
-def extract(page: str | None, path: str | None) -> str:
+def extract(page: str | None, path: int | None) -> str:
     """The text of the blocks at a path, or of the page's own best container if it has no such element."""
-    blocks, paths = parse(page)
-    wanted = {k for k, p in enumerate(paths) if p == path} if path else set()
-    if not any(wanted.intersection(b.chain) and not b.out and b.text for b in blocks):
-        path = best(blocks, paths)[0]
-        wanted = {k for k, p in enumerate(paths) if p == path}
-    texts = (clean(b) for b in blocks if not b.out and b.text and wanted.intersection(b.chain))
+    blocks, tree = parse(page)
+    blocks = [b for b in blocks if not b.out]
+    wanted = tree.below({k for k, p in enumerate(tree.path) if p == path} if path is not None else set())
+    if not any(wanted[b.element] for b in blocks):
+        element = best(blocks, tree)[0]
+        wanted = tree.below({k for k, p in enumerate(tree.path) if element >= 0 and p == tree.path[element]})
+    texts = (clean(b) for b in blocks if wanted[b.element])
     return "\n".join(t for t in texts if t)
 
 
@@ -231,26 +308,35 @@ def host(url: str = "url") -> F.Column:
 
 
 def winners(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """host, path: the path with most votes, then most text, then first in order."""
+    """host, path, votes: the path with most votes, then most text, then the least hash."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in sub_batches(big, "html", 4 << 20):
-                got = [best(*parse(p)) for p in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([p for p, _ in got], pa.string()), pa.array([round(s) for _, s in got], pa.int64())], ["host", "path", "worth"])
-
-    votes = pages.select(host(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(vote, "host string, path string, worth long")
-    counted = votes.filter(F.col("path") != "").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("worth").alias("worth"))
+                path, worth = [], []
+                for page in b.column(1).to_pylist():
+                    blocks, tree = parse(page)
+                    element, score = best(blocks, tree)
+                    path.append(tree.path[element] if element > 0 else None)
+                    worth.append(round(score))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(path, pa.int64()), pa.array(worth, pa.int64())], ["host", "path", "worth"])
+
+    votes = pages.select(host(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(vote, "host string, path long, worth long")
+    counted = votes.filter("path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("worth").alias("worth"))
     order = W.partitionBy("host").orderBy(F.desc("votes"), F.desc("worth"), "path")
     return counted.withColumn("r", F.row_number().over(order)).filter("r = 1").select("host", "path", "votes")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text."""
-    won = winners(pages, html_col, url_col).select("host", "path")
+    won = written(winners(pages, html_col, url_col).select("host", "path"), "html-paths")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host(url_col).alias("host"), F.col(html_col).alias("html"))
-    won = F.broadcast(won) if small_enough(pages.select(host(url_col).alias("host")).distinct(), 400) else won
-    rows = rows.join(won, "host", "left").select("page_id", "url", "html", "path")
+    if measured_small(won):
+        rows = rows.join(F.broadcast(won), "host", "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(won.withColumn("salt", salts), ["host", "salt"], "left")
+    rows = rows.select("page_id", "url", "html", "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:

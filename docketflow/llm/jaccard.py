@@ -320,11 +320,12 @@ def _crowds(hot: DataFrame, sets: DataFrame, block: int) -> DataFrame:
 
 def join(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    return rows(docs, width, id_col, text_col, crowd, block).drop("row")
+    return rows(docs, width, id_col, text_col, crowd, block).select("doc_id", "n_shingles", "component_id")
 
 
 def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
-    """doc_id, row, n_shingles, component_id of every row; `row` is the text's xxhash64, which tells rows without an id apart."""
+    """doc_id, row, n_shingles, component_id, root of every row; `row` is the text's xxhash64, which tells rows without an
+    id or with a shared one apart, and `root` names the component, null for the empty set."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     meta = written(_set_table(docs.withColumn("row", F.xxhash64("text")), width), "jaccard-sets")
     rows = written(_shared(_index_rows(docs, width)).dropDuplicates(["key", "node", "tag"]), "jaccard-shared")
@@ -393,9 +394,9 @@ def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     named = written(first, "jaccard-first").join(part, "node", "left")
     named = written(named.select("node", "doc_id", F.coalesce("root", "node").alias("root")), "jaccard-named")
     lowest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    lowest = written(named.join(written(lowest, "jaccard-lowest"), "root").select("node", "component_id"), "jaccard-component")
-    some = meta.filter("n_shingles > 0").join(lowest, "node").select("doc_id", "row", "n_shingles", "component_id")
-    return some.union(meta.filter("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id")))
+    lowest = written(named.join(written(lowest, "jaccard-lowest"), "root").select("node", "component_id", "root"), "jaccard-component")
+    some = meta.filter("n_shingles > 0").join(lowest, "node").select("doc_id", "row", "n_shingles", "component_id", "root")
+    return some.union(meta.filter("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long")))
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from docketflow.llm.common import buffers, codepoints, fold, sub_batches
+from docketflow.llm.common import beyond, buffers, codepoints, fold, sub_batches
 
 BUCKETS = 1 << 15
 ROUNDS = 6
@@ -38,7 +38,7 @@ def letters(points: np.ndarray) -> np.ndarray:
                 low = c.lower()
                 t[i] = ord(low) if len(low) == 1 else i
         _TABLE.append(t)
-    return _TABLE[0][np.minimum(points, 0x2FFFF)]
+    return beyond(points, _TABLE[0], lambda c: ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else ord(c) if c.isalpha() else 32)
 
 
 def trigrams(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,11 +77,14 @@ def fit(docs: DataFrame, parts: int = 5, held: int = 0, id_col: str = "doc_id",
             k = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array([x] * len(k), pa.string()), pa.array(k.astype(np.int32)), pa.array(s[k].astype(np.int64))], ["lang", "bucket", "n"])
 
-    got = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()  # languages x buckets at most
-    names = sorted({r.lang for r in got})
+    got = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages x buckets numbers at most
+    lang = got["lang"].combine_chunks().dictionary_encode()
+    lang = lang.combine_chunks() if isinstance(lang, pa.ChunkedArray) else lang
+    names = sorted(lang.dictionary.to_pylist())
     table = np.full((len(names), BUCKETS), 0.5)
-    for r in got:
-        table[names.index(r.lang), r.bucket] += r.n
+    if names:
+        order = np.argsort(np.argsort(np.array(lang.dictionary.to_pylist(), object)))
+        table[order[lang.indices.to_numpy()], got["bucket"].to_numpy()] += got["n"].to_numpy()
     return {"names": names, "logp": np.ascontiguousarray(np.log(table / table.sum(1, keepdims=True)).T).astype(np.float32)}
 
 
@@ -131,8 +134,10 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", pred: str = "l
     """docs with the predicted language and its share added; columns of those names are replaced."""
     docs = docs.drop(pred, share_col)
     names, at = docs.columns, docs.columns.index(text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets numbers: once an executor, not in every task
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
         langs = np.array([*model["names"], "und"], object)
         for big in batches:
             for b in sub_batches(big, text_col, 2 << 20):

@@ -6,13 +6,16 @@ granules are empty (side information zero, so they decode as silence) and whose
 ancillary data, carries the payload bytes unchanged. Each frame has the standard's CRC-16 over its
 header and side information.
 
-`parse` knows nothing of the writer: it skips ID3 tags, resynchronises on frame headers (a header
-counts when another header or the end follows at its length), parses Xing and VBRI tables, verifies
-checksums and gives the exact duration in samples, and the seek offset of every frame.
-
-Null texts count as empty. Equal texts give equal files. Long texts are framed whole. A stream
-without any valid frame parses to zero frames and an empty payload. Rows keep their number; other
-columns are ignored.
+`parse` knows nothing of the writer: it reads ID3v2.2 to 2.4 tags, resynchronises on frame headers of
+Layers I, II and III (a header counts when another header or the end follows at its length), parses
+Xing and VBRI tables by the fields that their flags and sizes announce and no further than the data
+go, verifies checksums (of Layers I and III; those of Layer II are counted as unverified) and gives
+the exact duration in samples, and the seek offset of every frame.
+
+Null and empty texts are 64 zero bytes. Equal texts give equal files. Long texts are framed whole. A
+stream without any valid frame parses to zero frames and an empty payload; a table cut short has
+only the fields that are there. Repeated rows, rows without an id and rows that share one are stored
+each on its own, with the id they have. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +33,11 @@ from pyspark.sql import functions as F
 
 from docketflow.llm.common import sub_batches
 
-# Fixed values of ISO/IEC 11172-3 and 13818-3: kbit/s by index for Layer III, Hz by index, CRC polynomial.
+# Fixed values of ISO/IEC 11172-3 and 13818-3: kbit/s by index (MPEG-1 Layers III, II, I, then MPEG-2 Layers III and II, I), Hz by index, CRC polynomial.
 RATES_V1 = (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320)
+RATES_V1_II = (0, 32, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320, 384)
+RATES_V1_I = (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448)
+RATES_V2_I = (0, 32, 48, 56, 64, 80, 96, 112, 128, 144, 160, 176, 192, 224, 256)
 RATES_V2 = (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160)
 HERTZ_V1 = (44100, 48000, 32000)
 POLYNOMIAL = 0x8005
@@ -96,15 +103,28 @@ def frames(payload: bytes) -> bytes:
     return id3 + xing.ljust(size, b"\0") + b"".join(body)
 
 
+@dataclass
+class Table:
+    """A variable-bitrate table: what it states; None or empty where it states nothing or is cut short."""
+
+    kind: str
+    frames: int | None = None
+    bytes: int | None = None
+    quality: int | None = None
+    toc: list[int] = field(default_factory=list)  # Xing: 256ths of the file at each percent; VBRI: bytes of each stretch
+
+
 @dataclass
 class Parsed:
     tags: dict[str, str] = field(default_factory=dict)
     frames: int = 0
     samples: int = 0
     hertz: int = 0
+    layers: set[int] = field(default_factory=set)
     bad_checksums: int = 0
+    unverified: int = 0
     skipped: int = 0  # bytes outside tags and frames
-    table: tuple[str, int, int] | None = None  # kind, frames, bytes of a variable-bitrate table
+    table: Table | None = None
     offsets: list[int] = field(default_factory=list)  # of every audio frame
     rates: dict[int, int] = field(default_factory=dict)  # kbit/s: frames
     payload: bytes = b""
@@ -114,69 +134,130 @@ class Parsed:
         return self.samples / self.hertz if self.hertz else 0.0
 
 
-def header(data: bytes, at: int) -> tuple[int, int, int, int, bool, int] | None:
-    """(length, samples, Hz, kbit/s, protected, side bytes) of a Layer III header, or None."""
-    if at + 4 > len(data) or data[at] != 0xFF or data[at + 1] & 0xE6 != 0xE2:
+class Header(NamedTuple):
+    length: int
+    samples: int
+    hertz: int
+    kbits: int
+    layer: int
+    protected: bool
+    side: int  # bytes after the header (and checksum) before the main data; Layer III only
+    covered: int  # of which the checksum covers so many; -1 if it isn't verified
+
+
+def header(data: bytes, at: int) -> Header | None:
+    """The frame header at a place, or None."""
+    if at + 4 > len(data) or data[at] != 0xFF or data[at + 1] & 0xE0 != 0xE0:
         return None
-    version = data[at + 1] >> 3 & 3  # 3: MPEG-1, 2: MPEG-2, 0: MPEG-2.5
-    rate, hz = data[at + 2] >> 4, data[at + 2] >> 2 & 3
-    if version == 1 or rate in (0, 15) or hz == 3:
+    version, layer = data[at + 1] >> 3 & 3, 4 - (data[at + 1] >> 1 & 3)  # version 3: MPEG-1, 2: MPEG-2, 0: MPEG-2.5
+    rate, hz, pad = data[at + 2] >> 4, data[at + 2] >> 2 & 3, data[at + 2] >> 1 & 1
+    if version == 1 or layer == 4 or rate in (0, 15) or hz == 3:
         return None
-    one = version == 3
+    one, mono = version == 3, data[at + 3] >> 6 == 3
     hertz = HERTZ_V1[hz] >> (0 if one else 1 if version == 2 else 2)
+    protected = not data[at + 1] & 1
+    if layer == 1:
+        kbits = (RATES_V1_I if one else RATES_V2_I)[rate]
+        joint = 4 + 4 * (data[at + 3] >> 4 & 3) if data[at + 3] >> 6 == 1 else 32  # subbands of two channels
+        return Header((12000 * kbits // hertz + pad) * 4, 384, hertz, kbits, 1, protected, 0, 16 if mono else (joint * 2 + 32 - joint) // 2)
+    if layer == 2:
+        kbits = (RATES_V1_II if one else RATES_V2)[rate]
+        return Header(144000 * kbits // hertz + pad, SAMPLES_V1, hertz, kbits, 2, protected, 0, -1)
     kbits = (RATES_V1 if one else RATES_V2)[rate]
-    length = (144000 if one else 72000) * kbits // hertz + (data[at + 2] >> 1 & 1)
-    mono = data[at + 3] >> 6 == 3
     side = (17 if mono else 32) if one else (9 if mono else 17)
-    return length, SAMPLES_V1 if one else SAMPLES_V2, hertz, kbits, not data[at + 1] & 1, side
+    return Header((144000 if one else 72000) * kbits // hertz + pad, SAMPLES_V1 if one else SAMPLES_V2, hertz, kbits, 3, protected, side, side)
+
+
+def id3(data: bytes) -> tuple[dict[str, str], int]:
+    """User-defined texts of an ID3v2 tag at the start, by name, and where the tag ends (0 without one)."""
+    tags: dict[str, str] = {}
+    if data[:3] != b"ID3" or len(data) < 10:
+        return tags, 0
+    seven = lambda x: sum((v & 127) << 7 * (len(x) - 1 - k) for k, v in enumerate(x))
+    version, flags = data[3], data[5]
+    stop = min(len(data), 10 + seven(data[6:10]))
+    body = data[10:stop]
+    if flags & 0x80 and version < 4:  # unsynchronised: a zero after each 0xFF was put in
+        body = body.replace(b"\xff\0", b"\xff")
+    p, wide = 0, 4 if version > 2 else 3
+    if flags & 0x40 and version > 2 and len(body) >= 4:  # an extended header
+        p = seven(body[:4]) if version > 3 else 4 + int.from_bytes(body[:4], "big")
+    while p + (10 if wide == 4 else 6) <= len(body) and body[p]:
+        name, size = body[p : p + wide], body[p + wide : p + 2 * wide]
+        n = seven(size) if version > 3 else int.from_bytes(size, "big")
+        p += 10 if wide == 4 else 6
+        if name in (b"TXXX", b"TXX") and n:
+            kind = body[p] if p < len(body) else 0
+            code = {1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(kind, "latin-1")
+            key, _, value = body[p + 1 : p + n].decode(code, "replace").partition("\0")
+            tags[key.lstrip("\ufeff")] = value.lstrip("\ufeff").rstrip("\0")
+        p += n
+    return tags, min(len(data), stop + 10 * bool(flags & 0x10))
+
+
+def table(frame: bytes, side: int, body: int) -> Table | None:
+    """The variable-bitrate table that a Layer III frame holds in place of sound, or None."""
+    number = lambda at, n: int.from_bytes(frame[at : at + n], "big") if at + n <= len(frame) else None
+    for at in dict.fromkeys((body, 4 + side)):
+        kind = frame[at : at + 4]
+        flags = number(at + 4, 4)
+        if kind in (b"Xing", b"Info"):
+            out, p = Table(kind.decode()), at + 8
+            if flags is None:
+                return out
+            if flags & 1:
+                out.frames, p = number(p, 4), p + 4
+            if flags & 2:
+                out.bytes, p = number(p, 4), p + 4
+            if flags & 4:
+                out.toc, p = list(frame[p : p + 100]) if p + 100 <= len(frame) else [], p + 100
+            if flags & 8:
+                out.quality = number(p, 4)
+            return out
+    if frame[36:40] == b"VBRI":
+        out = Table("VBRI", number(50, 4), number(46, 4), number(44, 2))
+        count, scale, width = number(54, 2) or 0, number(56, 2) or 1, number(58, 2) or 0
+        if 1 <= width <= 4 and 62 + count * width <= len(frame):
+            out.toc = [scale * number(62 + k * width, width) for k in range(count)]
+        return out
+    return None
 
 
 def parse(data: bytes) -> Parsed:
     """Read an MPEG audio stream, whoever wrote it."""
-    out, at, end = Parsed(), 0, len(data)
-    if data[:3] == b"ID3" and end >= 10:
-        size = data[6] << 21 | data[7] << 14 | data[8] << 7 | data[9]
-        stop, p = min(end, 10 + size), 10
-        while p + 10 <= stop and data[p : p + 4].strip(b"\0"):
-            n = int.from_bytes(data[p + 4 : p + 8], "big")
-            if data[p : p + 4] == b"TXXX" and n:
-                name, _, value = data[p + 11 : p + 10 + n].partition(b"\0")
-                out.tags[name.decode("latin-1")] = value.decode("latin-1")
-            p += 10 + n
-        at = stop
+    out, end = Parsed(), len(data)
+    out.tags, at = id3(data)
     if data[-128:-125] == b"TAG" and end - at >= 128:
         end -= 128
     parts, first = [], True
     while at < end:
         h = header(data, at)
-        if h is None or at + h[0] > end or (at + h[0] < end and header(data, at + h[0]) is None):
+        if h is None or at + h.length > end or (at + h.length < end and header(data, at + h.length) is None):
             nxt = data.find(b"\xff", at + 1, end)
             nxt = end if nxt < 0 else nxt
             out.skipped += nxt - at
             at = nxt
             continue
-        length, samples, hertz, kbits, protected, side = h
-        start = at + 4 + 2 * protected
-        if protected and crc16(data[at + 2 : at + 4] + data[start : start + side]) != int.from_bytes(data[at + 4 : at + 6], "big"):
+        start = at + 4 + 2 * h.protected
+        if h.protected and h.covered < 0:
+            out.unverified += 1
+        elif h.protected and crc16(data[at + 2 : at + 4] + data[start : start + h.covered]) != int.from_bytes(data[at + 4 : at + 6], "big"):
             out.bad_checksums += 1
-        body = start + side
-        if first and data[body : body + 4] in (b"Xing", b"Info"):
-            flags, n, size = struct.unpack(">III", data[body + 4 : body + 16])
-            out.table = (data[body : body + 4].decode(), n if flags & 1 else 0, size if flags & 2 else 0)
-        elif first and data[at + 36 : at + 40] == b"VBRI":
-            size, n = struct.unpack(">II", data[at + 46 : at + 54])
-            out.table = ("VBRI", n, size)
+        body = start + h.side
+        if first and h.layer == 3 and (stated := table(data[at : at + h.length], h.side, body - at)):
+            out.table = stated
         else:
             out.frames += 1
-            out.samples += samples
-            out.hertz = hertz
+            out.samples += h.samples
+            out.hertz = h.hertz
+            out.layers.add(h.layer)
             out.offsets.append(at)
-            out.rates[kbits] = out.rates.get(kbits, 0) + 1
-            parts.append(data[body : at + length])
+            out.rates[h.kbits] = out.rates.get(h.kbits, 0) + 1
+            parts.append(data[body : at + h.length])
         first = False
-        at += length
+        at += h.length
     out.payload = b"".join(parts)
-    if out.tags.get("payload_bytes", "").isdigit():
+    if out.tags.get("payload_bytes", "").isdecimal():
         out.payload = out.payload[: int(out.tags["payload_bytes"])]
     return out
 
@@ -192,7 +273,7 @@ def media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     payload, n = padded(t)
                     stored = frames(payload)
                     p = parse(stored)
-                    rows.append((n, stored, p.payload, p.frames, p.samples, p.hertz, p.bad_checksums, p.skipped, p.table[1] if p.table else None, p.offsets, " ".join(f"{k}:{v}" for k, v in sorted(p.rates.items()))))
+                    rows.append((n, stored, p.payload, p.frames, p.samples, p.hertz, p.bad_checksums, p.skipped, p.table.frames if p.table else None, p.offsets, " ".join(f"{k}:{v}" for k, v in sorted(p.rates.items()))))
                 cols = [*zip(*rows, strict=True)]
                 kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string()]
                 yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "n_bytes", "media", "payload", "frames", "samples", "hertz", "bad_checksums", "skipped", "table_frames", "seek_offsets", "rates"])
@@ -210,7 +291,7 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(
         "doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
         F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"),
-        feature.alias("feature"), "frames", (F.col("samples") / F.col("hertz")).alias("seconds"),
+        feature.alias("feature"), "frames", "samples", "hertz", (F.col("samples") / F.col("hertz")).alias("seconds"), "seek_offsets",
     )
 
 

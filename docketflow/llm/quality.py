@@ -7,8 +7,9 @@ marginals say, the worst line at least bad. Forward-backward marginals of every
 its length, aggregate into a document's badness, and a logistic curve fitted on learning rows turns
 that and the worst stretch into the score.
 
-Fitting uses at most `sample` labelled rows (a documented bound, by hash of the id); texts longer
-than `train_chars` are left out of fitting only. Scoring covers every whole text without a shuffle.
+Fitting uses at most `sample` labelled rows (a documented bound, by hash of the id) of any length; of a
+text with more than `train_lines` lines it takes that many, in stretches spread evenly over the whole
+text, whose lengths then stand for the whole. Scoring covers every whole text without a shuffle.
 
 Null and empty texts have one empty line and get a score from it. Repeated rows score alike. Without
 two classes of labels the score is the share of good labels (0.5 without labels). An empty table
@@ -24,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import buffers, codepoints, fold, sub_batches, word_hashes
+from docketflow.llm.common import beyond, buffers, codepoints, fold, sub_batches, word_hashes
 from docketflow.llm.toxicity import learning_rows, linear
 
 SAMPLE = 6000
-TRAIN_CHARS = 20_000
+TRAIN_LINES = 120
+STRETCH = 20
 _KIND: list[np.ndarray] = []
 LOWER, UPPER, DIGIT, SPACE, STOP, BAR, SYMBOL = range(7)
 OWN = 12
@@ -51,7 +53,7 @@ def kinds(points: np.ndarray) -> np.ndarray:
             elif c in "|\t":
                 t[i] = BAR
         _KIND.append(t)
-    return _KIND[0][np.minimum(points, 0xFFFF)]
+    return beyond(points, _KIND[0], lambda c: (UPPER if c.isupper() else LOWER) if c.isalpha() else DIGIT if c.isdigit() else SPACE if c.isspace() else SYMBOL)
 
 
 def lines(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,15 +165,33 @@ def summary(p: np.ndarray, row: np.ndarray, weight: np.ndarray, n: int) -> np.nd
     return np.column_stack([np.ones(n), bad, np.sqrt(bad), np.log1p(bad * total) / 5, worst])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 3, held: int = 1, sample: int = SAMPLE, train_chars: int = TRAIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> dict:
+def stretches(row: np.ndarray, weight: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines to fit on, and their weights: all of a text of up to `most` lines, else stretches spread evenly whose weights add up to the text's."""
+    keep = []
+    for lo, hi in zip(*(np.flatnonzero(x) for x in (np.r_[True, row[1:] != row[:-1]], np.r_[row[1:] != row[:-1], True])), strict=True):
+        n = hi + 1 - lo
+        if n <= most:
+            keep.append(np.arange(lo, hi + 1))
+        else:
+            starts = np.linspace(0, n - STRETCH, max(1, most // STRETCH)).astype(int)
+            keep.append(lo + np.unique((starts[:, None] + np.arange(STRETCH)).ravel()))
+    some = np.concatenate(keep) if keep else np.zeros(0, int)
+    n = int(row.max()) + 1 if len(row) else 0
+    whole, taken = np.bincount(row, weight, n), np.bincount(row[some], weight[some], n)
+    return some, weight[some] * (whole / np.maximum(taken, 1e-9))[row[some]]
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", parts: int = 3, held: int = 1, sample: int = SAMPLE, train_lines: int = TRAIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Field and curve, a few dozen numbers. `label` 1 is good."""
-    rows = learning_rows(docs, labels, label, parts, held, sample, id_col, text_col).filter(F.coalesce(F.length("text"), F.lit(0)) <= train_chars)
+    rows = learning_rows(docs, labels, label, parts, held, sample, id_col, text_col)
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Line features in the tasks: the driver gets numbers, never texts."""
         for big in batches:
             for b in sub_batches(big, "text", 2 << 20):
                 xs, row, weight = lines(*buffers(b.column(0)))
+                some, weight = stretches(row, weight, train_lines)
+                xs, row = xs[some], row[some]
                 cuts = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(1), pa.ListArray.from_arrays(pa.array(cuts * OWN), pa.array(xs.ravel().astype(np.float32))), pa.ListArray.from_arrays(pa.array(cuts), pa.array(weight.astype(np.float32)))], ["y", "x", "w"])
 

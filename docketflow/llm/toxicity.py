@@ -1,14 +1,18 @@
 """Operator 9, toxicity: weak supervision by many lexicon and pattern voters.
 
 Voters are a fixed insult lexicon, text patterns, and words and word beginnings mined from labelled
-learning rows. A generative label model (latent class, fitted by expectation-maximisation with the
-known labels as anchors) estimates each voter's accuracy in both classes, and the correlations of
-voters given the class, by which correlated voters share one voice. A linear classifier trained on
-the model's posterior labels then scores every document.
+learning rows. A generative label model (latent class, fitted by expectation-maximisation) estimates
+each voter's accuracy in both classes, and the correlations of voters given the class, by which
+correlated voters share one voice. Known labels set the prior and the first accuracies, and vote too:
+a label is one more voter, whose error rate (`LABEL_ERROR` at first) the model estimates like the
+others', between 0.5 % and 20 %. A linear classifier trained on the posteriors of labelled and
+unlabelled rows then scores every document; a row counts by how sure its posterior is, and one without
+a label `UNLABELLED_WEIGHT` as much.
 
 Fitting uses at most `sample` labelled rows (a documented bound; rows with the smallest hash of
-their id) and as many unlabelled ones; scoring covers every whole text without a shuffle. Rows
-whose labels are held out are never looked at.
+their id) and about `unlabelled` rows without a used label (a documented parameter; rows whose hash of
+id and text is below a threshold, rows alike once, outside the held-out fold); scoring covers every
+whole text without a shuffle. Labels of held-out rows are never looked at.
 
 Null and empty texts get the score of a text without any vote. Repeated rows score alike. Without
 any positive or negative labelled row the score is the share of positive labels (0 without labels).
@@ -32,6 +36,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from docketflow.llm.common import fold, sub_batches
 
 SAMPLE = 8000
+UNLABELLED = 8000
+LABEL_ERROR = 0.02
+UNLABELLED_WEIGHT = 0.3
 MINED = 160
 #: Common insults, by language. The mined voters carry what these miss.
 LEXICON = {
@@ -87,6 +94,7 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 25) -> tuple
     share of a voice. votes: 0/1 by (row, voter). known: 1, 0 or -1 (unknown)."""
     v = votes.astype(float)
     seen = known >= 0
+    wrong = LABEL_ERROR
     p = np.where(seen, known, known[seen].mean() if seen.any() else 0.1).astype(float)
     voice = np.ones(v.shape[1])
     rates = np.zeros((2, v.shape[1]))
@@ -107,7 +115,10 @@ def label_model(votes: np.ndarray, known: np.ndarray, rounds: int = 25) -> tuple
         on = np.log(rates[1] / rates[0]) * voice
         off = np.log((1 - rates[1]) / (1 - rates[0])) * voice
         odds = math.log(prior / (1 - prior)) + (v * on + (1 - v) * off).sum(1)
-        p = np.where(seen, np.clip(0.9 * known + 0.1 / (1 + np.exp(-np.clip(odds, -30, 30))), 0, 1), 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
+        odds += np.where(seen, np.where(known == 1, 1, -1) * math.log((1 - wrong) / wrong), 0.0)
+        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        if seen.any():
+            wrong = float(np.clip((np.abs(p - known)[seen].sum() + LABEL_ERROR) / (seen.sum() + 1), 0.005, 0.2))
     return p, rates, voice
 
 
@@ -119,12 +130,13 @@ def _design(counts: np.ndarray, voice: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(x)), x, total, np.minimum(total, 1), np.minimum(total, 2)])
 
 
-def linear(x: np.ndarray, y: np.ndarray, steps: int = 1000, l2: float = 1e-4) -> np.ndarray:
-    """Logistic regression by Adam over soft labels."""
+def linear(x: np.ndarray, y: np.ndarray, steps: int = 1000, l2: float = 1e-4, weight: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression by Adam over soft labels, rows weighted."""
+    share = np.full(len(x), 1 / max(len(x), 1)) if weight is None else weight / max(weight.sum(), 1e-9)
     w, m, s = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip((x * w).sum(1), -30, 30)))
-        g = (x * (p - y)[:, None]).mean(0) + l2 * w
+        g = (x * ((p - y) * share)[:, None]).sum(0) + l2 * w
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         w = w - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-8)
     return w
@@ -137,7 +149,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str, parts: int, he
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held: int = 2, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> dict:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held: int = 2, sample: int = SAMPLE, unlabelled: int = UNLABELLED, id_col: str = "doc_id", text_col: str = "text") -> dict:
     """Voters, label model and classifier, all small."""
     rows = learning_rows(docs, labels, label, parts, held, sample, id_col, text_col).cache()
     base = rows.agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
@@ -158,9 +170,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
     odds = F.log(((F.col("p") - 1.3 * F.sqrt("p")) / pos) / ((F.col("n") - F.col("p") + 1.5) / (n - pos)))
     mined = found.filter((F.col("p") >= least) & (odds > math.log(4))).orderBy(F.desc(F.col("p") * odds), "f").limit(MINED).collect()
     marks = list(dict.fromkeys([f" {w} " for words in LEXICON.values() for w in words] + [r.f for r in mined]))
-    few = min(sample, 2000)
-    ids = docs.select(F.col(id_col).alias("doc_id")).dropDuplicates().orderBy(F.xxhash64("doc_id"), "doc_id").limit(few)  # ids alone are sorted, never texts
-    other = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "doc_id").select("text", F.lit(-1).alias("y")).limit(few)
+    ids, texts = F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
+    draw = F.xxhash64(F.col(id_col).cast("string"), text_col)
+    share = min(1.0, unlabelled / max(docs.count(), 1))
+    other = docs.filter(((fold(id_col, parts) != held) | F.col(id_col).isNull()) & (draw.cast("double") / 2.0**63 <= 2 * share - 1)).select(ids, texts, draw.alias("draw"))
+    other = other.join(F.broadcast(rows.select("doc_id")), "doc_id", "left_anti").groupBy("draw").agg(F.min("text").alias("text")).select("text", F.lit(-1).alias("y"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Vote counts in the tasks: the driver gets numbers, never texts."""
@@ -171,13 +185,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1, dtype=np.int32) * c.shape[1]), pa.array(c.ravel().astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column(1), flat], ["y", "c"])
 
-    got = rows.select("text", F.col("y").cast("int").alias("y")).unionByName(other).mapInArrow(vote, "y int, c array<int>").toArrow()  # at most `sample` + 2,000 rows
+    got = rows.select("text", F.col("y").cast("int").alias("y")).unionByName(other).mapInArrow(vote, "y int, c array<int>").toArrow()  # at most `sample` and about `unlabelled` rows
     rows.unpersist()
     y = got["y"].to_numpy()
     counts = got["c"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     posterior, rates, voice = label_model(counts > 0, y)
     x = _design(counts, voice)
-    return {"marks": marks, "voice": voice, "rates": rates, "w": linear(x, posterior), "share": pos / n}
+    sure = np.abs(2 * posterior - 1) * np.where(y < 0, UNLABELLED_WEIGHT, 1.0)
+    return {"marks": marks, "voice": voice, "rates": rates, "w": linear(x, posterior, weight=sure), "share": pos / n}
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "score") -> DataFrame:

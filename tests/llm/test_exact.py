@@ -3,6 +3,8 @@
 import hashlib
 import html as entities
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -335,7 +337,8 @@ def test_damaged_audio_is_resynchronised():
     payload, _ = media.padded("some words of text " * 500)
     good = media.frames(payload)
     p = media.parse(good)
-    assert p.payload == payload and p.samples == 1152 * p.frames and p.table == ("Xing", p.frames, len(good) - 10 - int.from_bytes(good[6:10], "big"))
+    assert p.payload == payload and p.samples == 1152 * p.frames and (p.table.kind, p.table.frames, p.table.bytes) == ("Xing", p.frames, len(good) - 10 - int.from_bytes(good[6:10], "big"))
+    assert len(p.table.toc) == 100 and p.table.toc == sorted(p.table.toc) and p.layers == {3} and p.offsets[0] > 10
     cut = p.offsets[2] + 100
     broken = media.parse(good[:cut] + b"\xff\xfb noise \xff\xe2" + good[cut:])
     assert broken.skipped > 0 and broken.frames >= p.frames - 1
@@ -343,6 +346,53 @@ def test_damaged_audio_is_resynchronised():
     flipped[p.offsets[1] + 8] ^= 1
     assert media.parse(bytes(flipped)).bad_checksums == 1
     assert media.parse(b"").frames == 0 and media.parse(b"junk" * 50).payload == b""
+    rng = np.random.default_rng(2)
+    for k in range(0, len(good), 37):  # cut anywhere, and with bytes changed anywhere: read without an error
+        assert media.parse(good[:k]).frames <= p.frames
+        changed = bytearray(good)
+        for at in rng.integers(0, len(good), 5):
+            changed[at] = int(rng.integers(256))
+        media.parse(bytes(changed))
+
+
+def stream(head, length, mark=b"", at=4, n=3):
+    """Frames of a given header and length, the first with a mark at a place."""
+    first = bytearray(head.ljust(length, b"\0"))
+    first[at : at + len(mark)] = mark
+    return bytes(first[:length]) + head.ljust(length, b"\0") * n
+
+
+def test_tables_of_every_kind():
+    head = b"\xff\xfb\x90\xc0"  # MPEG-1 Layer III, 128 kbit/s, 44100 Hz, mono: 417 bytes
+    field_of = {1: (7).to_bytes(4, "big"), 2: (12345).to_bytes(4, "big"), 4: bytes(range(100)), 8: (50).to_bytes(4, "big")}
+    for flags in range(16):
+        mark = b"Xing" + flags.to_bytes(4, "big") + b"".join(v for k, v in field_of.items() if flags & k)
+        t = media.parse(stream(head, 417, mark, 21)).table
+        assert (t.kind, t.frames, t.bytes, t.toc, t.quality) == ("Xing", 7 if flags & 1 else None, 12345 if flags & 2 else None, list(range(100)) if flags & 4 else [], 50 if flags & 8 else None)
+    for cut in range(21, 150):  # a short first frame ends anywhere in its table
+        assert media.table((head + bytes(17) + b"Xing" + (15).to_bytes(4, "big") + b"".join(field_of.values()))[:cut], 17, 21) is not None or cut < 25
+    vbri = b"VBRI" + b"\0\1" + b"\0\2" + (75).to_bytes(2, "big") + (12345).to_bytes(4, "big") + (7).to_bytes(4, "big") + (2).to_bytes(2, "big") + (10).to_bytes(2, "big") + (2).to_bytes(2, "big") + (1).to_bytes(2, "big") + (30).to_bytes(2, "big") + (40).to_bytes(2, "big")
+    t = media.parse(stream(head, 417, vbri, 36)).table
+    assert (t.kind, t.frames, t.bytes, t.quality, t.toc) == ("VBRI", 7, 12345, 75, [300, 400])
+    assert all(media.table((head + bytes(32) + vbri)[:k], 17, 21) for k in range(40, 36 + len(vbri)))
+
+
+def test_layers_and_tags():
+    one = media.parse(stream(b"\xff\xff\x40\xc0", (12000 * 128 // 44100) * 4))
+    assert (one.frames, one.samples, one.layers, one.rates) == (4, 4 * 384, {1}, {128: 4})
+    two = media.parse(stream(b"\xff\xfc\x80\xc0", 144000 * 128 // 44100))
+    assert (two.frames, two.samples, two.layers, two.unverified) == (4, 4 * 1152, {2}, 4)
+    low = media.parse(stream(b"\xff\xf3\x80\xc0", 72000 * 64 // 22050))
+    assert (low.frames, low.samples, low.hertz) == (4, 4 * 576, 22050)
+    half = (b"\xff\xfe\x40\xc0" + b"\0\0").ljust((12000 * 128 // 44100) * 4, b"\0")
+    good = half[:4] + media.crc16(half[2:4] + half[6:22]).to_bytes(2, "big") + half[6:]
+    assert media.parse(good * 3).bad_checksums == 0 and media.parse(half * 3).bad_checksums == 3
+    text = b"\3name\0" + "wört".encode() * 40
+    for version, size in ((3, len(text).to_bytes(4, "big")), (4, bytes((0, 0, len(text) >> 7, len(text) & 127)))):
+        frame = b"TXXX" + size + b"\0\0" + text
+        tag = b"ID3" + bytes((version, 0, 0, 0, 0, len(frame) >> 7, len(frame) & 127)) + frame
+        p = media.parse(tag + stream(b"\xff\xfb\x90\xc0", 417))
+        assert p.tags == {"name": "wört" * 40} and p.frames == 4 and p.skipped == 0
 
 
 # --- 10 ---
@@ -389,6 +439,34 @@ def test_comments_longer_than_the_article_stay_out():
     assert html.extract("<body><div class='ad-free comments'><p>All there is.</p></div></body>", None) == "All there is."
 
 
+@pytest.mark.parametrize("bad", ["<div>", "<b c ", "<p class='a", '<a b=">', "<b>", "</x>", "<li>x", "<! ", "<div class='c d e f g'><span>", "<a x=\"'><a y='\">", "<xmp>"])
+def test_bad_pages_take_linear_time_and_memory(bad):
+    page = "<body><article><p>The one real article.</p></article>" + bad * 30_000
+    tracemalloc.start()
+    began = time.process_time()
+    html.extract(page, None)
+    took, most = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 12 and most < 60 << 20  # tracing takes some ten times the time
+    assert html.extract(page[:52] + bad * 20, None).startswith("The one real article.") or bad == "<p class='a"
+
+
+def test_the_host_s_votes_decide(spark):
+    """On one page a box holds more text than the article, which is at the place where other pages of the host have theirs."""
+    page = lambda k, box: f"<html><body><div class='story s{k}'><h1>Head {k}</h1><p>{'Words of the story. ' * 9}</p></div><div class=box><p>{box}</p></div></body></html>"
+    rows = [(k, f"http://h/{k}", page(k, "Short box.")) for k in range(4)] + [(9, "http://h/9", page(9, "A long box of words. " * 40)), (10, "http://other/1", page(10, "A long box of words. " * 40))]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.main_text(docs).collect()}
+    assert got[9] == "Head 9\n" + ("Words of the story. " * 9).strip()  # its own best container is the box
+    assert html.extract(rows[4][2], None) == got[10] == ("A long box of words. " * 40).strip()
+    assert {r.host: r.votes for r in html.winners(docs).collect()} == {"h": 4, "other": 1}
+
+
+def test_classes_beyond_the_fourth_tell_paths_apart():
+    one, two = (html.parse(f"<div class='a b c d {x}'>t</div>")[1].path[1] for x in "ef")
+    assert one != two and html.parse("<div class='d c b a e'>t</div>")[1].path[1] == one
+
+
 def test_pages_of_other_kinds(spark):
     page = """<html><body><header>Site</header><div id="main-content"><div class="sidebar">Links</div><h2>Title &amp; more</h2>
     <p>First   para<b>graph</b> with enough words to be the main text.<p>Second one.<div class="comments"><p>Nice post!</div>

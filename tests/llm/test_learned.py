@@ -115,15 +115,16 @@ def test_awkward_rows(spark, request, kind):
 def test_pipeline_of_odd_rows(spark, odd, none, small):
     import corpus_pipeline
 
-    extra = ["_copies_", "gone", "lang_pred"]
+    extra = ["copies", "toxicity", "language", "share", "number", "n", "copy", "row", "stays", "alike", "words", "size", "_copies", "_toxicity", "_language", "_share"]
     for docs in (odd, none):
-        docs = docs.select("*", *[F.lit(1).alias(c) for c in extra])
+        docs = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(extra)])
         for name, stage in corpus_pipeline.STAGES:
             columns = docs.columns
             docs = common.written(stage(spark, docs, small), name)
             assert name == "packing" or docs.columns == columns
+            assert name == "packing" or all(tuple(r) == tuple(range(len(extra))) for r in docs.select(*extra).collect())
     kept = corpus_pipeline.near_copies(spark, odd, small).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, i) for i in (1, 4, 5, 6, 7, 9, 10, 12, 13)] + [(True, 0)]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == [(False, i) for i in (1, 4, 5, 6, 7, 9, 10, 12, 12, 13)] + [(True, 0)]
 
 
 def test_pipeline(spark, small):
