@@ -8,8 +8,8 @@ written as Parquet and read again.
 * language: documents go when no language is found (`und`), or when the found one has no majority
   of the text (score under 0.5).
 * near_copies: of each component of linked documents the one with the smallest doc_id stays (of
-  rows with that same doc_id, the first by text, source and language; rows without an id stay unless a
-  document with one is in their component).
+  rows with that id, the first by the hash of their text, of rows equal in both, the first by source
+  and language; rows without an id stay unless a document with one is in their component).
 * mixture: a document is repeated as often as the mix takes it, to the nearest whole copy; those
   the mix does not take go.
 * packing: pieces of all kept documents in sequences of at most 2048 tokens.
@@ -20,7 +20,7 @@ through as an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,49 +30,58 @@ from docketflow.llm import common, jaccard, language, mixing, packing, toxicity
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier, fitted on their learning fold, does not reject."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, out="_toxicity").filter(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    (score,) = common.unused(docs, "toxicity")
+    return toxicity.score(docs, model, out=score).filter(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that holds the majority of the text."""
-    found = language.predict(docs, language.fit(docs), pred="_language", share_col="_share")
-    return found.filter((F.col("_language") != "und") & (F.col("_share") >= 0.5)).select(*docs.columns)
+    pred, share = common.unused(docs, "language", "share")
+    found = language.predict(docs, language.fit(docs), pred=pred, share_col=share)
+    return found.filter((F.col(pred) != "und") & (F.col(share) >= 0.5)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
-    gone = jaccard.rows(docs).filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone"), F.col("row").alias("_gone_row")).distinct()
-    gone = common.written(gone, "pipeline-gone")
-    here = docs.doc_id.eqNullSafe(gone["_gone"]) & (F.xxhash64(docs.text) == gone["_gone_row"])  # an id alone doesn't name a row
-    kept = docs.join(ids(gone), here, "left_anti").select(*docs.columns)
-    # rows that share a doc_id are one document
-    order = W.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), "source", "lang")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if repeated.isEmpty():
+    rows = common.written(jaccard.rows(docs).filter("root IS NOT NULL"), "pipeline-rows")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    rows = rows.join(first, "root").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row")))
+    keys = common.written(rows.groupBy("doc_id", "row").agg(F.max("stays").alias("stays"), F.count("*").alias("alike")), "pipeline-keys")
+    kept = met(docs, keys.filter("NOT stays"), F.xxhash64(docs.text), "left_anti")
+    twice = keys.filter("stays AND alike > 1")
+    if twice.isEmpty():
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order)).filter("_row = 1").select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once)
+    once, number = met(kept, twice, F.xxhash64(kept.text), "left_semi"), common.unused(docs, "number")[0]
+    order = W.partitionBy("doc_id", "text").orderBy("source", "lang")
+    once = once.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).select(*docs.columns)
+    return met(kept, twice, F.xxhash64(kept.text), "left_anti").union(once)
 
 
-def ids(rows: DataFrame) -> DataFrame:
-    """A table of ids, broadcast while it is counted small enough, so that text is not shuffled; joined by id otherwise."""
-    return F.broadcast(rows) if common.small_enough(rows, 40) else rows
+def met(docs: DataFrame, keys: DataFrame, row: Column, how: str) -> DataFrame:
+    """docs joined with a table of (doc_id, row), whose columns get names that docs lacks; keys are broadcast
+    while they are counted small enough, so that text is not shuffled."""
+    names = common.unused(docs, *keys.columns)
+    keys = keys.toDF(*names)
+    here = docs["doc_id"].eqNullSafe(keys[names[0]]) & (row == keys[names[1]])
+    return docs.join(F.broadcast(keys) if common.small_enough(keys, 40) else keys, here, how)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     row = F.xxhash64(F.col("source").isNull(), "source", "text")
     taken = mixing.schedule(docs, row=row).filter("size > 0")
-    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.sort_array(F.collect_list(F.round(F.col("taken") / F.col("size")).cast("int")), False).alias("_copies"))
-    taken = common.written(taken.filter("_copies[0] > 0"), "pipeline-mix")
-    met = docs.join(ids(taken), docs.doc_id.eqNullSafe(taken["_id"]) & (F.xxhash64(docs.source.isNull(), docs.source, docs.text) == taken["_row"]))
-    once = met.filter("size(_copies) = 1").withColumn("_n", F.element_at("_copies", 1))
+    taken = taken.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.round(F.col("taken") / F.col("size")).cast("int")), False).alias("copies"))
+    taken = common.written(taken.filter("copies[0] > 0"), "pipeline-mix")
+    there = met(docs, taken, row, "inner")
+    copies = F.col(there.columns[-1])
+    n, copy = common.unused(there, "n", "copy")
+    out = there.filter(F.size(copies) == 1).withColumn(n, F.element_at(copies, 1))
     # rows alike in id, source and text each get a share of their own
-    alike = met.filter("size(_copies) > 1") if not taken.filter("size(_copies) > 1").isEmpty() else None
-    if alike is not None:
-        number = F.row_number().over(W.partitionBy("_id", "_row").orderBy("_row"))
-        once = once.unionByName(alike.withColumn("_n", number).withColumn("_n", F.element_at("_copies", F.col("_n"))).filter("_n > 0"))
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n"))).select(*docs.columns)
+    if not taken.filter("size(copies) > 1").isEmpty():
+        number = F.row_number().over(W.partitionBy(*there.columns[-3:-1]).orderBy(there.columns[-2]))
+        alike = there.filter(F.size(copies) > 1).withColumn(n, number).withColumn(n, F.element_at(copies, F.col(n)))
+        out = out.unionByName(alike.filter(F.col(n) > 0))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
