@@ -45,3 +45,8 @@ def sorted_json(**fields: Column) -> Column:
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """A half-even rounded percentage; 0 where the whole is 0."""
     return F.when(whole > 0, F.bround(100.0 * part / whole, digits)).otherwise(F.lit(0.0))
+
+
+def split_evenly(total: Column, parts: Column) -> Column:
+    """The whole share of each part, the remainder dropped; null for no parts."""
+    return F.when(parts > 0, F.floor(total / parts))

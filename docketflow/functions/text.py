@@ -175,3 +175,16 @@ def strip_boilerplate(s: Column | str) -> Column:
     kept = F.when(rule > 0, F.slice(lines, F.lit(1), F.greatest(rule - 1, F.lit(0)).cast("int"))).otherwise(lines)
     kept = F.filter(kept, lambda x: ~x.rlike(r"(?iu)unsubscribe|manage (?:your )?(?:preferences|subscriptions)|view (?:this )?(?:e-?mail|message)? ?(?:in|as) (?:a |your )?(?:browser|web ?page)"))
     return F.trim(F.array_join(kept, "\n"))
+
+
+def after(s: Column | str, mark: str) -> Column:
+    """What follows the first `mark`; all but the first character where there is none, as position 0 plus two has it."""
+    s = _c(s)
+    return F.substr(s, F.instr(s, F.lit(mark)) + len(mark))
+
+
+def host_and_path(url: Column | str) -> tuple[Column, Column]:
+    """Host in lower case and path of a logged URL, by its slashes."""
+    rest = after(url, "//")
+    slash = F.instr(rest, F.lit("/"))
+    return F.lower(F.when(slash > 0, F.substr(rest, F.lit(1), slash - 1)).otherwise(rest)), F.when(slash > 0, F.substr(rest, slash)).otherwise("/")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 ZONE = "America/New_York"
 #: The federal holidays. Month, day, name; and month, weekday (Monday 0), which one (-1: last), name.
-FIXED_HOLIDAYS = ((1, 1, "New Year's Day"), (6, 19, "Juneteenth"), (7, 4, "Independence Day"), (11, 11, "Veterans Day"), (12, 25, "Christmas Day"))
+FIXED_HOLIDAYS = ((1, 1, "New Year's Day"), (6, 19, "Juneteenth National Independence Day"), (7, 4, "Independence Day"), (11, 11, "Veterans Day"), (12, 25, "Christmas Day"))
 FLOATING_HOLIDAYS = (
     (1, 0, 3, "Birthday of Martin Luther King, Jr."), (2, 0, 3, "Washington's Birthday"), (5, 0, -1, "Memorial Day"),
     (9, 0, 1, "Labor Day"), (10, 0, 2, "Columbus Day"), (11, 3, 4, "Thanksgiving Day"),
@@ -105,3 +105,21 @@ def holidays(spark: SparkSession, first: int, last: int) -> DataFrame:
 def publishing(day: Column | str, holiday: Column | str) -> Column:
     """Weekend before holiday before normal."""
     return F.when(F.weekday(_c(day)) >= 5, "weekend").when(_c(holiday).isNotNull(), "holiday").otherwise("normal")
+
+
+def within_days(day: Column | str, today: Column | str, days: int) -> Column:
+    """Whether a day is one of the last `days` before today, or today; null days aren't."""
+    return F.coalesce((_c(day) >= F.date_sub(_c(today), days)) & (_c(day) <= _c(today)), F.lit(False))
+
+
+def iso_day(s: Column | str) -> Column:
+    """The day that a text's first ten characters are in ISO form, else null."""
+    head = F.substring(_c(s), 1, 10)
+    return F.when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.to_date(F.try_to_timestamp(head, F.lit("yyyy-MM-dd"))))
+
+
+def month_day(s: Column | str, year: Column | str) -> Column:
+    """A day written as a month's first three letters and a number (`Jan 5`, `5-Jan`), in the year that a header states."""
+    month = F.initcap(F.regexp_extract(_c(s), r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)", 1))
+    number = F.regexp_extract(_c(s), r"\b(\d{1,2})\b", 1)
+    return F.when((month != "") & (number != ""), F.to_date(F.try_to_timestamp(F.concat_ws(" ", month, number, _c(year).cast("string")), F.lit("MMM d yyyy"))))

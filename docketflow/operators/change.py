@@ -41,29 +41,33 @@ def mismatched(stored: DataFrame, body: str, sha: str = "sha") -> DataFrame:
 
 
 def day_digests(attempts: DataFrame, day: str, order: list[str], fields: list[str]) -> DataFrame:
-    """One line count and hash a day. Lines are JSON with fields in order, hashed each, and the day's
-    hash covers the ordered line hashes. A hash is sequential, so a task reads its days' line hashes in order
-    as a stream and holds one hash state; nothing is gathered."""
+    """One line count and hash a day. Lines are JSON with fields in order, hashed each; a day's lines are dealt by
+    the first byte of their hash to 256 bins, a bin's hash covers its line hashes in order, and the day's the bins'.
+
+    A hash is sequential, so a task reads the line hashes of its bins in order as a stream and holds one hash state;
+    a day of any size is spread over 256 tasks, and at most 256 hashes a day meet."""
     line = F.sha2(F.to_json(F.struct(*[F.col(f) for f in sorted(fields)]), {"ignoreNullFields": "false"}), 256)
-    rows = attempts.select(F.col(day).alias("day"), F.struct(*order).alias("o"), line.alias("sha"))
-    rows = rows.repartition("day").sortWithinPartitions("day", "o", "sha").select("day", "sha")
+    rows = attempts.select(F.col(day).alias("day"), F.struct(*order).alias("o"), line.alias("sha")).withColumn("bin", F.substring("sha", 1, 2))
+    rows = rows.repartition("day", "bin").sortWithinPartitions("day", "bin", "o", "sha").select("day", "bin", "sha")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, n, state = None, 0, None
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([now], kind), pa.array([n]), pa.array([state.hexdigest()])], ["day", "rows", "body_sha"])
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([now[0]], kind), pa.array([now[1]]), pa.array([n]), pa.array([state.hexdigest()])], ["day", "bin", "rows", "sha"])
         for b in batches:
             kind = b.schema.field(0).type
-            for d, sha in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if state is None or d != now:
+            for d, k, sha in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                if state is None or (d, k) != now:
                     if state is not None:
                         yield out()
-                    now, n, state = d, 0, hashlib.sha256()
+                    now, n, state = (d, k), 0, hashlib.sha256()
                 state.update(f"\n{sha}".encode() if n else sha.encode())
                 n += 1
         if state is not None:
             yield out()
 
-    return rows.mapInArrow(run, f"day {rows.schema['day'].dataType.simpleString()}, rows long, body_sha string")
+    bins = rows.mapInArrow(run, f"day {rows.schema['day'].dataType.simpleString()}, bin string, rows long, sha string")
+    inner = F.transform(F.array_sort(F.collect_list(F.struct("bin", "sha"))), lambda x: F.concat(x["bin"], F.lit(":"), x["sha"]))
+    return bins.groupBy("day").agg(F.sum("rows").alias("rows"), F.sha2(F.array_join(inner, "\n"), 256).alias("body_sha"))
 
 
 def chain(days: Iterable[tuple[str, int, str]]) -> list[tuple[str, int, str, str | None, str]]:

@@ -48,3 +48,12 @@ def regeneration(generated: Column, label: Column, previous: Column, age_days: C
 def batches(rows: DataFrame, order: list[str], size: int, *within: str) -> DataFrame:
     """`batch` numbers of at most `size` items, in order within each group (a day, a collection)."""
     return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(*within).orderBy(*order)) - 1) / size).cast("int"))
+
+
+def progress(journal: DataFrame, keys: list[str], first: str, later: list[str], at: str = "observed_at") -> DataFrame:
+    """The rows of the first event, each with the time of the same item's later events (null where it has none).
+
+    A self join by the pivot's way: the journal is grouped by item once, whatever the number of events."""
+    when = lambda e: F.min(F.when(F.col("event") == e, F.col(at)))
+    g = journal.groupBy(*keys).agg(when(first).alias(first), *[when(e).alias(e) for e in later])
+    return g.filter(F.col(first).isNotNull())

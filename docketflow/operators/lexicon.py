@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Terms that generated prose may not use.
 BANNED_TERMS = ("landmark", "controversial", "historic", "unprecedented", "sweeping", "radical", "extreme", "momentous", "alarming", "in an attempt to", "aims to appease", "red tape", "crackdown", "cracks down", "slams", "loophole")
@@ -30,22 +32,49 @@ FEW = 8 << 20  # characters of official strings that every task may hold
 
 
 def contained(docs: DataFrame, officials: DataFrame, text: str = "text", official: str = "official") -> DataFrame:
-    """Docs joined with the official strings that they contain.
+    """Docs joined with the official strings that they contain, each text read once.
 
-    A list counted short is broadcast and searched in place. A long one is joined on each string's first ANCHOR
-    words, so only documents that have them are searched; strings with fewer words always belong to the short way.
+    A list counted short is searched for in one pass over each text (an automaton of all strings). A long one is joined
+    on three words inside each string, so only documents that have them are searched; its strings of fewer than five
+    words, which have no such words, go through the pass, in as many rounds as their length needs. Null and empty
+    strings are in no document.
     """
+    o = officials.filter(F.col(official) != "").select(official).distinct()
     words = F.split(F.trim(F.col(official)), r"\s+")
-    o = officials.withColumn("_n", F.size(words))
-    total = o.agg(F.sum(F.length(official)).alias("n"), F.count_if(F.col("_n") < ANCHOR + 2).alias("short")).first()
-    if (total.n or 0) <= FEW:
-        return docs.join(F.broadcast(officials), F.contains(F.col(text), F.col(official)))
-    grams = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(s) - ANCHOR + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(s, i, ANCHOR))))
-    # the first and last word of a string may be parts of a document's words, so anchors start at the second
-    long = o.filter(F.col("_n") >= ANCHOR + 2).withColumn("_a", F.xxhash64(F.slice(words, 2, ANCHOR))).drop("_n")
-    hit = docs.withColumn("_a", F.explode(grams(F.split(F.trim(F.col(text)), r"\s+")))).join(long, "_a").drop("_a").filter(F.contains(F.col(text), F.col(official)))
-    few = o.filter(F.col("_n") < ANCHOR + 2).drop("_n")
-    return hit.unionByName(docs.join(F.broadcast(few), F.contains(F.col(text), F.col(official)))) if total.short else hit
+    total = o.agg(F.coalesce(F.sum(F.length(official)), F.lit(0)).alias("n")).first().n
+    if total <= FEW:
+        found = _searched(docs, o, text, official)
+    else:
+        grams = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(s) - ANCHOR + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(s, i, ANCHOR))))
+        # the first and last word of a string may be parts of a document's words, so anchors start at the second
+        long = o.filter(F.size(words) >= ANCHOR + 2).withColumn("_a", F.xxhash64(F.slice(words, 2, ANCHOR)))
+        found = docs.withColumn("_a", F.explode(grams(F.split(F.trim(F.col(text)), r"\s+")))).join(long, "_a").drop("_a").filter(F.contains(F.col(text), F.col(official)))
+        short = o.filter(F.size(words) < ANCHOR + 2)
+        rounds = 1 + short.agg(F.coalesce(F.sum(F.length(official)), F.lit(0)).alias("n")).first().n // max(FEW, 1)
+        for k in range(rounds):
+            found = found.unionByName(_searched(docs, short.filter(F.pmod(F.xxhash64(official), F.lit(rounds)) == k), text, official))
+    return found if officials.columns == [official] else found.join(officials, official)
+
+
+def _searched(docs: DataFrame, officials: DataFrame, text: str, official: str) -> DataFrame:
+    """docs with each official string that they contain, by one automaton a task. The strings are a counted, bounded list."""
+    strings = [r[0] for r in officials.collect()]
+    sent, at, names = docs.sparkSession.sparkContext.broadcast(strings), docs.columns.index(text), [*docs.columns, official]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = ahocorasick.Automaton()
+        for s in sent.value:
+            find.add_word(s, s)
+        find.make_automaton()
+        for b in batches:
+            rows, hits = [], []
+            for k, t in enumerate(b.column(at).to_pylist() if sent.value else ()):
+                here = dict.fromkeys(s for _, s in find.iter(t)) if t else ()
+                rows += [k] * len(here)
+                hits += here
+            yield pa.RecordBatch.from_arrays([*b.take(pa.array(rows, pa.int64())).columns, pa.array(hits, pa.string())], names=names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(official, StringType())]))
 
 
 def violations(items: DataFrame, officials: DataFrame, key: str, text: str = "text", official: str = "official", terms: Sequence[str] = BANNED_TERMS) -> DataFrame:

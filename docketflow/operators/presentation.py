@@ -94,3 +94,37 @@ def atom_entries(digests: DataFrame, most: int = 20) -> DataFrame:
     d = digests.orderBy(F.desc("day")).limit(most)
     entry = F.concat(F.lit("<entry><id>"), text.xml_escape("link"), F.lit("</id><title>"), text.xml_escape("title"), F.lit("</title><updated>"), F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00:00Z</updated><link href=\""), text.xml_escape("link"), F.lit("\"/><summary>"), text.xml_escape("teaser"), F.lit("</summary></entry>"))
     return d.select("day", entry.alias("entry"))
+
+
+def methods(summaries: DataFrame, day: Column) -> DataFrame:
+    """Stored summaries of a day by method."""
+    return summaries.filter(F.col("digest_day") == day).groupBy("method").agg(F.count("*").alias("n"))
+
+
+def _json(*fields: Column | str) -> Column:
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def day_json(items: DataFrame, frozen: Column) -> DataFrame:
+    """The machine form of a live or frozen day: line 0 has the day's counts and tag facets, then a line an item.
+
+    items: day, id, title, section, is_backfill, tags. A line is a JSON object, so a day of any size is written by
+    many tasks (`write.text`); `place` and `id` order the lines. Backfill items stay in and are flagged.
+    """
+    head = items.groupBy("day").agg(F.count_if(~F.col("is_backfill")).alias("items"), F.count_if("is_backfill").alias("backfill_count"))
+    tags = items.filter(~F.col("is_backfill")).select("day", F.explode(F.array_distinct("tags")).alias("tag")).groupBy("day", "tag").agg(F.count("*").alias("n"))
+    facets_ = tags.groupBy("day").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "tag", "n"))), lambda x: F.struct(x["tag"].alias("tag"), x["n"].alias("n"))).alias("facets"))
+    head = head.join(facets_, "day", "left").select("day", F.lit(0).alias("place"), F.lit("").alias("id"), _json("day", F.when(frozen, "frozen").otherwise("live").alias("state"), "items", "backfill_count", F.coalesce("facets", F.array().cast(facets_.schema["facets"].dataType)).alias("facets")).alias("line"))
+    body = items.select("day", F.lit(1).alias("place"), F.col("id").cast("string").alias("id"), _json("id", "title", "section", "is_backfill", "tags").alias("line"))
+    return head.unionByName(body)
+
+
+def directory_json(registry: DataFrame, records: DataFrame) -> DataFrame:
+    """The sources' directory, a line a source: what the registry says (addresses taken out of prose) and its health record."""
+    figures = [c for c in records.columns if c not in ("id", "name", "host")]
+    return registry.join(records.select("id", F.struct(*figures).alias("health")), "id", "left").select("id", _json("id", "name", "status", text.redact("notes").alias("notes"), F.concat(F.lit("sources/"), F.col("id").cast("string"), F.lit(".html")).alias("page"), "health").alias("line"))
+
+
+def index_json(digests: DataFrame) -> DataFrame:
+    """The index of digests, newest first, a line each: day, title, teaser and where it is."""
+    return digests.select("day", _json(F.date_format("day", "yyyy-MM-dd").alias("date"), "title", "teaser", F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit(".html")).alias("page")).alias("line")).orderBy(F.desc("day"))

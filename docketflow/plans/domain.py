@@ -117,21 +117,6 @@ def lexicon_gate_positional(spark, d):
 # --- evidence and corroboration ---
 
 
-@query(
-    "change_kind",
-    """WITH c AS (SELECT page_id AS id, lower(regexp_extract(url, '//(?:www\\.)?([^/?#]*)', 1)) AS doc, CASE WHEN page_id % 5 <> 0 THEN md5(left(html, 15 + (page_id % 3)::INT * 50)) END AS content, CASE WHEN page_id % 5 <> 0 THEN md5(left(html, 15)) END AS t, 1 + page_id % 2 AS v FROM pages),
-    p AS (SELECT *, last_value(CASE WHEN content IS NOT NULL THEN id END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM c)
-    SELECT p.id, p.prev AS prev_id, CASE WHEN p.content IS NULL THEN NULL WHEN prev IS NULL THEN 'new' WHEN q.content = p.content THEN 'unchanged' WHEN q.t IS NOT DISTINCT FROM p.t AND q.v = p.v THEN 'bytes_changed' ELSE 'modified' END AS kind FROM p LEFT JOIN c q ON q.id = p.prev""",
-)
-def change_kind(spark, d):
-    """What changed since the last content of the same document."""
-    has = F.col("page_id") % 5 != 0
-    sha = lambda n: F.when(has, F.md5(F.left("html", n).cast("binary")))
-    host = F.lower(F.regexp_extract("url", r"//(?:www\.)?([^/?#]*)", 1))
-    c = table(spark, d, "pages").select(F.col("page_id").alias("id"), host.alias("document_id"), sha((15 + F.col("page_id") % 3 * 50).cast("int")).alias("content_sha"), sha(F.lit(15)).alias("text_sha"), (1 + F.col("page_id") % 2).alias("version"))
-    return change.change_kind(c).select("id", "prev_id", "kind")
-
-
 CANON = """lower(regexp_replace(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1), '^www\\.', '')) || rtrim(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/') ||
   coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT starts_with(lower(p), 'utm_')), '&'), ''), '')"""
 
@@ -157,9 +142,19 @@ def content_hash_dedupe(spark, d):
     return change.store_by_hash(table(spark, d, "documents").select("text"), "text").select("sha", "path")
 
 
-@query("manifest_chain")
+def header_sql(prev: str) -> str:
+    return f"""'{{"body_sha":"' || d.body_sha || '","day":"' || d.day || '","prev":' || {prev} || ',"rows":' || d.rows || '}}'"""
+
+
+@query(
+    "manifest_chain",
+    f"""WITH RECURSIVE l AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_id, sha256('{{"event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}}') AS sha FROM events),
+    b AS (SELECT day, sha[1:2] AS bin, count(*) AS n, sha256(string_agg(sha, chr(10) ORDER BY event_id, sha)) AS h FROM l GROUP BY ALL), d AS (SELECT day, sum(n)::BIGINT AS rows, sha256(string_agg(bin || ':' || h, chr(10) ORDER BY bin)) AS body_sha, row_number() OVER (ORDER BY day) AS k FROM b GROUP BY day),
+    c AS (SELECT k, day, rows, body_sha, NULL::VARCHAR AS prev, sha256({header_sql("'null'")}) AS sha FROM d WHERE k = 1 UNION ALL SELECT d.k, d.day, d.rows, d.body_sha, c.sha, sha256({header_sql("""'"' || c.sha || '"'""")}) FROM c JOIN d ON d.k = c.k + 1)
+    SELECT day, rows, body_sha, prev, sha FROM c""",
+)
 def manifest_chain(spark, d):
-    """A hash chain over days (sequential, so without SQL)."""
+    """A hash chain over days."""
     e = table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", "event_type", "user_id")
     days = change.day_digests(e, "day", ["event_id"], ["event_id", "event_type", "user_id"]).collect()  # one row a day
     return spark.createDataFrame(change.chain((r.day, r.rows, r.body_sha) for r in days), "day string, rows long, body_sha string, prev string, sha string")
@@ -194,9 +189,9 @@ def label_transitions(spark, d):
 
 @query("repeat_link_filter", "SELECT page_id, url FROM pages QUALIFY count(*) OVER (PARTITION BY regexp_extract(url, '//([^/?#]*)', 1)) <= 2")
 def repeat_link_filter(spark, d):
-    """F8: anchors whose host repeats at most twice."""
-    n = F.count("*").over(W.partitionBy(F.regexp_extract("url", "//([^/?#]*)", 1)))
-    return table(spark, d, "pages").select("page_id", "url", n.alias("n")).filter("n <= 2").drop("n")
+    """F8: anchors whose host repeats at most twice. Hosts are counted in tasks first, and only the rare ones meet rows."""
+    p = table(spark, d, "pages").select("page_id", "url", F.regexp_extract("url", "//([^/?#]*)", 1).alias("host"))
+    return p.join(p.groupBy("host").count().filter("count <= 2"), "host", "left_semi").select("page_id", "url")
 
 
 @query("batch_numbering", f"WITH {T} SELECT doc_id, ((row_number() OVER (PARTITION BY digest_day ORDER BY collection, doc_id) - 1) // 6)::INT AS batch FROM texts")
@@ -227,7 +222,8 @@ def nearest_event(spark, d):
     w = W.partitionBy("user_id").orderBy("t")
     # all events of one instant are seen from both sides, as the frames are by value
     same = lambda k: F.when(other & (F.col("event_type") == k), cand)
-    back, ahead = w.rangeBetween(W.unboundedPreceding, 0), w.rangeBetween(0, W.unboundedFollowing)
+    # a frame that begins at the first row grows row by row, one that ends at the last is made anew for each: so both begin, in opposite orders
+    back, ahead = w.rangeBetween(W.unboundedPreceding, 0), W.partitionBy("user_id").orderBy(F.desc("t")).rangeBetween(W.unboundedPreceding, 0)
     cols = {}
     for k in ("view", "click"):
         x = same(k)
@@ -247,20 +243,6 @@ def tag_cooccurrence(spark, d):
     return x.groupBy("tag", "other").agg(F.count("*").alias("n"))
 
 
-@query(
-    "best_word_overlap",
-    """WITH d AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(left(text, 300)), '[a-z]{5,}')) AS w FROM documents), b AS (SELECT item_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{5,}')) AS v FROM benchmark),
-    x AS (SELECT doc_id, item_id, len(list_intersect(w, v))::INT AS score FROM d, b) SELECT doc_id, item_id, score FROM x WHERE score >= 2 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, item_id) = 1""",
-)
-def best_word_overlap(spark, d):
-    """The anchor that shares most significant words, two at least, first wins ties. Words are
-    joined, so only anchors that share one are ever met."""
-    w = table(spark, d, "documents").select("doc_id", F.explode(text.significant_words(F.left("text", F.lit(300)))).alias("w"))
-    v = table(spark, d, "benchmark").select("item_id", F.explode(text.significant_words("text")).alias("w"))
-    score = w.join(v, "w").groupBy("doc_id", "item_id").agg(F.count("*").cast("int").alias("score")).filter("score >= 2")
-    return score.groupBy("doc_id").agg(F.max(F.struct("score", -F.col("item_id"))).alias("x")).select("doc_id", (-F.col("x.col2")).alias("item_id"), "x.score")
-
-
 # --- dates ---
 
 NY = "(ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York')"
@@ -287,7 +269,7 @@ def claimed_day_split(spark, d):
 
 @query(
     "holiday_calendar",
-    """WITH y AS (SELECT unnest(range(1990, 2032)) AS y), fix AS (SELECT make_date(y, m, d) AS day, n FROM y, (VALUES (1, 1, 'New Year''s Day'), (6, 19, 'Juneteenth'), (7, 4, 'Independence Day'), (11, 11, 'Veterans Day'), (12, 25, 'Christmas Day')) v(m, d, n)),
+    """WITH y AS (SELECT unnest(range(1990, 2032)) AS y), fix AS (SELECT make_date(y, m, d) AS day, n FROM y, (VALUES (1, 1, 'New Year''s Day'), (6, 19, 'Juneteenth National Independence Day'), (7, 4, 'Independence Day'), (11, 11, 'Veterans Day'), (12, 25, 'Christmas Day')) v(m, d, n)),
     obs AS (SELECT CASE isodow(day) WHEN 6 THEN day - 1 ELSE day + 1 END AS day, n || ' (observed)' AS n FROM fix WHERE isodow(day) >= 6),
     flo AS (SELECT CASE WHEN k > 0 THEN make_date(y, m, 1) + ((w - isodow(make_date(y, m, 1)) + 7) % 7)::INT + 7 * (k - 1) ELSE last_day(make_date(y, m, 1)) - ((isodow(last_day(make_date(y, m, 1))) - w + 7) % 7)::INT END AS day, n
       FROM y, (VALUES (1, 1, 3, 'Birthday of Martin Luther King, Jr.'), (2, 1, 3, 'Washington''s Birthday'), (5, 1, -1, 'Memorial Day'), (9, 1, 1, 'Labor Day'), (10, 1, 2, 'Columbus Day'), (11, 4, 4, 'Thanksgiving Day')) v(m, w, k, n)),
@@ -374,22 +356,6 @@ def analyze_trigger(spark, d):
 # --- writes ---
 
 
-@query(
-    "upsert_revision",
-    """WITH t AS (SELECT o_orderkey AS id, o_orderdate AS lm, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS title FROM orders WHERE o_orderkey % 3 <> 0), u AS (SELECT l_orderkey AS id, max(l_shipdate) AS lm, NULLIF(max(l_returnflag), 'N') AS title FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1)
-    SELECT coalesce(t.id, u.id) AS package_id, greatest(t.lm, u.lm) AS last_modified, coalesce(t.day, CAST(u.lm AS DATE)) AS digest_day, coalesce(u.title, t.title) AS title, CASE WHEN t.id IS NULL OR u.lm > t.lm THEN 'pending' ELSE 'fetched' END AS fetch_status,
-    CASE WHEN t.id IS NULL OR u.lm > t.lm THEN 0 ELSE 2 END AS attempts FROM t FULL JOIN u ON t.id = u.id""",
-)
-def upsert_revision(spark, d):
-    """A listing merged into the packages; the filing day never moves."""
-    o = table(spark, d, "orders").filter("o_orderkey % 3 <> 0")
-    none = F.lit(None).cast("date")
-    t = o.select(F.col("o_orderkey").alias("package_id"), F.col("o_orderdate").alias("last_modified"), none.alias("date_issued"), F.col("o_orderdate").cast("date").alias("digest_day"), F.col("o_orderstatus").alias("title"), F.lit("fetched").alias("fetch_status"), F.lit(2).alias("attempts"))
-    line = table(spark, d, "lineitem").filter("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("package_id")).agg(F.max("l_shipdate").alias("last_modified"), F.nullif(F.max("l_returnflag"), F.lit("N")).alias("title"))
-    u = line.select("package_id", "last_modified", none.alias("date_issued"), F.col("last_modified").cast("date").alias("digest_day"), "title")
-    return upsert.upsert_revisions(t, u).select("package_id", "last_modified", "digest_day", "title", "fetch_status", "attempts")
-
-
 @query("replace_on_rerun", f"WITH {T} SELECT doc_id, collection, char_count FROM texts WHERE collection NOT IN ('src1', 'src2') UNION ALL SELECT doc_id, collection, char_count * 2 FROM texts WHERE collection = 'src1' AND char_count > 1000")
 def replace_on_rerun(spark, d):
     """The rows of two collections replaced by their new extraction."""
@@ -398,18 +364,6 @@ def replace_on_rerun(spark, d):
     return upsert.replaced(t, new, "collection", t.filter("collection IN ('src1', 'src2')"))
 
 
-@query(
-    "journal_reconcile",
-    "WITH j AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND event_id % 50 = 0) SELECT DISTINCT e.user_id, 'summarized' AS event FROM events e JOIN labels l ON l.doc_id = e.user_id WHERE e.event_type = 'view' AND NOT EXISTS (SELECT 1 FROM j WHERE j.user_id = e.user_id)",
-)
-def journal_reconcile(spark, d):
-    """The journal rows still to be written."""
-    e = table(spark, d, "events")
-    have = e.filter("event_type = 'purchase' AND event_id % 50 = 0").select("user_id", F.lit("summarized").alias("event"))
-    facts = e.filter("event_type = 'view'").select("user_id").join(table(spark, d, "labels").select(F.col("doc_id").alias("user_id")), "user_id", "left_semi")
-    return journal.unjournaled(facts, have, ["user_id"], "summarized")
-
-
 @query(
     "failure_ladder",
     "WITH f AS (SELECT user_id AS id, count(*) FILTER (WHERE event_type = 'error') AS n FROM events GROUP BY 1) SELECT id AS package_id, (n % 50 + (id % 2 = 0)::INT)::BIGINT AS attempts, CASE WHEN id % 2 = 0 THEN CASE WHEN n % 50 + 1 >= 20 THEN 'exhausted' ELSE 'failed' END ELSE 'pending' END AS fetch_status FROM f",
@@ -435,18 +389,6 @@ def mechanical_tags(spark, d):
     return presentation.facets(t, "tags")
 
 
-@query(
-    "title_chain",
-    f"""WITH {T}, x AS (SELECT doc_id, coalesce(CASE WHEN doc_id % 3 = 0 THEN 'Granule ' || doc_id::VARCHAR END, trim(regexp_replace(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')[1], '[[:space:]]+', ' ', 'g')), doc_id::VARCHAR) AS t FROM texts WHERE doc_type = 'es' AND text NOT SIMILAR TO '(.|\n)*[A-ZÑÓÍ]{{2}}(.|\n)*')
-    SELECT doc_id, CASE WHEN length(t) > 60 THEN rtrim(left(t, 59), ' ') || '…' ELSE t END AS title FROM x""",
-)
-def title_chain(spark, d):
-    """Granule title, else first line, else id (texts without runs of capitals, which SQL can't re-case)."""
-    t = bind.texts(spark, d).filter((F.col("doc_type") == "es") & ~F.col("text").rlike("[A-ZÑÓÍ]{2}"))
-    own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Granule "), F.col("doc_id").cast("string")))
-    return t.select("doc_id", presentation.title(own, F.col("text"), F.col("doc_id").cast("string"), 60).alias("title"))
-
-
 @query(
     "floored_series",
     f"""WITH {L}, f AS (SELECT CAST(ts AS DATE) AS day, count(*) AS requests, round_even(avg(CASE WHEN status IS NOT NULL THEN floor(elapsed_ms) END), 0)::BIGINT AS mean_ms FROM log WHERE host = 'h19' GROUP BY 1)

@@ -400,12 +400,6 @@ def union_events(spark, d):
     return e.unionByName(o).groupBy("kind", "day").agg(F.count("*").alias("n"))
 
 
-@query("reply_keys_difference", f"WITH {T} SELECT doc_id FROM texts WHERE doc_id % 3 <> 0 EXCEPT SELECT doc_id FROM labels")
-def reply_keys_difference(spark, d):
-    """Keys asked for without an answer."""
-    return bind.texts(spark, d).filter("doc_id % 3 <> 0").select("doc_id").distinct().join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
-
-
 @query("allowlist_semi", "SELECT c_custkey, lower(c_name) AS sender FROM customer WHERE lower(c_mktsegment) IN (SELECT lower(s) FROM (VALUES ('Building'), ('MACHINERY')) v(s)) AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (1, 3))")
 def allowlist_semi(spark, d):
     """Senders on an allowlist, case folded. Both lists are the registry's own, so short."""
@@ -429,10 +423,3 @@ def two_key_lookup(spark, d):
     g = s.join(t, ["l_orderkey", "l_linenumber"]).join(p, "p_partkey", "left").groupBy("class", "flag")
     out = g.agg(F.count("*").alias("n"), F.count("found").alias("found"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("p_size") > 48, F.col("p_brand")))), ",").alias("brands"))
     return out.orderBy(F.when(F.col("class") == "substantive", 0).otherwise(1), "flag")
-
-
-@query("model_batches", f"WITH {T} SELECT doc_id::VARCHAR AS key, array_to_string(list_filter(string_split(trim(regexp_replace(text, '[[:space:]]+', ' ', 'g')), ' '), lambda w: w <> '')[1:10], ' ') AS answer FROM texts WHERE char_count < 400 AND collection = 'src0'")
-def model_batches(spark, d):
-    """Model work in batches within a filing day, by a stand-in backend that gives ten words back."""
-    t = bind.texts(spark, d).filter("char_count < 400 AND collection = 'src0'").select(F.col("doc_id").alias("key"), "text", "digest_day")
-    return model.answered(t, model.echo, model.FIRST, "digest_day")

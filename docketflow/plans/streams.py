@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketflow.session import shared_dir
 from docketflow.streaming import operators as ops
 
 Q: dict = {}
@@ -37,18 +37,9 @@ def file_stream(spark: SparkSession, d: str) -> DataFrame:
     return reader.parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or ""
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="docketflow-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def finished(stream: DataFrame, mode: str) -> DataFrame:
     """All rows of a stream run over what is there now, as a Parquet table: a folder a batch, of which complete mode reads the last."""
-    spark, path, done = stream.sparkSession, f"{_shared(stream.sparkSession)}/docketflow/stream-{uuid.uuid4().hex}", []
+    spark, path, done = stream.sparkSession, f"{shared_dir(stream.sparkSession)}/docketflow/stream-{uuid.uuid4().hex}", []
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch-{number}")
@@ -83,7 +74,11 @@ def stream_dedupe_keys(spark, d):
     return finished(ops.journal_once(file_stream(spark, d).select("user_id", "event_type"), ["user_id", "event_type"]), "append")
 
 
-@query("stream_session_windows")
+@query(
+    "stream_session_windows",
+    """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS first FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+    SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM s GROUP BY user_id, k""",
+)
 def stream_session_windows(spark, d):
     """Sessions by a gap of six hours; complete mode, so sessions still open at the end and late rows are there."""
     return finished(ops.sessions(file_stream(spark, d), "ts", "6 hours", "user_id", None), "complete").select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n")

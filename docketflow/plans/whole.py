@@ -1,5 +1,4 @@
-"""Queries over whole tables and whole texts, beside the ones whose SQL is cut to subsets (reply_keys_difference,
-title_chain, model_batches, best_word_overlap, change_kind, upsert_revision, journal_reconcile)."""
+"""Change kinds, writes and model work over whole tables and whole texts."""
 
 from __future__ import annotations
 
@@ -21,27 +20,27 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-@query("reply_keys_difference_whole", "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
-def reply_keys_difference_whole(spark, d):
+@query("reply_keys_difference", "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels")
+def reply_keys_difference(spark, d):
     """Keys of all documents without an answer."""
     return table(spark, d, "documents").select("doc_id").distinct().join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
 
 
-@query("title_chain_whole")
-def title_chain_whole(spark, d):
+@query("title_chain")
+def title_chain(spark, d):
     """The title of every text, re-cased (which SQL can't, so without SQL)."""
     own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Granule "), F.col("doc_id").cast("string")))
     return bind.texts(spark, d).select("doc_id", presentation.title(own, F.col("text"), F.col("doc_id").cast("string"), 60).alias("title"))
 
 
-@query("model_batches_whole")
-def model_batches_whole(spark, d):
+@query("model_batches")
+def model_batches(spark, d):
     """Model work over all texts of all sources (words as Python splits them, so without SQL)."""
     return model.answered(bind.texts(spark, d).select(F.col("doc_id").alias("key"), "text", "digest_day"), model.echo, model.FIRST, "digest_day")
 
 
-@query("best_word_overlap_whole")
-def best_word_overlap_whole(spark, d):
+@query("best_word_overlap")
+def best_word_overlap(spark, d):
     """The anchor that shares most significant words of the whole text (too slow in SQL, so without)."""
     w = table(spark, d, "documents").select("doc_id", F.explode(text.significant_words("text")).alias("w"))
     v = table(spark, d, "benchmark").select("item_id", F.explode(text.significant_words("text")).alias("w"))
@@ -50,12 +49,12 @@ def best_word_overlap_whole(spark, d):
 
 
 @query(
-    "change_kind_whole",
+    "change_kind",
     """WITH c AS (SELECT page_id AS id, lower(regexp_extract(url, '//(?:www\\.)?([^/?#]*)', 1)) AS doc, md5(html) AS content, md5(regexp_replace(html, '<[^>]*>', '', 'g')) AS t FROM pages),
     p AS (SELECT *, last_value(CASE WHEN content IS NOT NULL THEN id END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM c)
     SELECT p.id, p.prev AS prev_id, CASE WHEN p.content IS NULL THEN NULL WHEN prev IS NULL THEN 'new' WHEN q.content = p.content THEN 'unchanged' WHEN q.t IS NOT DISTINCT FROM p.t THEN 'bytes_changed' ELSE 'modified' END AS kind FROM p LEFT JOIN c q ON q.id = p.prev""",
 )
-def change_kind_whole(spark, d):
+def change_kind(spark, d):
     """What changed since the last content of the same host, by whole pages and their whole text."""
     host = F.lower(F.regexp_extract("url", r"//(?:www\.)?([^/?#]*)", 1))
     md5 = lambda s: F.md5(s.cast("binary"))
@@ -64,12 +63,12 @@ def change_kind_whole(spark, d):
 
 
 @query(
-    "upsert_revision_whole",
+    "upsert_revision",
     """WITH t AS (SELECT o_orderkey AS id, o_orderdate AS lm, CAST(o_orderdate AS DATE) AS day, o_orderstatus AS title FROM orders WHERE o_orderstatus <> 'P'), u AS (SELECT l_orderkey AS id, max(l_shipdate) AS lm, NULLIF(max(l_returnflag), 'N') AS title FROM lineitem GROUP BY 1)
     SELECT coalesce(t.id, u.id) AS package_id, greatest(t.lm, u.lm) AS last_modified, coalesce(t.day, CAST(u.lm AS DATE))::VARCHAR AS digest_day, coalesce(u.title, t.title) AS title, CASE WHEN t.id IS NULL OR u.lm > t.lm THEN 'pending' ELSE 'fetched' END AS fetch_status,
     CASE WHEN t.id IS NULL OR u.lm > t.lm THEN 0 ELSE 2 END AS attempts FROM t FULL JOIN u ON t.id = u.id""",
 )
-def upsert_revision_whole(spark, d):
+def upsert_revision(spark, d):
     """A listing of all line items merged into the packages, which are the orders past their pending status."""
     none = F.lit(None).cast("date")
     t = table(spark, d, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("package_id"), F.col("o_orderdate").alias("last_modified"), none.alias("date_issued"), F.col("o_orderdate").cast("date").alias("digest_day"), F.col("o_orderstatus").alias("title"), F.lit("fetched").alias("fetch_status"), F.lit(2).alias("attempts"))
@@ -79,10 +78,10 @@ def upsert_revision_whole(spark, d):
 
 
 @query(
-    "journal_reconcile_whole",
+    "journal_reconcile",
     "WITH j AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-03') SELECT DISTINCT e.user_id, 'summarized' AS event FROM events e JOIN labels l ON l.doc_id = e.user_id WHERE e.event_type = 'view' AND NOT EXISTS (SELECT 1 FROM j WHERE j.user_id = e.user_id)",
 )
-def journal_reconcile_whole(spark, d):
+def journal_reconcile(spark, d):
     """The journal rows still to be written; the journal is that of the purchases up to a day."""
     e = table(spark, d, "events")
     have = e.filter("event_type = 'purchase' AND ts < TIMESTAMP_NTZ '2024-01-03 00:00:00'").select("user_id", F.lit("summarized").alias("event"))

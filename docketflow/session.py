@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "docketflow", cores: str | None = None) -> SparkSession:
-    """A session with the settings the library is tested under: UTC, AQE on, few shuffle partitions for small data."""
-    cores = cores or os.environ.get("BENCH_CPUS", "*")
+    """A session with the settings the library is tested under: UTC and AQE. With `cores`, a local one with few shuffle
+    partitions for small data; without, master, partitions and memory are what spark-submit or the caller has set."""
+    builder = SparkSession.builder.appName(app)
+    if cores:
+        builder = builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
     return (
-        SparkSession.builder.appName(app)
-        .master(f"local[{cores}]")
-        .config("spark.sql.session.timeZone", "UTC")
+        builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -26,3 +25,21 @@ def session(app: str = "docketflow", cores: str | None = None) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory; the path may be in any store that Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset and both are one
+    process (local mode, as in tests) a temporary one is set; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or ""
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="docketflow-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in any store that Spark reads; errors of the store rise."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -59,3 +59,26 @@ def files(spark, path: str, glob: str = "*") -> DataFrame:
 def first_offered(links: dict[str, str], preference: list[str]) -> F.Column:
     """A2: format and link of the first offered format in order of preference. links: format to column name."""
     return F.coalesce(*[F.when(F.col(links[p]).isNotNull(), F.struct(F.lit(p).alias("format"), F.col(links[p]).alias("link"))) for p in preference])
+
+
+def conditions(etag: F.Column, modified: F.Column) -> F.Column:
+    """K3: headers of a conditional request, from what the last good answer said; an empty map without either."""
+    given = lambda v, name: F.when(F.coalesce(v, F.lit("")) != "", F.create_map(F.lit(name), v)).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    return F.map_concat(given(etag, "If-None-Match"), given(modified, "If-Modified-Since"))
+
+
+def polled(state: DataFrame, answers: DataFrame, key: str = "source_id") -> DataFrame:
+    """K3: validators and times after a poll, and whether there is `work`. state: key, etag, modified, checked_at, changed_at;
+    answers: key, status, etag, modified, at; one row a key each.
+
+    A 304 has no work and keeps the validators; a good answer has work and brings its own, be they none; any other
+    answer, or none, keeps all as it was. Sources without a row in either table are kept.
+    """
+    s, a = state.alias("s"), answers.alias("a")
+    good = F.coalesce(F.col("a.status").between(200, 299), F.lit(False))
+    same = F.coalesce(F.col("a.status") == 304, F.lit(False))
+    took = lambda c: F.when(good, F.col(f"a.{c}")).otherwise(F.col(f"s.{c}")).alias(c)
+    return s.join(a, F.col(f"s.{key}") == F.col(f"a.{key}"), "full").select(
+        F.coalesce(f"s.{key}", f"a.{key}").alias(key), took("etag"), took("modified"), F.when(good | same, F.col("a.at")).otherwise(F.col("s.checked_at")).alias("checked_at"),
+        F.when(good, F.col("a.at")).otherwise(F.col("s.changed_at")).alias("changed_at"), good.alias("work"),
+    )

@@ -81,16 +81,23 @@ def parse_bill(body: bytes | str) -> Iterator[dict]:
 
 
 def parse_law(body: bytes | str) -> Iterator[dict]:
-    """One law; a body that isn't XML is taken as plain text."""
+    """One law with its number, citations, approval day and stated type; a body that isn't XML is taken as plain text."""
     raw = decoded(body) if isinstance(body, bytes) else body
     try:
         root = ET.fromstring(raw)
-        text = _flat(root, ("metadata", "meta"))
-        title = next((_flat(t) for t in root.iter() if t.tag.rpartition("}")[2] in ("officialTitle", "title")), None)
     except ET.ParseError:
-        text, title = " ".join(raw.split()), None
-    kind = "PRIVATE" if re.search(r"\bPrivate Law\b", text[:2000]) else "PUBLIC"
-    yield {"granule_id": "", "doc_type": kind, "title": title, "agency": None, "metadata": [], "text": text}
+        yield {"granule_id": "", "metadata": [("format", "txt")], "text": " ".join(raw.split())}
+        return
+    meta = next((e for e in root if e.tag.rpartition("}")[2] in ("meta", "metadata")), None)
+    said: dict[str, list[str]] = {}
+    for e in meta if meta is not None else ():
+        if words := _flat(e):
+            said.setdefault(e.tag.rpartition("}")[2], []).append(words)
+    one = {"law_number": "docNumber", "approved_date": "approvedDate", "law_type": "type"}
+    metadata = [(k, said[v][0]) for k, v in one.items() if v in said]
+    if "citableAs" in said:
+        metadata.append(("citations", "; ".join(said["citableAs"])))
+    yield {"granule_id": "", "title": said.get("title", [None])[0], "metadata": metadata, "text": " ".join(" ".join(root.itertext()).split())}
 
 
 def parse_record_zip(body: bytes) -> Iterator[dict]:
@@ -104,24 +111,42 @@ def parse_record_zip(body: bytes) -> Iterator[dict]:
             yield {"granule_id": name.rpartition("/")[2][:-4], "doc_type": SECTION_OF_PAGE[m[3]], "title": title_text, "agency": None, "metadata": [("page", m[3] + m[4])], "text": html_text(re.sub(r"(?is)<title>.*?</title>", "", page))}
 
 
+def _mods(body: bytes) -> tuple[dict[str, str], dict[str, dict[str, str]]]:
+    """Case-wide fields of a mods.xml, and those of each opinion by its access id."""
+    local = lambda e: e.tag.rpartition("}")[2]
+    fields = lambda e: {local(x): _flat(x) for part in e if local(part) in ("extension", "originInfo", "titleInfo") for x in part}
+    root = ET.fromstring(body)
+    opinions = [fields(e) for e in root if local(e) == "relatedItem" and e.get("type") == "constituent"]
+    return fields(root), {o["accessId"]: o for o in opinions if o.get("accessId")}
+
+
 def parse_case_zip(body: bytes) -> Iterator[dict]:
-    """Opinions of a case with their metadata by file stem. A member that can't be read becomes a note.
+    """One record an opinion of a case, in order of the number that ends its name, with the metadata of its stem.
 
-    Opinions are taken as text members; PDF text needs a library outside this one."""
+    A mods.xml that is missing or bad, or a member that can't be read, becomes the record's note and stops nothing. Text
+    inside PDF needs a library outside this one: `case_zips` takes it from a column.
+    """
     with zipfile.ZipFile(io.BytesIO(body)) as z:
-        names = z.namelist()
-        meta: dict[str, dict[str, str]] = {}
-        for n in names:
-            if n.endswith(".xml"):
-                for c in ET.fromstring(z.read(n)).iter("constituent"):
-                    meta[c.get("id", "")] = {x.tag: _flat(x) for x in c}
-        for n in sorted(x for x in names if x.endswith(".txt")):
-            stem = n.rpartition("/")[2][:-4]
-            row = {"granule_id": stem, "doc_type": meta.get(stem, {}).get("category"), "title": meta.get(stem, {}).get("title"), "agency": meta.get(stem, {}).get("court")}
+        names, case, opinions, note = z.namelist(), {}, {}, None
+        mods = next((n for n in names if n == "mods.xml" or n.endswith("/mods.xml")), None)
+        try:
+            if mods is None:
+                note = "mods.xml missing"
+            else:
+                case, opinions = _mods(z.read(mods))
+        except (ET.ParseError, zipfile.BadZipFile) as e:
+            note = f"mods.xml unreadable: {type(e).__name__}"
+        stem = lambda n: n.rpartition("/")[2][:-4]
+        last = lambda n: int(x) if (x := stem(n).rpartition("-")[2]).isdecimal() else 1 << 30
+        for n in sorted((n for n in names if "pdf/" in n and n.lower().endswith(".pdf")), key=lambda n: (last(n), stem(n))):
+            bad = None
             try:
-                yield row | {"metadata": [], "text": " ".join(z.read(n).decode("utf-8").split())}
-            except (UnicodeDecodeError, zipfile.BadZipFile) as e:
-                yield row | {"metadata": [("note", f"unreadable: {type(e).__name__}")], "text": None}
+                z.read(n)
+            except Exception as e:  # a bad member is its own record's note
+                bad = f"unreadable member: {type(e).__name__}"
+            own = opinions.get(stem(n), {})
+            said = {"court_type": case.get("courtType"), "court_code": case.get("courtCode"), "court_name": own.get("courtName"), "case_number": case.get("caseNumber"), "case_type": case.get("caseType"), "date_filed": own.get("dateIssued"), "docket_text": own.get("docketText"), "extraction_note": note or bad}
+            yield {"granule_id": stem(n), "title": case.get("title"), "metadata": [(k, v) for k, v in said.items() if v]}
 
 
 def issue(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
@@ -136,16 +161,28 @@ def bills(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
     return parsed(rows, body, keep, RECORD, parse_bill)
 
 
-def laws(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
-    return parsed(rows, body, keep, RECORD, parse_law)
+def laws(rows: DataFrame, body: str, keep: list[str], package: str = "package_id") -> DataFrame:
+    """Laws; the class by the stated type or the package id (one of `keep`), as the text may cite laws of either."""
+    out = parsed(rows, body, keep, RECORD, parse_law)
+    said, code = F.lower(F.coalesce(F.col("metadata")["law_type"], F.lit(""))), F.col(package)
+    plain = F.coalesce(F.col("metadata")["format"] == "txt", F.lit(False))
+    private = F.when(plain, ~F.contains(code, F.lit("publ"))).otherwise(said.startswith("private") | F.contains(code, F.lit("pvtl")))
+    return out.withColumn("doc_type", F.when(F.col("error").isNull(), F.when(private, "PRIVATE").otherwise("PUBLIC")))
 
 
 def record_zips(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
     return parsed(rows, body, keep, RECORD, parse_record_zip)
 
 
-def case_zips(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
-    return parsed(rows, body, keep, RECORD, parse_case_zip)
+def case_zips(rows: DataFrame, body: str, keep: list[str], package: str = "package_id", texts: str | None = None) -> DataFrame:
+    """Opinions of every case package: category, whether a precedent, and text. `texts` names a column (one of
+    `keep`) that maps a stem to the words of its PDF; an opinion that isn't in it has a note and the empty text."""
+    out, meta = parsed(rows, body, keep, RECORD, parse_case_zip), F.col("metadata")
+    code = F.coalesce(meta["court_code"], F.regexp_extract(package, r"^USCOURTS-([a-z0-9]+)-", 1))
+    out = out.withColumn("doc_type", F.when(F.col("error").isNull(), court_category(F.coalesce(meta["court_type"], F.lit("")), code)))
+    text = F.try_element_at(F.col(texts), F.col("granule_id")) if texts else F.lit(None).cast("string")
+    note = F.when(F.col("error").isNull() & text.isNull() & meta["extraction_note"].isNull(), F.map_concat(meta, F.create_map(F.lit("extraction_note"), F.lit("no text")))).otherwise(meta)
+    return out.withColumns({"text": F.coalesce(text, F.when(F.col("error").isNull(), F.lit(""))), "metadata": note, "precedential": precedential(meta["docket_text"])})
 
 
 def bill_id(package: Column) -> dict[str, Column]:
@@ -167,5 +204,5 @@ def precedential(text: Column) -> Column:
 
 
 def graphic_class(gid: Column) -> Column:
-    """Section-coded graphics are substantive."""
+    """Section-coded graphics are substantive. The pattern is a fixed value of the format."""
     return F.when(gid.rlike(r"^E[A-Z]\d{2}[A-Z]{2}\d{2}\.\d+$"), "substantive").otherwise("decorative")

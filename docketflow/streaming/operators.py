@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
 
+from docketflow.session import exists
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -105,18 +107,22 @@ def rocks(spark: SparkSession):
         spark.conf.set(name, old) if old else spark.conf.unset(name)
 
 
-def append_new(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+def append_new(path: str, keys: list[str], parts: int = 64) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer that appends rows whose key the table lacks, so a replayed batch adds nothing.
 
-    Each batch goes to a partition of its own, overwritten when the batch is replayed."""
+    Rows lie in partitions by a hash of the key, of which a batch reads only those that it has keys of, and within
+    them by batch, whose partitions are overwritten when the batch is replayed. Before the first batch there is no
+    table; any other error of a read fails the batch, as rows would else be written twice.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(keys)
-        with contextlib.suppress(Exception):  # the first batch finds no table
-            have = spark.read.parquet(path).filter(F.col("batch_id") != number).select(*keys)
+        new = batch.dropDuplicates(keys).withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+        if exists(spark, path):
+            mine = [r.part for r in new.select("part").distinct().collect()]  # at most `parts` numbers
+            have = spark.read.parquet(path).filter(F.col("part").isin(mine) & (F.col("batch_id") != number)).select(*keys)
             new = new.join(have, keys, "left_anti")
-        new.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        new.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch_id").parquet(path)
 
     return write
 

@@ -1,6 +1,8 @@
 """Boundary cases of the operators on small rows of their own."""
 
 import datetime as dt
+import io
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,8 +237,11 @@ def test_votes_and_bills(spark):
     bill = '<bill bill-stage="Reported-in-House"><metadata>skip</metadata><form><official-title>To do</official-title><sponsor>X</sponsor><cosponsor>Y</cosponsor><cosponsor>X</cosponsor></form></bill>'
     b = packages.bills(spark.createDataFrame([(bill,)], "body string"), "body", []).first()
     assert (b.doc_type, b.title, b.metadata["sponsors"]) == ("Reported-in-House", "To do", "X; Y") and "skip" not in b.text
-    law = packages.laws(spark.createDataFrame([("Private Law 1 & so on",)], "body string"), "body", []).first()
-    assert law.doc_type == "PRIVATE" and law.text == "Private Law 1 & so on"
+    cited = "<law><meta><type>Public Law</type><docNumber>7</docNumber></meta><main>See Private Law 1.</main></law>"
+    laws = [("PLAW-119pvtl1", "Public Law 1 & so on"), ("PLAW-119publ2", "Private Law 1 & so on"), ("PLAW-119publ7", cited), ("PLAW-119pvtl9", cited)]
+    got = {r.package_id: r for r in packages.laws(spark.createDataFrame(laws, "package_id string, body string"), "body", ["package_id"]).collect()}
+    assert [got[k].doc_type for k, _ in laws] == ["PRIVATE", "PUBLIC", "PUBLIC", "PRIVATE"] and got["PLAW-119publ2"].text == "Private Law 1 & so on"
+    assert got["PLAW-119publ7"].metadata == {"law_number": "7", "law_type": "Public Law"}
     ids = spark.createDataFrame([("BILLS-119hconres12rh",)], "p string").select(*[c.alias(k) for k, c in packages.bill_id(F.col("p")).items()]).first()
     assert tuple(ids) == ("119", "hconres", "12", "rh", "house")
     assert one(spark, packages.precedential(F.col("t")), t="NOT FOR PUBLICATION precedential") is False
@@ -244,11 +249,46 @@ def test_votes_and_bills(spark):
     assert one(spark, packages.graphic_class(F.col("g")), g="ER01JA24.001") == "substantive"
 
 
+def test_case_packages(spark):
+    def package(mods, names):
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w") as z:
+            if mods is not None:
+                z.writestr("c/mods.xml", mods)
+            for n in names:
+                z.writestr(f"c/pdf/{n}.pdf", b"%PDF one")
+        return raw.getvalue()
+
+    mods = """<mods xmlns="http://www.loc.gov/mods/v3"><titleInfo><title>A v. B</title></titleInfo><extension><courtType>Bankruptcy</courtType><caseNumber>1:2</caseNumber></extension>
+    <relatedItem type="constituent"><extension><accessId>U-x-2</accessId><docketText>NOT FOR PUBLICATION</docketText></extension><originInfo><dateIssued>2024-01-02</dateIssued></originInfo></relatedItem></mods>"""
+    broken = bytearray(package(mods, ["U-x-1"]))
+    at = broken.index(b"%PDF one")
+    broken[at : at + 4] = b"PDF%"  # its checksum is wrong now
+    rows = [("USCOURTS-caDC-1", package(mods, ["U-x-10", "U-x-2", "U-x-a"]), {"U-x-2": "two", "U-x-10": "ten"}), ("USCOURTS-ca9-2", package(None, ["U-y-1"]), {"U-y-1": "one"}), ("USCOURTS-nysd-3", package("<mods", ["U-z-1"]), {}), ("p4", bytes(broken), {"U-x-1": None}), ("p5", b"no zip", {})]
+    got = packages.case_zips(spark.createDataFrame(rows, "package_id string, body binary, texts map<string, string>"), "body", ["package_id", "texts"], texts="texts").orderBy("package_id", "pos").collect()
+    by = lambda p: [r for r in got if r.package_id == p]
+    assert [(r.granule_id, r.text, r.precedential) for r in by("USCOURTS-caDC-1")] == [("U-x-2", "two", False), ("U-x-10", "ten", None), ("U-x-a", "", None)]
+    assert {r.doc_type for r in by("USCOURTS-caDC-1")} == {"BANKRUPTCY"} and by("USCOURTS-caDC-1")[0].metadata["date_filed"] == "2024-01-02" and by("USCOURTS-caDC-1")[2].metadata["extraction_note"] == "no text"
+    assert [(r.doc_type, r.text, r.metadata["extraction_note"]) for r in by("USCOURTS-ca9-2")] == [("APPELLATE", "one", "mods.xml missing")]
+    assert by("USCOURTS-nysd-3")[0].metadata["extraction_note"].startswith("mods.xml unreadable") and by("p4")[0].metadata["extraction_note"].startswith("unreadable member") and by("p5")[0].error
+
+
 def test_listing(spark):
-    page = """<ul><li>January 5, 2026 <a href="/a">A long enough title</a></li><li><a href="/b">Another long title</a> 01/04/2026</li></ul>
-    <a href="/x">Skip to nav</a><a href="/x">Skip to nav</a><a href="/x">Skip to nav</a><a href="#t">Top</a><script>document.write('<a href="/z">no</a>')</script>"""
-    got = listing.listing_items(spark.createDataFrame([(1, page)], "id long, html string"), "html", ["id"]).orderBy("pos").collect()
-    assert [(r.link, r.date_text) for r in got] == [("/a", "January 5, 2026"), ("/b", "01/04/2026")]
+    page = """<head><title>Not text, January 1, 2026</title></head><ul><li>January 5, 2026 <a href="/a">A long enough title</a></li><li><a href="/b">Another long title</a> 01/04/2026</li></ul>
+    <a href="/x">Skip to all the nav</a><a href="/x">Skip to all the nav</a><a href="/x">Skip to all the nav</a><a href="#t">Top of this page</a><a href="/s">More</a><script>document.write('<a href="/z">no</a>')</script>"""
+    got = listing.listing_items(spark.createDataFrame([(1, page), (2, None), (3, "")], "id long, html string"), "html", ["id"]).orderBy("pos").collect()
+    assert [(r.id, r.link, r.day, r.date_text) for r in got] == [(1, "/a", "2026-01-05", "January 5, 2026"), (1, "/b", "2026-01-04", "01/04/2026")]
+    items = lambda body, **k: [(x["link"][-2:], x["day"]) for x in listing.parse_listing(body, "https://x.gov/news", **k)]
+    entry = "<li><a href='/n/{0}'>Release number {0}</a></li>"
+    many = "".join(entry.format(k) for k in range(10, 30))
+    # a footer's day is nobody's, near or far; days of a list are no entry's; a short group under one day is dated by it
+    assert set(items(f"<body><ul>{many}</ul><footer>Updated January 6, 2026</footer></body>")) == {(str(k), None) for k in range(10, 30)}
+    assert items(f"<body><ul>{entry.format(10)}</ul>{'<p>x</p>' * 80}<footer>January 6, 2026</footer></body>") == [("10", None)]
+    group = "".join(entry.format(k) for k in range(10, 18))
+    assert set(items(f"<section><h2>July 4, 2026</h2><ul>{group}</ul></section>")) == {(str(k), "2026-07-04") for k in range(10, 18)}
+    assert {d for _, d in items(f"<section><h2>July 4, 2026</h2><ul>{group}</ul><p>July 3, 2026</p></section>")} == {None}
+    assert items("<li>May 1, 2026 <time datetime='2026-05-02T08:00'></time><a href='/n/10'>Release number 10</a></li>") == [("10", "2026-05-02")]
+    assert items("<li><a href='https://other.gov/n/10'>Release elsewhere</a> <a href='/news/'>The listing itself</a> <a href='/n/11'>Release number 11</a> 2026-05-01</li>", hint="/n") == [("11", "2026-05-01")]
     assert listing.decoded("é".encode("latin-1"), "latin-1") == "é" and listing.decoded(b'<meta charset="iso-8859-1">\xe9').endswith("é") and listing.decoded(b"\xff") == "�"
 
 
@@ -279,6 +319,17 @@ def test_replayed_batches_add_nothing(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
 
 
+def test_a_failing_read_fails_the_batch(spark, tmp_path):
+    path = tmp_path / "journal"
+    write = streaming.append_new(str(path), ["k"])
+    rows = spark.createDataFrame([(1, "a")], "k long, v string")
+    write(rows, 0)
+    for f in path.rglob("*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.raises(Exception, match="(?i)parquet|footer|corrupt|read"):
+        write(spark.createDataFrame([(1, "a")], "k long, v string"), 1)
+
+
 def test_stream_across_batches(spark, tmp_path):
     from docketflow.plans import streams
 
