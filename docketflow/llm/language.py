@@ -65,7 +65,7 @@ def fit(docs: DataFrame, parts: int = 5, held: int = 0, id_col: str = "doc_id",
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for big in batches:
-            for b in sub_batches(big, "text", 4 << 20):
+            for b in sub_batches(big, "text", 1 << 20):
                 langs = b.column(1).to_pylist()
                 names = sorted(set(langs))
                 which = np.array([names.index(x) for x in langs])
@@ -140,7 +140,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", pred: str = "l
         model = sent.value
         langs = np.array([*model["names"], "und"], object)
         for big in batches:
-            for b in sub_batches(big, text_col, 2 << 20):
+            for b in sub_batches(big, text_col, 1 << 19):
                 best, share = infer(*buffers(b.column(at)), model)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs[best].tolist(), pa.string()), pa.array(share)], names=[*names, pred, share_col])
 
