@@ -124,7 +124,7 @@ def case_round_trip(spark, d):
     return got.select("o_orderkey", F.col("granule_id").alias("opinion"), F.col("pos").alias("place"), "title", F.col("doc_type").alias("court"), F.col("metadata")["date_filed"].alias("filed"), "precedential", "text")
 
 
-@query("vote_round_trip", "SELECT o_custkey AS number, count(*) FILTER (WHERE o_orderstatus = 'F') AS yeas, array_to_string(list_sort(list('M' || o_orderkey::VARCHAR) FILTER (WHERE o_orderstatus <> 'F')), ',') AS nays, CASE WHEN o_custkey % 5 = 0 THEN 'nays: published 99, roster ' || (count(*) FILTER (WHERE o_orderstatus <> 'F'))::VARCHAR END AS note FROM orders GROUP BY 1")
+@query("vote_round_trip", "SELECT o_custkey AS number, count(*) FILTER (WHERE o_orderstatus = 'F') AS yeas, coalesce(array_to_string(list_sort(list('M' || o_orderkey::VARCHAR) FILTER (WHERE o_orderstatus <> 'F')), ','), '') AS nays, CASE WHEN o_custkey % 5 = 0 THEN 'nays: published 99, roster ' || (count(*) FILTER (WHERE o_orderstatus <> 'F'))::VARCHAR END AS note FROM orders GROUP BY 1")
 def vote_round_trip(spark, d):
     """Roll calls with members by position, and a note where tally and roster disagree."""
     yea = F.col("o_orderstatus") == "F"
