@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-SPACES = r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"  # beside the space
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 #: Words kept small inside re-cased titles, and acronyms kept whole.
 SMALL_WORDS = {"a", "an", "and", "as", "at", "by", "for", "from", "in", "of", "on", "or", "the", "to", "with"}
@@ -19,8 +19,10 @@ def _c(x: Column | str) -> Column:
 
 
 def one_line(s: Column | str) -> Column:
-    """Each run of Unicode white space becomes one space; trimmed."""
-    return F.trim(F.regexp_replace(_c(s), SPACES, " "))
+    """Each run of Unicode white space becomes one space; trimmed. All white space is translated to spaces first, so
+    that texts without runs need no pattern."""
+    plain = F.translate(_c(s), WHITE, " " * len(WHITE))
+    return F.trim(F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " {2,}", " ")).otherwise(plain))
 
 
 def truncate(s: Column | str, n: int) -> Column:
