@@ -17,6 +17,7 @@ are, each row on its own. An empty table gives an empty result. Other columns ar
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -51,12 +52,25 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def by_pieces(path: str) -> bool:
+    """Whether a vocabulary file states the normaliser and splits that `encode` may take texts apart by."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    normal = said.get("normalizer") or {}
+    steps = [x.get("type") for x in normal.get("normalizers", [normal])]
+    before = said.get("pre_tokenizer") or {}
+    splits = [x.get("pattern", {}).get("Regex", "") for x in before.get("pretokenizers", [before]) if x.get("type") == "Split"]
+    model = said.get("model") or {}
+    return steps == ["NFC", "Replace", "Lowercase"] and len(splits) == 1 and splits[0].endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>"
+
+
 def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit bytes.
 
-    This vocabulary lower-cases, drops white space and splits at every border between letters and
-    other characters, so pieces between such borders are encoded once and kept (at most `most`).
-    Texts with letters beyond U+024F or with special-token marks are encoded whole.
+    A vocabulary that lower-cases, drops white space and splits at every border between letters and
+    other characters (its file says so) has pieces between such borders encoded once and kept (at
+    most `most`). Texts with letters beyond U+024F or with special-token marks, and all texts under
+    any other vocabulary, are encoded whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a forked worker must not start threads
     from tokenizers import Tokenizer
@@ -66,8 +80,10 @@ def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[byte
         vocab = made.get_vocab()
         word_end = np.zeros(max(vocab.values()) + 1, bool)
         word_end[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        _TOKENIZERS[path] = made, word_end
-    tok, ends = _TOKENIZERS[path]
+        _TOKENIZERS[path] = made, word_end, by_pieces(path)
+    tok, ends, pieces = _TOKENIZERS[path]
+    if not pieces:
+        return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
     cache = _CACHE.setdefault(path, {})
     if len(cache) > most:
         cache.clear()

@@ -1,5 +1,6 @@
 """Operators with exact contracts against brute force: fingerprints, licences, packing, joins, mixing, media, HTML."""
 
+import glob
 import hashlib
 import html as entities
 import re
@@ -147,7 +148,8 @@ def notice_words(t):
 
 
 def test_licences_against_containment(spark, small, texts):
-    got = {(r.doc_id, r.licence) for r in licences.op2_licences(spark, small).collect()}
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    got = {(r.doc_id, r.licence) for r in licences.scan(docs, best=False).collect()}
     want = set()
     for name, template in licences.TEMPLATES.items():
         w = notice_words(template)
@@ -157,12 +159,23 @@ def test_licences_against_containment(spark, small, texts):
             if len(s & {tuple(v[i : i + 5]) for i in range(len(v) - 4)}) >= 0.8 * len(s):
                 want.add((i, name))
     assert got == want
+    best = {(r.doc_id, r.licence) for r in licences.op2_licences(spark, small).collect()}
+    assert best <= want and {i for i, _ in best} == {i for i, _ in want}
+
+
+def test_the_fullest_of_overlapping_notices(spark):
+    t = licences.TEMPLATES
+    texts = [t["MIT-text"], t["GPL-2.0-or-later"], t["AGPL-3.0-or-later"], t["BSD-3-Clause-text"], t["BSD-2-Clause-text"], t["Apache-2.0"] + " Now " + t["Apache-2.0-warranty"], f"{t['MIT']} only; then {t['GPL-3.0-or-later']}", t["MIT-line"] + " " + " ".join(f"y{k}" for k in range(30)) + " " + t["MIT-line"]]
+    got = defaultdict(list)
+    for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got[r.doc_id].append(r.licence)
+    assert [sorted(got[k]) for k in range(len(texts))] == [["MIT-text"], ["GPL-2.0-or-later"], ["AGPL-3.0-or-later"], ["BSD-3-Clause-text"], ["BSD-2-Clause-text"], ["Apache-2.0", "Apache-2.0-warranty"], ["GPL-3.0-or-later", "MIT"], ["MIT-line", "MIT-line"]]
 
 
 def test_long_notices_inside_long_texts(spark, none):
     filler = " ".join(f"x{i}" for i in range(3000))
     rows = [(k, f"{filler[: 37 * k]} {t} {filler}") for k, t in enumerate(licences.TEMPLATES.values())] + [(99, None), (98, ""), (97, filler)]
-    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), best=False).collect()
     assert {(k, n) for k, n in enumerate(licences.TEMPLATES)} <= {(r.doc_id, r.licence) for r in got}
     assert not {97, 98, 99} & {r.doc_id for r in got}
     texts = dict(rows)
@@ -214,6 +227,23 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack(none, packing.default_tokenizer()).count() == 0
 
 
+def test_other_vocabularies_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    texts = ["Hello World, it's 12.5 °C  now", None, "", "Straße\n\nÄrger 😀 " * 5, "<|endoftext|> x"]
+    paths = sorted(glob.glob("/opt/tokenizers/*.json"))
+    assert packing.by_pieces(packing.default_tokenizer())
+    tried = 0
+    for path in paths:
+        try:
+            tok = Tokenizer.from_file(path)
+        except Exception:
+            continue  # not a vocabulary of this kind
+        tried += not packing.by_pieces(path)
+        assert packing.encode(texts, path) == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert tried
+
+
 def test_word_cache_gives_the_tokenizer_s_ids():
     from tokenizers import Tokenizer
 

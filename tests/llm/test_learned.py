@@ -1,6 +1,7 @@
 """Classifiers on held-out rows, their small parts by brute force, awkward rows, and the pipeline."""
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketflow.llm import common, language, quality, toxicity
+from docketflow.llm.common import buffers
 
 MID = "/root/testdata/sf0.1"
 
@@ -83,6 +85,53 @@ def test_label_model_finds_accuracies():
     assert ((p > 0.5) == y).mean() > 0.85
 
 
+def test_mixtures_against_all_subsets():
+    """Plain expectation-maximisation over every subset of languages, by the penalised likelihood."""
+    rng = np.random.default_rng(4)
+    words = {x: ["".join(rng.choice(list(a), 5)) for _ in range(60)] for x, a in (("aa", "abcdef"), ("bb", "defghi"), ("cc", "ijklmno"))}
+    names = sorted(words)
+    table = np.full((3, language.BUCKETS), 0.5)
+    for k, x in enumerate(names):
+        np.add.at(table[k], language.trigrams(*buffers(pa.array([" ".join(words[x])])))[0], 1)
+    model = {"names": names, "logp": np.log(table / table.sum(1, keepdims=True)).T}
+    agree, off = [], []
+    for _ in range(60):
+        mix = rng.dirichlet([0.4, 0.4, 0.4])
+        text = " ".join(rng.choice(words[names[rng.choice(3, p=mix)]]) for _ in range(int(rng.integers(4, 40))))
+        bucket, _, starts = language.trigrams(*buffers(pa.array([text])))
+        ll = np.add.reduceat(model["logp"][bucket], starts, axis=0)
+        found = []
+        for some in ([0], [1], [2], [0, 1], [0, 2], [1, 2], [0, 1, 2]):
+            pi = np.full(len(some), 1 / len(some))
+            for _ in range(300):
+                w = np.exp(ll[:, some] - ll[:, some].max(1, keepdims=True)) * pi
+                pi = (w / w.sum(1, keepdims=True)).mean(0)
+            top = ll[:, some].max(1, keepdims=True)
+            total = (np.log((np.exp(ll[:, some] - top) * pi).sum(1)) + top[:, 0]).sum() - 0.5 * np.log(len(ll) + 1) * len(some)
+            found.append((total, some[int(pi.argmax())], pi.max()))
+        _, want, share = max(found)
+        best, got = language.infer(*buffers(pa.array([text])), model)
+        agree.append(best[0] == want)
+        off.append(abs(got[0] - share))
+    assert np.mean(agree) >= 0.95 and np.median(off) < 0.03
+
+
+def test_posteriors_by_bayes():
+    """The label model's posteriors are those that its own accuracies give, row by row, by both hypotheses written out."""
+    rng = np.random.default_rng(6)
+    truth = rng.random(400) < 0.3
+    votes = np.column_stack([rng.random(400) < np.where(truth, a, b) for a, b in ((0.8, 0.1), (0.6, 0.05), (0.9, 0.4))]).astype(int)
+    known = np.where(rng.random(400) < 0.3, truth, -1).astype(int)
+    p, rates, voice = toxicity.label_model(votes, known, rounds=200)
+    prior = p.mean()
+    for v, k, got in zip(votes, known, p, strict=True):
+        if k < 0:
+            weigh = lambda c: math.prod((rates[c][j] if v[j] else 1 - rates[c][j]) ** voice[j] for j in range(3))  # noqa: E731, B023
+            want = prior * weigh(1) / (prior * weigh(1) + (1 - prior) * weigh(0))
+            assert abs(got - want) < 0.02
+    assert p[known == 1].min() > 0.5 > p[known == 0].max()
+
+
 def test_language_mixtures(spark):
     docs = spark.read.parquet(f"{MID}/documents.parquet")
     model = language.fit(docs)
