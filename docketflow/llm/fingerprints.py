@@ -5,8 +5,8 @@ x stays or advances by one, as bit j of x's class says, and emits x. Walks over
 edit distance meet again soon after each edit, so edit distance becomes Hamming distance of the
 emitted strings. A fingerprint samples the emitted string at steps fixed for all documents,
 `PER_OCTAVE` in each range [64 * 2^(o-1), 64 * 2^o); its likeness to another weighs each sample by
-the steps it stands for. `near_duplicates` bands sampled positions, so that similar texts share a
-band's key, and verifies the pairs by likeness.
+the steps it stands for. `near_duplicates` bands sampled positions of several independent walks, so
+that similar texts share a band's key, and verifies the pairs by their likeness on the best walk.
 
 `edited` pairs every document with the next one in descending doc_id order without a global
 window: rows are dealt by doc_id ranges, each range also gets the first row of the next, and a
@@ -39,21 +39,21 @@ PER_OCTAVE = 64
 FIRST = 64
 ALPHABET = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_.", np.uint8)  # the last: no character
 BLOCK = 4096
-_BITS: dict[int, np.ndarray] = {}
+_BITS: dict[tuple[int, int], np.ndarray] = {}
 _STEPS: list[np.ndarray] = []
 
 
-def _bits(block: int) -> np.ndarray:
+def _bits(block: int, walk_: int = 0) -> np.ndarray:
     """Advance or stay, by step of the block and character class; the end mark stays."""
-    if block not in _BITS:
+    if (walk_, block) not in _BITS:
         with np.errstate(over="ignore"):
-            r = mix64(np.arange(block * BLOCK, (block + 1) * BLOCK, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED))
+            r = mix64(np.arange(block * BLOCK, (block + 1) * BLOCK, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED + 1_000_003 * walk_))
         t = np.zeros((BLOCK, CLASSES + 1), np.uint8)
         t[:, :CLASSES] = (r[:, None] >> np.arange(CLASSES, dtype=np.uint64)) & np.uint64(1)
         if len(_BITS) > 100:
             _BITS.clear()
-        _BITS[block] = t
-    return _BITS[block]
+        _BITS[walk_, block] = t
+    return _BITS[walk_, block]
 
 
 def steps(octave: int) -> np.ndarray:
@@ -72,8 +72,8 @@ def classes(points: np.ndarray) -> np.ndarray:
     return ((points * np.uint32(0x9E3779B1)) >> np.uint32(26)).astype(np.uint8)
 
 
-def walk(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Samples by (sample, walker) of walks from each start to its end mark (class CLASSES)."""
+def walk(codes: np.ndarray, starts: np.ndarray, walk_: int = 0) -> np.ndarray:
+    """Samples by (sample, walker) of walks from each start to its end mark (class CLASSES); `walk_` numbers the random bits."""
     n, rows = len(starts), []
     who = np.arange(n)
     pos = starts.astype(np.int64).copy()
@@ -84,7 +84,7 @@ def walk(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         k = 0
         while step < end and len(who):
             stop = min(step + 64, end)
-            table = _bits(step // BLOCK)
+            table = _bits(step // BLOCK, walk_)
             c = np.empty(len(who), np.uint8)
             b = np.empty(len(who), np.uint8)
             for j in range(step, stop):
@@ -149,6 +149,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, n_chars long, fingerprint string")
 
 
+def several(docs: DataFrame, walks: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and `prints`, a fingerprint of each of several walks, of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for b in sub_batches(big, text_col, 4 << 20):
+                points, off = codepoints(*buffers(b.column(1)))
+                at = marked(points, off)
+                got = zip(*(strings(walk(*at, w)) for w in range(walks)), strict=True)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(map(list, got)), pa.list_(pa.string()))], ["doc_id", "prints"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, prints array<string>")
+
+
 def in_ranges(docs: DataFrame, id_col: str, blocks: int) -> DataFrame:
     """Rows with `block` (a range of ids, descending inside) and `ghost`: each block also holds, as
     ghost, the first row of the next block in descending order; the last block, that of the first."""
@@ -227,6 +242,9 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
     return rows.select("doc_id", text_col, "block", "ghost").mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+WALKS = 4
+LEAST = 0.6
+SHORT = 0.8
 BANDS, ROWS = 32, 6
 #: Sampled places of each band inside two neighbouring octaves, all different.
 _PLACES = [[int(x) for x in np.argsort(mix64(np.arange(2 * PER_OCTAVE, dtype=np.uint64) + np.uint64(SEED + 1009 * b)))[:ROWS]] for b in range(BANDS)]
@@ -236,7 +254,7 @@ BLOCK_NODES = 2048
 
 
 def _key(*parts: object) -> int:
-    return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little", signed=True)
+    return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little", signed=True) >> 4 << 4
 
 
 def keys(fingerprint: str, least: float) -> set[int]:
@@ -244,7 +262,8 @@ def keys(fingerprint: str, least: float) -> set[int]:
 
     Long ones: sampled places in the last two whole octaves and, as a like text may end an octave earlier, in the two
     before. Short ones (a partner may have under one octave): if the longer of two has n samples, they differ in
-    (1 - least) * n places at most, so of one more groups of places one is equal: no pair of that likeness is missed.
+    (1 - least) * n places at most, so of one more groups of places one is equal: no pair of that likeness, SHORT at least,
+    is missed.
     """
     n, out = len(fingerprint), set()
     whole = n // PER_OCTAVE
@@ -253,6 +272,7 @@ def keys(fingerprint: str, least: float) -> set[int]:
             continue
         lo, span = max(top - 2, 0) * PER_OCTAVE, min(top, 2) * PER_OCTAVE
         out.update(_key(top, b, "".join(fingerprint[lo + p % span] for p in places)) for b, places in enumerate(_PLACES))
+    least = max(least, SHORT)
     if n and n * least < PER_OCTAVE:
         first, last = (math.floor(math.log(x) / math.log(STEP) + 1e-9) for x in (n, n / least))
         for c in range(first, last + 1):  # of the longer one's length, which is n to n / least
@@ -262,15 +282,15 @@ def keys(fingerprint: str, least: float) -> set[int]:
     return out or {_key("equal", fingerprint)}
 
 
-def bands(prints: DataFrame, least: float = 0.8) -> DataFrame:
-    """band, node of every key of prints (node, fingerprint)."""
+def bands(prints: DataFrame, least: float = LEAST) -> DataFrame:
+    """band, node of every key of prints (node, prints)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [(k, n) for n, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for k in keys(f, least)]
+            got = [(k + w, n) for n, of in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w, f in enumerate(of) for k in keys(f, least)]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())], ["band", "node"])
 
-    return prints.select("node", "fingerprint").mapInArrow(run, "band long, node long")
+    return prints.select("node", "prints").mapInArrow(run, "band long, node long")
 
 
 def matrix(prints: list[str]) -> np.ndarray:
@@ -297,14 +317,14 @@ def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int) ->
 
     def compare(t: pa.Table) -> pa.Table:
         mine, i, j, node, root = (t[x].to_numpy().copy() for x in ("mine", "i", "j", "node", "root"))
-        m = matrix(t["fingerprint"].to_pylist())
+        each = [matrix(list(p)) for p in zip(*t["prints"].to_pylist(), strict=True)]
         left, right = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
         found = []
         for x in left:
             far = right[root[right] != root[x]]
             if not len(far):
                 continue
-            for y in far[likeness(m[:, [x]], m[:, far]) >= least]:
+            for y in far[np.max([likeness(m[:, [x]], m[:, far]) for m in each], axis=0) >= least]:
                 if root[x] != root[y]:
                     root[root == max(root[x], root[y])] = min(root[x], root[y])
                     found.append((int(node[x]), int(node[y])))
@@ -313,42 +333,44 @@ def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int) ->
     return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, block: int = BLOCK_NODES) -> DataFrame:
-    """doc_id, class_id of every row: the smallest doc_id among fingerprints linked by a likeness of `least`.
+def near_duplicates(docs: DataFrame, least: float = LEAST, walks: int = WALKS, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, block: int = BLOCK_NODES) -> DataFrame:
+    """doc_id, class_id of every row: the smallest doc_id among texts linked by a likeness of `least` on one of `walks` walks.
 
     Equal fingerprints are one node. At every band key the nodes are first checked against its smallest node; then
     nodes of different components that still meet at a key are all compared, in pairs or, in buckets of more than
     `few` nodes, in blocks. So every pair that shares a key is linked if alike. A pair whose likeness over the sampled
-    octaves is p shares one with probability 1 - (1 - p^ROWS)^BANDS or more; under one octave it always does.
+    octaves is p shares one with probability 1 - (1 - p^ROWS)^BANDS or more; under one octave a pair of likeness SHORT always does. Edits move
+    a walk off its twin's way for a while, so likeness falls with the number of edits, not only their rate; walks are
+    independent, so several find what one loses.
     """
-    prints = written(fingerprints(docs, id_col, text_col), "prints")
-    one = written(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low")).withColumn("node", F.xxhash64("fingerprint")), "prints-once")
-    text = one.select("node", "fingerprint")
+    prints = written(several(docs, walks, id_col, text_col).withColumn("node", F.xxhash64("prints")), "prints")
+    one = written(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("prints").alias("prints")), "prints-once")
+    text = one.select("node", "prints")
     keyed = written(bands(text, least), "prints-bands")
     hubs = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
     pairs = written(keyed.join(hubs, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "prints-pairs")
 
     @F.pandas_udf(DoubleType())
     def likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([alike(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+        return pd.Series([max(map(alike, x, y), default=0.0) for x, y in zip(a, b, strict=True)], dtype=float)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(text.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a")
+        both = pairs.join(text.select(F.col("node").alias("b"), F.col("prints").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("prints").alias("fa")), "a")
         return both.filter(likeness_of("fa", "fb") >= least).select("a", "b")
 
     links = written(verified(pairs), "prints-links")
     here = written(keyed.join(components(links, "prints-classes"), "node", "left").withColumn("root", F.coalesce("root", "node")), "prints-here")
-    several = here.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "n")
-    left = written(here.join(several, "band"), "prints-left")
+    meeting = here.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "n")
+    left = written(here.join(meeting, "band"), "prints-left")
     cold = left.filter(F.col("n") <= few)
     x, y = cold.select("band", F.col("node").alias("a"), F.col("root").alias("ra")), cold.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
     rest = written(x.join(y, "band").filter("a < b and ra <> rb").select("a", "b").distinct(), "prints-rest")
     links = written(links.union(verified(rest)).union(_in_blocks(left.filter(F.col("n") > few), text, least, block)), "prints-links")
     part = components(links, "prints-classes")
-    named = one.join(part, "node", "left").select("fingerprint", "low", F.coalesce("root", "node").alias("root"))
+    named = one.join(part, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = written(named.groupBy("root").agg(F.min("low").alias("class_id")), "prints-low")
-    named = written(named.join(lowest, "root").select("fingerprint", "class_id"), "prints-named")
-    return prints.join(named, "fingerprint").select("doc_id", "class_id")
+    named = written(named.join(lowest, "root").select("node", "class_id"), "prints-named")
+    return prints.join(named, "node").select("doc_id", "class_id")
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,4 +378,9 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_fingerprints": op1_fingerprints}
+def fingerprint_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by banding and verification of their fingerprints."""
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_fingerprints": op1_fingerprints, "fingerprint_classes": fingerprint_classes}

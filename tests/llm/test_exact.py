@@ -119,6 +119,28 @@ def test_near_duplicates_by_bands(spark, odd, none):
     assert fingerprints.near_duplicates(none).count() == 0
 
 
+def test_recall_against_edit_rates(spark):
+    """Pairs of texts by the rate of their edits: what the classes find of them, and that they join nothing else."""
+    rng = np.random.default_rng(8)
+    letters = list("etaoinshrdlucmfw      ")
+    rows, base_of, rates = [], {}, {}
+    for _ in range(40):
+        base = list(rng.choice(letters, int(rng.integers(150, 3000))))
+        first = len(rows)
+        rows.append("".join(base))
+        for rate in (0.0025, 0.005, 0.01):
+            t = list(base)
+            for _ in range(max(1, int(rate * len(base)))):
+                k, how = int(rng.integers(len(t))), rng.random()
+                t[k : k + (how < 0.67)] = [] if how < 0.33 else [str(rng.choice(letters))]
+            base_of[len(rows)], rates[len(rows)] = first, rate
+            rows.append("".join(t))
+    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    recall = {x: float(np.mean([got[i] == got[b] for i, b in base_of.items() if rates[i] == x])) for x in (0.0025, 0.005, 0.01)}
+    assert recall[0.0025] >= 0.95 and recall[0.005] >= 0.9 and recall[0.01] >= 0.9, recall
+    assert all(got[i] // 4 == i // 4 for i in got)
+
+
 def test_near_duplicates_in_crowded_buckets(spark):
     """Thousands of unrelated texts of two letters share every bucket; pairs of near copies among them, long and short, are found as by all pairs."""
     rng = np.random.default_rng(11)
@@ -129,7 +151,7 @@ def test_near_duplicates_in_crowded_buckets(spark):
         t[len(t) * 3 // 4] = "z"
         rows.append("".join(t))
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(docs).collect()}
+    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(docs, least=0.8, walks=1).collect()}
     prints = [r.fingerprint for r in fingerprints.fingerprints(docs).orderBy("doc_id").collect()]
     m = fingerprints.matrix(prints)
     near = [(i, int(j) + i + 1) for i in range(len(rows) - 1) for j in np.flatnonzero(fingerprints.likeness(m[:, [i]], m[:, i + 1 :]) >= 0.8)]
