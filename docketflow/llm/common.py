@@ -82,6 +82,7 @@ def sub_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Ite
         hi = min(max(hi, lo + 1), batch.num_rows)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def codepoints(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

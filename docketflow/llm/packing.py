@@ -124,7 +124,7 @@ def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID,
         wholes = crumbs = 0
         tail = np.array([end_id], "<u4").tobytes()
         for big in batches:
-            for b in sub_batches(big, text_col, 4 << 20):
+            for b in sub_batches(big, text_col, 1 << 20):
                 ids = [x + tail for x in encode(b.column(1).to_pylist(), path)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 cls = n % limit // grid
@@ -141,6 +141,7 @@ def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID,
                     [b.column(0), pa.array(np.full(len(n), task, np.int32)), pa.array(n), pa.array(cls.astype(np.int32)), pa.array(rank), pa.array(before_whole[:-1]), pa.array(before_crumb[:-1]), pa.array(ids, pa.binary())],
                     ["doc_id", "task", "n", "cls", "rank", "wholes", "crumbs", "ids"],
                 )
+        _CACHE.clear()  # a worker goes on to other stages
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, task int, n long, cls int, rank long, wholes long, crumbs long, ids binary")
