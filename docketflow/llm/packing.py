@@ -64,7 +64,7 @@ def by_pieces(path: str) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"] and len(splits) == 1 and splits[0].endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>"
 
 
-def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[bytes]:
+def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit bytes.
 
     A vocabulary that lower-cases, drops white space and splits at every border between letters and
@@ -105,8 +105,10 @@ def encode(texts: list[str | None], path: str, most: int = 600_000) -> list[byte
             data = ids.tobytes()
             cache.update(zip(some, (data[x:y] for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)), strict=True))
     rest = [w for w in new if w not in cache]
-    for word, e in zip(rest, tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-        cache[word] = np.array(e.ids, "<u4").tobytes()
+    for lo in range(0, len(rest), 2000):  # an encoding takes far more memory than its ids
+        some = rest[lo : lo + 2000]
+        for word, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
+            cache[word] = np.array(e.ids, "<u4").tobytes()
     get = cache.__getitem__
     return [
         np.array(tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if p is None else b"".join(map(get, p))
@@ -124,7 +126,7 @@ def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID,
         wholes = crumbs = 0
         tail = np.array([end_id], "<u4").tobytes()
         for big in batches:
-            for b in sub_batches(big, text_col, 1 << 20):
+            for b in sub_batches(big, text_col, 1 << 19):
                 ids = [x + tail for x in encode(b.column(1).to_pylist(), path)]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 cls = n % limit // grid
