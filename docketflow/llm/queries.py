@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docketflow.llm import fingerprints, html, jaccard, language, licences, media, mixing, packing, quality, runs, toxicity
+from docketflow.llm import fingerprints, html, jaccard, katz, language, licences, media, mixing, packing, quality, runs, toxicity, trie
 
-MODULES = (fingerprints, licences, packing, jaccard, quality, mixing, language, media, toxicity, html, runs)
+MODULES = (fingerprints, licences, packing, jaccard, quality, mixing, language, media, toxicity, html, runs, katz, trie)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
