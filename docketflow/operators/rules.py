@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,9 +82,10 @@ def coverage(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def unreconciled(cover: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a coverage table that don't add up or differ from the facts; must be empty."""
-    again = facts.groupBy(*keys).agg(F.count("*").alias("again"))
-    both = cover.join(again, list(keys), "full")
+    """Rows of a coverage table that don't add up or differ from the facts (a missing class is one); must be empty."""
+    again = facts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("again"))
+    both = cover.join(again, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "full")
+    both = both.withColumns({k: F.coalesce(k, f"_{k}") for k in keys}).drop(*[f"_{k}" for k in keys])
     bad = (F.col("summarised") + F.col("counted") + F.col("excluded") != F.col("packages")) | ~F.col("packages").eqNullSafe(F.col("again"))
     return both.filter(bad)
 

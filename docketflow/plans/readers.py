@@ -37,14 +37,20 @@ def html_to_text(spark, d):
     return out.select("page_id", F.length("text").cast("long").alias("chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"), "error")
 
 
-@query("listing_items_udtf", "SELECT o_orderkey, 'Order number ' || o_orderkey::VARCHAR AS title, CASE WHEN o_orderkey % 5 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day, NULL::VARCHAR AS error FROM orders")
+@query(
+    "listing_items_udtf",
+    """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day, count(*) OVER (PARTITION BY o_orderkey // 50) AS n FROM orders)
+    SELECT o_orderkey, 'Order number ' || o_orderkey::VARCHAR AS title, 'https://x.gov/news/' || o_orderkey::VARCHAR AS link, day, NULL::VARCHAR AS error FROM o
+    UNION ALL SELECT NULL, 'All the same tag', 'https://x.gov/tag', day, NULL FROM o WHERE n <= 2""",
+)
 def listing_items_udtf(spark, d):
-    """A10: items of listings with the day of their entry: pages of a range of orders each, whose footer's day is nobody's."""
+    """A10, F8: items of listings with the day of their entry: pages of a range of orders each, whose footer's day is
+    nobody's; the tag beside each order is an item where the page has it twice at most."""
     o = _orders(spark, d).withColumn("page", _part("o_orderkey", LIST_KEYS))
     entry = F.concat(F.lit("<li><a href='/news/"), F.col("o_orderkey").cast("string"), F.lit("'>Order number "), F.col("o_orderkey").cast("string"), F.lit("</a> <a href='/tag'>All the same tag</a> "), F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("<span>"), F.date_format("day", "MMMM d, yyyy"), F.lit("</span>"))).otherwise(""), F.lit("</li>"))
     o = o.withColumn("day", F.col("day").cast("date")).groupBy("page").agg(F.concat(F.lit("<html><head><title>A page of orders</title></head><body><ul>"), F.concat_ws("", F.collect_list(entry)), F.lit("</ul>"), F.repeat(F.lit("<p>text</p>"), F.lit(70)), F.lit("<footer>Updated January 6, 2026</footer></body></html>")).alias("html"))
     got = listing.listing_items(o.withColumn("base", F.lit("https://x.gov/news")), "html", ["page"], base="base")
-    return got.filter("title NOT LIKE 'All%'").select(F.regexp_extract("link", "([0-9]+)$", 1).cast("long").alias("o_orderkey"), "title", "day", "error")
+    return got.select(F.regexp_extract("link", "([0-9]+)$", 1).try_cast("long").alias("o_orderkey"), "title", "link", "day", "error")
 
 
 #: Keys that a built body covers at most: bodies grow in number with the rows, not in size.
@@ -129,6 +135,23 @@ def mail_round_trip(spark, d):
     return mail.bulletins(rows, "raw", ["id"], allowed).select("id", "sender", "subject", "shape", "pos")
 
 
+@query(
+    "mail_items",
+    """SELECT c_custkey AS id, k::INT AS pos, 'News of ' || lower(c_mktsegment) || ' number ' || k::VARCHAR AS title, TIMESTAMP '2024-03-05 00:30:00' + INTERVAL 1 HOUR * k AS stamped, NULL::VARCHAR AS error
+    FROM customer, range(0, 3) r(k) WHERE c_custkey % 3 <> 0""",
+)
+def mail_items(spark, d):
+    """Bulletins with headers of over 20,000 bytes before their sender; those that manage a subscription
+    aren't read, links that say no title are no items, and each item has the stamp in its text."""
+    c = table(spark, d, "customer")
+    subject = F.when(F.col("c_custkey") % 3 == 0, "Please confirm your subscription").otherwise("Weekly news")
+    item = lambda k: F.concat(F.lit(f'<p><a href="https://example.gov/{k}">News of '), F.lower("c_mktsegment"), F.lit(f' number {k}</a> 03/05/2024 {(k + 12) if k == 0 else k}:30 AM EST words <a href="https://example.gov/{k}#more">Read the full release</a></p>'))
+    raw = F.concat(F.lit("X-Trace: "), F.repeat(F.lit("abcdefgh\r\n "), F.lit(2500)), F.lit("end\r\nFrom: Agency\r\n <Agency@Example.gov>\r\nSubject: "), subject, F.lit("\r\nMIME-Version: 1.0\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"), *(item(k) for k in range(3)))
+    allowed = spark.range(1).select(F.lit("agency@example.gov").alias("sender"))
+    got = mail.bulletins(c.select(F.col("c_custkey").alias("id"), F.encode(raw, "UTF-8").alias("raw")), "raw", ["id"], allowed)
+    return got.select("id", "pos", "title", F.col("stamped").cast("timestamp_ntz").alias("stamped"), "error")
+
+
 @query("bill_action_pages", "SELECT '119-hr-' || o_orderkey::VARCHAR || ':' || strftime(o_orderdate, '%Y-%m-%d') AS guid, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderdate >= DATE '1998-01-01'")
 def bill_action_pages(spark, d):
     """JSON pages of bill actions, bounded by a window, each action once although pages overlap."""

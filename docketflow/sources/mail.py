@@ -7,19 +7,23 @@ from collections.abc import Iterator
 from email import message_from_bytes, policy
 from email.utils import parseaddr
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketflow.functions.text import administrative
+from docketflow.functions.times import bulletin_stamp
 from docketflow.sources.base import parsed
 from docketflow.sources.listing import decoded, html_text
 
 ITEM = "message_id string, sender string, subject string, sent string, title string, link string, text string, shape string"
+#: What links say that are no titles.
+_GENERIC = re.compile(r"(?i)^(?:read (?:more|the (?:full )?(?:release|statement|story))|click here.*|learn more.*|view (?:this |the )?(?:e-?mail |message )?(?:online|in (?:a |your )?browser|as (?:a )?web ?page)|full (?:release|text|story)|more information|continue reading)\W*$")
 _ANCHOR = re.compile(r"(?is)<a\b[^>]*href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>")
 
 
 def parse_bulletin(raw: bytes) -> Iterator[dict]:
     """One item a linked release of a digest, or one item for a single release. Anchors repeat once; each
-    item's text runs to the next anchor."""
+    item's text runs to the next anchor. Links that say no title (`read the full release`) are none (C19)."""
     msg = message_from_bytes(raw, policy=policy.default)
     head = {"message_id": str(msg["message-id"] or ""), "sender": parseaddr(str(msg["from"] or ""))[1].lower(), "subject": " ".join(str(msg["subject"] or "").split()), "sent": str(msg["date"] or "")}
     part = msg.get_body(preferencelist=("html", "plain"))
@@ -27,7 +31,7 @@ def parse_bulletin(raw: bytes) -> Iterator[dict]:
     found = []
     for m in _ANCHOR.finditer(body) if part is not None and part.get_content_type() == "text/html" else ():
         title = html_text(m[2])
-        if len(title) >= 12 and m[1].startswith(("http://", "https://")) and m[1] not in {x[0] for x in found}:
+        if len(title) >= 12 and not _GENERIC.match(title) and m[1].startswith(("http://", "https://")) and m[1] not in {x[0] for x in found}:
             found.append((m[1], title, m.end()))
     if len(found) >= 2:
         starts = [m for _, _, m in found]
@@ -38,14 +42,24 @@ def parse_bulletin(raw: bytes) -> Iterator[dict]:
     yield head | {"title": head["subject"], "link": found[0][0] if found else None, "text": html_text(body) if body else "", "shape": "release"}
 
 
+def header(raw: str) -> Column:
+    """A message's header in one line a field, whatever its length: all before the first blank line, with folded lines joined."""
+    head = F.substring_index(F.substring_index(F.decode(raw, "ISO-8859-1"), "\r\n\r\n", 1), "\n\n", 1)
+    return F.regexp_replace(head, r"\r?\n[ \t]+", " ")
+
+
 def bulletins(rows: DataFrame, raw: str, keep: list[str], allowed: DataFrame | None = None, sender: str = "sender") -> DataFrame:
-    """Items of messages from allowed senders (case folded). The sender is read from the header first,
-    so other mail is never parsed."""
+    """Items of messages from allowed senders (case folded), each with the stamp in its text.
+
+    Sender and subject are read from the header first, so other mail, and mail that manages a subscription, is never
+    parsed. The stamp is the item's own clock time, as publishers write it into bulletins; null where there is none."""
+    fields = header(raw)
     if allowed is not None:
-        head = F.substring(F.decode(F.expr(f"substring({raw}, 1, 16384)"), "ISO-8859-1"), 1, 16384)
-        address = F.lower(F.regexp_extract(head, r"(?im)^From:.*?([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+)", 1))
+        address = F.lower(F.regexp_extract(fields, r"(?im)^From:.*?([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+)", 1))
         rows = rows.withColumn("_from", address).join(allowed.select(F.lower(sender).alias("_from")).distinct(), "_from", "left_semi").drop("_from")
-    return parsed(rows, raw, keep, ITEM, parse_bulletin)
+    rows = rows.filter(~F.coalesce(administrative(F.regexp_extract(fields, r"(?im)^Subject:[ \t]*(.*)$", 1)), F.lit(False)))
+    found = parsed(rows, raw, keep, ITEM, parse_bulletin)
+    return found.withColumn("stamped", bulletin_stamp("text"))
 
 
 def since(rows: DataFrame, uid: str, last_uid: int, validity: int, last_validity: int) -> DataFrame:

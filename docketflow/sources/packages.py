@@ -5,10 +5,12 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docketflow.sources.base import parsed
@@ -19,6 +21,8 @@ RECORD = "granule_id string, doc_type string, title string, agency string, metad
 ISSUE_DOCS = ("RULE", "PRORULE", "NOTICE", "PRESDOCU")
 BILL_TYPES = ("hconres", "sconres", "hjres", "sjres", "hres", "sres", "hr", "s")
 SECTION_OF_PAGE = {"S": "SENATE", "H": "HOUSE", "E": "EXTENSIONS", "D": "DAILYDIGEST"}
+#: Fixed values of case packages: the metadata member's name, and the parts of it that hold fields.
+MODS_NAME, MODS_SECTIONS = r"(^|/)mods\.xml$", ("extension", "originInfo", "titleInfo")
 GRANULE = re.compile(r"CREC-(\d{4}-\d{2}-\d{2})-pt(\d+)-Pg([SHED])(\d+)(?:-(\d+))?\.htm$")
 
 
@@ -111,42 +115,32 @@ def parse_record_zip(body: bytes) -> Iterator[dict]:
             yield {"granule_id": name.rpartition("/")[2][:-4], "doc_type": SECTION_OF_PAGE[m[3]], "title": title_text, "agency": None, "metadata": [("page", m[3] + m[4])], "text": html_text(re.sub(r"(?is)<title>.*?</title>", "", page))}
 
 
-def _mods(body: bytes) -> tuple[dict[str, str], dict[str, dict[str, str]]]:
-    """Case-wide fields of a mods.xml, and those of each opinion by its access id."""
-    local = lambda e: e.tag.rpartition("}")[2]
-    fields = lambda e: {local(x): _flat(x) for part in e if local(part) in ("extension", "originInfo", "titleInfo") for x in part}
-    root = ET.fromstring(body)
-    opinions = [fields(e) for e in root if local(e) == "relatedItem" and e.get("type") == "constituent"]
-    return fields(root), {o["accessId"]: o for o in opinions if o.get("accessId")}
+def parse_members(body: bytes, wanted: str) -> Iterator[dict]:
+    """Every member of a ZIP: its name, its bytes where the name matches `wanted`, and a note if it can't be read."""
+    with zipfile.ZipFile(io.BytesIO(body)) as z:
+        for name in z.namelist():
+            content = note = None
+            try:
+                content = z.read(name)  # all of them, as that checks their sums
+            except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError, OSError) as e:
+                note = type(e).__name__
+            yield {"name": name, "content": content if re.search(wanted, name) else None, "note": note}
 
 
-def parse_case_zip(body: bytes) -> Iterator[dict]:
-    """One record an opinion of a case, in order of the number that ends its name, with the metadata of its stem.
+def parse_mods(body: bytes) -> Iterator[dict]:
+    """The fields that a mods.xml states for the case (no access id), and for each of its opinions."""
 
-    A mods.xml that is missing or bad, or a member that can't be read, becomes the record's note and stops nothing. Text
-    inside PDF needs a library outside this one: `case_zips` takes it from a column.
-    """
-    with zipfile.ZipFile(io.BytesIO(body)) as z:
-        names, case, opinions, note = z.namelist(), {}, {}, None
-        mods = next((n for n in names if n == "mods.xml" or n.endswith("/mods.xml")), None)
-        try:
-            if mods is None:
-                note = "mods.xml missing"
-            else:
-                case, opinions = _mods(z.read(mods))
-        except (ET.ParseError, zipfile.BadZipFile) as e:
-            note = f"mods.xml unreadable: {type(e).__name__}"
-        stem = lambda n: n.rpartition("/")[2][:-4]
-        last = lambda n: int(x) if (x := stem(n).rpartition("-")[2]).isdecimal() else 1 << 30
-        for n in sorted((n for n in names if "pdf/" in n and n.lower().endswith(".pdf")), key=lambda n: (last(n), stem(n))):
-            bad = None
-            try:
-                z.read(n)
-            except Exception as e:  # a bad member is its own record's note
-                bad = f"unreadable member: {type(e).__name__}"
-            own = opinions.get(stem(n), {})
-            said = {"court_type": case.get("courtType"), "court_code": case.get("courtCode"), "court_name": own.get("courtName"), "case_number": case.get("caseNumber"), "case_type": case.get("caseType"), "date_filed": own.get("dateIssued"), "docket_text": own.get("docketText"), "extraction_note": note or bad}
-            yield {"granule_id": stem(n), "title": case.get("title"), "metadata": [(k, v) for k, v in said.items() if v]}
+    def stated(holder: ET.Element) -> dict[str, str]:
+        sections = (e for e in holder if e.tag.rpartition("}")[2] in MODS_SECTIONS)
+        return {field.tag.rpartition("}")[2]: _flat(field) for section in sections for field in section}
+
+    root = ET.fromstring(body)
+    yield {"access_id": None, "said": list(stated(root).items())}
+    for e in root:
+        if e.tag.endswith("}relatedItem") or e.tag == "relatedItem":
+            said = stated(e)
+            if e.get("type") == "constituent" and said.get("accessId"):
+                yield {"access_id": said["accessId"], "said": list(said.items())}
 
 
 def issue(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
@@ -174,15 +168,52 @@ def record_zips(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
     return parsed(rows, body, keep, RECORD, parse_record_zip)
 
 
+def members(rows: DataFrame, body: str, keep: list[str], wanted: str = "") -> DataFrame:
+    """The member table of ZIPs: one row a member, or one with an error for a body that is no ZIP."""
+    return parsed(rows, body, keep, "name string, content binary, note string", lambda x: parse_members(x, wanted))
+
+
 def case_zips(rows: DataFrame, body: str, keep: list[str], package: str = "package_id", texts: str | None = None) -> DataFrame:
-    """Opinions of every case package: category, whether a precedent, and text. `texts` names a column (one of
-    `keep`) that maps a stem to the words of its PDF; an opinion that isn't in it has a note and the empty text."""
-    out, meta = parsed(rows, body, keep, RECORD, parse_case_zip), F.col("metadata")
-    code = F.coalesce(meta["court_code"], F.regexp_extract(package, r"^USCOURTS-([a-z0-9]+)-", 1))
-    out = out.withColumn("doc_type", F.when(F.col("error").isNull(), court_category(F.coalesce(meta["court_type"], F.lit("")), code)))
+    """One row an opinion (a PDF member) of every case package, in order of the number that ends its name (names
+    without one last), joined with the metadata of its stem: category, whether a precedent, and text.
+
+    Package ids (a column of `keep`) are unique. `texts` names a column (one of `keep`) that maps a stem to the words of
+    its PDF, as text inside PDF needs a library outside this one; an opinion that isn't in it has the empty text.
+    Whatever is missing or can't be read is a note of the opinions it concerns and stops nothing; a body that is no ZIP
+    is one row with its error.
+    """
+    every = members(rows, body, keep, MODS_NAME)
+    mods = every.filter(F.col("name").rlike(MODS_NAME)).groupBy(F.col(package).alias("_of")).agg(F.min_by(F.struct("content", "note"), "pos").alias("_mods")).select("_of", "_mods.*")
+    said = parsed(mods, "content", ["_of"], "access_id string, said map<string, string>", parse_mods)
+    case = said.filter("access_id IS NULL").select("_of", F.col("said").alias("_case"), F.col("error").alias("_bad"))
+    case = mods.select("_of", F.lit(True).alias("_there"), F.col("note").alias("_unread")).join(case, "_of", "left")
+    own = said.filter("access_id IS NOT NULL").groupBy("_of", "access_id").agg(F.min_by("said", "pos").alias("_own"))
+
+    stem = F.regexp_extract("name", r"([^/]*)\.[^./]*$", 1)
+    opinions = every.filter(F.col("error").isNull() & F.col("name").rlike(r"(?i)(^|/)pdf/[^/]*\.pdf$")).withColumn("granule_id", stem)
+    opinions = opinions.join(case.withColumnRenamed("_of", "_case_of"), F.col(package).eqNullSafe(F.col("_case_of")), "left")
+    opinions = opinions.join(own, F.col(package).eqNullSafe(F.col("_of")) & (F.col("granule_id") == F.col("access_id")), "left")
+    number = F.regexp_extract("granule_id", r"(?:^|-)(\d+)$", 1).try_cast("decimal(38,0)")
+    place = F.row_number().over(W.partitionBy(package).orderBy(F.asc_nulls_last(number), "granule_id")) - 1
+
     text = F.try_element_at(F.col(texts), F.col("granule_id")) if texts else F.lit(None).cast("string")
-    note = F.when(F.col("error").isNull() & text.isNull() & meta["extraction_note"].isNull(), F.map_concat(meta, F.create_map(F.lit("extraction_note"), F.lit("no text")))).otherwise(meta)
-    return out.withColumns({"text": F.coalesce(text, F.when(F.col("error").isNull(), F.lit(""))), "metadata": note, "precedential": precedential(meta["docket_text"])})
+    why = [
+        F.when(F.col("_there").isNull(), "mods.xml missing"),
+        F.when(F.col("_case").isNull(), F.concat(F.lit("mods.xml unreadable: "), F.coalesce("_unread", F.substring_index("_bad", ":", 1)))),
+        F.concat(F.lit("unreadable member: "), "note"),
+        F.when(text.isNull(), "no text"),
+    ]
+    fields = {"court_type": F.col("_case")["courtType"], "court_code": F.col("_case")["courtCode"], "court_name": F.col("_own")["courtName"], "case_number": F.col("_case")["caseNumber"]}
+    fields |= {"case_type": F.col("_case")["caseType"], "date_filed": F.col("_own")["dateIssued"], "docket_text": F.col("_own")["docketText"], "extraction_note": F.coalesce(*why)}
+    metadata = F.map_filter(F.create_map(*(x for k, v in fields.items() for x in (F.lit(k), v))), lambda _, v: F.coalesce(v, F.lit("")) != "")
+    code = F.coalesce(fields["court_code"], F.regexp_extract(package, r"^USCOURTS-([a-z0-9]+)-", 1))
+    none = F.lit(None).cast("string")
+    found = opinions.select(
+        *keep, "granule_id", court_category(F.coalesce(fields["court_type"], F.lit("")), code).alias("doc_type"), F.col("_case")["title"].alias("title"), none.alias("agency"),
+        metadata.alias("metadata"), F.coalesce(text, F.lit("")).alias("text"), place.cast("int").alias("pos"), none.alias("error"), precedential(F.col("_own")["docketText"]).alias("precedential"),
+    )
+    bad = every.filter("error IS NOT NULL").select(*keep, *(F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ("granule_id", "doc_type", "title", "agency", "metadata", "text", "pos")), "error", F.lit(None).cast("boolean").alias("precedential"))
+    return found.union(bad)
 
 
 def bill_id(package: Column) -> dict[str, Column]:
@@ -193,7 +224,7 @@ def bill_id(package: Column) -> dict[str, Column]:
 
 
 def court_category(kind: Column, code: Column) -> Column:
-    """The court's category from its metadata, else from its code."""
+    """The court's category from its metadata, else from its code. Names and codes are fixed values of the format."""
     k, c = F.lower(kind), F.lower(code)
     return F.when(k.contains("appellate"), "APPELLATE").when(k.contains("bankruptcy"), "BANKRUPTCY").when(k.contains("national"), "NATIONAL").when(k.contains("district"), "DISTRICT").when(c.rlike(r"^ca(?:\d+|dc|fc)$"), "APPELLATE").when(c.isin("cit", "uscfc", "jpml"), "NATIONAL").when(c.endswith("b"), "BANKRUPTCY").otherwise("DISTRICT")
 
