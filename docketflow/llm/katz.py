@@ -18,7 +18,7 @@ Counts are kept in tables that are partitioned by hash, and texts ask them in ba
    what makes up alpha; salted contexts are summed by one more small aggregation;
 5. a batch evaluates its tokens and sums by text.
 What is shuffled are packed arrays, once a different word or bigram of a batch, and word numbers
-twice; no text is. A part holds about 16 MB of text's bigrams at any input size. Only counts of
+twice; no text is. A part holds about 12 MB of text's bigrams at any input size. Only counts of
 counts reach the driver.
 
 Words are told apart by 64-bit hashes. Null and empty texts have the end token alone. Repeated rows
@@ -141,8 +141,9 @@ def tokenised(docs: DataFrame, training: Column, id_col: str, text_col: str, par
         task, number = TaskContext.get().partitionId(), 0
         for big in batches:
             for b in sub_batches(big, "text", BATCH):
-                h, woff, _, _ = word_hashes(*buffers(b.column(1)))
-                n = np.diff(woff) + 1
+                pieces = [word_hashes(*buffers(x.column(1))) for x in sub_batches(b, "text", BATCH // 8)]
+                h = np.concatenate([x[0] for x in pieces])
+                n = np.concatenate([np.diff(x[1]) for x in pieces]) + 1
                 ends = np.cumsum(n) - 1
                 tokens = np.empty(int(n.sum()), np.uint64)
                 tokens[ends] = END
@@ -343,7 +344,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     kind = docs.schema[id_col].dataType.simpleString()
     if parts is None:
         size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-        parts = 1 + size // (64 << 20), 1 + size // (16 << 20)
+        parts = 1 + size // (64 << 20), 1 + size // (12 << 20)
     rows = written(tokenised(docs, training, id_col, text_col, parts[0]), "katz-tokens")
     main = rows.filter("part IS NULL")
     words = written(vocabulary(rows.filter("part IS NOT NULL").select("batch", "part", "payload"), parts[0]), "katz-words")
