@@ -5,7 +5,9 @@ outer container gets less than the inner one, `article` and `main` count double)
 path is the page's vote; Spark counts votes by host, and every page is then re-extracted from the
 elements at its host's winning path. A page without such an element uses its own best container.
 Inside the container, menus, headers and footers of the site, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are left out.
+scripts, styles and reader comments are left out, by element or by a class, id or role all of whose parts
+say so; headings never are, and inside an article ids don't count. Where the host's path holds next to
+nothing of a page, that page's own best container is used.
 
 A path is named by a 64-bit hash of its element's label (tag and all class, id and role words, in
 order, without digits) and its parent's path, so that a vote has one size at any depth. Elements are
@@ -40,6 +42,7 @@ _NAME = re.compile(r"[A-Za-z][A-Za-z0-9:-]*")
 _STOP = re.compile(r"[>\"']")
 _CLASS = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PARTS = re.compile(r"[^a-z]+")
+_HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 # Fixed values of HTML: elements without content, elements of raw text, elements that stay inside a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template textarea title iframe svg select option noframes".split())
@@ -53,6 +56,12 @@ WORDS = set(
     "widget toolbar pagination pager skip copyright".split()
 )
 SITE = {"header", "masthead", "topbar"}
+#: Words that say how something is laid out or which part of a page it is, and may stand beside a word of WORDS.
+LAYOUT = set(
+    "site page main top bottom left right post posts entry article content story global primary secondary mobile desktop block box list item items link links button buttons bar area section container wrapper "
+    "wrap inner outer row col column panel group module region zone slot unit title text body thread count icon icons small large form js".split()
+)
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 HOLDS = {"article", "main"}
 CONTAINERS = {"div", "article", "main", "section", "td", "body"}
 #: Which open elements a start tag ends, if nearer than those that hold it.
@@ -61,6 +70,7 @@ SCOPE = frozenset("ul ol dl table div article section blockquote".split())
 MOST, HALF = 0.8, 0.5  # of a page's own text, from which an element is no mere surrounding
 DECAY = 0.7  # of a block's worth for each container further out
 SLIGHT = 1.2
+LEAST_SHARE = 0.1  # of the text in a page's own best container, below which the host's path holds no article there
 SALTS = 64  # tasks that a host's pages may take where they are shuffled
 
 
@@ -216,14 +226,17 @@ def parse(page: str | None) -> tuple[list[Block], Tree]:
                 if depth and depth > nearest(SCOPE):
                     close(depth)
             links = 0 if name == "p" else links
-            marks = [v.strip("\"'").lower() for _, v in _CLASS.findall(attributes)] if attributes else []
-            words = {w for v in marks for w in _PARTS.split(v) if w}
+            marks = [(k.lower(), v.strip("\"'")) for k, v in _CLASS.findall(attributes)] if attributes else []
+            words = {w for _, v in marks for w in _PARTS.split(v.lower()) if w}
             inside = stack[-1][2] or name in HOLDS
             out = stack[-1][1] or name in OUTSIDE or (not inside and name == "header")
             known = WORDS if inside else WORDS | SITE
             number = tree.add(elements[-1], name, sorted(words))
-            if name == "form" or (words & known and name not in ("body", "html", "main", "article")) or (not inside and words & SITE):
-                soft[number] = any(v in known for m_ in marks for v in m_.split())
+            if name == "form" or (marks and name not in ("body", "html", "main", "article") and name not in HEADINGS):
+                # ids are made from titles: in an article they say what its parts are about
+                said = [v for k, m_ in marks if not (inside and k == "id") for v in m_.split()]
+                if name == "form" or any(surrounds(v, known) for v in said):
+                    soft[number] = any(v.lower() in known for v in said)
             if name in HOLDS:
                 holds.add(number)
             where.setdefault(name, []).append(len(stack))
@@ -242,6 +255,13 @@ def parse(page: str | None) -> tuple[list[Block], Tree]:
     return blocks, tree
 
 
+def surrounds(token: str, known: set[str]) -> bool:
+    """Whether a whole class, id or role names surroundings: all of its parts do so or are words of layout (`share-price`
+    and `notice-board` don't, `share-buttons` and `notice` do)."""
+    parts = [w for w in _PARTS.split(_HUMPS.sub("-", token).lower()) if w]
+    return any(w in known for w in parts) and all(w in known or w in LAYOUT for w in parts)
+
+
 def settle(blocks: list[Block], tree: Tree, soft: dict[int, bool], holds: set[int]) -> None:
     """Leave out the blocks in surroundings known by a word, except in elements that wrap the article.
 
@@ -292,13 +312,21 @@ def best(blocks: list[Block], tree: Tree) -> tuple[int, float]:
 
 
 def extract(page: str | None, path: int | None) -> str:
-    """The text of the blocks at a path, or of the page's own best container if it has no such element."""
+    """The text of the blocks at a path, or of the page's own best container if that path holds none, or less than
+    LEAST_SHARE of what the own container holds (a teaser where other pages of the host have their article)."""
     blocks, tree = parse(page)
     blocks = [b for b in blocks if not b.out]
-    wanted = tree.below({k for k, p in enumerate(tree.path) if p == path} if path is not None else set())
-    if not any(wanted[b.element] for b in blocks):
-        element = best(blocks, tree)[0]
-        wanted = tree.below({k for k, p in enumerate(tree.path) if element >= 0 and p == tree.path[element]})
+
+    def at(path: int | None) -> tuple[bytearray, int]:
+        marked = tree.below({k for k, p in enumerate(tree.path) if p == path} if path is not None else set())
+        return marked, sum(len(x) for b in blocks if marked[b.element] for x in b.text)
+
+    wanted, size = at(path)
+    element = best(blocks, tree)[0]
+    if not any(wanted[b.element] for b in blocks) or (element >= 0 and tree.path[element] != path):
+        own, most = at(tree.path[element] if element >= 0 else None)
+        if not size or size < LEAST_SHARE * most:
+            wanted = own
     texts = (clean(b) for b in blocks if wanted[b.element])
     return "\n".join(t for t in texts if t)
 

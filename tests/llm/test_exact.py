@@ -514,6 +514,32 @@ def test_the_host_s_votes_decide(spark):
     assert {r.host: r.votes for r in html.winners(docs).collect()} == {"h": 4, "other": 1}
 
 
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+@pytest.mark.parametrize(
+    ("part", "kept"),
+    [
+        ('<p class="share-price">The share price fell by two.</p>', True), ('<p class="notice-board">On the notice board it says so.</p>', True), ('<h2 id="related-work">Related work</h2>', True), ('<h3 class="comments">Comments on the law</h3>', True),
+        ('<ul class="social-issues"><li>Housing is one of them.</li></ul>', True), ('<section id="comments-on-the-law"><p>These are no reader comments.</p></section>', True),
+        ('<div class="share-buttons"><a href=x>Share it</a></div>', False), ('<div class="ad">Buy this.</div>', False), ('<div class="relatedLinks"><a href=y>Another story</a></div>', False), ('<div class="post-comments"><p>Nice post!</p><p>Indeed.</p></div>', False),
+    ],
+)
+def test_parts_of_an_article_by_their_classes(holder, part, kept):
+    text = "Long words of the article that go on and on. " * 12
+    page = f"<html><body><nav>Menu</nav><{holder} class=story><h1>Head</h1><p>{text}</p>{part}<p>{text}</p></{holder}><footer>F</footer></body></html>"
+    inner = re.sub("<[^>]*>", "", part)
+    assert html.extract(page, None) == "\n".join(["Head", text.strip(), *([inner] if kept else []), text.strip()])
+
+
+def test_an_article_elsewhere_than_the_host_s_path(spark):
+    """On the last page the host's place holds a teaser of 13 characters and another one the article."""
+    text = "Words of the whole article, and more of them. " * 18
+    usual = lambda k: f"<html><body><div class=content><h1>Head {k}</h1><p>{text}</p></div></body></html>"
+    odd = f"<html><body><div class=content><p>Short teaser.</p></div><div class=story><p>{text}</p></div></body></html>"
+    rows = [(k, f"http://h/{k}", usual(k)) for k in range(3)] + [(9, "http://h/9", odd)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[9] == text.strip() and got[0] == f"Head 0\n{text.strip()}"
+
+
 def test_classes_beyond_the_fourth_tell_paths_apart():
     one, two = (html.parse(f"<div class='a b c d {x}'>t</div>")[1].path[1] for x in "ef")
     assert one != two and html.parse("<div class='d c b a e'>t</div>")[1].path[1] == one
