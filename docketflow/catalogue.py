@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketflow.plans import domain, published, readers, records, relational, sourced, streams, whole
+from docketflow.plans import domain, progress, published, readers, records, relational, sourced, streams, whole
 
-MODULES = (relational, domain, readers, records, sourced, published, streams, whole)
+MODULES = (relational, domain, readers, records, sourced, published, progress, streams, whole)
 #: Columns that hold days are given as text on both sides, as clients map DATE to different types.
 DAYS = {
     "coverage_by_day": ["day"], "daily_latency_series": ["day"], "dense_day_grid": ["day"], "holiday_calendar": ["day"], "newest_complete_day": ["day"], "newest_first_queue": ["day"],

@@ -123,3 +123,15 @@ def month_day(s: Column | str, year: Column | str) -> Column:
     month = F.initcap(F.regexp_extract(_c(s), r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)", 1))
     number = F.regexp_extract(_c(s), r"\b(\d{1,2})\b", 1)
     return F.when((month != "") & (number != ""), F.to_date(F.try_to_timestamp(F.concat_ws(" ", month, number, _c(year).cast("string")), F.lit("MMM d yyyy"))))
+
+
+def instant(s: Column | str) -> Column:
+    """The UTC instant of a stamp in any of the dialects that writers use (`2024-01-02T03:04:05Z`, with an offset, with
+    parts of a second, with a space instead of the T, without a zone: then UTC), to the second; null if it is none.
+
+    Text order of such stamps isn't their order in time, as suffixes differ; compare these."""
+    m = r"^\s*(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2})(:\d{2})?(?:[.,]\d+)?\s*(Z|z|[+-]\d{2}:?\d{2}|[+-]\d{2})?\s*$"
+    got = lambda k: F.regexp_extract(_c(s), m, k)
+    zone = F.when(got(4).isin("", "Z", "z"), "+00:00").otherwise(F.regexp_replace(F.regexp_replace(got(4), r"^([+-]\d{2})$", "$1:00"), r"^([+-]\d{2})(\d{2})$", "$1:$2"))
+    stamp = F.concat(got(1), F.lit(" "), got(2), F.when(got(3) == "", ":00").otherwise(got(3)), zone)
+    return F.when(got(1) != "", F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd HH:mm:ssxxx")))

@@ -79,3 +79,28 @@ def chain(days: Iterable[tuple[str, int, str]]) -> list[tuple[str, int, str, str
         out.append((day, rows, body, prev, sha))
         prev = sha
     return out
+
+
+def checked_chain(attempts: DataFrame, headers: DataFrame, day: str, order: list[str], fields: list[str]) -> DataFrame:
+    """What is wrong with stored headers (day, rows, body_sha, prev, sha), one row (day, problem) each.
+
+    Every day is digested again from the attempts. `missing`: a day with attempts has no header. `extra`: a header's day
+    has no attempts. `rows`, `body`: the header says another number or hash than the attempts give. `header`: its own hash
+    isn't that of its fields. `link`: it doesn't name the hash of the header before it. Days are text.
+    """
+    again = day_digests(attempts, day, order, fields).select("day", F.col("rows").alias("_rows"), F.col("body_sha").alias("_body"))
+    own = F.sha2(F.to_json(F.struct("body_sha", "day", "prev", "rows"), {"ignoreNullFields": "false"}), 256)
+    before = F.lag("sha").over(W.orderBy("day"))  # one short row a day
+    stored = headers.select("day", "rows", "body_sha", "prev", "sha", (~own.eqNullSafe(F.col("sha"))).alias("_forged"), (~F.col("prev").eqNullSafe(before)).alias("_cut"))
+    both = stored.join(again, "day", "full")
+    there, made = F.col("sha").isNotNull(), F.col("_body").isNotNull()
+    found = [
+        F.when(~there, "missing"), F.when(~made, "extra"), F.when(there & made & ~F.col("rows").eqNullSafe(F.col("_rows")), "rows"),
+        F.when(there & made & ~F.col("body_sha").eqNullSafe(F.col("_body")), "body"), F.when(there & F.col("_forged"), "header"), F.when(there & F.col("_cut"), "link"),
+    ]
+    return both.select("day", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("problem"))
+
+
+def first_broken(problems: DataFrame) -> DataFrame:
+    """The first day from which the chain proves nothing, and what is wrong there; no row for a whole chain."""
+    return problems.groupBy("day").agg(F.array_sort(F.collect_set("problem")).alias("problems")).orderBy("day").limit(1)

@@ -204,11 +204,11 @@ def official_span_containment(spark, d):
     "WITH h AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\b(that|with|this|from)\\b', 1)) AS term FROM documents) SELECT term, count(*) AS hits, count(DISTINCT doc_id) AS docs FROM h GROUP BY 1",
 )
 def term_hits(spark, d):
-    """A term list folded into one alternation, one pass over the text. Hits are counted inside each document, so a
-    task sends on one row a term."""
-    h = table(spark, d, "documents").select(F.regexp_extract_all(F.lower("text"), F.lit(r"\b(that|with|this|from)\b"), F.lit(1)).alias("h"))
-    h = h.select("h", F.explode(F.array_distinct("h")).alias("term")).select("term", (F.size("h") - F.size(F.array_remove("h", F.col("term")))).alias("n"))
-    return h.groupBy("term").agg(F.sum("n").cast("long").alias("hits"), F.count("*").alias("docs"))
+    """Hits of a list of terms, counted in place: a task sends on one row, whatever its texts hold."""
+    terms = ("that", "with", "this", "from")
+    n = table(spark, d, "documents").select(*(F.regexp_count("text", F.lit(rf"(?i)\b{t}\b")).alias(t) for t in terms))
+    found = n.agg(*(F.struct(F.lit(t).alias("term"), F.sum(t).alias("hits"), F.count_if(F.col(t) > 0).alias("docs")).alias(t) for t in terms))
+    return found.select(F.explode(F.array(*terms)).alias("x")).select("x.*").filter("docs > 0")
 
 
 @query(
@@ -259,9 +259,17 @@ def daily_latency_series(spark, d):
     f"WITH {T} SELECT collection, round_even(avg(char_count), 0)::BIGINT AS mean, round_even(median(char_count), 0)::BIGINT AS median, min(char_count) AS least, max(char_count) AS most FROM texts GROUP BY 1",
 )
 def length_stats(spark, d):
-    """Mean and exact median lengths, rounded half to even."""
-    n = F.col("char_count")
-    return bind.texts(spark, d).groupBy("collection").agg(F.bround(F.avg(n), 0).cast("long").alias("mean"), F.bround(F.median(n), 0).cast("long").alias("median"), F.min(n).alias("least"), F.max(n).alias("most"))
+    """Mean and exact median lengths, rounded half to even. Lengths are counted first, so that a group's median
+    is found among its different lengths, however many rows it has."""
+    counted = bind.texts(spark, d).groupBy("collection", F.col("char_count").alias("v")).agg(F.count("*").alias("k"))
+    w = W.partitionBy("collection").orderBy("v")
+    known = F.when(F.col("v").isNotNull(), F.col("k")).otherwise(0)
+    c = counted.withColumns({"upto": F.sum(known).over(w), "n": F.sum(known).over(W.partitionBy("collection"))})
+    # of n values in order, the middle one (n odd) or the two around the middle
+    at = lambda place: F.max(F.when((F.col("v").isNotNull()) & (F.col("upto") - F.col("k") < place) & (F.col("upto") >= place), F.col("v")))
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    g = c.groupBy("collection").agg((F.sum(F.col("v") * F.col("k")) / F.sum(known)).alias("mean"), at(low).alias("low"), at(high).alias("high"), F.min("v").alias("least"), F.max("v").alias("most"))
+    return g.select("collection", F.bround("mean", 0).cast("long").alias("mean"), F.bround((F.col("low") + F.col("high")) / 2, 0).cast("long").alias("median"), "least", "most")
 
 
 @query(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from html.parser import HTMLParser
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketflow.functions.urls import part
+from docketflow.functions.times import instant
+from docketflow.functions.urls import part, resolved
 from docketflow.sources.base import parsed
 
 ITEM = "format string, title string, link string, guid string, claimed_date string, description string, categories array<string>"
@@ -72,6 +74,72 @@ def paged(rows: DataFrame, since: Column) -> DataFrame:
     return p.filter(F.col("lastModified") >= since).groupBy("packageId").agg(F.max_by(F.struct("lastModified", "dateIssued", "title"), "lastModified").alias("x")).select("packageId", "x.*")
 
 
+def advanced(pages: DataFrame, state: DataFrame, source: str = "source_id") -> DataFrame:
+    """Each source's watermark after a listing: the latest instant on its pages, if the whole listing was read,
+    else what it was (null before the first whole one). Times are the listings' own, in any dialect.
+
+    pages: source, page (from 1), body (JSON with `packages` and `nextPage`). A listing is whole if its pages number from
+    1 without a gap and the last one, and no other, names no next page; a body that can't be read is a gap.
+    """
+    schema = "struct<packages: array<struct<packageId: string, lastModified: string>>, nextPage: string>"
+    p = pages.withColumn("_x", F.from_json("body", schema))
+    p = p.select(F.col(source).alias("source"), "page", F.col("_x.packages").isNotNull().alias("read"), F.col("_x.nextPage").isNull().alias("last"), F.array_max(F.transform(F.coalesce("_x.packages", F.array().cast("array<struct<packageId: string, lastModified: string>>")), lambda x: instant(x["lastModified"]))).alias("at"))
+    p = p.groupBy("source", "page").agg(F.max("read").alias("read"), F.bool_and("last").alias("last"), F.max("at").alias("at"))  # a page read twice is one
+    ends = F.count_if("last") == 1
+    g = p.groupBy("source").agg(F.max("at").alias("_at"), ((F.count_if("read") == F.max("page")) & (F.min("page") == 1) & (F.count("*") == F.max("page")) & ends & F.max_by("last", "page")).alias("whole"))
+    s, g = state.select(F.col(source).alias("source"), "watermark").alias("s"), g.alias("g")
+    both = s.join(g, F.col("s.source") == F.col("g.source"), "full")
+    whole = F.coalesce(F.col("whole"), F.lit(False))
+    return both.select(F.coalesce("s.source", "g.source").alias(source), whole.alias("whole"), F.when(whole, F.greatest("watermark", "_at")).otherwise(F.col("watermark")).alias("watermark"))
+
+
+#: Media types of feeds, and where sites commonly have them, in the order they are tried.
+FEED_TYPES = ("application/rss+xml", "application/atom+xml", "application/rdf+xml", "text/xml", "application/xml")
+COMMON_PLACES = ("/feed", "/rss", "/rss.xml", "/feed.xml", "/atom.xml", "/news/feed", "/news/rss.xml", "/index.xml")
+
+
+def parse_alternates(page: str) -> Iterator[dict]:
+    """Alternate feed links of a page's head, in order."""
+    found: list[dict] = []
+
+    class Links(HTMLParser):
+        def handle_starttag(self, tag: str, attrs: list) -> None:
+            said = {k: (v or "").strip() for k, v in attrs}
+            if tag == "link" and "alternate" in said.get("rel", "").lower().split() and said.get("type", "").lower().split(";")[0].strip() in FEED_TYPES and said.get("href"):
+                found.append({"href": said["href"], "title": said.get("title") or None})
+
+    links = Links(convert_charrefs=True)
+    links.feed(page)
+    links.close()
+    yield from found
+
+
+def candidates(homes: DataFrame, page: str = "page", url: str = "url", source: str = "source_id") -> DataFrame:
+    """Where a source may have its feed: (source, rank, link), what its own page names before common places, each once."""
+    named = parsed(homes.select(source, url, page), page, [source, url], "href string, title string", parse_alternates).filter("error IS NULL AND href IS NOT NULL")
+    named = named.select(source, F.col("pos").alias("rank"), resolved(F.col(url), F.col("href")).alias("link"))
+    root = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
+    common = homes.filter(root != "").select(source, F.posexplode(F.array(*map(F.lit, COMMON_PLACES))).alias("k", "place"), root.alias("root")).select(source, (F.col("k") + 1_000_000).alias("rank"), F.concat("root", "place").alias("link"))
+    return named.unionByName(common).groupBy(source, "link").agg(F.min("rank").alias("rank")).select(source, "rank", "link")
+
+
+def discovered(homes: DataFrame, samples: DataFrame, page: str = "page", url: str = "url", source: str = "source_id") -> DataFrame:
+    """The verdict on each source and the feed chosen for it: the first candidate whose sample is usable, else the
+    first one that a sample says anything about.
+
+    samples: url, status, body, one captured answer a URL. A source none of whose candidates was captured is unreachable.
+    """
+    found = candidates(homes, page, url, source)
+    tried = found.join(samples.select(F.col("url").alias("link"), "status", "body"), "link")
+    items = feed_items(tried.select(source, "rank", "body"), "body", [source, "rank"])
+    seen = items.groupBy(source, "rank").agg(F.count("format").alias("items"), F.count("claimed_date").alias("dated"), F.bool_and(F.col("error").isNull()).alias("parsed_ok"))
+    empty = tried.select(source, "rank", "link", "status").join(seen, [source, "rank"], "left")
+    # a feed without items gives no rows: it was parsed if it is there
+    told = empty.withColumn("verdict", verdict(F.col("status"), F.coalesce("items", F.lit(0)), F.coalesce("dated", F.lit(0)), F.coalesce("parsed_ok", F.lit(True))))
+    best = told.groupBy(source).agg(F.min_by(F.struct("verdict", "link"), F.struct(F.col("verdict") != "usable", "rank")).alias("x"))
+    return homes.select(source).distinct().join(best, source, "left").select(source, F.coalesce("x.verdict", F.lit("unreachable")).alias("verdict"), F.when(F.col("x.verdict") == "usable", F.col("x.link")).alias("feed"))
+
+
 def bill_actions(rows: DataFrame, body: str, today: Column, days: int = 7) -> DataFrame:
     """One row a bill action of the last days; identity is bill and action date, the newest first."""
     schema = "struct<bills: array<struct<congress: int, type: string, number: string, title: string, latestAction: struct<actionDate: string, text: string>>>>"

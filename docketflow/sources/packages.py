@@ -66,13 +66,12 @@ def parse_issue(body: bytes | str) -> Iterator[dict]:
 
 
 def parse_inventory(body: bytes | str) -> Iterator[dict]:
-    """Graphics in document order with the last printed page before each."""
-    page = None
+    """Page marks and graphics of one document in order; a mark has no graphic id, a graphic no page yet."""
     for e in ET.fromstring(body).iter():
         if e.tag == "PRTPAGE":
-            page = e.get("P") or _flat(e)
-        elif e.tag == "GID":
-            yield {"gid": _flat(e), "page": page}
+            yield {"gid": None, "page": e.get("P") or _flat(e) or None}
+        elif e.tag == "GID" and (gid := _flat(e)):
+            yield {"gid": gid, "page": None}
 
 
 def parse_bill(body: bytes | str) -> Iterator[dict]:
@@ -147,8 +146,16 @@ def issue(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
     return parsed(rows, body, keep, RECORD, parse_issue)
 
 
-def inventory(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
-    return parsed(rows, body, keep, "gid string, page string", parse_inventory)
+def inventory(rows: DataFrame, body: str, package: str, member: str) -> DataFrame:
+    """The graphics of every package in document order (package, member, pos, gid, page, error), each with the last
+    page printed before it, be that in an earlier member of its package; null before the first. A member that can't be
+    read is one row with its error and prints no page."""
+    marks = parsed(rows, body, [package, member], "gid string, page string", parse_inventory)
+    order = W.partitionBy(package).orderBy(F.asc_nulls_first(member), F.asc_nulls_first("pos")).rowsBetween(W.unboundedPreceding, 0)
+    marks = marks.withColumn("page", F.last("page", ignorenulls=True).over(order))
+    place = F.row_number().over(W.partitionBy(package, member).orderBy("pos")) - 1
+    graphics = marks.filter("gid IS NOT NULL").withColumn("pos", place.cast("int"))
+    return graphics.unionByName(marks.filter("error IS NOT NULL").withColumn("page", F.lit(None).cast("string"))).select(package, member, "pos", "gid", "page", "error")
 
 
 def bills(rows: DataFrame, body: str, keep: list[str]) -> DataFrame:
