@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from docketflow.operators import overlap
+
 #: Terms that generated prose may not use.
 BANNED_TERMS = ("landmark", "controversial", "historic", "unprecedented", "sweeping", "radical", "extreme", "momentous", "alarming", "in an attempt to", "aims to appease", "red tape", "crackdown", "cracks down", "slams", "loophole")
 MOST_CORRECTIONS = 2
@@ -27,31 +29,25 @@ def without_targets(s: Column) -> Column:
     return F.regexp_replace(s, r"\]\([^)\s]*\)", "]")
 
 
-ANCHOR = 3
 FEW = 8 << 20  # characters of official strings that every task may hold
 
 
 def contained(docs: DataFrame, officials: DataFrame, text: str = "text", official: str = "official") -> DataFrame:
     """Docs joined with the official strings that they contain, each text read once.
 
-    A list counted short is searched for in one pass over each text (an automaton of all strings). A long one is joined
-    on three words inside each string, so only documents that have them are searched; its strings of fewer than five
-    words, which have no such words, go through the pass, in as many rounds as their length needs. Null and empty
-    strings are in no document.
+    A list counted short is searched for by an automaton of all strings. Of a long one, strings are found through winnowed
+    fingerprints, whatever their words; those too short for a fingerprint (under SHORTEST bytes) go through the automaton,
+    in as many rounds as their length needs. Null and empty strings are in no document.
     """
     o = officials.filter(F.col(official) != "").select(official).distinct()
-    words = F.split(F.trim(F.col(official)), r"\s+")
     total = o.agg(F.coalesce(F.sum(F.length(official)), F.lit(0)).alias("n")).first().n
     if total <= FEW:
         found = _searched(docs, o, text, official)
     else:
-        grams = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(s) - ANCHOR + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(s, i, ANCHOR))))
-        # the first and last word of a string may be parts of a document's words, so anchors start at the second
-        long = o.filter(F.size(words) >= ANCHOR + 2).withColumn("_a", F.xxhash64(F.slice(words, 2, ANCHOR)))
-        found = docs.withColumn("_a", F.explode(grams(F.split(F.trim(F.col(text)), r"\s+")))).join(long, "_a").drop("_a").filter(F.contains(F.col(text), F.col(official)))
-        short = o.filter(F.size(words) < ANCHOR + 2)
-        rounds = 1 + short.agg(F.coalesce(F.sum(F.length(official)), F.lit(0)).alias("n")).first().n // max(FEW, 1)
-        for k in range(rounds):
+        found = overlap.contained(docs, o.filter(F.octet_length(official) >= overlap.SHORTEST), text, official)
+        short = o.filter(F.octet_length(official) < overlap.SHORTEST)
+        size = short.agg(F.coalesce(F.sum(F.length(official)), F.lit(0)).alias("n")).first().n
+        for k in range(rounds := -(-size // max(FEW, 1))):
             found = found.unionByName(_searched(docs, short.filter(F.pmod(F.xxhash64(official), F.lit(rounds)) == k), text, official))
     return found if officials.columns == [official] else found.join(officials, official)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docketflow.functions import text
-from docketflow.operators import change, journal, model, presentation, upsert
+from docketflow.operators import change, journal, model, overlap, presentation, upsert
 from docketflow.plans import bind
 from docketflow.session import table
 
@@ -42,10 +42,9 @@ def model_batches(spark, d):
 @query("best_word_overlap")
 def best_word_overlap(spark, d):
     """The anchor that shares most significant words of the whole text (too slow in SQL, so without)."""
-    w = table(spark, d, "documents").select("doc_id", F.explode(text.significant_words("text")).alias("w"))
-    v = table(spark, d, "benchmark").select("item_id", F.explode(text.significant_words("text")).alias("w"))
-    score = w.join(v, "w").groupBy("doc_id", "item_id").agg(F.count("*").cast("int").alias("score")).filter("score >= 2")
-    return score.groupBy("doc_id").agg(F.max(F.struct("score", -F.col("item_id"))).alias("x")).select("doc_id", (-F.col("x.col2")).alias("item_id"), "x.score")
+    texts = table(spark, d, "documents").select(F.col("doc_id").alias("id"), text.significant_words("text").alias("words"))
+    anchors = table(spark, d, "benchmark").select(F.col("item_id").alias("item"), text.significant_words("text").alias("words"))
+    return overlap.best_overlap(texts, anchors).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score")
 
 
 @query(
