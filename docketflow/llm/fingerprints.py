@@ -6,7 +6,9 @@ edit distance meet again soon after each edit, so edit distance becomes Hamming
 emitted strings. A fingerprint samples the emitted string at steps fixed for all documents,
 `PER_OCTAVE` in each range [64 * 2^(o-1), 64 * 2^o); its likeness to another weighs each sample by
 the steps it stands for. `near_duplicates` bands sampled positions of several independent walks, so
-that similar texts share a band's key, and verifies the pairs by their likeness on the best walk.
+that similar texts share a band's key, and verifies the pairs by their likeness on the best walk. Long
+texts are also cut at content-defined places into blocks of bounded length, whose prints are banded
+alike, so that recall doesn't fall with length.
 
 `edited` pairs every document with the next one in descending doc_id order without a global
 window: rows are dealt by doc_id ranges, each range also gets the first row of the next, and a
@@ -28,10 +30,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import DoubleType
 
-from docketflow.llm.common import SEED, buffers, codepoints, mix64, sub_batches, written
+from docketflow.llm.common import SEED, buffers, codepoints, forget, mix64, sub_batches, written
 from docketflow.llm.jaccard import components
 
 CLASSES = 64
@@ -149,19 +153,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, n_chars long, fingerprint string")
 
 
-def several(docs: DataFrame, walks: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and `prints`, a fingerprint of each of several walks, of every row."""
+def several(docs: DataFrame, walks: int, keep: list[str], text_col: str = "text") -> DataFrame:
+    """The kept columns and `prints`, a fingerprint of each of several walks, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in sub_batches(big, text_col, 4 << 20):
-                points, off = codepoints(*buffers(b.column(1)))
+                points, off = codepoints(*buffers(b.column(len(keep))))
                 at = marked(points, off)
                 got = zip(*(strings(walk(*at, w)) for w in range(walks)), strict=True)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(map(list, got)), pa.list_(pa.string()))], ["doc_id", "prints"])
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(list(map(list, got)), pa.list_(pa.string()))], [*keep, "prints"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, prints array<string>")
+    out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("prints", T.ArrayType(T.StringType()))])
+    return docs.select(*keep, text_col).mapInArrow(run, out)
 
 
 def in_ranges(docs: DataFrame, id_col: str, blocks: int) -> DataFrame:
@@ -308,7 +312,37 @@ def alike(a: str, b: str) -> float:
     return float(likeness(m[:, :1], m[:, 1:])[0])
 
 
-def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int) -> DataFrame:
+class ByWalks:
+    """Likeness of prints: the best walk's."""
+
+    @staticmethod
+    def pairs(a: list, b: list) -> list[float]:
+        return [max(map(alike, x, y), default=0.0) for x, y in zip(a, b, strict=True)]
+
+    @staticmethod
+    def among(prints: list) -> Callable[[int, np.ndarray], np.ndarray]:
+        each = [matrix(list(p)) for p in zip(*prints, strict=True)]
+        return lambda x, far: np.max([likeness(m[:, [x]], m[:, far]) for m in each], axis=0)
+
+
+class ByBlocks:
+    """Likeness of lists of block classes with their characters (one number after the other): the characters in classes that
+    both have, of the longer one's."""
+
+    @staticmethod
+    def pairs(a: list, b: list) -> list[float]:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            x, y = dict(zip(x[::2], x[1::2], strict=True)), dict(zip(y[::2], y[1::2], strict=True))
+            out.append(sum(min(n, y[k]) for k, n in x.items() if k in y) / max(sum(x.values()), sum(y.values()), 1))
+        return out
+
+    @staticmethod
+    def among(lists: list) -> Callable[[int, np.ndarray], np.ndarray]:
+        return lambda x, far: np.array(ByBlocks.pairs([lists[x]] * len(far), [lists[k] for k in far]))
+
+
+def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int, by: type) -> DataFrame:
     """Links (a, b) between components (band, node, root, n) of the same bucket: a bucket is cut into blocks of about
     `block` nodes, every two of which are compared in a task; only links that merge components leave it."""
     dealt = crowded.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -317,14 +351,14 @@ def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int) ->
 
     def compare(t: pa.Table) -> pa.Table:
         mine, i, j, node, root = (t[x].to_numpy().copy() for x in ("mine", "i", "j", "node", "root"))
-        each = [matrix(list(p)) for p in zip(*t["prints"].to_pylist(), strict=True)]
+        like = by.among(t["prints"].to_pylist())
         left, right = np.flatnonzero(mine == i[0]), np.flatnonzero(mine == j[0])
         found = []
         for x in left:
             far = right[root[right] != root[x]]
             if not len(far):
                 continue
-            for y in far[np.max([likeness(m[:, [x]], m[:, far]) for m in each], axis=0) >= least]:
+            for y in far[like(x, far) >= least]:
                 if root[x] != root[y]:
                     root[root == max(root[x], root[y])] = min(root[x], root[y])
                     found.append((int(node[x]), int(node[y])))
@@ -333,44 +367,123 @@ def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int) ->
     return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, least: float = LEAST, walks: int = WALKS, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, block: int = BLOCK_NODES) -> DataFrame:
-    """doc_id, class_id of every row: the smallest doc_id among texts linked by a likeness of `least` on one of `walks` walks.
-
-    Equal fingerprints are one node. At every band key the nodes are first checked against its smallest node; then
-    nodes of different components that still meet at a key are all compared, in pairs or, in buckets of more than
-    `few` nodes, in blocks. So every pair that shares a key is linked if alike. A pair whose likeness over the sampled
-    octaves is p shares one with probability 1 - (1 - p^ROWS)^BANDS or more; under one octave a pair of likeness SHORT always does. Edits move
-    a walk off its twin's way for a while, so likeness falls with the number of edits, not only their rate; walks are
-    independent, so several find what one loses.
-    """
-    prints = written(several(docs, walks, id_col, text_col).withColumn("node", F.xxhash64("prints")), "prints")
-    one = written(prints.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("prints").alias("prints")), "prints-once")
-    text = one.select("node", "prints")
-    keyed = written(bands(text, least), "prints-bands")
+def linked(text: DataFrame, keyed: DataFrame, least: float, few: int, block: int, by: type, name: str) -> DataFrame:
+    """Links (a, b), written, that join all nodes of text (node, prints) which share a key of keyed (band, node) and are
+    alike: each key's nodes are checked against its smallest one, and those of different components that still meet at
+    a key are all compared, in pairs or, in buckets of more than `few` nodes, in blocks."""
     hubs = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = written(keyed.join(hubs, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "prints-pairs")
+    pairs = written(keyed.join(hubs, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{name}-pairs")
 
     @F.pandas_udf(DoubleType())
     def likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([max(map(alike, x, y), default=0.0) for x, y in zip(a, b, strict=True)], dtype=float)
+        return pd.Series(by.pairs(list(a), list(b)), dtype=float)
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(text.select(F.col("node").alias("b"), F.col("prints").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("prints").alias("fa")), "a")
         return both.filter(likeness_of("fa", "fb") >= least).select("a", "b")
 
-    links = written(verified(pairs), "prints-links")
-    here = written(keyed.join(components(links, "prints-classes"), "node", "left").withColumn("root", F.coalesce("root", "node")), "prints-here")
+    links = written(verified(pairs), f"{name}-links")
+    here = written(keyed.join(components(links, f"{name}-classes"), "node", "left").withColumn("root", F.coalesce("root", "node")), f"{name}-here")
     meeting = here.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "n")
-    left = written(here.join(meeting, "band"), "prints-left")
+    left = written(here.join(meeting, "band"), f"{name}-left")
     cold = left.filter(F.col("n") <= few)
     x, y = cold.select("band", F.col("node").alias("a"), F.col("root").alias("ra")), cold.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
-    rest = written(x.join(y, "band").filter("a < b and ra <> rb").select("a", "b").distinct(), "prints-rest")
-    links = written(links.union(verified(rest)).union(_in_blocks(left.filter(F.col("n") > few), text, least, block)), "prints-links")
-    part = components(links, "prints-classes")
+    rest = written(x.join(y, "band").filter("a < b and ra <> rb").select("a", "b").distinct(), f"{name}-rest")
+    more = written(links.union(verified(rest)).union(_in_blocks(left.filter(F.col("n") > few), text, least, block, by)), f"{name}-links")
+    forget(pairs, links, here, left, rest)
+    return more
+
+
+# --- long texts by blocks ---------------------------------------------------------------------
+
+SHARED = 0.55  # of the characters of the longer of two texts, in blocks that both have
+LONG = 3000  # code points from which texts are compared by their blocks too
+SHORTEST, LONGEST, MARK, ONE_IN = 512, 2048, 6, 600  # of blocks; a cut follows a MARK-gram that one in ONE_IN is
+
+
+def cuts(codes: np.ndarray) -> list[int]:
+    """Ends of the blocks of a text, from its character classes: after marked grams, so an edit moves no other cut than those
+    near it; blocks have SHORTEST to LONGEST characters, but for the last."""
+    n = len(codes)
+    h = np.zeros(max(n - MARK + 1, 0), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(MARK if n >= MARK else 0):
+            h = mix64(h * np.uint64(31) + codes[k : n - MARK + 1 + k].astype(np.uint64) + np.uint64(1))
+    marks = np.flatnonzero(h % np.uint64(ONE_IN) == 0) + MARK
+    out, at = [], 0
+    while n - at > LONGEST:
+        k = int(np.searchsorted(marks, at + SHORTEST))
+        at = int(marks[k]) if k < len(marks) and marks[k] <= at + LONGEST else at + LONGEST
+        out.append(at)
+    return [*out, n]
+
+
+def blocks(docs: DataFrame, walks: int, text_col: str = "text") -> DataFrame:
+    """doc, characters and prints of every block of texts (doc, text) of LONG code points or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for b in sub_batches(big, text_col, 2 << 20):
+                points, off = codepoints(*buffers(b.column(1)))
+                codes = classes(points)
+                ends = [[int(lo) + e for e in cuts(codes[lo:hi])] for lo, hi in zip(off[:-1], off[1:], strict=True)]
+                edges = np.concatenate([[0], *ends]).astype(np.int64)  # texts follow each other, and so do their blocks
+                at = marked(points, edges)
+                got = zip(*(strings(walk(*at, w)) for w in range(walks)), strict=True)
+                doc = b.column(0).take(pa.array(np.repeat(np.arange(len(ends)), list(map(len, ends)))))
+                yield pa.RecordBatch.from_arrays([doc, pa.array(np.diff(edges)), pa.array(list(map(list, got)), pa.list_(pa.string()))], ["doc", "n", "prints"])
+
+    long = docs.filter(F.length(text_col) >= LONG).select("doc", text_col)
+    return long.mapInArrow(run, "doc long, n long, prints array<string>")
+
+
+def by_blocks(docs: DataFrame, least: float, walks: int, few: int, block: int, shared: float = SHARED) -> DataFrame:
+    """Links (a, b), written, between long texts (doc, text) that share blocks: `shared` of the longer one's characters or
+    more are in blocks whose like the other has. Blocks are classed as texts are; a text is looked up under its rarest
+    block classes, as many as leave less than that share in the others."""
+    prints = written(blocks(docs.distinct(), walks).withColumn("node", F.xxhash64("prints")), "blocks")
+    text = written(prints.groupBy("node").agg(F.first("prints").alias("prints")), "blocks-once")
+    keyed = written(bands(text, least), "blocks-bands")
+    links = linked(text, keyed, least, few, block, ByWalks, "blocks")
+    part = components(links, "blocks-classes")
+    held = prints.join(part, "node", "left").groupBy("doc", F.coalesce("root", "node").alias("band")).agg(F.sum("n").alias("n"))
+    held = written(held, "blocks-held")
+    counts = held.groupBy("band").agg(F.count("*").alias("df"))
+    order = W.partitionBy("doc").orderBy("df", "band")
+    sums = {"rest": F.sum("n").over(order.rowsBetween(0, W.unboundedFollowing)), "all": F.sum("n").over(W.partitionBy("doc"))}
+    probes = held.join(counts, "band").withColumns(sums).filter(F.col("rest") >= shared * F.col("all"))
+    probes = written(probes.select("band", F.col("doc").alias("node")), "blocks-probes")
+    lists = held.groupBy(F.col("doc").alias("node")).agg(F.flatten(F.collect_list(F.array("band", "n"))).alias("prints"))
+    lists = written(lists, "blocks-lists")
+    out = linked(lists, probes, shared, few, block, ByBlocks, "blocks-docs")
+    forget(prints, text, keyed, links, held, probes, lists)
+    return out
+
+
+def near_duplicates(docs: DataFrame, least: float = LEAST, walks: int = WALKS, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, block: int = BLOCK_NODES) -> DataFrame:
+    """doc_id, class_id of every row: the smallest doc_id among texts linked by a likeness of `least` on one of `walks` walks,
+    or, of texts of LONG code points or more, by the share SHARED of their characters in like blocks.
+
+    Equal texts are one node. Every pair that shares a band's key is linked if alike. A pair whose likeness over the
+    sampled octaves is p shares one with probability 1 - (1 - p^ROWS)^BANDS or more; under one octave a pair of likeness
+    SHORT always does. Edits move a walk off its twin's way for a while, so likeness falls with the number of edits, not
+    only their rate; walks are independent, so several find what one loses, and blocks are short, so that the edits of
+    one cost one.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("doc", F.xxhash64("text"))
+    prints = written(several(rows, walks, ["doc_id", "doc"]), "prints")
+    one = written(prints.groupBy(F.col("doc").alias("node")).agg(F.min("doc_id").alias("low"), F.first("prints").alias("prints")), "prints-once")
+    text = one.select("node", "prints")
+    keyed = written(bands(text, least), "prints-bands")
+    links = linked(text, keyed, least, few, block, ByWalks, "prints")
+    long = by_blocks(rows.select("doc", "text"), least, walks, few, block)
+    part = components(links.union(long), "prints-classes")
     named = one.join(part, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    lowest = written(named.groupBy("root").agg(F.min("low").alias("class_id")), "prints-low")
-    named = written(named.join(lowest, "root").select("node", "class_id"), "prints-named")
-    return prints.join(named, "node").select("doc_id", "class_id")
+    lowest = named.groupBy("root").agg(F.min("low").alias("class_id"))
+    named = named.join(lowest, "root").select(F.col("node").alias("doc"), "class_id")
+    out = written(prints.select("doc_id", "doc").join(named, "doc").select("doc_id", "class_id"), "prints-named")
+    forget(prints, one, keyed, links, long)
+    return out
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,6 +141,36 @@ def test_recall_against_edit_rates(spark):
     assert all(got[i] // 4 == i // 4 for i in got)
 
 
+@pytest.mark.parametrize("length", [5_000, 10_000, 20_000, 30_000])
+def test_recall_of_long_texts(spark, length):
+    """Pairs at 1 % edits, and texts that share a third of their blocks with another and stay apart."""
+    rng = np.random.default_rng(length)
+    words = ["".join(rng.choice(list("etaoinshrdlu"), int(rng.integers(2, 10)))) for _ in range(4000)]
+    rows = []
+    for _ in range(24):
+        base = list(" ".join(rng.choice(words, length // 6))[:length])
+        t = list(base)
+        for _ in range(length // 100):
+            k, how = int(rng.integers(len(t))), rng.random()
+            t[k : k + (how < 0.67)] = [] if how < 0.33 else [str(rng.choice(list("etaoinshrdlu ")))]
+        third = base[: length // 3] + list(" ".join(rng.choice(words, length // 6))[: 2 * length // 3])
+        rows += ["".join(base), "".join(t), "".join(third)]
+    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert np.mean([got[k] == got[k + 1] for k in range(0, len(rows), 3)]) >= 0.9
+    assert all(got[k] // 3 == k // 3 for k in got) and all(got[k] == k for k in range(2, len(rows), 3))
+
+
+def test_cuts_follow_the_text():
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 64, 60_000).astype(np.uint8)
+    ends = fingerprints.cuts(codes)
+    sizes = np.diff([0, *ends])
+    assert ends[-1] == len(codes) and sizes[:-1].min() >= fingerprints.SHORTEST and sizes.max() <= fingerprints.LONGEST
+    moved = [e - 7 for e in fingerprints.cuts(np.concatenate([rng.integers(0, 64, 7).astype(np.uint8), codes]))]
+    assert len({*ends} & {*moved}) > 0.9 * len(ends)
+    assert fingerprints.cuts(codes[:0]) == [0] and fingerprints.cuts(codes[:3]) == [3]
+
+
 def test_near_duplicates_in_crowded_buckets(spark):
     """Thousands of unrelated texts of two letters share every bucket; pairs of near copies among them, long and short, are found as by all pairs."""
     rng = np.random.default_rng(11)
