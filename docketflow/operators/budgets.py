@@ -9,7 +9,6 @@ than the next day assumed have that next day folded again, until nothing changes
 
 from __future__ import annotations
 
-import uuid
 from collections import deque
 from collections.abc import Iterator
 
@@ -18,18 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketflow.session import shared_dir
+from docketflow.session import forget, written
 
 HOUR = 3_600_000_000  # microseconds
 DAY = 24 * HOUR
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/docketflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _folded(rows: DataFrame, hourly: int, daily: int) -> DataFrame:
     """`ok` for every row of blocks (owner, day), which begin with the admitted instants in `before`."""
     schema = rows.schema
@@ -62,19 +55,21 @@ def admitted(log: DataFrame, owner: str, ts: str, tie: str, hourly: int, daily:
     rows = log.select(F.col(owner).alias("owner"), F.col(ts).alias("ts"), F.col(tie).alias("tie"), at.alias("at"))
     timeless = rows.filter("at IS NULL").select("owner", "ts", "tie", F.lit(False).alias("admitted"))
     rows = rows.filter("at IS NOT NULL").withColumn("day", F.floor(F.col("at") / DAY)).withColumn("before", F.array().cast("array<bigint>"))
-    done = _written(_folded(rows, hourly, daily), "budget")
+    done = written(_folded(rows, hourly, daily), "budget")
     while True:
         late = done.filter(F.col("ok") & (F.col("at") > (F.col("day") + 1) * DAY - HOUR))
         tails = late.groupBy("owner", (F.col("day") + 1).alias("day")).agg(F.sort_array(F.collect_list("at")).alias("tail"))  # at most `hourly` each
         assumed = done.groupBy("owner", "day").agg(F.any_value("before").alias("assumed"))
         same = F.col("a.owner").eqNullSafe(F.col("t.owner")) & (F.col("a.day") == F.col("t.day"))
         wrong = assumed.alias("a").join(tails.alias("t"), same, "left").select("a.owner", "a.day", F.coalesce("t.tail", F.array().cast("array<bigint>")).alias("tail"), "assumed").filter("tail <> assumed")
-        wrong = _written(wrong.drop("assumed"), "budget-days")
+        wrong = written(wrong.drop("assumed"), "budget-days")
         if wrong.isEmpty():
+            forget(done.sparkSession, wrong.written_at)
             break
         block = done.alias("d"), wrong.alias("w"), F.col("d.owner").eqNullSafe(F.col("w.owner")) & (F.col("d.day") == F.col("w.day"))
         again = block[0].join(block[1], block[2]).select("d.owner", "d.ts", "d.tie", "d.at", "d.day", F.col("w.tail").alias("before"))
-        done = _written(block[0].join(block[1], block[2], "left_anti").unionByName(_folded(again, hourly, daily)), "budget")
+        before, done = done, written(block[0].join(block[1], block[2], "left_anti").unionByName(_folded(again, hourly, daily)), "budget")
+        forget(done.sparkSession, before.written_at, wrong.written_at)
     return done.select("owner", "ts", "tie", F.col("ok").alias("admitted")).unionByName(timeless)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketflow.session import shared_dir
+from docketflow.session import forget, written
 
 #: Classes of strings by their bytes: grams of `g` bytes, of which the least hash of each `g` + 1 neighbours is kept. A
 #: string of 2g bytes or more has a whole such window, and so has every text around it.
@@ -23,12 +22,6 @@ BITS = 27  # of the table of hashes that strings have, which every task holds: 1
 PIECE = 1 << 20  # bytes of text hashed at a time
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/docketflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 # --- winnowed fingerprints -------------------------------------------------------------------
 
 
@@ -76,7 +69,7 @@ def contained(docs: DataFrame, strings: DataFrame, text: str, string: str) -> Da
             got = [anchor(s.encode()) for s in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_key(*x) for x in got], pa.int64())], [string, "_f"])
 
-    known = _written(strings.select(string).mapInArrow(anchors, f"`{string}` string, _f long"), "anchors")
+    known = written(strings.select(string).mapInArrow(anchors, f"`{string}` string, _f long"), "anchors")
     slots = known.select((F.col("_f").bitwiseAND((1 << BITS) - 1)).alias("s")).distinct()
     # words of 64 slots each; no more rows than the table has words
     words = slots.groupBy(F.shiftrightunsigned("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("b")).toPandas()
@@ -126,23 +119,26 @@ def best_overlap(texts: DataFrame, anchors: DataFrame, least: int = 2) -> DataFr
     in every anchor, join those texts alone that have found nothing better, and only down to `least`."""
     vocabulary = anchors.select(F.explode("words").alias("w")).distinct()
     kept_words = texts.select("id", F.explode("words").alias("w")).join(vocabulary, "w", "left_semi")
-    rows = _written(kept_words, "overlap-words")
+    rows = written(kept_words, "overlap-words")
     counts = rows.groupBy("w").agg(F.count("*").alias("df"))
     order = W.partitionBy("item").orderBy("df", "w")
     index = anchors.select("item", F.explode("words").alias("w")).join(counts, "w").withColumns({"r": F.row_number().over(order), "m": F.count("*").over(W.partitionBy("item"))})
-    index = _written(index.filter(F.col("m") >= least), "overlap-index")
+    index = written(index.filter(F.col("m") >= least), "overlap-index")
     most = index.agg(F.max("m")).first()[0]
     if most is None:
         return rows.select("id").join(anchors.select("item"), F.lit(False)).withColumn("score", F.lit(0))
     sets = index.groupBy("item").agg(F.collect_list("w").alias("those"))
-    left, found, s = _written(rows.groupBy("id").agg(F.collect_list("w").alias("these")), "overlap-left"), None, most
+    left, found, s = written(rows.groupBy("id").agg(F.collect_list("w").alias("these")), "overlap-left"), None, most
     while True:
         probes = index.filter((F.col("m") >= s) & (F.col("r") <= F.col("m") - s + 1)).select("item", "w")
         pairs = left.select("id", F.explode("these").alias("w")).join(probes, "w").select("id", "item").distinct()
         scored = pairs.join(left, "id").join(sets, "item").select("id", "item", F.size(F.array_intersect("these", "those")).alias("score")).filter(F.col("score") >= s)
-        best = _written(scored.groupBy("id").agg(F.max(F.struct("score", (-F.col("item")).alias("item"))).alias("x")).select("id", (-F.col("x.item")).alias("item"), "x.score"), "overlap-best")
+        best = written(scored.groupBy("id").agg(F.max(F.struct("score", (-F.col("item")).alias("item"))).alias("x")).select("id", (-F.col("x.item")).alias("item"), "x.score"), "overlap-best")
         found = best if found is None else found.union(best)
+        done = left
         if s <= least:
+            forget(rows.sparkSession, *(t.written_at for t in (rows, index, done)))
             return found
         s = max(least, s // 2)
-        left = _written(left.join(best, "id", "left_anti"), "overlap-left")
+        left = written(left.join(best, "id", "left_anti"), "overlap-left")
+        forget(rows.sparkSession, done.written_at)

@@ -85,7 +85,7 @@ UNION ALL SELECT DISTINCT o_custkey, NULL, NULL, NULL, NULL, NULL, NULL, NULL, N
 
 @query("source_adapters", SOURCE_ADAPTERS)
 def source_adapters(spark: SparkSession, d: str) -> DataFrame:
-    """Every source under the adapter its row names, its items' texts from pages where they can be taken
+    """Every source under the adapter its row names, its items' texts from pages where they can be taken
     out; an unknown name and a broken body are rows with their error."""
     found = adapters.texts(adapters.items(sources(spark, d)), captures(spark, d))
     kind = lambda c: F.substring_index(c, ":", 1).alias(c)

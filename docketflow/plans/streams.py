@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketflow.session import shared_dir
+from docketflow.session import forget, shared_dir
 from docketflow.streaming import operators as ops
 
 Q: dict = {}
@@ -49,6 +49,7 @@ def finished(stream: DataFrame, mode: str) -> DataFrame:
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    forget(spark, f"{path}/progress", *(f"{path}/batch-{n}" for n in set(done[:-1]) - set(done[-1:]) if mode == "complete"))
     if not done:
         return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(*[f"{path}/batch-{n}" for n in (done[-1:] if mode == "complete" else sorted(set(done)))])

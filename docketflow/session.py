@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
     process (local mode, as in tests) a temporary one is set; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir() or ""
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):  # local-cluster has executors of its own
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="docketflow-")
         spark.sparkContext.setCheckpointDir(folder)
@@ -43,3 +44,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, in any store that Spark reads; errors of the store rise."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Delete written tables that nothing reads any more; those that aren't there are none."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/docketflow/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out

@@ -110,9 +110,9 @@ def rocks(spark: SparkSession):
 def append_new(path: str, keys: list[str], parts: int = 64) -> Callable[[DataFrame, int], None]:
     """A foreachBatch writer that appends rows whose key the table lacks, so a replayed batch adds nothing.
 
-    Rows lie in partitions by a hash of the key, of which a batch reads only those that it has keys of, and within
-    them by batch, whose partitions are overwritten when the batch is replayed. Before the first batch there is no
-    table; any other error of a read fails the batch, as rows would else be written twice.
+    A batch is one folder, which is overwritten when the batch is replayed. Its rows are in order of a hash of the key, so
+    that a later batch skips the row groups that it has no key of. Before the first batch there is no table; any other
+    error of a read fails the batch, as rows would else be written twice.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -122,7 +122,8 @@ def append_new(path: str, keys: list[str], parts: int = 64) -> Callable[[DataFra
             mine = [r.part for r in new.select("part").distinct().collect()]  # at most `parts` numbers
             have = spark.read.parquet(path).filter(F.col("part").isin(mine) & (F.col("batch_id") != number)).select(*keys)
             new = new.join(have, keys, "left_anti")
-        new.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch_id").parquet(path)
+        new = new.withColumn("batch_id", F.lit(number)).repartitionByRange("part").sortWithinPartitions("part")
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
     return write
 
