@@ -90,6 +90,13 @@ def unreconciled(cover: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Dat
     return both.filter(bad)
 
 
+def excluded_floor(rule: Column, chars: Column, summarised: Column) -> tuple[Column, Column]:
+    """Q1: whether a floor item counts as excluded, in two ways: no rule chose it (the default of coverage), and it is short
+    and has no summary. They differ for a short item that a rule chose and whose summary failed, and for a long one that
+    no rule chose."""
+    return rule.isNull(), (F.coalesce(chars, F.lit(0)) < FLOOR_CHARS) & ~F.coalesce(summarised, F.lit(False))
+
+
 def bill_stage(doc_type: Column) -> Column:
     """The stage bucket of a bill's class, case-insensitively."""
     t = F.lower(F.coalesce(doc_type, F.lit("")))

@@ -84,6 +84,18 @@ def coverage_reconcile(spark, d):
     return rules.unreconciled(rules.coverage(facts, ["collection"]), facts, ["collection"]).agg(F.count("*").alias("wrong"))
 
 
+@query(
+    "excluded_floor_items",
+    f"""WITH {SELECTED}, {S}, done AS (SELECT DISTINCT doc_id FROM summaries WHERE NOT withdrawn), x AS (SELECT collection, rule IS NULL AS by_rule, coalesce(char_count, 0) < 15000 AND doc_id NOT IN (SELECT doc_id FROM done) AS by_summary FROM sel WHERE doc_type = 'en')
+    SELECT collection, count(*) FILTER (WHERE by_rule) AS by_rule, count(*) FILTER (WHERE by_summary) AS by_summary, count(*) FILTER (WHERE by_rule <> by_summary) AS differ FROM x GROUP BY 1""",
+)
+def excluded_floor_items(spark, d):
+    """Q1: floor items excluded by rule and by missing summary, and where the two differ, by collection."""
+    by_rule, by_summary = rules.excluded_floor(F.col("rule"), F.col("char_count"), F.col("summarised"))
+    x = _facts(spark, d).filter("doc_type = 'en'").select("collection", by_rule.alias("r"), by_summary.alias("s"))
+    return x.groupBy("collection").agg(F.count_if("r").alias("by_rule"), F.count_if("s").alias("by_summary"), F.count_if(F.col("r") != F.col("s")).alias("differ"))
+
+
 @query("section_routing", f"WITH {SELECTED} SELECT CASE WHEN rule LIKE 'SEL-LONG%' AND doc_type = 'en' THEN 'house' WHEN rule LIKE 'SEL-DE%' THEN 'rules' WHEN rule LIKE 'SEL-%' AND rule <> 'SEL-VOTE' THEN 'agency' END AS section, count(*) AS n FROM sel WHERE rule IS NOT NULL GROUP BY 1")
 def section_routing(spark, d):
     """The first section whose rule prefix and class match; items chosen for a vote alone go nowhere."""

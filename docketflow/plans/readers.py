@@ -67,10 +67,11 @@ def _orders(spark, d):
 
 @query(
     "feed_round_trip",
-    "SELECT CASE WHEN o_custkey % 2 = 0 THEN 'rss' ELSE 'atom' END AS format, 'o-' || o_orderkey::VARCHAR AS guid, 'Order & notice <' || o_orderkey::VARCHAR || '>' AS title, 'https://example.gov/' || o_orderkey::VARCHAR AS link, strftime(o_orderdate, '%Y-%m-%d') AS claimed_date, o_orderstatus AS category FROM orders WHERE o_custkey % 7 <> 0",
+    """SELECT CASE WHEN o_custkey % 2 = 0 THEN 'rss' ELSE 'atom' END AS format, 'o-' || o_orderkey::VARCHAR AS guid, 'Order & notice <' || o_orderkey::VARCHAR || '>' AS title, 'https://example.gov/' || o_orderkey::VARCHAR AS link, strftime(o_orderdate, '%Y-%m-%d') AS claimed_date, o_orderstatus AS category, NULL::BIGINT AS broken, NULL::VARCHAR AS error FROM orders WHERE o_custkey % 7 <> 0
+    UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, NULL, NULL, o_custkey, 'ParseError' FROM orders WHERE o_custkey % 7 = 0""",
 )
 def feed_round_trip(spark, d):
-    """One feed a customer, RSS or Atom, written and read back; broken feeds are error rows."""
+    """One feed a customer, RSS or Atom, written and read back; broken feeds are rows with their error."""
     o = _orders(spark, d)
     title = text.xml_escape(F.concat(F.lit("Order & notice <"), F.col("o_orderkey").cast("string"), F.lit(">")))
     key, link = F.concat(F.lit("o-"), F.col("o_orderkey").cast("string")), F.concat(F.lit("https://example.gov/"), F.col("o_orderkey").cast("string"))
@@ -81,7 +82,8 @@ def feed_round_trip(spark, d):
     bodies = o.groupBy("o_custkey").agg(items.alias("items"))
     body = F.when(F.col("o_custkey") % 7 == 0, F.concat(F.lit("<rss><channel>"), "items")).when(even, F.concat(F.lit('<rss version="2.0"><channel>'), "items", F.lit("</channel></rss>"))).otherwise(F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), "items", F.lit("</feed>")))
     got = feeds.feed_items(bodies.select("o_custkey", body.alias("body")), "body", ["o_custkey"])
-    return got.filter("error IS NULL").select("format", "guid", "title", "link", "claimed_date", F.col("categories")[0].alias("category"))
+    broken = F.when(F.col("error").isNotNull(), F.col("o_custkey"))
+    return got.select("format", "guid", "title", "link", "claimed_date", F.col("categories")[0].alias("category"), broken.alias("broken"), F.substring_index("error", ":", 1).alias("error"))
 
 
 @query(
