@@ -6,6 +6,7 @@ share of each language, and languages are taken out, smallest share first, while
 penalised by half a log of the word count for each language rises. The prediction is the largest
 share of what stays; the score is that share.
 
+A row without an id is predicted and not learnt from, and its held_out is null.
 Null texts and texts without a letter are `und` with score 0. Without learning rows every text is
 `und`. Ties go to the language that sorts first. Texts are read whole. Repeated rows are equal. An
 empty table gives an empty result. Other columns pass through.

@@ -11,6 +11,7 @@ Fitting uses at most `sample` labelled rows (a documented bound, by hash of the
 text with more than `train_lines` lines it takes that many, in stretches spread evenly over the whole
 text, whose lengths then stand for the whole. Scoring covers every whole text without a shuffle.
 
+A row without an id is scored and not learnt from, and its held_out is null.
 Null and empty texts have one empty line and get a score from it. Repeated rows score alike. Without
 two classes of labels the score is the share of good labels (0.5 without labels). An empty table
 gives an empty result. Other columns are ignored.

@@ -14,6 +14,7 @@ their id) and about `unlabelled` rows without a used label (a documented paramet
 id and text is below a threshold, rows alike once, outside the held-out fold); scoring covers every
 whole text without a shuffle. Labels of held-out rows are never looked at.
 
+A row without an id is scored and not learnt from, and its held_out is null.
 Null and empty texts get the score of a text without any vote. Repeated rows score alike. Without
 any positive or negative labelled row the score is the share of positive labels (0 without labels).
 An empty table gives an empty result. Label rows with a null id or a null label are ignored. Other
