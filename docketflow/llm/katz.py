@@ -18,7 +18,7 @@ Counts are kept in tables that are partitioned by hash, and texts ask them in ba
    what makes up alpha; salted contexts are summed by one more small aggregation;
 5. a batch evaluates its tokens and sums by text.
 What is shuffled are packed arrays, once a different word or bigram of a batch, and word numbers
-twice; no text is. A part holds about 12 MB of text's bigrams at any input size. Only counts of
+twice; no text is. A part holds about 6 MB of text's bigrams at any input size. Only counts of
 counts reach the driver.
 
 Words are told apart by 64-bit hashes. Null and empty texts have the end token alone. Repeated rows
@@ -54,30 +54,26 @@ UNKNOWN, START = 0, 1
 
 
 def bundle(*arrays: np.ndarray) -> bytes:
-    """Arrays of non-negative integers as one value: bytes of equal weight beside each other, compressed."""
-    out = []
-    press = zstandard.ZstdCompressor(level=1)
+    """Arrays of non-negative integers as one value: their sizes and widths, then bytes of equal weight beside each other, compressed."""
+    head, planes = [len(arrays).to_bytes(1, "little")], []
     for a in arrays:
-        a = np.ascontiguousarray(a).astype(np.uint64)
+        a = np.ascontiguousarray(a).astype(np.uint64, copy=False)
         width = max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 0
-        planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-        data = press.compress(planes) if planes else b""
-        out.append(width.to_bytes(1, "little") + len(data).to_bytes(4, "little") + data)
-    return b"".join(out)
+        head.append(width.to_bytes(1, "little") + len(a).to_bytes(4, "little"))
+        planes.append(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+    return b"".join(head) + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def unbundle(data: bytes) -> list[np.ndarray]:
-    """The arrays of `bundle`, as uint64."""
-    out, at = [], 0
-    press = zstandard.ZstdDecompressor()
-    while at < len(data):
-        width, size = data[at], int.from_bytes(data[at + 1 : at + 5], "little")
-        at += 5
-        raw = np.frombuffer(press.decompress(data[at : at + size]), np.uint8).reshape(width, -1) if size else np.zeros((0, 0), np.uint8)
-        at += size
-        full = np.zeros((raw.shape[1], 8), np.uint8)
-        full[:, : raw.shape[0]] = raw.T
-        out.append(full.view(np.uint64).reshape(-1))
+    """The arrays of `bundle`, as int64 (higher numbers wrap)."""
+    number, out, at = data[0], [], 0
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1 + 5 * number :]), np.uint8)
+    for k in range(number):
+        width, size = data[1 + 5 * k], int.from_bytes(data[2 + 5 * k : 6 + 5 * k], "little")
+        full = np.zeros((size, 8), np.uint8)
+        full[:, :width] = raw[at : at + width * size].reshape(width, size).T
+        at += width * size
+        out.append(full.view(np.int64).reshape(-1))
     return out
 
 
@@ -192,7 +188,7 @@ def vocabulary(asked: DataFrame, parts: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         part, batches = t["part"][0].as_py(), t["batch"].to_pylist()
         blocks = [unbundle(x.as_py()) for x in t["payload"]]
-        hashes = [np.cumsum(x[0]) for x in blocks]
+        hashes = [np.cumsum(x[0].view(np.uint64)) for x in blocks]
         words, which = np.unique(np.concatenate(hashes), return_inverse=True)
         counts = np.bincount(which, np.concatenate([x[1] for x in blocks]).astype(float), len(words)).astype(np.int64)
         place = np.empty(len(words), np.int64)
@@ -210,13 +206,13 @@ class Batch:
     """A batch's tokens with the counts of their words, and its different bigrams in the order in which parts are asked."""
 
     def __init__(self, main: pa.Table, answers: pa.Table, texts: int, parts: int, hot: int):
-        self.tokens, self.lengths, self.held, slots = (x.astype(np.int64) for x in unbundle(main["payload"][0].as_py()))
+        self.tokens, self.lengths, self.held, slots = unbundle(main["payload"][0].as_py())
         got = [(p, unbundle(x.as_py())) for k, p, x in zip(answers["kind"].to_pylist(), answers["part"].to_pylist(), answers["payload"], strict=True) if k == 1]
         got.sort(key=lambda x: x[0])
         # by rank, the start mark behind them
         self.count, number = np.zeros(len(slots) + 1, np.int64), np.zeros(len(slots) + 1, np.int64)
-        self.count[slots] = np.concatenate([x[0] for _, x in got]).astype(np.int64)
-        number[slots] = np.concatenate([x[1] for _, x in got]).astype(np.int64)
+        self.count[slots] = np.concatenate([x[0] for _, x in got])
+        number[slots] = np.concatenate([x[1] for _, x in got])
         start = len(slots)
         self.count[start], number[start] = texts, START
         before = np.empty_like(self.tokens)
@@ -261,15 +257,17 @@ def bigrams(asked: DataFrame, unigrams: Unigrams, hot: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         part, batches = t["part"][0].as_py(), t["batch"].to_pylist()
-        blocks = [[x.astype(np.int64) for x in unbundle(x.as_py())] for x in t["payload"]]
+        blocks = [unbundle(x.as_py()) for x in t["payload"]]
         cuts = np.cumsum([0, *(len(x[0]) for x in blocks)])
-        contexts, c = np.unique(np.concatenate([np.cumsum(x[0]) for x in blocks]), return_inverse=True)
-        words, w = np.unique(np.concatenate([x[1] for x in blocks]), return_inverse=True)
-        pairs, which = np.unique(c * len(words) + w, return_inverse=True)
-        counts = np.bincount(which, np.concatenate([x[2] for x in blocks]), len(pairs)).astype(np.int64)
+        columns = [np.concatenate([np.cumsum(x[0]) for x in blocks]), *(np.concatenate([x[k] for x in blocks]) for k in range(1, 5))]
+        del blocks
+        contexts, c = np.unique(columns[0], return_inverse=True)
+        words, w = np.unique(columns[1], return_inverse=True)
         word_count, total = np.zeros(len(words), np.int64), np.zeros(len(contexts), np.int64)
-        word_count[w] = np.concatenate([x[3] for x in blocks])
-        total[c] = np.concatenate([x[4] for x in blocks])
+        word_count[w], total[c] = columns[3], columns[4]
+        pairs, which = np.unique(c * len(words) + w, return_inverse=True)
+        counts = np.bincount(which, columns[2], len(pairs)).astype(np.int64)
+        del columns, w
         seen = np.flatnonzero(counts)
         of = pairs[seen] // len(words)
         kinds = np.bincount(of * (K + 1) + np.minimum(counts[seen], K + 1) - 1, minlength=len(contexts) * (K + 1)).reshape(-1, K + 1)
@@ -312,12 +310,11 @@ def evaluated(main: DataFrame, answers: DataFrame, texts: int, parts: int, hot:
 
         for part, i in b.slices():
             counts, kinds, mass = got[part]
-            counts = counts.astype(np.int64)
             met = i[counts > 0]
             p[met] = discounted(counts[counts > 0], table) / b.context_count[met]
             open_ = i[(counts == 0) & ~b.hot[i]]
             _, which = np.unique(b.context[open_], return_inverse=True)
-            kinds, mass = kinds.astype(np.int64).reshape(-1, K + 1), mass.view(np.float64)
+            kinds, mass = kinds.reshape(-1, K + 1), mass.view(np.float64)
             p[open_] *= alpha(kinds[which], mass[which], b.context_count[open_])
             open_ = i[(counts == 0) & b.hot[i]]
             if len(open_):
@@ -344,7 +341,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     kind = docs.schema[id_col].dataType.simpleString()
     if parts is None:
         size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-        parts = 1 + size // (64 << 20), 1 + size // (12 << 20)
+        parts = 1 + size // (64 << 20), 1 + size // (6 << 20)
     rows = written(tokenised(docs, training, id_col, text_col, parts[0]), "katz-tokens")
     main = rows.filter("part IS NULL")
     words = written(vocabulary(rows.filter("part IS NOT NULL").select("batch", "part", "payload"), parts[0]), "katz-words")

@@ -117,4 +117,4 @@ def test_arrays_survive_packing():
     rng = np.random.default_rng(1)
     arrays = [np.zeros(0, np.int64), np.array([0]), rng.integers(0, 300, 1000), rng.integers(0, 2**63, 77).astype(np.uint64) * np.uint64(2)]
     for a, b in zip(arrays, katz.unbundle(katz.bundle(*arrays)), strict=True):
-        assert a.astype(np.uint64).tolist() == b.tolist()
+        assert a.astype(np.uint64).tolist() == b.view(np.uint64).tolist()
