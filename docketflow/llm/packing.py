@@ -41,7 +41,7 @@ _L = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ"
 _PLAIN = re.compile(f"[{_L}]+|[^{_L} \n\t\r]+").findall
 _QUOTED = re.compile(f"[^ \n\t\r']*'[^ \n\t\r]*|[{_L}]+|[^{_L} \n\t\r]+").findall
 _WHOLE = re.compile("[ɐ-\U0010ffff]|<\\|").search
-_CACHE: dict[str, dict[str, bytes]] = {}
+_CACHE: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -68,8 +68,8 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
     """Token ids of each text as little-endian 32-bit bytes.
 
     A vocabulary that lower-cases, drops white space and splits at every border between letters and
-    other characters (its file says so) has pieces between such borders encoded once and kept (at
-    most `most`). Texts with letters beyond U+024F or with special-token marks, and all texts under
+    other characters (its file says so) has pieces between such borders encoded once and kept (about
+    `most` of them, those met of late). Texts with letters beyond U+024F or with special-token marks, and all texts under
     any other vocabulary, are encoded whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a forked worker must not start threads
@@ -84,9 +84,9 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
     tok, ends, pieces = _TOKENIZERS[path]
     if not pieces:
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
-    cache = _CACHE.setdefault(path, {})
-    if len(cache) > most:
-        cache.clear()
+    cache, older = _CACHE.setdefault(path, ({}, {}))
+    if len(cache) > most // 2:
+        _CACHE[path] = cache, older = {}, cache  # what is met again moves on, the rest goes next time
     parts: list[list[str] | None] = []
     for x in texts:
         if not x:
@@ -95,7 +95,10 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
             parts.append(None)
         else:
             parts.append(_QUOTED(x.lower()) if "'" in x else _PLAIN(x.lower()))
-    new = list(set(chain.from_iterable(p for p in parts if p)) - cache.keys())
+    new = set(chain.from_iterable(p for p in parts if p)) - cache.keys()
+    again = new & older.keys()
+    cache.update((w, older[w]) for w in again)
+    new -= again
     letters = [w for w in new if w.isalpha()]
     for lo in range(0, len(letters), 2000):
         some = letters[lo : lo + 2000]
@@ -143,7 +146,6 @@ def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID,
                     [b.column(0), pa.array(np.full(len(n), task, np.int32)), pa.array(n), pa.array(cls.astype(np.int32)), pa.array(rank), pa.array(before_whole[:-1]), pa.array(before_crumb[:-1]), pa.array(ids, pa.binary())],
                     ["doc_id", "task", "n", "cls", "rank", "wholes", "crumbs", "ids"],
                 )
-        _CACHE.clear()  # a worker goes on to other stages
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, task int, n long, cls int, rank long, wholes long, crumbs long, ids binary")
