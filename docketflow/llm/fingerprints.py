@@ -43,6 +43,7 @@ PER_OCTAVE = 64
 FIRST = 64
 ALPHABET = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_.", np.uint8)  # the last: no character
 BLOCK = 4096
+BATCH = 3 << 20  # bytes of text that a task walks at a time
 _BITS: dict[tuple[int, int], np.ndarray] = {}
 _STEPS: list[np.ndarray] = []
 
@@ -144,7 +145,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in sub_batches(big, text_col, 8 << 20):
+            for b in sub_batches(big, text_col, BATCH):
                 points, off = codepoints(*buffers(b.column(1)))
                 got = strings(walk(*marked(points, off)))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(off)), pa.array(got, pa.string())], ["doc_id", "n_chars", "fingerprint"])
@@ -235,7 +236,7 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for big in batches:
-            for b in sub_batches(big, text_col, 8 << 20):
+            for b in sub_batches(big, text_col, BATCH):
                 whole = pa.Table.from_batches([last, b] if last is not None else [b]).combine_chunks().to_batches()[0]
                 got = emit(whole)
                 if got is not None:
