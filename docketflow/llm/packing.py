@@ -21,7 +21,6 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +94,8 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
             parts.append(None)
         else:
             parts.append(_QUOTED(x.lower()) if "'" in x else _PLAIN(x.lower()))
-    new = set(chain.from_iterable(p for p in parts if p)) - cache.keys()
+    found = [None if p is None else list(map(cache.get, p)) for p in parts]  # each piece is looked up once
+    new = {w for p, v in zip(parts, found, strict=True) if v and None in v for w, x in zip(p, v, strict=True) if x is None}
     again = new & older.keys()
     cache.update((w, older[w]) for w in again)
     new -= again
@@ -112,11 +112,10 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
         some = rest[lo : lo + 2000]
         for word, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
             cache[word] = np.array(e.ids, "<u4").tobytes()
-    get = cache.__getitem__
-    return [
-        np.array(tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if p is None else b"".join(map(get, p))
-        for x, p in zip(texts, parts, strict=True)
-    ]
+    for p, v in zip(parts, found, strict=True):
+        if v and None in v:
+            v[:] = [cache[w] if x is None else x for w, x in zip(p, v, strict=True)]
+    return [np.array(tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if v is None else b"".join(v) for x, v in zip(texts, found, strict=True)]
 
 
 def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
