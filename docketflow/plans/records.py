@@ -97,7 +97,7 @@ def law_round_trip(spark, d):
 )
 def case_round_trip(spark, d):
     """Case packages with a mods.xml (absent from every fourth) and PDF members; texts come beside them."""
-    line = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(day(F.min("l_shipdate")).alias("filed"), F.min("l_returnflag").alias("l_returnflag"))
+    line = table(spark, d, "lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(day(F.min("l_shipdate")).alias("filed"), F.min("l_returnflag").alias("l_returnflag"))
     stem = F.concat(lit("USCOURTS-ca"), (F.col("l_orderkey") % 9).cast("string"), lit("-"), s("l_orderkey"), lit("-"), s("l_linenumber"))
     docket = F.when(F.col("l_returnflag") == "N", "NOT FOR PUBLICATION").otherwise("Published opinion")
     item = F.concat(lit('<relatedItem type="constituent"><extension><accessId>'), "stem", lit("</accessId><courtName>Court</courtName><docketText>"), docket, lit("</docketText></extension><originInfo><dateIssued>"), "filed", lit("</dateIssued></originInfo></relatedItem>"))
@@ -112,9 +112,9 @@ def case_round_trip(spark, d):
                 raw = BytesIO()
                 with zipfile.ZipFile(raw, "w") as z:
                     if m:
-                        z.writestr("x/mods.xml", m)
+                        z.writestr(zipfile.ZipInfo("x/mods.xml"), m)
                     for k in stems:
-                        z.writestr(f"x/pdf/{k}.pdf", b"%PDF")
+                        z.writestr(zipfile.ZipInfo(f"x/pdf/{k}.pdf"), b"%PDF")
                 out.append(raw.getvalue())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(out, pa.binary())], names=["o_orderkey", "texts", "body"])
 
