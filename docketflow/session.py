@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Narrow rows dealt over tasks by keys, ahead of work that takes long for each of them: a scan has no more tasks than
+    the table has row groups, and a table of short rows may have a few of millions of rows each."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *keys)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset and both are one
     process (local mode, as in tests) a temporary one is set; on a cluster that is an error."""

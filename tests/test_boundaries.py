@@ -390,3 +390,25 @@ def test_long_official_lists_give_the_same(spark, monkeypatch):
     want = sorted((r.id, r.official) for r in lexicon.contained(docs, official).collect())
     monkeypatch.setattr(lexicon, "FEW", 0)
     assert sorted((r.id, r.official) for r in lexicon.contained(docs, official).collect()) == want == [(1, "Clean Water Act of 1972"), (1, "the Clean Water Act of"), (3, "Air Act")]
+
+
+def test_a_table_of_one_row_group_is_spread_over_tasks(spark, tmp_path):
+    """Slow work on short rows must not be one task because the table's file has one row group."""
+    from docketflow.session import spread
+
+    spark.range(0, 1000, 1, 1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    dealt = spread(rows, "id").rdd.glom().map(len).collect()
+    assert rows.rdd.getNumPartitions() == 1 and len(dealt) >= spark.sparkContext.defaultParallelism and max(dealt) < 200 and sum(dealt) == 1000
+
+
+def test_packages_and_members_are_read_once(spark):
+    """No body of a case package or an inventory is parsed a second time for another part of the plan."""
+    zips = spark.createDataFrame([("USCOURTS-ca1-1", b"no zip", {})], "package_id string, body binary, texts map<string, string>")
+    case = packages.case_zips(zips, "body", ["package_id", "texts"], texts="texts")
+    rows = spark.createDataFrame([("p", 1, "<R><PRTPAGE P='3'/><GID>g</GID></R>"), ("p", 2, "<R"), ("p", 3, "<R><GID>h</GID></R>")], "package string, member int, body string")
+    inventory = packages.inventory(rows, "body", "package", "member")
+    for out in (case, inventory):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [(r.member, r.pos, r.gid, r.page, r.error is None) for r in inventory.orderBy("member").collect()] == [(1, 0, "g", "3", True), (2, None, None, None, False), (3, 0, "h", "3", True)]
+    assert [(r.error[:10], r.pos, r.text) for r in case.collect()] == [("BadZipFile", None, None)]

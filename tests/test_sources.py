@@ -32,6 +32,20 @@ def test_references_cut_off_before_their_semicolon(spark):
     assert got.text == "It&&amp © a <b &lt; © © &notit; &c &"
 
 
+def test_plain_messages_are_read_as_the_general_parser_reads_them(monkeypatch):
+    body = b"<p><a href='https://x.gov/1'>The first long release</a> one <a href='https://x.gov/2'>The second long release</a> two</p>"
+    html = b"MIME-Version: 1.0\r\nContent-Type: text/html; charset=utf-8\r\n"
+    plain = [b"X-Trace: " + b"ab\r\n " * 900 + b"end\r\nFrom: Agency\r\n <Agency@X.gov>\r\nSubject: Weekly\r\n  news\r\n", b"From: a@x.gov\nMessage-ID: <1@x.gov>\nDate: Mon, 2 Jan 2024 10:00 GMT\n"]
+    other = [b'From: "A, B" <a@x.gov>\r\n', b"From: =?utf-8?q?A=C3=A9?= <a@x.gov>\r\nSubject: =?utf-8?b?w6k=?=\r\n", b"From: a@x.gov\r\nDate: nonsense\r\n", b"From: a@x.gov\r\nContent-Disposition: attachment\r\n", b"no field\r\nFrom: a@x.gov\r\n"]
+    raws = [head + html + b"\r\n" + body for head in plain + other]
+    general, calls = mail.message_from_bytes, []
+    monkeypatch.setattr(mail, "message_from_bytes", lambda raw, **k: calls.append(k) or general(raw, **k))
+    got = [list(mail.parse_bulletin(raw)) for raw in raws]
+    assert sum("policy" in k for k in calls) == len(other)  # the rest didn't need it
+    monkeypatch.setattr(mail, "_plain", lambda msg: None)
+    assert got == [list(mail.parse_bulletin(raw)) for raw in raws]
+
+
 def test_entries_without_end_tags():
     page = "<ul><li><a href=/n/1>The first release</a> 5/1/26<li><a href=/n/2>The second release</a> 5/2/26<li><a href=/n/3>The third release</a></ul><table><tr><td>2026-05-04<td><a href=/n/4>The fourth release</a><tr><td>2026-05-05<td><a href=/n/5>The fifth release</a></table>"
     assert links(page) == [("The first release", "2026-05-01"), ("The second release", "2026-05-02"), ("The third release", "2026-05-02"), ("The fourth release", "2026-05-04"), ("The fifth release", "2026-05-05")]
