@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketflow.functions import times
 from docketflow.operators import budgets, change
 from docketflow.plans.streams import finished
-from docketflow.session import shared_dir, table
+from docketflow.session import shared_dir, spread, table
 from docketflow.sources import feeds, packages
 from docketflow.streaming import ladders as steps
 from docketflow.streaming import operators as ops
@@ -166,7 +166,7 @@ def discovered_feeds(spark: SparkSession, d: str) -> DataFrame:
     """The feed of every source, from what its page names and from common places: of six sources one names a good feed,
     one a dead one but has a good one at a common place, one names a page, one names none but has one, one was not
     captured at all, and one has items without dates."""
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") % 6).alias("m"))
+    c = spread(table(spark, d, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") % 6).alias("m")), "k")
     at = lambda path: F.concat(F.lit("https://s"), F.col("k").cast("string"), F.lit(f".gov{path}"))
     names = F.when(F.col("m").isin(0, 1, 2, 5), '<link rel="stylesheet" href="x.css"><LINK REL="home Alternate" TYPE="application/rss+xml; charset=utf-8" HREF="feeds/all.xml" title="All"><link rel=alternate type="text/html" href="/es">').otherwise("")
     homes = c.select(F.col("k").alias("source_id"), at("/about/").alias("url"), F.concat(F.lit("<html><head>"), names, F.lit("</head><body>x</body></html>")).alias("page"))
