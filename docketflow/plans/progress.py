@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docketflow.functions import times
 from docketflow.operators import budgets, change
 from docketflow.plans.streams import finished
-from docketflow.session import shared_dir, spread, table
+from docketflow.session import shared_dir, spread, table, tasks
 from docketflow.sources import feeds, packages
 from docketflow.streaming import ladders as steps
 from docketflow.streaming import operators as ops
@@ -66,13 +66,14 @@ def stream_ladders(spark: SparkSession, d: str) -> DataFrame:
     if span.lo is None:
         return steps.batch_state(e).drop("last")
     width = (span.hi - span.lo) / SLICES
-    # slices are written one after the other, so a stream of files meets them in this order; in a slice, any order will do
+    # slices are written one after the other, so a stream of files meets them in this order; in a slice, any order will do.
+    # A trigger takes a slice's files, whatever the table's size: each batch costs every key it touches a visit of its state
     folder = f"{shared_dir(spark)}/docketflow/journal-{uuid.uuid4().hex}"
     for k in range(1, SLICES):
         part = e.filter((F.col("ts") >= F.lit(span.lo + k * width)) & ((F.col("ts") < F.lit(span.lo + (k + 1) * width)) | F.lit(k == SLICES - 1)))
-        part.write.mode("append").parquet(folder)
+        spread(part, "key").write.mode("append").parquet(folder)
     first = steps.batch_state(e.filter(F.col("ts") < F.lit(span.lo + width)), patience=f"{PATIENCE} days")
-    stream = ops.read_table(spark, folder, schema=e.schema)
+    stream = ops.read_table(spark, folder, tasks(spark), e.schema)
     with ops.rocks(spark):
         out = finished(steps.ladders(stream, f"{int(width.total_seconds()) + 1} seconds", patience=f"{PATIENCE} days", initial=first), "update")
     return steps.latest(out.unionByName(first.drop("last"))).withColumn("since", F.col("since").cast("timestamp_ntz"))

@@ -31,8 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Narrow rows dealt over tasks by keys, ahead of work that takes long for each of them: a scan has no more tasks than
     the table has row groups, and a table of short rows may have a few of millions of rows each."""
-    spark = rows.sparkSession
-    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *keys)
+    return rows.repartition(tasks(rows.sparkSession), *keys)
+
+
+def tasks(spark: SparkSession) -> int:
+    """Parts that `spread` makes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
 
 def shared_dir(spark: SparkSession) -> str:

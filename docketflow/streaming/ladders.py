@@ -84,8 +84,7 @@ class Ladders(StatefulProcessor):
         self._timer(s)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        batch = pd.concat(list(rows))
-        new = [(micros(ts), int(i), bool(f)) for ts, i, f in zip(batch["ts"], batch["tie"], batch["failed"], strict=True)]
+        new = [r for batch in rows for r in zip(batch["ts"].to_numpy().astype("datetime64[us]").astype("int64").tolist(), batch["tie"].tolist(), batch["failed"].tolist(), strict=True)]
         waiting = sorted([*((int(a), int(i), bool(f)) for a, i, f in (self.waiting.get() if self.waiting.exists() else ())), *new])
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         ready = [r for r in waiting if r[0] < passed]

@@ -162,3 +162,20 @@ def test_pages_are_carried_over_members(spark):
     got = packages.inventory(spark.createDataFrame(rows, "package string, member int, body string"), "body", "package", "member")
     assert sorted((r.package, r.member, r.pos, r.gid, r.page) for r in got.filter("error IS NULL").collect()) == [("p", 1, 0, "a", None), ("p", 1, 1, "b", "7"), ("p", 2, 0, "c", "8"), ("p", 2, 1, "d", "8"), ("p", 4, 0, "e", "9"), ("q", 1, 0, "f", None)]
     assert [(r.package, r.member) for r in got.filter("error IS NOT NULL").collect()] == [("p", 3)]
+
+
+def test_a_slice_of_the_stream_is_one_batch(spark, sf, tmp_path, monkeypatch):
+    """Batches don't grow in number with the table's files, as each costs every key it touches a visit of its state."""
+    from docketflow.plans import progress
+
+    class Seen(Exception):
+        pass
+
+    def read(spark, folder, files_per_trigger=1, schema=None):
+        raise Seen(-(-len(spark.read.parquet(folder).inputFiles()) // files_per_trigger))
+
+    spark.read.parquet(f"{sf}/events.parquet").repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(progress.ops, "read_table", read)
+    with pytest.raises(Seen) as seen:
+        progress.stream_ladders(spark, str(tmp_path))
+    assert seen.value.args[0] <= progress.SLICES - 1
