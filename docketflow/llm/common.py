@@ -51,8 +51,13 @@ def forget(*tables: DataFrame, shuffles: bool = True) -> None:
         path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     if tables and shuffles:
-        gc.collect()
-        tables[0].sparkSession._jvm.System.gc()
+        unshuffled(tables[0].sparkSession)
+
+
+def unshuffled(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def buffers(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

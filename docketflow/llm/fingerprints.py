@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import DoubleType
 
-from docketflow.llm.common import SEED, buffers, codepoints, forget, mix64, sub_batches, written
+from docketflow.llm.common import SEED, buffers, codepoints, forget, mix64, sub_batches, unshuffled, written
 from docketflow.llm.jaccard import components
 
 CLASSES = 64
@@ -256,27 +257,19 @@ _PLACES = [[int(x) for x in np.argsort(mix64(np.arange(2 * PER_OCTAVE, dtype=np.
 STEP = 1.1  # between the length classes of short fingerprints
 FEW = 24  # nodes of a bucket above which it is compared in blocks
 BLOCK_NODES = 2048
+MANY = 1 << 24  # rows of shared keys that wait to be settled together
+PAIRS = 50_000  # of prints that are met at a time, or two for each node if these are more
 
 
 def _key(*parts: object) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little", signed=True) >> 4 << 4
 
 
-def keys(fingerprint: str, least: float) -> set[int]:
-    """Band keys of a fingerprint.
-
-    Long ones: sampled places in the last two whole octaves and, as a like text may end an octave earlier, in the two
-    before. Short ones (a partner may have under one octave): if the longer of two has n samples, they differ in
-    (1 - least) * n places at most, so of one more groups of places one is equal: no pair of that likeness, SHORT at least,
-    is missed.
-    """
+def short_keys(fingerprint: str, least: float) -> set[int]:
+    """Band keys of a short fingerprint, as a partner may have under one octave: if the longer of two has n samples, they differ
+    in (1 - least) * n places at most, so of one more groups of places one is equal: no pair of that likeness, SHORT at
+    least, is missed."""
     n, out = len(fingerprint), set()
-    whole = n // PER_OCTAVE
-    for top in (whole, whole - 1):
-        if top < 1:
-            continue
-        lo, span = max(top - 2, 0) * PER_OCTAVE, min(top, 2) * PER_OCTAVE
-        out.update(_key(top, b, "".join(fingerprint[lo + p % span] for p in places)) for b, places in enumerate(_PLACES))
     least = max(least, SHORT)
     if n and n * least < PER_OCTAVE:
         first, last = (math.floor(math.log(x) / math.log(STEP) + 1e-9) for x in (n, n / least))
@@ -284,18 +277,53 @@ def keys(fingerprint: str, least: float) -> set[int]:
             lo, hi = math.ceil(STEP**c - 1e-6), math.ceil(STEP ** (c + 1) + 1e-6)
             groups = min(math.floor((1 - least) * hi + 1e-9) + 1, lo)
             out.update(_key("short", c, g, fingerprint[g:lo:groups]) for g in range(groups))
-    return out or {_key("equal", fingerprint)}
+    return out if n else {_key("equal", fingerprint)}
 
 
-def bands(prints: DataFrame, least: float = LEAST) -> DataFrame:
-    """band, node of every key of prints (node, prints)."""
+def octave_keys(samples: np.ndarray, top: int) -> np.ndarray:
+    """By (fingerprint, band), keys of samples by (sample, fingerprint) in the two octaves that end with octave `top`."""
+    lo, span = max(top - 2, 0) * PER_OCTAVE, min(top, 2) * PER_OCTAVE
+    places = lo + np.array(_PLACES) % span
+    key = np.zeros((samples.shape[1], BANDS), np.uint64)
+    for k in range(ROWS):
+        key = key * np.uint64(CLASSES + 1) + samples[places[:, k]].T
+    with np.errstate(over="ignore"):
+        key = mix64(mix64(key + np.uint64(SEED)) + np.uint64(top * BANDS) + np.arange(BANDS, dtype=np.uint64))
+    return (key & ~np.uint64(15)).view(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [(k + w, n) for n, of in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for w, f in enumerate(of) for k in keys(f, least)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())], ["band", "node"])
 
-    return prints.select("node", "prints").mapInArrow(run, "band long, node long")
+def bands(prints: DataFrame, least: float, walk_: int) -> DataFrame:
+    """band, node of every key that prints (node, prints) have by one of their walks.
+
+    Long fingerprints have keys of sampled places in the last two whole octaves and, as a like text may end an octave
+    earlier, in the two before; those of little over one octave and less have `short_keys`.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for lo in range(0, big.num_rows, 1000):
+                b = big.slice(lo, 1000)
+                texts = b.column(1).to_pylist()
+                whole = np.array([len(t) // PER_OCTAVE for t in texts])
+                short = [(k, i) for i, t in enumerate(texts) if len(t) * SHORT < PER_OCTAVE for k in short_keys(t, least)]
+                key, who = [np.array([k for k, _ in short], np.int64)], [np.array([i for _, i in short], np.int64)]
+                samples = matrix(texts)
+                for n in np.unique(whole[whole > 0]).tolist():
+                    at = np.flatnonzero(whole == n)
+                    for top in range(max(n - 1, 1), n + 1):
+                        key.append(octave_keys(samples[:, at], top).ravel())
+                        who.append(np.repeat(at, BANDS))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key) + walk_), b.column(0).take(pa.array(np.concatenate(who)))], ["band", "node"])
+
+    return prints.select("node", F.col("prints")[walk_].alias("print")).mapInArrow(run, "band long, node long")
+
+
+def shared_keys(keyed: DataFrame, name: str) -> DataFrame:
+    """The rows (band, node) whose band another row has too, written: most bands are one node's alone."""
+    often = keyed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    kept = written(keyed.join(often, "band"), f"{name}-shared")
+    unshuffled(keyed.sparkSession)
+    return kept
 
 
 def matrix(prints: list[str]) -> np.ndarray:
@@ -318,7 +346,15 @@ class ByWalks:
 
     @staticmethod
     def pairs(a: list, b: list) -> list[float]:
-        return [max(map(alike, x, y), default=0.0) for x, y in zip(a, b, strict=True)]
+        out: list[float] = []
+        for lo in range(0, len(a), 256):
+            x, y = a[lo : lo + 256], b[lo : lo + 256]
+            best = np.zeros(len(x))
+            for w in range(max(map(len, x), default=0)):
+                both = matrix([t[w] for t in x] + [t[w] for t in y])
+                best = np.maximum(best, likeness(both[:, : len(x)], both[:, len(x) :]))
+            out += best.tolist()
+        return out
 
     @staticmethod
     def among(prints: list) -> Callable[[int, np.ndarray], np.ndarray]:
@@ -368,31 +404,65 @@ def _in_blocks(crowded: DataFrame, text: DataFrame, least: float, block: int, by
     return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def linked(text: DataFrame, keyed: DataFrame, least: float, few: int, block: int, by: type, name: str) -> DataFrame:
-    """Links (a, b), written, that join all nodes of text (node, prints) which share a key of keyed (band, node) and are
-    alike: each key's nodes are checked against its smallest one, and those of different components that still meet at
-    a key are all compared, in pairs or, in buckets of more than `few` nodes, in blocks."""
-    hubs = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    pairs = written(keyed.join(hubs, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), f"{name}-pairs")
+def verified(pairs: DataFrame, text: DataFrame, least: float, by: type, name: str, most: int) -> list[DataFrame]:
+    """The pairs (a, b) that are alike, in written tables. A pair meets two prints, far larger than itself, so about `most`
+    pairs are met at a time, and their shuffles dropped after."""
 
     @F.pandas_udf(DoubleType())
     def likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(by.pairs(list(a), list(b)), dtype=float)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(text.select(F.col("node").alias("b"), F.col("prints").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("prints").alias("fa")), "a")
-        return both.filter(likeness_of("fa", "fb") >= least).select("a", "b")
+    slices, out = max(1, math.ceil(pairs.count() / most)), []
+    for k in range(slices):
+        some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(slices)) == k) if slices > 1 else pairs
+        both = some.join(text.select(F.col("node").alias("b"), F.col("prints").alias("fb")), "b").join(text.select(F.col("node").alias("a"), F.col("prints").alias("fa")), "a")
+        out.append(written(both.filter(likeness_of("fa", "fb") >= least).select("a", "b"), f"{name}-links"))
+        if slices > 1:
+            unshuffled(pairs.sparkSession)
+    return out
+
+
+def linked(text: DataFrame, parts: list[DataFrame], least: float, few: int, block: int, by: type, name: str) -> DataFrame:
+    """Links (a, b), written, that join all nodes of text (node, prints) which share a key of parts (band, node) and are
+    alike. No band is in two parts; keys are shuffled by part, and what is shared is settled once it is MANY rows."""
+    kept: list[DataFrame] = []
+    links: list[DataFrame] = []
+    most = max(PAIRS, 2 * text.count())
+    for k, part in enumerate(parts, 1):
+        kept.append(shared_keys(part, name))
+        if k == len(parts) or sum(x.count() for x in kept) > MANY:
+            links += _settled(text, reduce(DataFrame.union, kept), links, least, few, block, by, name, most)
+            forget(*kept)
+            kept = []
+    out = written(reduce(DataFrame.union, links), f"{name}-links")
+    forget(*links)
+    return out
+
+
+def _settled(text: DataFrame, keyed: DataFrame, links: list[DataFrame], least: float, few: int, block: int, by: type, name: str, most: int) -> list[DataFrame]:
+    """Written links (a, b) beside those known: each key's nodes are checked against its smallest one, and those of
+    different components that still meet at a key are all compared, in pairs or, in buckets of more than `few` nodes, in
+    blocks."""
+
+    def rooted(links: list[DataFrame], as_: str) -> DataFrame:
+        return keyed.join(components(reduce(DataFrame.union, links), as_), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    links = written(verified(pairs), f"{name}-links")
-    here = written(keyed.join(components(links, f"{name}-classes"), "node", "left").withColumn("root", F.coalesce("root", "node")), f"{name}-here")
+    before = rooted(links, f"{name}-before") if links else keyed.withColumn("root", F.col("node"))
+    hubs = before.groupBy("band").agg(F.min(F.struct("node", "root")).alias("hub"))
+    pairs = written(before.join(hubs, "band").filter("root <> hub.root").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), f"{name}-pairs")
+    found = verified(pairs, text, least, by, name, most)
+    here = written(rooted(links + found, f"{name}-classes"), f"{name}-here")
     meeting = here.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "n")
     left = written(here.join(meeting, "band"), f"{name}-left")
+    forget(here)
     cold = left.filter(F.col("n") <= few)
     x, y = cold.select("band", F.col("node").alias("a"), F.col("root").alias("ra")), cold.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
-    rest = written(x.join(y, "band").filter("a < b and ra <> rb").select("a", "b").distinct(), f"{name}-rest")
-    more = written(links.union(verified(rest)).union(_in_blocks(left.filter(F.col("n") > few), text, least, block, by)), f"{name}-links")
-    forget(pairs, links, here, left, rest)
-    return more
+    rest = x.join(y, "band").filter("a < b and ra <> rb").select("a", "b").distinct()
+    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), f"{name}-rest")  # pairs begin with the smaller node too, and those alike are linked
+    found += verified(rest, text, least, by, name, most)
+    found.append(written(_in_blocks(left.filter(F.col("n") > few), text, least, block, by), f"{name}-links"))
+    forget(pairs, left, rest)
+    return found
 
 
 # --- long texts by blocks ---------------------------------------------------------------------
@@ -444,11 +514,13 @@ def by_blocks(docs: DataFrame, least: float, walks: int, few: int, block: int, s
     block classes, as many as leave less than that share in the others."""
     prints = written(blocks(docs.distinct(), walks).withColumn("node", F.xxhash64("prints")), "blocks")
     text = written(prints.groupBy("node").agg(F.first("prints").alias("prints")), "blocks-once")
-    keyed = written(bands(text, least), "blocks-bands")
-    links = linked(text, keyed, least, few, block, ByWalks, "blocks")
+    whole, prints = prints, written(prints.select("doc", "n", "node"), "blocks-of")
+    forget(whole)
+    links = linked(text, [bands(text, least, w) for w in range(walks)], least, few, block, ByWalks, "blocks")
     part = components(links, "blocks-classes")
     held = prints.join(part, "node", "left").groupBy("doc", F.coalesce("root", "node").alias("band")).agg(F.sum("n").alias("n"))
     held = written(held, "blocks-held")
+    forget(text, prints)
     counts = held.groupBy("band").agg(F.count("*").alias("df"))
     order = W.partitionBy("doc").orderBy("df", "band")
     sums = {"rest": F.sum("n").over(order.rowsBetween(0, W.unboundedFollowing)), "all": F.sum("n").over(W.partitionBy("doc"))}
@@ -456,8 +528,8 @@ def by_blocks(docs: DataFrame, least: float, walks: int, few: int, block: int, s
     probes = written(probes.select("band", F.col("doc").alias("node")), "blocks-probes")
     lists = held.groupBy(F.col("doc").alias("node")).agg(F.flatten(F.collect_list(F.array("band", "n"))).alias("prints"))
     lists = written(lists, "blocks-lists")
-    out = linked(lists, probes, shared, few, block, ByBlocks, "blocks-docs")
-    forget(prints, text, keyed, links, held, probes, lists)
+    out = linked(lists, [probes], shared, few, block, ByBlocks, "blocks-docs")
+    forget(links, held, probes, lists)
     return out
 
 
@@ -472,18 +544,20 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, walks: int = WALKS, i
     one cost one.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("doc", F.xxhash64("text"))
-    prints = written(several(rows, walks, ["doc_id", "doc"]), "prints")
+    prints = several(rows, walks, ["doc_id", "doc"])
     one = written(prints.groupBy(F.col("doc").alias("node")).agg(F.min("doc_id").alias("low"), F.first("prints").alias("prints")), "prints-once")
+    unshuffled(docs.sparkSession)
     text = one.select("node", "prints")
-    keyed = written(bands(text, least), "prints-bands")
-    links = linked(text, keyed, least, few, block, ByWalks, "prints")
+    links = linked(text, [bands(text, least, w) for w in range(walks)], least, few, block, ByWalks, "prints")
+    low = written(one.select("node", "low"), "prints-low")
+    forget(one)
     long = by_blocks(rows.select("doc", "text"), least, walks, few, block)
     part = components(links.union(long), "prints-classes")
-    named = one.join(part, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    named = low.join(part, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("class_id"))
     named = named.join(lowest, "root").select(F.col("node").alias("doc"), "class_id")
-    out = written(prints.select("doc_id", "doc").join(named, "doc").select("doc_id", "class_id"), "prints-named")
-    forget(prints, one, keyed, links, long)
+    out = written(rows.select("doc_id", "doc").join(named, "doc").select("doc_id", "class_id"), "prints-named")
+    forget(low, links, long)
     return out
 
 

@@ -171,6 +171,35 @@ def test_cuts_follow_the_text():
     assert fingerprints.cuts(codes[:0]) == [0] and fingerprints.cuts(codes[:3]) == [3]
 
 
+def test_lone_keys_are_not_kept(spark, monkeypatch):
+    """Most keys of a fingerprint are one text's alone: no table holds them (64 a text and walk), and walks settled one by one link alike."""
+    rng = np.random.default_rng(21)
+    rows = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 900)) for _ in range(40)]
+    rows += [rows[k][:450] + "Z" + rows[k][450:] for k in range(0, 40, 4)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "node long, text string").repartition(1)
+    prints = fingerprints.written(fingerprints.several(docs, 2, ["node"]), "lone")
+    sizes, write = {}, fingerprints.written
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(fingerprints, "written", counted)
+    for many in (fingerprints.MANY, 0):
+        monkeypatch.setattr(fingerprints, "MANY", many)
+        links = fingerprints.linked(prints, [fingerprints.bands(prints, 0.6, w) for w in range(2)], 0.6, 24, 2048, fingerprints.ByWalks, "lone")
+        assert {tuple(sorted(r)) for r in links.collect()} == {((i - 40) * 4, i) for i in range(40, 50)}
+    assert max(sizes.values()) < 64 * 2 * 20, sizes
+
+
+def test_pairs_are_verified_in_slices(spark):
+    text = spark.createDataFrame([(i, ["abcdefgh"[i % 4] * 64]) for i in range(12)], "node long, prints array<string>")
+    pairs = spark.createDataFrame([(i, j) for i in range(12) for j in range(i + 1, 12)], "a long, b long")
+    tables = fingerprints.verified(pairs, text, 0.6, fingerprints.ByWalks, "slices", 20)
+    assert len(tables) == 4 and sorted(tuple(r) for t in tables for r in t.collect()) == [(i, j) for i in range(12) for j in range(i + 4, 12, 4)]
+
+
 def test_near_duplicates_in_crowded_buckets(spark):
     """Thousands of unrelated texts of two letters share every bucket; pairs of near copies among them, long and short, are found as by all pairs."""
     rng = np.random.default_rng(11)
