@@ -29,18 +29,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import small_enough, sub_batches, written
+from docketflow.llm.common import mix64, small_enough, sub_batches, written
 
 LIMIT = 2048
 GRID = 16
 END_ID = 1
 
 # Letters below U+0250 after lower-casing; text beyond that goes to the tokenizer whole.
-_L = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ"
-_PLAIN = re.compile(f"[{_L}]+|[^{_L} \n\t\r]+").findall
-_QUOTED = re.compile(f"[^ \n\t\r']*'[^ \n\t\r]*|[{_L}]+|[^{_L} \n\t\r]+").findall
-_WHOLE = re.compile("[ɐ-\U0010ffff]|<\\|").search
-_CACHE: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
+_LETTER = re.compile("[a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ]").match
+BLOCK = 3 << 18  # bytes of text taken apart at a time
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+KEPT = 16 << 20  # bytes of pieces that are kept
+_SPACE, _LETTERS, _OTHER, _QUOTED = range(4)
 _TOKENIZERS: dict[str, tuple] = {}
 
 
@@ -63,6 +63,193 @@ def by_pieces(path: str) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"] and len(splits) == 1 and splits[0].endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>"
 
 
+def kinds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte of lower-cased UTF-8 whether it is white space, of a letter, of another character, or of a word with an
+    apostrophe, and the places of what can't be taken apart: letters beyond U+024F and marks of special tokens."""
+    table = np.full(256, _OTHER, np.uint8)
+    table[[32, 9, 10, 13]] = _SPACE
+    table[ord("a") : ord("z") + 1] = _LETTERS
+    kind = table[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    odd = lead[:0]
+    if len(lead):
+        point = (raw[lead].astype(np.int32) & 31) << 6 | raw[lead + 1] & 63
+        far = (raw[lead] >= 0xE0) | (point > 0x24F)
+        odd, lead, point = lead[far], lead[~far], point[~far]
+        latin = np.array([_LETTERS if _LETTER(chr(c)) else _OTHER for c in range(0x250)], np.uint8)
+        kind[lead] = kind[lead + 1] = latin[point]
+    marks = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+    quotes = np.flatnonzero(raw == ord("'"))
+    if len(quotes):  # an apostrophe may belong to what follows it, so the word between white space is one piece
+        space = np.concatenate([[-1], np.flatnonzero(kind == _SPACE), [len(raw)]])
+        word = np.unique(np.searchsorted(space, quotes))
+        n = space[word] - space[word - 1] - 1
+        kind[np.repeat(space[word - 1] + 1 - (np.cumsum(n) - n), n) + np.arange(n.sum())] = _QUOTED
+    return kind, np.concatenate([odd, marks])
+
+
+class Pieces:
+    """Token ids of the pieces met of late, in flat arrays with an open hash table: some 40 bytes a piece and its own bytes.
+
+    A piece is found by a 64-bit hash and then compared by its bytes.
+    """
+
+    def __init__(self, tok, ends: np.ndarray, most: int):
+        self.tok, self.ends, self.most, self.now = tok, ends, most, 0
+        self.byte_hash = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        self.powers(BLOCK)
+        self.clear()
+
+    def clear(self) -> None:
+        self.key, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.id_first, self.id_count, self.used = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.uint32)
+        self.table = np.full(1 << 12, -1, np.int32)
+
+    def powers(self, n: int) -> None:
+        base = 0xD6E8FEB86659FD93
+        with np.errstate(over="ignore"):
+            self.power, self.back = np.full(n + 1, base, np.uint64), np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
+            for x in (self.power, self.back):
+                x[0] = 1
+                np.multiply.accumulate(x, out=x)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of the piece with each hash, or -1."""
+        mask = np.uint64(len(self.table) - 1)
+        if not len(self.key):
+            return np.full(len(h), -1, np.int32)
+        at = (h & mask).astype(np.int64)
+        found = self.table[at]
+        open_ = np.flatnonzero((found >= 0) & (self.key[found] != h))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & int(mask)
+            found[open_] = self.table[at[open_]]
+            open_ = open_[(found[open_] >= 0) & (self.key[found[open_]] != h[open_])]
+        return found
+
+    def place(self, numbers: np.ndarray) -> None:
+        mask = len(self.table) - 1
+        at = (self.key[numbers] & np.uint64(mask)).astype(np.int64)
+        while len(numbers):
+            free = self.table[at] < 0
+            self.table[at[free]] = numbers[free]
+            left = self.table[at] != numbers
+            numbers, at = numbers[left], (at[left] + 1) & mask
+
+    def add(self, key: np.ndarray, words: list[bytes], letters: np.ndarray) -> None:
+        """Encodes new pieces, different ones with different keys; `letters` marks those of letters alone."""
+        order, got, counts = [], [], []
+        plain, rest = np.flatnonzero(letters).tolist(), np.flatnonzero(~letters).tolist()
+        for lo in range(0, len(plain), 2000):
+            some = plain[lo : lo + 2000]
+            ids = np.array(self.tok.encode_batch_fast([b" ".join([words[k] for k in some]).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1  # a word of letters alone ends at its one word-end token
+            if len(cuts) == len(some):
+                order += some
+                got.append(ids)
+                counts.append(np.diff(cuts, prepend=0))
+            else:
+                rest += some
+        for lo in range(0, len(rest), 2000):  # an encoding takes far more memory than its ids
+            some = rest[lo : lo + 2000]
+            found = [e.ids for e in self.tok.encode_batch_fast([words[k].decode() for k in some], add_special_tokens=False)]
+            order += some
+            got += [np.array(x, np.uint32) for x in found]
+            counts.append(np.array([len(x) for x in found]))
+        key, words, count = key[order], [words[k] for k in order], np.concatenate(counts).astype(np.int32)
+        size = np.array([len(w) for w in words], np.int32)
+        old = len(self.key)
+        self.first = np.concatenate([self.first, len(self.bytes) + np.cumsum(size, dtype=np.int64) - size])
+        self.id_first = np.concatenate([self.id_first, len(self.ids) + np.cumsum(count, dtype=np.int64) - count])
+        self.key, self.size, self.id_count = np.concatenate([self.key, key]), np.concatenate([self.size, size]), np.concatenate([self.id_count, count])
+        self.used = np.concatenate([self.used, np.full(len(key), self.now, np.int32)])
+        self.bytes, self.ids = np.concatenate([self.bytes, np.frombuffer(b"".join(words), np.uint8)]), np.concatenate([self.ids, *got])
+        if 2 * len(self.key) > len(self.table):
+            self.table = np.full(1 << int(4 * len(self.key)).bit_length(), -1, np.int32)
+            old = 0
+        self.place(np.arange(old, len(self.key), dtype=np.int32))
+
+    def thin(self) -> None:
+        """Half of the pieces, those met of late, stay."""
+        order = np.argsort(-self.used, kind="stable")[: self.most // 2]
+        stay = order[np.cumsum(self.size[order], dtype=np.int64) <= KEPT // 2]
+        kept = [x[stay] for x in (self.key, self.size, self.id_count, self.used)]
+        data, ids = self.bytes[stretches(self.first[stay], kept[1])], self.ids[stretches(self.id_first[stay], kept[2])]
+        self.clear()
+        self.key, self.size, self.id_count, self.used = kept
+        self.first, self.id_first = np.cumsum(self.size, dtype=np.int64) - self.size, np.cumsum(self.id_count, dtype=np.int64) - self.id_count
+        self.bytes, self.ids = data, ids
+        self.table = np.full(1 << int(4 * len(stay) + 1).bit_length(), -1, np.int32)
+        self.place(np.arange(len(stay), dtype=np.int32))
+
+    def encode(self, parts: list[bytes]) -> list[bytes | None]:
+        """Ids of each part as bytes; None for those that the tokenizer must take whole."""
+        raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+        size = np.array([len(x) + 1 for x in parts], np.int64)
+        begin = np.cumsum(size) - size
+        kind, odd = kinds(raw)
+        good = np.ones(len(parts), bool)
+        good[np.searchsorted(begin, odd, side="right") - 1] = False
+        turn = np.flatnonzero(np.diff(kind, prepend=np.uint8(_SPACE)))  # a part ends with white space
+        turn_kind = kind[turn]
+        start = turn[turn_kind != _SPACE]
+        end = turn[1:][turn_kind[:-1] != _SPACE] if len(turn) else turn
+        if not good.all():
+            mine = good[np.searchsorted(begin, start, side="right") - 1]
+            start, end = start[mine], end[mine]
+        if len(raw) >= len(self.power):
+            self.powers(len(raw))
+        with np.errstate(over="ignore"):
+            total = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum(self.byte_hash[raw] * self.power[: len(raw)], out=total[1:])
+            h = mix64((total[end] - total[start]) * self.back[start] + (end - start).astype(np.uint64))
+        del total
+        self.now += 1
+        if len(self.key) > self.most or len(self.bytes) > KEPT:
+            self.thin()
+        found = self.find(h)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            key, at = np.unique(h[new], return_index=True)
+            at = new[at]
+            data = raw.tobytes()
+            self.add(key, [data[x:y] for x, y in zip(start[at].tolist(), end[at].tolist(), strict=True)], kind[start[at]] == _LETTERS)
+            found[new] = self.find(h[new])
+        self.used[found] = self.now
+        n = (end - start).astype(np.int32)
+        same = n == self.size[found]  # unless two pieces have one hash
+        k = np.minimum(n, self.size[found])
+        differ = np.flatnonzero(raw[stretches(start, k)] != self.bytes[stretches(self.first[found], k)])
+        same[np.searchsorted(np.cumsum(k), differ, side="right")] = False
+        good[np.searchsorted(begin, start[~same], side="right") - 1] = False
+        count = self.id_count[found]
+        ids = self.ids[stretches(self.id_first[found], count)].astype("<u4", copy=False).tobytes()
+        upto = 4 * np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+        cut = upto[np.searchsorted(start, np.concatenate([begin, [len(raw)]]))].tolist()
+        return [ids[x:y] if g else None for g, x, y in zip(good.tolist(), cut[:-1], cut[1:], strict=True)]
+
+
+def stretches(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each stretch of some size, one stretch after the other."""
+    upto = np.cumsum(size, dtype=np.int64)
+    return np.repeat(first - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+
+
+def split(text: bytes) -> Iterator[bytes]:
+    """A text in parts of some `BLOCK` bytes, cut at white space."""
+    lo = 0
+    while len(text) - lo > BLOCK:
+        at = text.rfind(b" ", lo + 1, lo + BLOCK)
+        if at < 0:
+            at = text.find(b" ", lo + BLOCK)
+            if at < 0:
+                break
+        yield text[lo:at]
+        lo = at
+    yield text[lo:]
+
+
 def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit bytes.
 
@@ -75,47 +262,32 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
     from tokenizers import Tokenizer
 
     if path not in _TOKENIZERS:
-        made = Tokenizer.from_file(path)
-        vocab = made.get_vocab()
+        tok = Tokenizer.from_file(path)
+        vocab = tok.get_vocab()
         word_end = np.zeros(max(vocab.values()) + 1, bool)
         word_end[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        _TOKENIZERS[path] = made, word_end, by_pieces(path)
-    tok, ends, pieces = _TOKENIZERS[path]
-    if not pieces:
+        _TOKENIZERS[path] = tok, Pieces(tok, word_end, most) if by_pieces(path) else None
+    tok, pieces = _TOKENIZERS[path]
+    if pieces is None:
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([x or "" for x in texts], add_special_tokens=False)]
-    cache, older = _CACHE.setdefault(path, ({}, {}))
-    if len(cache) > most // 2:
-        _CACHE[path] = cache, older = {}, cache  # what is met again moves on, the rest goes next time
-    parts: list[list[str] | None] = []
-    for x in texts:
-        if not x:
-            parts.append([])
-        elif _WHOLE(x):
-            parts.append(None)
-        else:
-            parts.append(_QUOTED(x.lower()) if "'" in x else _PLAIN(x.lower()))
-    found = [None if p is None else list(map(cache.get, p)) for p in parts]  # each piece is looked up once
-    new = {w for p, v in zip(parts, found, strict=True) if v and None in v for w, x in zip(p, v, strict=True) if x is None}
-    again = new & older.keys()
-    cache.update((w, older[w]) for w in again)
-    new -= again
-    letters = [w for w in new if w.isalpha()]
-    for lo in range(0, len(letters), 2000):
-        some = letters[lo : lo + 2000]
-        ids = np.array(tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-        cuts = (np.flatnonzero(ends[ids]) + 1) * 4  # a word of letters alone ends at its one word-end token
-        if len(cuts) == len(some):
-            data = ids.tobytes()
-            cache.update(zip(some, (data[x:y] for x, y in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)), strict=True))
-    rest = [w for w in new if w not in cache]
-    for lo in range(0, len(rest), 2000):  # an encoding takes far more memory than its ids
-        some = rest[lo : lo + 2000]
-        for word, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            cache[word] = np.array(e.ids, "<u4").tobytes()
-    for p, v in zip(parts, found, strict=True):
-        if v and None in v:
-            v[:] = [cache[w] if x is None else x for w, x in zip(p, v, strict=True)]
-    return [np.array(tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if v is None else b"".join(v) for x, v in zip(texts, found, strict=True)]
+    pieces.most = most
+    out: list[list[bytes | None]] = [[] for _ in texts]
+    owner: list[int] = []
+    parts: list[bytes] = []
+    bytes_ = 0
+    for i, x in enumerate(texts):
+        for part in split(x.lower().encode()) if x else ():
+            if parts and bytes_ + len(part) > BLOCK:
+                for k, ids in zip(owner, pieces.encode(parts), strict=True):
+                    out[k].append(ids)
+                owner, parts, bytes_ = [], [], 0
+            owner.append(i)
+            parts.append(part)
+            bytes_ += len(part) + 1
+    if parts:
+        for k, ids in zip(owner, pieces.encode(parts), strict=True):
+            out[k].append(ids)
+    return [np.array(tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if None in v else v[0] if len(v) == 1 else b"".join(v) for x, v in zip(texts, out, strict=True)]
 
 
 def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -290,7 +462,13 @@ class Layout:
 
 def pack(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of every document: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset."""
-    rows = written(tokenised(docs, path, limit, grid, end_id, id_col, text_col), "pack")
+    spark = docs.sparkSession
+    whole = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, "4m")  # else Spark, its socket and the task each hold 10,000 texts at once
+    try:
+        rows = written(tokenised(docs, path, limit, grid, end_id, id_col, text_col), "pack")
+    finally:
+        spark.conf.set(BATCH_BYTES, whole)
     classes = limit // grid
     # What each task made, by class; class -1 stands for whole pieces and -2 for crumb ids.
     made = rows.groupBy("task", F.col("cls").alias("c")).agg(F.count("*").alias("k"), F.sum(F.floor(F.col("n") / limit)).alias("w"), F.sum(F.col("n") % grid).alias("t"))
@@ -305,40 +483,26 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_i
         by_task = F.broadcast(by_task)
     joined = rows.join(by_task, "task").select("doc_id", "n", "cls", "ids", (F.col("rank") + F.coalesce(F.element_at("base", F.col("cls")), F.lit(0))).alias("rank"), (F.col("wholes") + F.coalesce(F.element_at("base", F.lit(-1)), F.lit(0))).alias("wholes"), (F.col("crumbs") + F.coalesce(F.element_at("base", F.lit(-2)), F.lit(0))).alias("crumbs"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for lo in range(0, big.num_rows, 500):
-                b = big.slice(lo, 500)
-                out: tuple[list, ...] = ([], [], [], [], [], [], [])
-                row, start, length, total_n, ids, seq, off = out
-                cols = [b.column(k).to_pylist() for k in (1, 2, 4, 5, 6)]
-                raw = b.column(3)
-                for i, (n, cls, rank, whole, crumb) in enumerate(zip(*cols, strict=True)):
-                    data = raw[i].as_py()
-                    cuts = [(k * limit, limit, whole + k, 0) for k in range(n // limit)]
-                    at = n // limit * limit
-                    if cls:
-                        found = layout.piece(cls, rank)
-                        size = cls * grid
-                        cuts += [(at, size, *found)] if isinstance(found, tuple) else [(at + d, k, s, o) for d, k, s, o in layout.stream(found, size)]
-                        at += size
-                    if n % grid:
-                        cuts += [(at + d, k, s, o) for d, k, s, o in layout.stream(layout.crumb_base + crumb, n % grid)]
-                    for a, k, s, o in cuts:
-                        row.append(i)
-                        start.append(a)
-                        length.append(k)
-                        ids.append(data[4 * a : 4 * (a + k)])
-                        total_n.append(n)
-                        seq.append(s)
-                        off.append(o)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total_n, pa.int64()), pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
-                    ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-                )
-
-    kind = joined.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    @F.arrow_udf("array<struct<start: long, length: long, sequence_id: long, offset: long>>")
+    def pieces(n: pa.Array, cls: pa.Array, rank: pa.Array, wholes: pa.Array, crumbs: pa.Array) -> pa.Array:
+        cuts, upto = [], [0]
+        for n_, c, k, whole, crumb in zip(*[x.to_pylist() for x in (n, cls, rank, wholes, crumbs)], strict=True):
+            cuts += [(j * limit, limit, whole + j, 0) for j in range(n_ // limit)]
+            at = n_ // limit * limit
+            if c:
+                found, size = layout.piece(c, k), c * grid
+                cuts += [(at, size, *found)] if isinstance(found, tuple) else [(at + d, m, s, o) for d, m, s, o in layout.stream(found, size)]
+                at += size
+            if n_ % grid:
+                cuts += [(at + d, m, s, o) for d, m, s, o in layout.stream(layout.crumb_base + crumb, n_ % grid)]
+            upto.append(len(cuts))
+        table = np.array(cuts, np.int64).reshape(-1, 4)
+        return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays([pa.array(table[:, k].copy()) for k in range(4)], ["start", "length", "sequence_id", "offset"]))
+
+    # The tasks' Python gets numbers only; ids stay with Spark, which slices them.
+    cut = joined.withColumn("cuts", pieces("n", "cls", "rank", "wholes", "crumbs")).select("doc_id", "n", "ids", F.explode("cuts").alias("cut"))
+    ids = F.substring("ids", (4 * F.col("cut.start") + 1).cast("int"), (4 * F.col("cut.length")).cast("int"))
+    return cut.select("doc_id", "cut.start", "cut.length", ids.alias("ids"), F.col("n").alias("doc_tokens"), "cut.sequence_id", "cut.offset")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

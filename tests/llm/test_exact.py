@@ -334,6 +334,46 @@ def test_word_cache_gives_the_tokenizer_s_ids():
         assert np.frombuffer(x, "<u4").tolist() == tok.encode(c, add_special_tokens=False).ids, c
 
 
+def test_pieces_are_found_again_after_others_went():
+    """Letters whose lower case lies beyond U+024F, apostrophes, a table that is thinned, and hashes that meet."""
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tok = Tokenizer.from_file(path)
+    rng = np.random.default_rng(4)
+    pool = ["x\u0181y", "\u023ab", "it's", "o'er'", "a|b", "<b>", "\xa0\x85", "3.14", "\xaa\xd7\xf7", *(f"w{x}é" for x in range(300))]
+    packing.encode(["a"], path)
+    for most in (40, 400_000):
+        for _ in range(6):
+            texts = [" ".join(rng.choice(pool, 30)) for _ in range(20)]
+            assert packing.encode(texts, path, most) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    pieces = packing.Pieces(tok, packing._TOKENIZERS[path][1].ends, 100)
+    pieces.byte_hash[:] = 1  # pieces of one length have one hash
+    assert pieces.encode([b"same", b"name same", b"other"])[::2] == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ("same", "other")]
+    assert pieces.encode([b"name"]) == [None]
+
+
+def test_kept_pieces_take_little_memory():
+    words = ["".join(chr(97 + x // 26**k % 26) for k in range(4)) + "ings" for x in range(150_000)]
+    packing.encode(["a"], packing.default_tokenizer())
+    tracemalloc.start()
+    try:
+        for lo in range(0, len(words), 15_000):
+            packing.encode([" ".join(words[lo : lo + 15_000])], packing.default_tokenizer())
+        assert tracemalloc.get_traced_memory()[0] < 150_000 * 100
+    finally:
+        tracemalloc.stop()
+
+
+def test_packing_hands_on_few_texts_at_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(packing, "written", lambda df, name: seen.append(spark.conf.get(packing.BATCH_BYTES)) or 1 / 0)
+    before = spark.conf.get(packing.BATCH_BYTES)
+    with pytest.raises(ZeroDivisionError):
+        packing.pack(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), packing.default_tokenizer())
+    assert seen == ["4m"] and spark.conf.get(packing.BATCH_BYTES) == before
+
+
 def test_columns_are_priced_right():
     rng = np.random.default_rng(3)
     demand = rng.integers(0, 60, 31)
