@@ -483,26 +483,40 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_i
         by_task = F.broadcast(by_task)
     joined = rows.join(by_task, "task").select("doc_id", "n", "cls", "ids", (F.col("rank") + F.coalesce(F.element_at("base", F.col("cls")), F.lit(0))).alias("rank"), (F.col("wholes") + F.coalesce(F.element_at("base", F.lit(-1)), F.lit(0))).alias("wholes"), (F.col("crumbs") + F.coalesce(F.element_at("base", F.lit(-2)), F.lit(0))).alias("crumbs"))
 
-    @F.arrow_udf("array<struct<start: long, length: long, sequence_id: long, offset: long>>")
-    def pieces(n: pa.Array, cls: pa.Array, rank: pa.Array, wholes: pa.Array, crumbs: pa.Array) -> pa.Array:
-        cuts, upto = [], [0]
-        for n_, c, k, whole, crumb in zip(*[x.to_pylist() for x in (n, cls, rank, wholes, crumbs)], strict=True):
-            cuts += [(j * limit, limit, whole + j, 0) for j in range(n_ // limit)]
-            at = n_ // limit * limit
-            if c:
-                found, size = layout.piece(c, k), c * grid
-                cuts += [(at, size, *found)] if isinstance(found, tuple) else [(at + d, m, s, o) for d, m, s, o in layout.stream(found, size)]
-                at += size
-            if n_ % grid:
-                cuts += [(at + d, m, s, o) for d, m, s, o in layout.stream(layout.crumb_base + crumb, n_ % grid)]
-            upto.append(len(cuts))
-        table = np.array(cuts, np.int64).reshape(-1, 4)
-        return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays([pa.array(table[:, k].copy()) for k in range(4)], ["start", "length", "sequence_id", "offset"]))
-
-    # The tasks' Python gets numbers only; ids stay with Spark, which slices them.
-    cut = joined.withColumn("cuts", pieces("n", "cls", "rank", "wholes", "crumbs")).select("doc_id", "n", "ids", F.explode("cuts").alias("cut"))
-    ids = F.substring("ids", (4 * F.col("cut.start") + 1).cast("int"), (4 * F.col("cut.length")).cast("int"))
-    return cut.select("doc_id", "cut.start", "cut.length", ids.alias("ids"), F.col("n").alias("doc_tokens"), "cut.sequence_id", "cut.offset")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for lo in range(0, big.num_rows, 500):
+                b = big.slice(lo, 500)
+                out: tuple[list, ...] = ([], [], [], [], [], [], [])
+                row, start, length, total_n, ids, seq, off = out
+                cols = [b.column(k).to_pylist() for k in (1, 2, 4, 5, 6)]
+                raw = b.column(3)
+                for i, (n, cls, rank, whole, crumb) in enumerate(zip(*cols, strict=True)):
+                    data = raw[i].as_py()
+                    cuts = [(k * limit, limit, whole + k, 0) for k in range(n // limit)]
+                    at = n // limit * limit
+                    if cls:
+                        found = layout.piece(cls, rank)
+                        size = cls * grid
+                        cuts += [(at, size, *found)] if isinstance(found, tuple) else [(at + d, k, s, o) for d, k, s, o in layout.stream(found, size)]
+                        at += size
+                    if n % grid:
+                        cuts += [(at + d, k, s, o) for d, k, s, o in layout.stream(layout.crumb_base + crumb, n % grid)]
+                    for a, k, s, o in cuts:
+                        row.append(i)
+                        start.append(a)
+                        length.append(k)
+                        ids.append(data[4 * a : 4 * (a + k)])
+                        total_n.append(n)
+                        seq.append(s)
+                        off.append(o)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total_n, pa.int64()), pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
+                    ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+                )
+
+    kind = joined.schema["doc_id"].dataType.simpleString()
+    return joined.mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
