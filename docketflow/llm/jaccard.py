@@ -20,8 +20,9 @@ sizes can be similar is compared in a task of its own, by an index of tokens. On
 components leave those tasks. The work of a crowd is quadratic in the texts that the hubs left
 unlinked, in the number of comparisons, never in rows.
 
-A segment that one task sees often is dealt over many tasks by a salt; a marker row tells the
-others, and such segments are counted in a second step.
+The index is shuffled as packed arrays, one for each bucket of keys. The rows of a segment that one
+task sees often are dealt over the buckets; a marker row tells the others, and such segments are
+counted in a second step.
 
 Sets are compared by 64-bit shingle hashes and named by a 64-bit hash of the set. Only segment
 hashes are shuffled for all documents; whole sets only for documents with candidates.
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import SEED, buffers, forget, mix64, shingle_hashes, small_enough, sub_batches, word_hashes, written
+from docketflow.llm.common import SEED, buffers, forget, mix64, shingle_hashes, small_enough, sub_batches, unshuffled, word_hashes, written
 
 WIDTH = 5
 SMALL = 5
@@ -53,8 +54,10 @@ USEFUL = 0.05  # of a round's checks that must be links for another round
 MET = 3  # hubs that a node is checked against in a round
 CROWD = 16  # nodes at a segment above which they are compared in blocks
 BLOCK = 1 << 18  # tokens
-OFTEN = 64  # rows of a segment from one task above which its rows are salted
-SALTS = 1 << 12
+OFTEN = 64  # rows of a segment from one task above which its rows are dealt over the buckets
+DEALT = 1 << 62
+BUCKET = 1 << 19  # rows of the index in a bucket
+HELD = 1 << 18  # rows of the index that a task packs at a time
 
 
 def _segments(c: int) -> int:
@@ -76,8 +79,8 @@ def token_sets(raw: np.ndarray, off: np.ndarray, width: int = WIDTH) -> tuple[np
     words, woff, _, _ = word_hashes(raw, off)
     sh, soff = shingle_hashes(words, woff, width)
     owner = np.repeat(np.arange(len(off) - 1), np.diff(soff))
-    order = np.lexsort((sh, owner))
-    sh, owner = sh[order], owner[order]
+    for lo, hi in zip(soff[:-1].tolist(), soff[1:].tolist(), strict=True):  # faster than one sort by value and hash
+        sh[lo:hi].sort()
     keep = np.ones(len(sh), bool)
     keep[1:] = (sh[1:] != sh[:-1]) | (owner[1:] != owner[:-1])
     sh, owner = sh[keep], owner[keep]
@@ -129,15 +132,17 @@ def _set_table(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, n_shingles long, node long")
 
 
-def _index_rows(docs: DataFrame, width: int, remember: int = 50_000) -> DataFrame:
-    """key, node, tag, salt: the index of every set, equal sets once a task as far as it remembers them.
+def _index_rows(docs: DataFrame, width: int, buckets: int, remember: int = 50_000) -> DataFrame:
+    """bucket, keys, nodes, tags: the index of every set, equal sets once a task as far as it remembers them, packed by
+    buckets of keys as arrays of 64-bit numbers.
 
-    A row whose segment this task has seen often gets a salt other than 0, and the segment a marker (tag -1, salt 0).
+    A row whose segment this task has seen often is marked `DEALT` and goes to a bucket by its node; the segment's own bucket gets a row with tag -1.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         counted = np.zeros(1 << 20, np.int32)  # rows by a hash of the segment
+        held: list[tuple[np.ndarray, ...]] = []
         for big in batches:
             for b in sub_batches(big, "text", 1 << 20):
                 sh, soff = token_sets(*buffers(b.column(0)), width)
@@ -158,24 +163,77 @@ def _index_rows(docs: DataFrame, width: int, remember: int = 50_000) -> DataFram
                 np.add.at(counted, cell, 1)
                 often = counted[cell] > OFTEN
                 who = node[which][slot]
-                salt = np.where(often, 1 + (who & (SALTS - 1)), 0)
                 marks = np.unique(key[often])
+                by = np.concatenate([np.where(often, key ^ who, key), marks])
                 key, who = np.concatenate([key, marks]), np.concatenate([who, np.zeros(len(marks), np.int64)])
-                tag, salt = np.concatenate([tag, np.full(len(marks), -1)]), np.concatenate([salt, np.zeros(len(marks), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(who), pa.array(tag), pa.array(salt.astype(np.int32))], ["key", "node", "tag", "salt"])
-
-    return docs.select("text").mapInArrow(run, "key long, node long, tag long, salt int")
-
-
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows whose key another node has too, with the number of whole segments (n0) and neighbourhoods (n1) at the key."""
-    w = W.partitionBy("key", "salt")
-    real, role = F.col("tag") >= 0, F.col("tag").bitwiseAND(1)
-    out = rows.withColumns({"lo": F.min(F.when(real, F.col("node"))).over(w), "hi": F.max(F.when(real, F.col("node"))).over(w), "n0": F.sum(F.when(real, 1 - role)).over(w), "n1": F.sum(F.when(real, role)).over(w), "part": (F.col("salt") > 0) | (F.min("tag").over(w) < 0)})
-    out = out.filter(real & (F.col("part") | ((F.col("lo") != F.col("hi")) & (F.col("n0") > 0)))).select("key", "node", "tag", "n0", "n1", "part")
-    out = written(out, "jaccard-dealt")
-    dealt = out.filter("part").select("key", "node", "tag")
-    return out.filter("NOT part").select("key", "node", "tag", "n0", "n1").union(_counted(dealt))
+                tag = np.concatenate([np.where(often, tag | DEALT, tag), np.full(len(marks), -1)])
+                held.append((bucket_of(by, buckets), key, who, tag))
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield _packed(held)
+                    held = []
+        if held:
+            yield _packed(held)
+
+    return docs.select("text").mapInArrow(run, "bucket int, keys binary, nodes binary, tags binary")
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix64(key.view(np.uint64) ^ np.uint64(SEED)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+
+
+def _packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """One row for each bucket of the rows (bucket, key, node, tag)."""
+    bucket, *numbers = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    off = pa.py_buffer((np.append(first, len(bucket)) * 8).astype(np.int32).tobytes())
+    data = [pa.Array.from_buffers(pa.binary(), len(first), [None, off, pa.py_buffer(x[order].tobytes())]) for x in numbers]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *data], ["bucket", "keys", "nodes", "tags"])
+
+
+def shared_rows(key: np.ndarray, node: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of a bucket's rows, each once, those whose key another node has too: key, node, tag, the number of whole segments and
+    of neighbourhoods at the key, and whether the key is to be counted over all buckets (then these numbers are 0)."""
+    apart = (tag >= 0) & (tag & DEALT != 0)
+    far = key[apart], node[apart], tag[apart] & ~np.int64(DEALT)
+    order = np.argsort(key[~apart])
+    key, node, tag = (x[~apart][order] for x in (key, node, tag))
+    border = np.ones(len(key) + 1, bool)
+    border[1:-1] = key[1:] != key[:-1]
+    some = np.flatnonzero(~(border[:-1] & border[1:]) & (tag >= 0) | (tag < 0))  # a key with one row is nobody else's
+    key, node, tag = key[some], node[some], tag[some]
+    order = np.lexsort((tag, node, key))
+    key, node, tag = key[order], node[order], tag[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | (tag[1:] != tag[:-1])
+    key, node, tag = key[new], node[new], tag[new]
+    start = np.flatnonzero(np.diff(key, prepend=~key[:1])) if len(key) else np.zeros(0, np.int64)
+    group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+    real = tag >= 0
+    n0 = np.bincount(group[real & (tag & 1 == 0)], minlength=len(start))
+    n1 = np.bincount(group[real & (tag & 1 == 1)], minlength=len(start))
+    part = np.bincount(group[~real], minlength=len(start)) > 0
+    change = np.zeros(len(key), bool)
+    change[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    change[start] = False
+    several = np.bincount(group[change], minlength=len(start)) > 0
+    stay = real & (part | (several & (n0 > 0)))[group]
+    n0, n1, part = (np.where(part, 0, n0)[group][stay], np.where(part, 0, n1)[group][stay], part[group][stay])
+    zero = np.zeros(len(far[0]), np.int64)
+    return *(np.concatenate([x[stay], y]) for x, y in zip((key, node, tag), far, strict=True)), np.concatenate([n0, zero]), np.concatenate([n1, zero]), np.concatenate([part, zero == 0])
+
+
+def _shared(packed: DataFrame) -> list[DataFrame]:
+    """Written tables of the rows whose key another node has too, with the number of whole segments (n0) and neighbourhoods (n1) at the key."""
+
+    def run(t: pa.Table) -> pa.Table:
+        numbers = [np.frombuffer(b"".join(t[x].to_pylist()), np.int64) for x in ("keys", "nodes", "tags")]
+        return pa.table(dict(zip(("key", "node", "tag", "n0", "n1", "part"), map(pa.array, shared_rows(*numbers)), strict=True)))
+
+    out = written(packed.groupBy("bucket").applyInArrow(run, "key long, node long, tag long, n0 long, n1 long, part boolean"), "jaccard-dealt")
+    unshuffled(packed.sparkSession)
+    return [out, written(_counted(out.filter("part").select("key", "node", "tag").dropDuplicates()), "jaccard-counted")]
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -328,12 +386,17 @@ def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
     id or with a shared one apart, and `root` names the component, null for the empty set."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     meta = written(_set_table(docs.withColumn("row", F.xxhash64("text")), width), "jaccard-sets")
-    rows = written(_shared(_index_rows(docs, width)).dropDuplicates(["key", "node", "tag"]), "jaccard-shared")
+    # A set has under one row of the index for each shingle, and some more if it is small.
+    much = meta.agg(F.sum(F.col("n_shingles") + F.when(F.col("n_shingles") < 2 << SMALL, F.col("n_shingles") + 40).otherwise(0))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-much // BUCKET))
+    near, far = _shared(_index_rows(docs, width, buckets))
+    rows, olds = near.filter("NOT part").select(far.columns).union(far), [near, far]
     for _ in range(ROUNDS):
         look = written(_allocated(rows), "jaccard-look")
-        kept, old = look.select("node", "c").distinct(), rows
+        kept = look.select("node", "c").distinct()
         rows = written(_counted(rows.drop("n0", "n1").withColumn("c", _field("c")).join(kept, ["node", "c"]).select("key", "node", "tag")), "jaccard-shared")
-        forget(old, look)
+        forget(*olds, look)
+        olds = [rows]
     look = written(_allocated(rows), "jaccard-look")
     members = rows.withColumns({"role": _field("role"), "c": _field("c"), "seg": _field("seg"), "n": _field("n")}).join(look, ["node", "c", "seg"], "left").select("key", "node", "role", "n", F.coalesce("e", F.lit(-1)).alias("e"))
     members = written(members, "jaccard-members")

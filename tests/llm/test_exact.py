@@ -391,6 +391,30 @@ def test_jaccard_against_all_pairs(spark, small, texts):
     assert got_components(jaccard.op4_jaccard(spark, small)) == components(list(texts.items()))
 
 
+def test_jaccard_index_keeps_each_shared_row_once():
+    """Rows of a bucket against brute force; rows come back from packing in full."""
+    rng = np.random.default_rng(2)
+    key, node, tag = rng.integers(0, 300, 900), rng.integers(1, 5, 900), rng.integers(0, 4, 900)
+    tag[rng.random(900) < 0.05] = -1
+    tag = np.where((rng.random(900) < 0.05) & (tag >= 0), tag | jaccard.DEALT, tag)
+    batch = jaccard._packed([(jaccard.bucket_of(key[:400], 7), key[:400], node[:400], tag[:400]), (jaccard.bucket_of(key[400:], 7), key[400:], node[400:], tag[400:])])
+    back = [np.frombuffer(b"".join(batch[x].to_pylist()), np.int64) for x in ("keys", "nodes", "tags")]
+    assert sorted(zip(*(x.tolist() for x in back), strict=True)) == sorted(zip(key.tolist(), node.tolist(), tag.tolist(), strict=True))
+    far = [(k, n, t - jaccard.DEALT, 0, 0, True) for k, n, t in zip(key.tolist(), node.tolist(), tag.tolist(), strict=True) if t >= jaccard.DEALT]
+    near = defaultdict(set)
+    for k, n, t in zip(key.tolist(), node.tolist(), tag.tolist(), strict=True):
+        if t < jaccard.DEALT:
+            near[k].add((n, t))
+    want = list(far)
+    for k, rows in near.items():
+        real, part = [(n, t) for n, t in rows if t >= 0], any(t < 0 for _, t in rows)
+        n0 = sum(t % 2 == 0 for _, t in real)
+        if part or (len({n for n, _ in real}) > 1 and n0):
+            want += [(k, n, t, 0 if part else n0, 0 if part else len(real) - n0, part) for n, t in real]
+    assert sorted(zip(*(x.tolist() for x in jaccard.shared_rows(*back)), strict=True)) == sorted(want)
+    assert [len(x) for x in jaccard.shared_rows(*[np.zeros(0, np.int64)] * 3)] == [0] * 6
+
+
 def test_jaccard_of_odd_rows(odd, none):
     from llm_rows import ROWS
 
