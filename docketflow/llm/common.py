@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +92,32 @@ def sub_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Ite
     pa.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Hand the memory that this process no longer uses to the system. Spark keeps a Python worker between tasks, and what an
+    idle one holds counts beside those at work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that gives memory back after each batch it was handed and at the end of its task."""
+
+    def handed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b
+            del b
+            give_back()
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(handed(batches))
+        give_back()
+
+    return tidied
+
+
 def codepoints(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of concatenated UTF-8 values, and their offsets counted in code points."""
     lead = np.zeros(len(raw) + 1, np.int64)

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import SEED, buffers, forget, mix64, shingle_hashes, small_enough, sub_batches, unshuffled, word_hashes, written
+from docketflow.llm.common import SEED, buffers, forget, give_back, mix64, shingle_hashes, small_enough, sub_batches, tidy, unshuffled, word_hashes, written
 
 WIDTH = 5
 SMALL = 5
@@ -129,7 +129,7 @@ def _set_table(docs: DataFrame, width: int) -> DataFrame:
                 sh, soff = token_sets(*buffers(b.column(1)), width)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.diff(soff)), pa.array(nodes(sh, soff))], ["doc_id", "row", "n_shingles", "node"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, n_shingles long, node long")
+    return docs.mapInArrow(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, n_shingles long, node long")
 
 
 def _index_rows(docs: DataFrame, width: int, buckets: int, remember: int = 50_000) -> DataFrame:
@@ -174,7 +174,7 @@ def _index_rows(docs: DataFrame, width: int, buckets: int, remember: int = 50_00
         if held:
             yield _packed(held)
 
-    return docs.select("text").mapInArrow(run, "bucket int, keys binary, nodes binary, tags binary")
+    return docs.select("text").mapInArrow(tidy(run), "bucket int, keys binary, nodes binary, tags binary")
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -229,6 +229,7 @@ def _shared(packed: DataFrame) -> list[DataFrame]:
 
     def run(t: pa.Table) -> pa.Table:
         numbers = [np.frombuffer(b"".join(t[x].to_pylist()), np.int64) for x in ("keys", "nodes", "tags")]
+        give_back()  # what the bucket before took
         return pa.table(dict(zip(("key", "node", "tag", "n0", "n1", "part"), map(pa.array, shared_rows(*numbers)), strict=True)))
 
     out = written(packed.groupBy("bucket").applyInArrow(run, "key long, node long, tag long, n0 long, n1 long, part boolean"), "jaccard-dealt")
@@ -371,6 +372,8 @@ def _crowds(hot: DataFrame, sets: DataFrame, block: int) -> DataFrame:
         off = np.concatenate([[0], np.cumsum(size)])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         found = _merging(t["node"].to_numpy(), t["root"].to_numpy(), left, right, off, lists.flatten().to_numpy()) if len(left) and len(right) else []
+        if len(off) and off[-1] >= BLOCK // 8:
+            give_back()
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return dealt.groupBy("crowd", "band", "i", "j").applyInArrow(compare, "a long, b long")
@@ -418,7 +421,7 @@ def rows(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col:
                 sh, soff = token_sets(*buffers(b.column(0)), width)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes(sh, soff)), pa.ListArray.from_arrays(pa.array(soff.astype(np.int32)), pa.array(sh.view(np.int64)))], ["node", "s"])
 
-    sets = written(picked.mapInArrow(sets_of, "node long, s array<long>").dropDuplicates(["node"]), "jaccard-whole")
+    sets = written(picked.mapInArrow(tidy(sets_of), "node long, s array<long>").dropDuplicates(["node"]), "jaccard-whole")
 
     # Rounds against hubs; after each, what is left are segments where components meet and one of them looks.
     here = members.withColumn("root", F.col("node"))

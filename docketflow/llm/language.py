@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from docketflow.llm.common import beyond, buffers, codepoints, fold, sub_batches
+from docketflow.llm.common import beyond, buffers, codepoints, fold, sub_batches, tidy
 
 BUCKETS = 1 << 15
 ROUNDS = 6
@@ -78,7 +78,7 @@ def fit(docs: DataFrame, parts: int = 5, held: int = 0, id_col: str = "doc_id",
             k = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array([x] * len(k), pa.string()), pa.array(k.astype(np.int32)), pa.array(s[k].astype(np.int64))], ["lang", "bucket", "n"])
 
-    got = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages x buckets numbers at most
+    got = rows.mapInArrow(tidy(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages x buckets numbers at most
     lang = got["lang"].combine_chunks().dictionary_encode()
     lang = lang.combine_chunks() if isinstance(lang, pa.ChunkedArray) else lang
     names = sorted(lang.dictionary.to_pylist())
@@ -145,7 +145,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", pred: str = "l
                 best, share = infer(*buffers(b.column(at)), model)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs[best].tolist(), pa.string()), pa.array(share)], names=[*names, pred, share_col])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(share_col, DoubleType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(share_col, DoubleType())]))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ pattern takes, and crumbs, follow each other in a stream cut at the limit; the s
 is cut into powers of two, so that no sequence needs padding.
 
 Cost: one tokenising pass over the text, one written table of compact ids, no shuffle of ids: the
-pass numbers pieces inside each task, and only counts for (task, class) are summed globally.
+pass numbers pieces inside each task, and only counts for (task, class) are summed globally. Ids are
+cut by column functions; a worker keeps no pieces from one task to the next.
 
 Nulls and empty texts have the end id alone. Repeated rows and repeated ids are packed as they
 are, each row on its own. An empty table gives an empty result. Other columns are ignored.
@@ -25,11 +26,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docketflow.llm.common import mix64, small_enough, sub_batches, written
+from docketflow.llm.common import mix64, small_enough, sub_batches, tidy, written
 
 LIMIT = 2048
 GRID = 16
@@ -290,6 +291,13 @@ def encode(texts: list[str | None], path: str, most: int = 400_000) -> list[byte
     return [np.array(tok.encode(x, add_special_tokens=False).ids, "<u4").tobytes() if None in v else v[0] if len(v) == 1 else b"".join(v) for x, v in zip(texts, out, strict=True)]
 
 
+def drop_pieces() -> None:
+    """Pieces are kept no longer than a task: its worker stays, idle, beside those at work."""
+    for _, pieces in _TOKENIZERS.values():
+        if pieces is not None:
+            pieces.clear()
+
+
 def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ids as bytes and their number, the task that made it, and how many whole pieces,
     pieces of its class and crumb ids that task made before it."""
@@ -317,9 +325,10 @@ def tokenised(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID,
                     [b.column(0), pa.array(np.full(len(n), task, np.int32)), pa.array(n), pa.array(cls.astype(np.int32)), pa.array(rank), pa.array(before_whole[:-1]), pa.array(before_crumb[:-1]), pa.array(ids, pa.binary())],
                     ["doc_id", "task", "n", "cls", "rank", "wholes", "crumbs", "ids"],
                 )
+        drop_pieces()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, task int, n long, cls int, rank long, wholes long, crumbs long, ids binary")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(tidy(run), f"doc_id {kind}, task int, n long, cls int, rank long, wholes long, crumbs long, ids binary")
 
 
 # --- the linear program ---------------------------------------------------------------------
@@ -433,31 +442,34 @@ class Layout:
                 starts.append(at)
         self.tail, self.chunks = np.array(starts, np.int64), chunks
 
-    def piece(self, cls: int, rank: int) -> tuple[int, int] | int:
-        """(sequence, offset) of a grid piece in a pattern, or its position in the stream."""
-        c = cls - 1
-        if rank < self.taken[c]:
-            for lo, hi, each, sequence, offset in self.runs[c]:
-                if rank < hi:
-                    use, slot = divmod(rank - lo, each)
-                    return sequence + use, offset + slot * cls * self.grid
-        return int(self.class_base[c]) + (rank - int(self.taken[c])) * cls * self.grid
-
-    def stream(self, at: int, length: int) -> Iterator[tuple[int, int, int, int]]:
-        """Cuts of a stretch of the stream: (ids before it in the stretch, length, sequence, offset)."""
-        done = 0
-        while done < length:
-            pos = at + done
-            if pos < self.chunks * self.limit:
-                k, offset = divmod(pos, self.limit)
-                room = self.limit - offset
-            else:
-                k = int(np.searchsorted(self.tail, pos, side="right")) - 1
-                offset, room = pos - int(self.tail[k]), int(self.tail[k + 1]) - pos
-                k += self.chunks
-            n = min(room, length - done)
-            yield done, n, self.first_stream + k, offset
-            done += n
+    def classes(self) -> pa.Table:
+        """By class: the pieces that patterns take, where its other pieces begin in the stream, and its runs."""
+        run = pa.struct([(x, pa.int64()) for x in ("first", "end", "each", "sequence", "offset")])
+        runs = [[dict(zip(("first", "end", "each", "sequence", "offset"), r, strict=True)) for r in rs] for rs in self.runs]
+        return pa.table({"cls": pa.array(range(1, len(runs) + 1), pa.int32()), "taken": pa.array(self.taken), "base": pa.array(self.class_base[:-1]), "runs": pa.array(runs, pa.list_(run))})
+
+    def stream(self, start: Column, at: Column, length: Column) -> Column:
+        """Pieces of a stretch of the stream shorter than a sequence, which begins at `at` there and at `start` in its document."""
+        last, after = at + length, at - at % self.limit + self.limit
+        tail = F.array(*[F.lit(int(x)) for x in self.tail])
+        inside = F.when((after < last) & (after < self.chunks * self.limit), F.array(after)).otherwise(F.array().cast("array<long>"))
+        begin = F.concat(F.array(at), inside, F.filter(tail, lambda t: (t > at) & (t < last)))
+
+        def cut(b: Column, i: Column) -> Column:
+            before = F.filter(tail, lambda t: t <= b)
+            whole = b < self.chunks * self.limit
+            sequence = self.first_stream + F.when(whole, quotient(b, self.limit)).otherwise(self.chunks + F.size(before) - 1)
+            return piece(start + b - at, F.coalesce(F.get(begin, i + 1), last) - b, sequence, F.when(whole, b % self.limit).otherwise(b - F.get(before, F.size(before) - 1)))
+
+        return F.transform(begin, cut)
+
+
+def quotient(n: Column, by: Column | int) -> Column:
+    return ((n - n % by) / by).cast("long")
+
+
+def piece(start: Column, length: Column, sequence: Column, offset: Column) -> Column:
+    return F.struct(*[x.cast("long").alias(name) for x, name in ((start, "start"), (length, "length"), (sequence, "sequence_id"), (offset, "offset"))])
 
 
 def pack(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -483,40 +495,19 @@ def pack(docs: DataFrame, path: str, limit: int = LIMIT, grid: int = GRID, end_i
         by_task = F.broadcast(by_task)
     joined = rows.join(by_task, "task").select("doc_id", "n", "cls", "ids", (F.col("rank") + F.coalesce(F.element_at("base", F.col("cls")), F.lit(0))).alias("rank"), (F.col("wholes") + F.coalesce(F.element_at("base", F.lit(-1)), F.lit(0))).alias("wholes"), (F.col("crumbs") + F.coalesce(F.element_at("base", F.lit(-2)), F.lit(0))).alias("crumbs"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in batches:
-            for lo in range(0, big.num_rows, 500):
-                b = big.slice(lo, 500)
-                out: tuple[list, ...] = ([], [], [], [], [], [], [])
-                row, start, length, total_n, ids, seq, off = out
-                cols = [b.column(k).to_pylist() for k in (1, 2, 4, 5, 6)]
-                raw = b.column(3)
-                for i, (n, cls, rank, whole, crumb) in enumerate(zip(*cols, strict=True)):
-                    data = raw[i].as_py()
-                    cuts = [(k * limit, limit, whole + k, 0) for k in range(n // limit)]
-                    at = n // limit * limit
-                    if cls:
-                        found = layout.piece(cls, rank)
-                        size = cls * grid
-                        cuts += [(at, size, *found)] if isinstance(found, tuple) else [(at + d, k, s, o) for d, k, s, o in layout.stream(found, size)]
-                        at += size
-                    if n % grid:
-                        cuts += [(at + d, k, s, o) for d, k, s, o in layout.stream(layout.crumb_base + crumb, n % grid)]
-                    for a, k, s, o in cuts:
-                        row.append(i)
-                        start.append(a)
-                        length.append(k)
-                        ids.append(data[4 * a : 4 * (a + k)])
-                        total_n.append(n)
-                        seq.append(s)
-                        off.append(o)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(ids, pa.binary()), pa.array(total_n, pa.int64()), pa.array(seq, pa.int64()), pa.array(off, pa.int64())],
-                    ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-                )
-
-    kind = joined.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    # Cuts are found and ids sliced by Spark, so that no ids go to Python again.
+    joined = joined.join(F.broadcast(spark.createDataFrame(layout.classes())), "cls", "left")  # at most limit / grid rows
+    n, rank, size = F.col("n"), F.col("rank"), F.col("cls").cast("long") * grid
+    at, none = n - n % limit, F.array().cast("array<struct<start:long,length:long,sequence_id:long,offset:long>>")
+    joined = joined.withColumn("run", F.get(F.filter("runs", lambda r: (rank >= r["first"]) & (rank < r["end"])), F.lit(0)))
+    k = rank - F.col("run.first")
+    each = F.col("run.each")
+    wholes = F.when(n >= limit, F.transform(F.sequence(F.lit(0).cast("long"), quotient(n, limit) - 1), lambda i: piece(i * limit, F.lit(limit), F.col("wholes") + i, F.lit(0)))).otherwise(none)
+    fit = F.when(F.col("run").isNotNull(), F.array(piece(at, size, F.col("run.sequence") + quotient(k, each), F.col("run.offset") + k % each * size))).when(size > 0, layout.stream(at, F.col("base") + (rank - F.col("taken")) * size, size)).otherwise(none)
+    crumb = F.when(n % grid > 0, layout.stream(n - n % grid, layout.crumb_base + F.col("crumbs"), n % grid)).otherwise(none)
+    pieces = joined.select("doc_id", "ids", n.alias("doc_tokens"), F.explode(F.concat(wholes, fit, crumb)).alias("p"))
+    ids = F.substring("ids", (4 * F.col("p.start") + 1).cast("int"), (4 * F.col("p.length")).cast("int"))
+    return pieces.select("doc_id", "p.start", "p.length", ids.alias("ids"), "doc_tokens", "p.sequence_id", "p.offset")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

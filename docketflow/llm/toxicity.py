@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from docketflow.llm.common import fold, sub_batches
+from docketflow.llm.common import fold, sub_batches, tidy
 
 SAMPLE = 8000
 UNLABELLED = 8000
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
                 f = sorted(_features(t or ""))
                 yield pa.RecordBatch.from_arrays([pa.array(f, pa.string()), pa.array(np.full(len(f), y, np.int32))], ["f", "y"])
 
-    found = rows.select("text", F.col("y").cast("int").alias("y")).repartition(8).mapInArrow(features, "f string, y int").groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
+    found = rows.select("text", F.col("y").cast("int").alias("y")).repartition(8).mapInArrow(tidy(features), "f string, y int").groupBy("f").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
     least = max(4, pos // 80)
     # a cautious log odds ratio: the positive count less 1.3 of its deviations, the negative one more than seen
     odds = F.log(((F.col("p") - 1.3 * F.sqrt("p")) / pos) / ((F.col("n") - F.col("p") + 1.5) / (n - pos)))
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1, dtype=np.int32) * c.shape[1]), pa.array(c.ravel().astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column(1), flat], ["y", "c"])
 
-    got = rows.select("text", F.col("y").cast("int").alias("y")).unionByName(other).mapInArrow(vote, "y int, c array<int>").toArrow()  # at most `sample` and about `unlabelled` rows
+    got = rows.select("text", F.col("y").cast("int").alias("y")).unionByName(other).mapInArrow(tidy(vote), "y int, c array<int>").toArrow()  # at most `sample` and about `unlabelled` rows
     rows.unpersist()
     y = got["y"].to_numpy()
     counts = got["c"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
@@ -214,7 +214,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "scor
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=[*names, out])
 
     names = docs.columns
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 
 
 THRESHOLD = 0.3

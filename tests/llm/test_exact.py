@@ -11,9 +11,10 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from docketflow.llm import fingerprints, html, jaccard, licences, media, mixing, packing
+from docketflow.llm import common, fingerprints, html, jaccard, licences, media, mixing, packing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -374,6 +375,56 @@ def test_packing_hands_on_few_texts_at_once(spark, monkeypatch):
     assert seen == ["4m"] and spark.conf.get(packing.BATCH_BYTES) == before
 
 
+def words_of(spark, n):
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, rng.integers(0, 150)))) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+@pytest.mark.parametrize(("limit", "grid"), [(64, 4), (48, 8), (2048, 16)])
+def test_cuts_of_sequences_of_any_size(spark, limit, grid):
+    rows, docs = words_of(spark, 120)
+    pieces = packing.pack(docs, packing.default_tokenizer(), limit, grid)
+    packing_ok(packing.digest(pieces).collect(), rows, limit)
+    assert all(len(r.ids) == 4 * r.length for r in pieces.collect())
+
+
+def test_packing_cuts_ids_without_python(spark):
+    plan = packing.digest(packing.pack(words_of(spark, 20)[1], packing.default_tokenizer()))._jdf.queryExecution().toString()
+    assert "InArrow" not in plan and "Python" not in plan
+
+
+def test_packing_leaves_no_pieces_in_idle_workers(spark):
+    def kept(batches):
+        for b in batches:
+            n = sum(len(p.key) for _, p in packing._TOKENIZERS.values() if p is not None)
+            yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    packing.pack(words_of(spark, 200)[1], packing.default_tokenizer()).count()
+    assert {r.n for r in spark.range(0, 64, 1, 16).mapInArrow(kept, "n long").collect()} == {0}
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    """After each batch handed in and at the end, when the task's own arrays are gone."""
+    batches, gone, said = [pa.RecordBatch.from_arrays([pa.array([k])], ["k"]) for k in range(3)], [], []
+
+    class Big:
+        def __del__(self):
+            gone.append(1)
+
+    def run(batches):
+        big = Big()
+        for b in batches:
+            yield b
+        assert big
+
+    monkeypatch.setattr(common, "give_back", lambda: said.append(len(gone)))
+    assert [b.column(0)[0].as_py() for b in common.tidy(run)(iter(batches))] == [0, 1, 2]
+    assert said == [0, 0, 0, 1]
+    monkeypatch.undo()
+    common.give_back()
+
+
 def test_columns_are_priced_right():
     rng = np.random.default_rng(3)
     demand = rng.integers(0, 60, 31)
