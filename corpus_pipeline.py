@@ -14,6 +14,10 @@ written as Parquet and read again.
   the mix does not take go.
 * packing: pieces of all kept documents in sequences of at most 2048 tokens.
 
+Stages that hand texts to Python set Spark's largest Arrow batch (`packing.BATCH_BYTES`) to 4 MB, since by default an
+executor, its socket and a task each hold 10,000 texts at once. Stages are lazy, so the setting stays with the session;
+`run` puts it back.
+
 Null and empty texts have no language, so they end at the second stage. An empty table passes
 through as an empty result.
 """
@@ -27,8 +31,14 @@ from pyspark.sql import functions as F
 from docketflow.llm import common, jaccard, language, mixing, packing, toxicity
 
 
+def few_texts(spark: SparkSession) -> None:
+    """From now on Spark hands about 4 MB at a time to Python."""
+    spark.conf.set(packing.BATCH_BYTES, "4m")
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier, fitted on their learning fold, does not reject."""
+    few_texts(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     (score,) = common.unused(docs, "toxicity")
     return toxicity.score(docs, model, out=score).filter(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
@@ -36,6 +46,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language that holds the majority of the text."""
+    few_texts(spark)
     pred, share = common.unused(docs, "language", "share")
     found = language.predict(docs, language.fit(docs), pred=pred, share_col=share)
     return found.filter((F.col(pred) != "und") & (F.col(share) >= 0.5)).select(*docs.columns)
@@ -43,6 +54,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies."""
+    few_texts(spark)
     rows = common.written(jaccard.rows(docs).filter("root IS NOT NULL"), "pipeline-rows")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
     rows = rows.join(first, "root").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row")))
@@ -98,6 +110,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+    whole = spark.conf.get(packing.BATCH_BYTES)
+    try:
+        for name, stage in STAGES:
+            docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+    finally:
+        spark.conf.set(packing.BATCH_BYTES, whole)
     return docs

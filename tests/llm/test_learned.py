@@ -202,3 +202,15 @@ def test_pipeline(spark, small):
     assert 1.3 < words(after) / words(before) < 1.7
     packing_ok(seen["packing"][1].collect(), [(r.doc_id, r.text) for r in after.collect()])
     assert corpus_pipeline.run(spark, small).count() == seen["packing"][1].count()
+
+
+def test_stages_hand_few_texts_to_python(spark, small):
+    import corpus_pipeline
+    from docketflow.llm import packing
+
+    whole = spark.conf.get(packing.BATCH_BYTES)
+    try:
+        corpus_pipeline.languages(spark, spark.read.parquet(f"{small}/documents.parquet"), small)
+        assert spark.conf.get(packing.BATCH_BYTES) == "4m" != whole
+    finally:
+        spark.conf.set(packing.BATCH_BYTES, whole)
