@@ -24,12 +24,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ FIRST = 64
 ALPHABET = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-_.", np.uint8)  # the last: no character
 BLOCK = 4096
 BATCH = 3 << 20  # bytes of text that a task walks at a time
+WALKED = 16 << 20  # where several walks are gone, for which it keeps a byte for a character
 _BITS: dict[tuple[int, int], np.ndarray] = {}
 _STEPS: list[np.ndarray] = []
 
@@ -78,11 +80,14 @@ def classes(points: np.ndarray) -> np.ndarray:
     return ((points * np.uint32(0x9E3779B1)) >> np.uint32(26)).astype(np.uint8)
 
 
-def walk(codes: np.ndarray, starts: np.ndarray, walk_: int = 0) -> np.ndarray:
-    """Samples by (sample, walker) of walks from each start to its end mark (class CLASSES); `walk_` numbers the random bits."""
-    n, rows = len(starts), []
+def walk(codes: np.ndarray, starts: np.ndarray, numbers: Sequence[int] = (0,)) -> np.ndarray:
+    """Samples by (sample, walker) of walks from each start to its end mark (class CLASSES), those of the first of `numbers`,
+    which number the random bits, before those of the next. A step costs the same calls for one walker and for thousands,
+    and the longest text has the most steps, so all walks are gone at once."""
+    n, rows = len(starts) * len(numbers), []
     who = np.arange(n)
-    pos = starts.astype(np.int64).copy()
+    pos = np.tile(starts.astype(np.int64), len(numbers))
+    row = np.repeat(np.arange(len(numbers), dtype=np.uint16) * np.uint16(CLASSES + 1), len(starts))  # where a walk's bits begin
     step = octave = 0
     while len(who):
         out = np.full((PER_OCTAVE, n), CLASSES, np.uint8)
@@ -90,20 +95,24 @@ def walk(codes: np.ndarray, starts: np.ndarray, walk_: int = 0) -> np.ndarray:
         k = 0
         while step < end and len(who):
             stop = min(step + 64, end)
-            table = _bits(step // BLOCK, walk_)
+            if step % BLOCK == 0:
+                table = np.concatenate([_bits(step // BLOCK, w) for w in numbers], axis=1)
             c = np.empty(len(who), np.uint8)
             b = np.empty(len(who), np.uint8)
+            place = np.empty(len(who), np.uint16) if len(numbers) > 1 else c
             for j in range(step, stop):
                 np.take(codes, pos, out=c, mode="clip")
                 while k < PER_OCTAVE and at[k] == j:
                     out[k, who] = c
                     k += 1
-                np.take(table[j % BLOCK], c, out=b, mode="clip")
+                if place is not c:
+                    np.add(c, row, out=place)
+                np.take(table[j % BLOCK], place, out=b, mode="clip")
                 np.add(pos, b, out=pos)
             step = stop
             going = codes[pos] != CLASSES
             if not going.all():
-                who, pos = who[going], pos[going]
+                who, pos, row = who[going], pos[going], row[going]
         rows.append(out)
         octave += 1
     return np.concatenate(rows) if rows else np.zeros((0, n), np.uint8)
@@ -155,16 +164,27 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias(text_col)).mapInArrow(run, f"doc_id {kind}, n_chars long, fingerprint string")
 
 
+def prints_of(codes: np.ndarray, starts: np.ndarray, walks: int) -> pa.Array:
+    """A list of the fingerprints by several walks, for each start."""
+    samples = walk(codes, starts, range(walks))
+    got = zip(*(strings(samples[:, w * len(starts) : (w + 1) * len(starts)]) for w in range(walks)), strict=True)
+    return pa.array(list(map(list, got)), pa.list_(pa.string()))
+
+
 def several(docs: DataFrame, walks: int, keep: list[str], text_col: str = "text") -> DataFrame:
     """The kept columns and `prints`, a fingerprint of each of several walks, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in sub_batches(big, text_col, 4 << 20):
-                points, off = codepoints(*buffers(b.column(len(keep))))
-                at = marked(points, off)
-                got = zip(*(strings(walk(*at, w)) for w in range(walks)), strict=True)
-                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(list(map(list, got)), pa.list_(pa.string()))], [*keep, "prints"])
+            for b in sub_batches(big, text_col, WALKED):
+                codes, starts, n = [], [], 0
+                for some in sub_batches(b, text_col, 1 << 20):  # code points take four times the room of their classes
+                    c, at = marked(*codepoints(*buffers(some.column(len(keep)))))
+                    codes.append(c)
+                    starts.append(at + n)
+                    n += len(c)
+                prints = prints_of(np.concatenate(codes), np.concatenate(starts), walks)
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], prints], [*keep, "prints"])
 
     out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("prints", T.ArrayType(T.StringType()))])
     return docs.select(*keep, text_col).mapInArrow(run, out)
@@ -259,6 +279,7 @@ FEW = 24  # nodes of a bucket above which it is compared in blocks
 BLOCK_NODES = 2048
 MANY = 1 << 24  # rows of shared keys that wait to be settled together
 PAIRS = 50_000  # of prints that are met at a time, or two for each node if these are more
+MET = 1 << 20  # nodes met at a key that a task looks at together
 
 
 def _key(*parts: object) -> int:
@@ -286,34 +307,40 @@ def octave_keys(samples: np.ndarray, top: int) -> np.ndarray:
     places = lo + np.array(_PLACES) % span
     key = np.zeros((samples.shape[1], BANDS), np.uint64)
     for k in range(ROWS):
-        key = key * np.uint64(CLASSES + 1) + samples[places[:, k]].T
+        key = key * np.uint64(CLASSES + 1) + samples.T[:, places[:, k]]
     with np.errstate(over="ignore"):
         key = mix64(mix64(key + np.uint64(SEED)) + np.uint64(top * BANDS) + np.arange(BANDS, dtype=np.uint64))
     return (key & ~np.uint64(15)).view(np.int64)
 
 
-def bands(prints: DataFrame, least: float, walk_: int) -> DataFrame:
-    """band, node of every key that prints (node, prints) have by one of their walks.
+def band_keys(samples: np.ndarray, length: np.ndarray, text_of: Callable[[int], str], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Every key of fingerprints by their samples by (sample, fingerprint), lengths and, of short ones, text, and whose it is.
 
     Long fingerprints have keys of sampled places in the last two whole octaves and, as a like text may end an octave
     earlier, in the two before; those of little over one octave and less have `short_keys`.
     """
+    whole = length // PER_OCTAVE
+    short = [(k, i) for i in np.flatnonzero(length * SHORT < PER_OCTAVE).tolist() for k in short_keys(text_of(i), least)]
+    key, who = [np.array([k for k, _ in short], np.int64)], [np.array([i for _, i in short], np.int64)]
+    for n in np.unique(whole[whole > 0]).tolist():
+        at = np.flatnonzero(whole == n)
+        these = samples.T[at].T
+        for top in range(max(n - 1, 1), n + 1):
+            key.append(octave_keys(these, top).ravel())
+            who.append(np.repeat(at, BANDS))
+    return np.concatenate(key), np.concatenate(who)
+
+
+def bands(prints: DataFrame, least: float, walk_: int) -> DataFrame:
+    """band, node of every key that prints (node, prints) have by one of their walks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for lo in range(0, big.num_rows, 1000):
                 b = big.slice(lo, 1000)
                 texts = b.column(1).to_pylist()
-                whole = np.array([len(t) // PER_OCTAVE for t in texts])
-                short = [(k, i) for i, t in enumerate(texts) if len(t) * SHORT < PER_OCTAVE for k in short_keys(t, least)]
-                key, who = [np.array([k for k, _ in short], np.int64)], [np.array([i for _, i in short], np.int64)]
-                samples = matrix(texts)
-                for n in np.unique(whole[whole > 0]).tolist():
-                    at = np.flatnonzero(whole == n)
-                    for top in range(max(n - 1, 1), n + 1):
-                        key.append(octave_keys(samples[:, at], top).ravel())
-                        who.append(np.repeat(at, BANDS))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key) + walk_), b.column(0).take(pa.array(np.concatenate(who)))], ["band", "node"])
+                key, who = band_keys(matrix(texts), np.array(list(map(len, texts))), texts.__getitem__, least)
+                yield pa.RecordBatch.from_arrays([pa.array(key + walk_), b.column(0).take(pa.array(who))], ["band", "node"])
 
     return prints.select("node", F.col("prints")[walk_].alias("print")).mapInArrow(run, "band long, node long")
 
@@ -465,6 +492,162 @@ def _settled(text: DataFrame, keyed: DataFrame, links: list[DataFrame], least: f
     return found
 
 
+# --- prints by tiles ---
+
+TILE = 48 << 20  # bytes of samples in a block of nodes; a task holds two
+FEWEST = 512  # nodes of a block that is made smaller so that all tasks have work
+COPIES = 4  # of the prints that are shuffled together
+
+
+class Prints:
+    """Fingerprints by several walks, with their samples in rows."""
+
+    def __init__(self, prints: pa.ChunkedArray, least: float):
+        self.least, self.prints, self.walks = least, prints, []
+        at = np.full(128, CLASSES, np.uint8)
+        at[ALPHABET] = np.arange(len(ALPHABET))
+        for w in range(len(prints[0])):
+            raw, off = buffers(pc.list_element(prints, w))
+            length = np.diff(off)
+            width = -(-int(length.max()) // PER_OCTAVE) * PER_OCTAVE
+            samples = np.full((len(length), width), CLASSES, np.uint8)
+            samples[np.arange(width) < length[:, None]] = at[raw]
+            self.walks.append((samples, length, np.concatenate([[0], np.cumsum(weights(width))])))
+
+    def keys(self, w: int) -> tuple[np.ndarray, np.ndarray]:
+        samples, length, _ = self.walks[w]
+        return band_keys(samples.T, length, lambda i: self.prints[i][w].as_py(), self.least)
+
+    def alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the rows of each pair have a likeness of `least` on one walk."""
+        out = np.zeros(len(a), bool)
+        for samples, length, upto in self.walks:
+            left = np.flatnonzero(~out)
+            out[left] = self._alike(samples, length, upto, a[left], b[left])
+        return out
+
+    def _alike(self, samples: np.ndarray, length: np.ndarray, upto: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        longer = np.maximum(length[a], length[b])
+        out = longer == 0
+        octaves = -(-np.minimum(length[a], length[b]) // PER_OCTAVE)  # beyond the shorter one nothing is equal
+        for n in np.unique(octaves[octaves > 0]).tolist():
+            every, low = np.flatnonzero(octaves == n), max(n - 3, 0)
+            for lo in range(0, len(every), 4096):
+                some, equal = every[lo : lo + 4096], 0.0
+                for first, last in ((low, n), (0, low)):  # most pairs are too far apart in the last three octaves for the others to make up
+                    x, y = first * PER_OCTAVE, last * PER_OCTAVE
+                    same = (samples[a[some], x:y] == samples[b[some], x:y]).view(np.uint64).reshape(len(some), last - first, PER_OCTAVE // 8)
+                    count = same.sum(axis=2, dtype=np.uint64) * np.uint64(0x0101010101010101) >> np.uint64(56)  # the bytes' sum
+                    neither = upto[y] - upto[np.clip(longer[some], x, y)]  # the ends of rows, which are equal too
+                    equal = equal + count @ weights(y)[x::PER_OCTAVE] - neither
+                    near = equal + upto[x] >= self.least * upto[longer[some]] * (1 - 1e-9)
+                    some, equal = some[near], equal[near]
+                out[some[equal / upto[longer[some]] >= self.least]] = True
+        return out
+
+
+def _in_tile(least: float) -> Callable[[pa.Table], pa.Table]:
+    """Links (a, b) between the nodes of two blocks (mine is i or j), or inside of one, that share a key and are alike: as many
+    as join what all of these join."""
+
+    def compare(t: pa.Table) -> pa.Table:
+        prints, rows, one = Prints(t["prints"], least), t.num_rows, t["i"][0] == t["j"][0]
+        order = np.argsort(t["mine"].to_numpy(), kind="stable")  # nodes go by their place in it, block i ahead of block j
+        node, rank = t["node"].to_numpy()[order], np.empty(rows, np.uint64)
+        rank[order] = np.arange(rows, dtype=np.uint64)
+        ahead = rows if one else int((t["mine"].to_numpy() == t["i"][0].as_py()).sum())
+        bits = np.uint64(rows.bit_length())
+        left, low, many, right, base = [], [], [], [], 0
+        for w in range(len(prints.walks)):
+            key, who = prints.keys(w)
+            key = np.sort(key.view(np.uint64) >> bits << bits | rank[who])  # a key's node in the room of its last bits
+            who = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int32)
+            key >>= bits
+            same = np.concatenate([[False], key[1:] == key[:-1], [False]])
+            who, same = who[same[1:] | same[:-1]], same[:-1][same[1:] | same[:-1]]
+            start = np.flatnonzero(~same)  # of a key's nodes
+            end = np.append(start[1:], len(who))
+            if one or not len(who):
+                first = np.arange(1, len(who) + 1)  # that each node meets, and so all that follow it
+            else:
+                first = np.repeat(start + np.add.reduceat(who < ahead, start, dtype=np.int64), end - start)
+            n = np.repeat(end, end - start) - first
+            met = (n > 0) & (who < ahead)
+            left.append(who[met])
+            low.append((first[met] + base).astype(np.int32))
+            many.append(n[met].astype(np.int32))
+            right.append(who)
+            base += len(who)
+        left, low, many, right = map(np.concatenate, (left, low, many, right))
+        turn = np.argsort(left, kind="stable")  # a pair's keys follow each other, so that it is compared once
+        left, low, many = left[turn], low[turn], many[turn]
+        upto = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+        root, found = np.arange(rows), []
+
+        def join(a: np.ndarray, b: np.ndarray) -> None:
+            nonlocal root
+            near = prints.alike(order[a], order[b])
+            for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
+                rx, ry = x, y
+                while root[rx] != rx:
+                    rx = root[rx]
+                while root[ry] != ry:
+                    ry = root[ry]
+                if rx != ry:
+                    root[max(rx, ry)] = min(rx, ry)
+                    found.append((x, y))
+            while (root[root] != root).any():
+                root = root[root]
+
+        at = 0
+        while at < len(left):
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + MET, "right")) - 1)
+            n = many[at:to]
+            a = np.repeat(left[at:to].astype(np.int64), n)
+            b = right[np.arange(len(a)) + np.repeat(low[at:to] - (upto[at:to] - upto[at]), n)]
+            far = root[a] != root[b]
+            a, b = np.divmod(np.unique(a[far] * rows + b[far]), rows)
+            first = np.unique(a * rows + root[b], return_index=True)[1]
+            if 2 * len(first) < len(a):  # in a crowd, one of each component goes ahead
+                join(a[first], b[first])
+                far = root[a] != root[b]
+                far[first] = False
+                a, b = a[far], b[far]
+            join(a, b)
+            at = to
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
+
+    return compare
+
+
+def by_tiles(text: DataFrame, least: float, name: str) -> DataFrame:
+    """Links (a, b), written, that join all nodes of text (node, prints) which share a key by one of their walks and are alike
+    on one.
+
+    Nodes that meet at a key by chance are the more the larger the table, and their pairs grow with its square; so no table
+    holds pairs or keys. Nodes are dealt into blocks, and a task finds and compares the pairs of two of these in its memory.
+    About COPIES of the prints are shuffled at a time.
+    """
+    spark = text.sparkSession
+    n, longest, walks = text.agg(F.count("*"), F.max(F.length(F.col("prints")[0])), F.max(F.size("prints"))).first()
+    blocks = math.ceil(n * (longest or 0) * (walks or 0) / TILE)
+    blocks = max(1, blocks, min(math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism)), n // FEWEST))
+    dealt = text.withColumn("mine", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = dealt.select(F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "prints")
+    rounds, out = math.ceil(blocks / COPIES), []
+    for k in range(rounds):
+        some = dealt.filter((F.col("i") + F.col("j")) % rounds == k)
+        tasks = 4 * blocks * (blocks + 1) // 2 // rounds + 1  # few tiles share one
+        out.append(written(some.repartition(tasks, "i", "j").groupBy("i", "j").applyInArrow(_in_tile(least), "a long, b long"), f"{name}-links"))
+        unshuffled(spark)
+    if len(out) == 1:
+        return out[0]
+    links = written(reduce(DataFrame.union, out), f"{name}-links")
+    forget(*out)
+    return links
+
+
 # --- long texts by blocks ---------------------------------------------------------------------
 
 SHARED = 0.55  # of the characters of the longer of two texts, in blocks that both have
@@ -499,10 +682,9 @@ def blocks(docs: DataFrame, walks: int, text_col: str = "text") -> DataFrame:
                 codes = classes(points)
                 ends = [[int(lo) + e for e in cuts(codes[lo:hi])] for lo, hi in zip(off[:-1], off[1:], strict=True)]
                 edges = np.concatenate([[0], *ends]).astype(np.int64)  # texts follow each other, and so do their blocks
-                at = marked(points, edges)
-                got = zip(*(strings(walk(*at, w)) for w in range(walks)), strict=True)
+                prints = prints_of(*marked(points, edges), walks)
                 doc = b.column(0).take(pa.array(np.repeat(np.arange(len(ends)), list(map(len, ends)))))
-                yield pa.RecordBatch.from_arrays([doc, pa.array(np.diff(edges)), pa.array(list(map(list, got)), pa.list_(pa.string()))], ["doc", "n", "prints"])
+                yield pa.RecordBatch.from_arrays([doc, pa.array(np.diff(edges)), prints], ["doc", "n", "prints"])
 
     long = docs.filter(F.length(text_col) >= LONG).select("doc", text_col)
     return long.mapInArrow(run, "doc long, n long, prints array<string>")
@@ -516,7 +698,7 @@ def by_blocks(docs: DataFrame, least: float, walks: int, few: int, block: int, s
     text = written(prints.groupBy("node").agg(F.first("prints").alias("prints")), "blocks-once")
     whole, prints = prints, written(prints.select("doc", "n", "node"), "blocks-of")
     forget(whole)
-    links = linked(text, [bands(text, least, w) for w in range(walks)], least, few, block, ByWalks, "blocks")
+    links = by_tiles(text, least, "blocks")
     part = components(links, "blocks-classes")
     held = prints.join(part, "node", "left").groupBy("doc", F.coalesce("root", "node").alias("band")).agg(F.sum("n").alias("n"))
     held = written(held, "blocks-held")
@@ -548,7 +730,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, walks: int = WALKS, i
     one = written(prints.groupBy(F.col("doc").alias("node")).agg(F.min("doc_id").alias("low"), F.first("prints").alias("prints")), "prints-once")
     unshuffled(docs.sparkSession)
     text = one.select("node", "prints")
-    links = linked(text, [bands(text, least, w) for w in range(walks)], least, few, block, ByWalks, "prints")
+    links = by_tiles(text, least, "prints")
     low = written(one.select("node", "low"), "prints-low")
     forget(one)
     long = by_blocks(rows.select("doc", "text"), least, walks, few, block)

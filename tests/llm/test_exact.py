@@ -201,6 +201,52 @@ def test_pairs_are_verified_in_slices(spark):
     assert len(tables) == 4 and sorted(tuple(r) for t in tables for r in t.collect()) == [(i, j) for i in range(12) for j in range(i + 4, 12, 4)]
 
 
+def test_walks_gone_together_are_those_gone_alone():
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(list("abcd é"), n)) for n in (0, 1, 40, 700, 9000)]
+    at = fingerprints.marked(np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), np.cumsum([0, *map(len, texts)]))
+    alone = [fingerprints.strings(fingerprints.walk(*at, (w,))) for w in range(3)]
+    assert fingerprints.prints_of(*at, 3).to_pylist() == [list(x) for x in zip(*alone, strict=True)]
+
+
+def test_chance_meetings_are_not_written(spark, monkeypatch):
+    """Texts of few letters meet at most keys: no table has more rows than there are texts, and the tiles' links join what all pairs that
+    share a key and are alike do."""
+    rng = np.random.default_rng(13)
+    rows = ["".join(rng.choice(list("ab"), int(rng.integers(100, 900)))) for _ in range(150)]
+    rows += ["".join(rng.choice(list("abcdefgh"), int(rng.integers(0, 60)))) for _ in range(100)]
+    rows += [t[: len(t) // 2] + "z" + t[len(t) // 2 :] for t in rows[::3]] + [t[: len(t) * 3 // 4] for t in rows[::5]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "node long, text string")
+    prints = fingerprints.written(fingerprints.several(docs, 2, ["node"]), "chance")
+    of, root, at, met = {r.node: r.prints for r in prints.collect()}, list(range(len(rows))), defaultdict(set), set()
+    for r in fingerprints.bands(prints, 0.6, 0).union(fingerprints.bands(prints, 0.6, 1)).collect():
+        met |= {(min(r.node, n), max(r.node, n)) for n in at[r.band] if n != r.node}
+        at[r.band].add(r.node)
+    met = sorted(met)
+    for (a, b), near in zip(met, fingerprints.ByWalks.pairs([of[a] for a, _ in met], [of[b] for _, b in met]), strict=True):
+        if near >= 0.6 and root[a] != root[b]:
+            root = [root[a] if r == root[b] else r for r in root]
+    classes = sorted(sorted(n for n in range(len(rows)) if root[n] == r) for r in set(root))
+    assert len(met) > 5 * len(rows) and 20 < len(classes) < len(rows) - 50
+    sizes, write = [], fingerprints.written
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(fingerprints, "written", counted)
+    for blocks, together in ((6, 50), (1, 1 << 20)):
+        monkeypatch.setattr(fingerprints, "TILE", len(rows) * 2 * max(len(p[0]) for p in of.values()) // blocks)
+        monkeypatch.setattr(fingerprints, "MET", together)
+        links = fingerprints.by_tiles(prints, 0.6, "chance")
+        part = {r.node: r.root for r in fingerprints.components(links, "chance-classes").collect()}
+        assert sorted(sorted(n for n in range(len(rows)) if part.get(n, n) == r) for r in {part.get(n, n) for n in range(len(rows))}) == classes
+    sizes.clear()
+    fingerprints.near_duplicates(docs.withColumnRenamed("node", "doc_id"), walks=2).count()
+    assert max(sizes) <= len(rows)
+
+
 def test_near_duplicates_in_crowded_buckets(spark):
     """Thousands of unrelated texts of two letters share every bucket; pairs of near copies among them, long and short, are found as by all pairs."""
     rng = np.random.default_rng(11)
