@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import uuid
-import zipfile
 from collections.abc import Iterator
-from io import BytesIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,13 +107,8 @@ def case_round_trip(spark, d):
         for b in batches:
             out = []
             for m, stems in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                raw = BytesIO()
-                with zipfile.ZipFile(raw, "w") as z:
-                    if m:
-                        z.writestr(zipfile.ZipInfo("x/mods.xml"), m)
-                    for k in stems:
-                        z.writestr(zipfile.ZipInfo(f"x/pdf/{k}.pdf"), b"%PDF")
-                out.append(raw.getvalue())
+                of_case = [("x/mods.xml", m.encode())] if m else []
+                out.append(packages.stored_zip(of_case + [(f"x/pdf/{k}.pdf", b"%PDF") for k in stems]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(out, pa.binary())], names=["o_orderkey", "texts", "body"])
 
     zips = rows.select("l_orderkey", "mods", "stems", "texts").mapInArrow(pack, "o_orderkey long, texts map<string, string>, body binary")

@@ -273,6 +273,57 @@ def test_case_packages(spark):
     assert by("USCOURTS-nysd-3")[0].metadata["extraction_note"].startswith("mods.xml unreadable") and by("p4")[0].metadata["extraction_note"].startswith("unreadable member") and by("p5")[0].error
 
 
+def test_plain_case_packages_are_read_without_parsers(monkeypatch):
+    """Short plain packages are most of what there is: neither zipfile nor an XML parser is opened for them, and what either says of others stands."""
+
+    def package(members, **how):
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w", **how) as z:
+            for name, content in members:
+                z.writestr(zipfile.ZipInfo(name) if not how else name, content)
+        return raw.getvalue()
+
+    ns = 'xmlns="http://www.loc.gov/mods/v3"'
+    item = "<relatedItem type=\"constituent\"><extension><accessId>c-{0}</accessId><docketText> Not  for\npublication</docketText></extension> <originInfo><dateIssued>2024-01-0{0}</dateIssued>\n</originInfo></relatedItem>"
+    plain = [f"<mods {ns}><titleInfo><title>A v. B</title></titleInfo><extension><courtType>x</courtType><courtType>District</courtType></extension>{item.format(1)}{item.format(2)}</mods>", "<mods></mods>", "<mods><extension><a></a></extension></mods>\n"]
+    odd = [
+        f"<mods {ns}><extension><courtType>A &amp; B</courtType></extension></mods>", f"<m:mods xmlns:m='u'><m:titleInfo><m:title>T</m:title></m:titleInfo>{item.format(1)}</m:mods>", f"<mods><extension/>{item.format(1)}</mods>", "<mods><extension><a>x<b>y</b>z</a>tail</extension></mods>",
+        f"<mods><other>{item.format(1)}</other></mods>", "<mods><titleInfo><title>\u00e9</title></titleInfo></mods>", f"<mods>{item.format(1)}{item.format(1)[:-4]}</mods>", "<mods><extension><a>]]></a></extension></mods>", "<mods><extension><a>x</b></extension></mods>", "<mods></mods><mods></mods>", "",
+    ]
+
+    def said(body):
+        try:
+            return packages.parse_mods(body)
+        except Exception as e:
+            return type(e)
+
+    got = [said(x.encode()) for x in plain + odd]
+    files = [("x/mods.xml", plain[0].encode()), ("x/pdf/c-2.pdf", b"%PDF"), ("x/pdf/c-1.PDF", b""), ("x/pdf/none.pdf", b"%PDF" * 99), ("x/other", b"1")]
+    zips = [package(files), package(files, compression=zipfile.ZIP_DEFLATED), package([])]
+    assert packages.stored_zip(files) == zips[0] and packages.stored_zip([]) == zips[2]
+    broken = bytearray(zips[0])
+    broken[broken.index(b"%PDF")] ^= 1
+    twice = bytearray(zips[0])
+    twice[:] = bytes(twice).replace(b"c-2.pdf", b"c-1.PDF")  # two members of one name
+    others = [bytes(broken), bytes(twice), b"before" + zips[0], zips[0] + b"after", zips[0][:-3], package([("x/pdf/\u00e9.pdf", b"1")]), package(files, compression=zipfile.ZIP_BZIP2), b"", b"no zip"]
+
+    def read(body):
+        try:
+            return list(packages.parse_members(body, "")), list(packages.parse_case(body))
+        except Exception as e:
+            return type(e)
+
+    rows = [read(x) for x in zips + others]
+    assert [r["granule_id"] for r in rows[0][1]] == ["c-1", "c-2", "none"] and dict(rows[0][1][0]["own"])["docketText"] == "Not for publication" and dict(rows[0][1][0]["case"])["courtType"] == "District"
+    with monkeypatch.context() as m:  # as they say without the short ways
+        m.setattr(packages, "plain_mods", lambda body: None)
+        m.setattr(packages, "plain_zip", lambda body: None)
+        assert [said(x.encode()) for x in plain + odd] == got and [read(x) for x in zips + others] == rows
+    monkeypatch.setattr(packages.zipfile, "ZipFile", None)
+    monkeypatch.setattr(packages.ET, "fromstring", None)
+    assert [said(x.encode()) for x in plain] == got[:3] and [read(x) for x in zips] == rows[:3]
+
+
 def test_listing(spark):
     page = """<head><title>Not text, January 1, 2026</title></head><ul><li>January 5, 2026 <a href="/a">A long enough title</a></li><li><a href="/b">Another long title</a> 01/04/2026</li></ul>
     <a href="/x">Skip to all the nav</a><a href="/x">Skip to all the nav</a><a href="/x">Skip to all the nav</a><a href="#t">Top of this page</a><a href="/s">More</a><script>document.write('<a href="/z">no</a>')</script>"""
