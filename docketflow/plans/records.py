@@ -13,7 +13,7 @@ from docketflow import schema
 from docketflow.functions import hashing, text, times, urls
 from docketflow.operators import corroborate, health, journal, lexicon, presentation, upsert
 from docketflow.plans import bind
-from docketflow.session import exists, shared_dir, table
+from docketflow.session import exists, shared_dir, spread, table
 from docketflow.sources import base, feeds, listing, mail, packages
 from docketflow.streaming import operators as streaming
 
@@ -95,7 +95,7 @@ def law_round_trip(spark, d):
 )
 def case_round_trip(spark, d):
     """Case packages with a mods.xml (absent from every fourth) and PDF members; texts come beside them."""
-    line = table(spark, d, "lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(day(F.min("l_shipdate")).alias("filed"), F.min("l_returnflag").alias("l_returnflag"))
+    line = spread(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag"), "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(day(F.min("l_shipdate")).alias("filed"), F.min("l_returnflag").alias("l_returnflag"))
     stem = F.concat(lit("USCOURTS-ca"), (F.col("l_orderkey") % 9).cast("string"), lit("-"), s("l_orderkey"), lit("-"), s("l_linenumber"))
     docket = F.when(F.col("l_returnflag") == "N", "NOT FOR PUBLICATION").otherwise("Published opinion")
     item = F.concat(lit('<relatedItem type="constituent"><extension><accessId>'), "stem", lit("</accessId><courtName>Court</courtName><docketText>"), docket, lit("</docketText></extension><originInfo><dateIssued>"), "filed", lit("</dateIssued></originInfo></relatedItem>"))
