@@ -495,8 +495,8 @@ def _settled(text: DataFrame, keyed: DataFrame, links: list[DataFrame], least: f
 # --- prints by tiles ---
 
 TILE = 48 << 20  # bytes of samples in a block of nodes; a task holds two
-FEWEST = 512  # nodes of a block that is made smaller so that all tasks have work
-COPIES = 4  # of the prints that are shuffled together
+FEWEST = 2048  # nodes of a block that is made smaller so that all tasks have work
+COPIES = 2  # of the prints that are shuffled together
 
 
 class Prints:
@@ -632,7 +632,7 @@ def by_tiles(text: DataFrame, least: float, name: str) -> DataFrame:
     spark = text.sparkSession
     n, longest, walks = text.agg(F.count("*"), F.max(F.length(F.col("prints")[0])), F.max(F.size("prints"))).first()
     blocks = math.ceil(n * (longest or 0) * (walks or 0) / TILE)
-    blocks = max(1, blocks, min(math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism)), n // FEWEST))
+    blocks = max(1, blocks, min(spark.sparkContext.defaultParallelism - 1, n // FEWEST))  # a round has a tile for each task or more
     dealt = text.withColumn("mine", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = dealt.select(F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "prints")
     rounds, out = math.ceil(blocks / COPIES), []
